@@ -1,3 +1,158 @@
-"""Registered queries for ingest, quality, classification and streaming (M4-M7)."""
+"""Registered queries for quality, ingest, classification, export and streaming (M4-M7)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from riskpipe.operators import quality as Q
+from riskpipe.plans import oracle as O
+from riskpipe.plans.catalog import comparable, raw, register
+
+# ---------------------------------------------------------------------------
+# M6: quality metrics
+
+_CLAIMS_METRICS_SQL = [
+    ("INVALID_CLAIM_AMOUNT_COUNT",
+     "COUNT_IF(claim_amount IS NOT NULL AND (claim_amount < 100 OR claim_amount > 500000))"),
+    ("NULL_COUNT", "COUNT_IF(policy_number IS NULL)"),
+    ("DUPLICATE_COUNT", "COUNT(*) - COUNT(DISTINCT policy_number) - "
+                        "CASE WHEN COUNT_IF(policy_number IS NULL) > 0 THEN 1 ELSE 0 END"),
+]
+_CUSTOMER_METRICS_SQL = [
+    ("INVALID_CUSTOMER_AGE_COUNT", "COUNT_IF(age IS NOT NULL AND (age < 18 OR age > 85))"),
+    ("NULL_COUNT", "COUNT_IF(policy_number IS NULL)"),
+    ("ROW_COUNT", "COUNT(*)"),
+]
+_METRICS_SQL = {"claims_raw": _CLAIMS_METRICS_SQL, "customer_raw": _CUSTOMER_METRICS_SQL}
+
+
+def _metrics_sql(table: str, extra_cols: str = "", group: str = "") -> str:
+    """One SELECT per metric of ``table`` (DuckDB), UNION ALL."""
+    parts = []
+    for name, expr in _METRICS_SQL[table]:
+        parts.append(f"SELECT {extra_cols}{O.ts('MAX(load_timestamp)')} AS change_commit_time, "
+                     f"'{table}' AS table_name, '{name}' AS metric_name, CAST({expr} AS BIGINT) AS value "
+                     f"FROM {table} {group}")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _metrics(spark, sf_dir):
+    cust, claims = raw(spark, sf_dir)
+    return {"claims_raw": claims, "customer_raw": cust}
+
+
+@register("dq_claims", O.with_ctes(O.CLAIMS_RAW) + _metrics_sql("claims_raw"))
+def q_dq_claims(spark, sf_dir):
+    return comparable(Q.run_metrics(_metrics(spark, sf_dir)["claims_raw"], Q.CLAIMS_SPECS, "claims_raw"))
+
+
+@register("dq_customers", O.with_ctes(O.CUSTOMER_RAW) + _metrics_sql("customer_raw"))
+def q_dq_customers(spark, sf_dir):
+    return comparable(Q.run_metrics(_metrics(spark, sf_dir)["customer_raw"], Q.CUSTOMER_SPECS, "customer_raw"))
+
+
+_RESULTS_SQL = (O.with_ctes(O.CUSTOMER_RAW, O.CLAIMS_RAW)
+                + "SELECT change_commit_time, 'riskpipe' AS table_database, 'raw_data' AS table_schema, "
+                  "table_name, metric_name, value FROM (\n"
+                + _metrics_sql("claims_raw") + "\nUNION ALL\n" + _metrics_sql("customer_raw")
+                + "\n) r ORDER BY change_commit_time DESC, table_name, metric_name")
+
+
+@register("dq_results_sorted", _RESULTS_SQL)
+def q_dq_results_sorted(spark, sf_dir):
+    """Q8 results in the monitoring shape, filtered and sorted (measurement time left out:
+    it is the wall clock of the run)."""
+    res = Q.results(_metrics(spark, sf_dir), Q.default_registry())
+    return comparable(Q.results_sorted(res).drop("measurement_time"))
+
+
+_REGISTRY_SQL = (O.with_ctes(O.CUSTOMER_RAW, O.CLAIMS_RAW)
+                 + "SELECT metric_name, table_name AS ref_entity_name, '5 MINUTE' AS schedule, "
+                   "'STARTED' AS schedule_status, value FROM (\n"
+                 + _metrics_sql("claims_raw") + "\nUNION ALL\n" + _metrics_sql("customer_raw") + "\n) r")
+
+
+@register("dq_registry", _REGISTRY_SQL)
+def q_dq_registry(spark, sf_dir):
+    """Q6/Q7: attached metrics of both tables (O4 union) with their latest value."""
+    reg = Q.default_registry()
+    tables = _metrics(spark, sf_dir)
+    latest = Q.run_metrics(tables["claims_raw"], reg.for_table("claims_raw"), "claims_raw").unionByName(
+        Q.run_metrics(tables["customer_raw"], reg.for_table("customer_raw"), "customer_raw"))
+    return Q.registry_listing(reg, latest)
+
+
+def _score_sql(table: str) -> str:
+    viol = [e for n, e in _METRICS_SQL[table] if n != "ROW_COUNT"]
+    k = len(viol)
+    total = " + ".join(f"({e})" for e in viol)
+    return (f"SELECT '{table}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count, "
+            f"CAST({total} AS BIGINT) AS violations, CAST({k} AS BIGINT) AS rules, "
+            f"CAST(CASE WHEN COUNT(*) * {k} > 0 THEN ROUND(GREATEST(0.0, LEAST(100.0, "
+            f"100.0 * (1.0 - CAST({total} AS BIGINT) / CAST(COUNT(*) * {k} AS DOUBLE)))), 2) END AS DOUBLE) "
+            f"AS quality_score FROM {table}")
+
+
+@register("dq_score", O.with_ctes(O.CUSTOMER_RAW, O.CLAIMS_RAW)
+          + _score_sql("claims_raw") + "\nUNION ALL\n" + _score_sql("customer_raw"))
+def q_dq_score(spark, sf_dir):
+    t = _metrics(spark, sf_dir)
+    return Q.quality_score(t["claims_raw"], Q.CLAIMS_SPECS, "claims_raw").unionByName(
+        Q.quality_score(t["customer_raw"], Q.CUSTOMER_SPECS, "customer_raw"))
+
+
+def _history(spark, sf_dir):
+    """Metric history: one measurement per load year (a batch), grouped in one pass per table."""
+    t = _metrics(spark, sf_dir)
+    parts = [Q.run_metrics(df.withColumn("batch", F.year("load_timestamp").cast("bigint")),
+                           Q.CLAIMS_SPECS if name == "claims_raw" else Q.CUSTOMER_SPECS, name, by=["batch"])
+             for name, df in t.items()]
+    return parts[0].unionByName(parts[1])
+
+
+_HISTORY_SQL = ("h AS (" + _metrics_sql("claims_raw", "CAST(year(load_timestamp) AS BIGINT) AS batch, ",
+                                        "GROUP BY year(load_timestamp)")
+                + "\nUNION ALL\n" + _metrics_sql("customer_raw", "CAST(year(load_timestamp) AS BIGINT) AS batch, ",
+                                                 "GROUP BY year(load_timestamp)") + ")")
+
+
+@register("dq_trend", O.with_ctes(O.CUSTOMER_RAW, O.CLAIMS_RAW, _HISTORY_SQL) + """
+SELECT batch, table_name, metric_name, value,
+       LAG(value) OVER (PARTITION BY table_name, metric_name ORDER BY batch) AS previous_value,
+       value - LAG(value) OVER (PARTITION BY table_name, metric_name ORDER BY batch) AS change
+FROM h""")
+def q_dq_trend(spark, sf_dir):
+    return Q.trend(_history(spark, sf_dir))
+
+
+_TH_SQL = "th(t_table, t_metric, max_value, severity) AS (VALUES " + ", ".join(
+    f"('{t}', '{m}', {v}, '{s}')" for t, m, v, s in Q.DEFAULT_THRESHOLDS) + ")"
+
+
+@register("dq_alerts", O.with_ctes(O.CUSTOMER_RAW, O.CLAIMS_RAW, _TH_SQL,
+                                   "r AS (" + _metrics_sql("claims_raw") + "\nUNION ALL\n"
+                                   + _metrics_sql("customer_raw") + ")") + """
+SELECT table_name, metric_name, value, CAST(max_value AS BIGINT) AS threshold, severity
+FROM r JOIN th ON r.table_name = th.t_table AND r.metric_name = th.t_metric
+WHERE value > max_value""")
+def q_dq_alerts(spark, sf_dir):
+    res = Q.results(_metrics(spark, sf_dir), Q.default_registry())
+    return Q.alerts(res)
+
+
+def _load_validation_sql(table: str, count_name: str) -> str:
+    return (f"SELECT 'INITIAL LOAD STATUS' AS check_type, CAST(COUNT(*) AS BIGINT) AS {count_name}, "
+            f"CAST(COUNT(DISTINCT policy_number) AS BIGINT) AS unique_policies, "
+            f"{O.ts('MIN(load_timestamp)')} AS first_loaded, {O.ts('MAX(load_timestamp)')} AS last_loaded "
+            f"FROM {table}")
+
+
+@register("load_validation_claims", O.with_ctes(O.CLAIMS_RAW) + _load_validation_sql("claims_raw", "total_claims"))
+def q_load_validation_claims(spark, sf_dir):
+    return comparable(Q.load_validation(_metrics(spark, sf_dir)["claims_raw"], count_name="total_claims"))
+
+
+@register("load_validation_customers",
+          O.with_ctes(O.CUSTOMER_RAW) + _load_validation_sql("customer_raw", "total_customers"))
+def q_load_validation_customers(spark, sf_dir):
+    return comparable(Q.load_validation(_metrics(spark, sf_dir)["customer_raw"], count_name="total_customers"))
