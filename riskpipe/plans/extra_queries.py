@@ -156,3 +156,191 @@ def q_load_validation_claims(spark, sf_dir):
           O.with_ctes(O.CUSTOMER_RAW) + _load_validation_sql("customer_raw", "total_customers"))
 def q_load_validation_customers(spark, sf_dir):
     return comparable(Q.load_validation(_metrics(spark, sf_dir)["customer_raw"], count_name="total_customers"))
+
+
+# ---------------------------------------------------------------------------
+# M4: by-name CSV ingest over landing files derived from the tables
+
+from riskpipe.operators import governance as gov  # noqa: E402
+from riskpipe.plans.catalog import level2  # noqa: E402
+from riskpipe.session import scratch_path  # noqa: E402
+from riskpipe.sources import csv_ingest as C  # noqa: E402
+from riskpipe.sources import schemas as S  # noqa: E402
+from riskpipe.streaming import ingest as I  # noqa: E402
+from riskpipe.streaming import refresh as R  # noqa: E402
+
+CLAIM_DATA_COLS = [f.name for f in S.CLAIMS_DATA.fields]
+CUSTOMER_DATA_COLS = [f.name for f in S.CUSTOMER_DATA.fields]
+# rows whose text is made unconvertible in the derived "dirty" drop
+BAD_AMOUNT = "witnesses = 0 AND bodily_injuries = 1"
+BAD_FRAUD = "incident_hour_of_the_day = 7"
+
+
+def _claims_text(claims, dirty: bool):
+    df = claims.select(*CLAIM_DATA_COLS)
+    if dirty:
+        df = (df.withColumn("claim_amount", F.when(F.expr(BAD_AMOUNT), F.lit("n/a"))
+                            .otherwise(F.col("claim_amount").cast("string")))
+              .withColumn("fraud_reported", F.when(F.expr(BAD_FRAUD), F.lit("maybe"))
+                          .otherwise(F.col("fraud_reported").cast("string"))))
+    return df
+
+
+def write_drop(df, directory: str, prefix: str, data_cols: list[str], split_col: str) -> list[str]:
+    """Two landing files per half: one half with the declared upper-case header,
+    the other with a lower-case header in reverse order (by-name binding matters)."""
+    even = F.coalesce(F.col(split_col), F.lit(0)) % 2 == 0
+    a = C.write_named_csv(df.where(even), directory, f"{prefix}_A", key="policy_number",
+                          column_order=data_cols, header_case="upper")
+    b = C.write_named_csv(df.where(~even), directory, f"{prefix}_B", key="policy_number",
+                          column_order=list(reversed(data_cols)), header_case="lower")
+    return a + b
+
+
+def _sql_cols(cols) -> str:
+    conv = {"claim_amount": "CAST(claim_amount AS DOUBLE) AS claim_amount",
+            "incident_date": f"{O.ts('incident_date')} AS incident_date"}
+    return ", ".join(conv.get(c, c) for c in cols)
+
+
+@register("csv_by_name_load", O.with_ctes(O.CLAIMS_RAW) + f"SELECT {_sql_cols(CLAIM_DATA_COLS)} FROM claims_raw")
+def q_csv_by_name_load(spark, sf_dir):
+    """Strict load of a derived drop whose files disagree on header order."""
+    _, claims = raw(spark, sf_dir)
+    root = scratch_path(spark, "csv_strict")
+    files = write_drop(_claims_text(claims, False), f"{root}/landing", "CLAIMS_DATA", CLAIM_DATA_COLS,
+                       "incident_hour_of_the_day")
+    C.load_batch(spark, files, "claims", f"{root}/claims_raw", on_error="abort")
+    return comparable(spark.read.parquet(f"{root}/claims_raw").select(*CLAIM_DATA_COLS))
+
+
+def _lenient(spark, sf_dir):
+    _, claims = raw(spark, sf_dir)
+    root = scratch_path(spark, "csv_lenient")
+    files = write_drop(_claims_text(claims, True), f"{root}/landing", "CLAIMS_DATA", CLAIM_DATA_COLS,
+                       "incident_hour_of_the_day")
+    C.load_batch(spark, files, "claims", f"{root}/claims_raw", on_error="continue",
+                 quarantine=f"{root}/quarantine")
+    return root
+
+
+@register("csv_lenient_load", O.with_ctes(O.CLAIMS_RAW)
+          + f"SELECT {_sql_cols(CLAIM_DATA_COLS)} FROM claims_raw WHERE NOT ({BAD_AMOUNT}) AND NOT ({BAD_FRAUD})")
+def q_csv_lenient_load(spark, sf_dir):
+    """S5 semantics in batch: good rows load, bad rows are skipped."""
+    root = _lenient(spark, sf_dir)
+    return comparable(spark.read.parquet(f"{root}/claims_raw").select(*CLAIM_DATA_COLS))
+
+
+@register("csv_quarantine", O.with_ctes(O.CLAIMS_RAW) + f"""
+SELECT policy_number,
+       concat_ws(',', CASE WHEN {BAD_AMOUNT} THEN 'claim_amount' END,
+                      CASE WHEN {BAD_FRAUD} THEN 'fraud_reported' END) AS rejected_columns
+FROM claims_raw WHERE ({BAD_AMOUNT}) OR ({BAD_FRAUD})""")
+def q_csv_quarantine(spark, sf_dir):
+    root = _lenient(spark, sf_dir)
+    q = spark.read.parquet(f"{root}/quarantine")
+    return q.select(F.split("raw_record", ",").getItem(0).alias("policy_number"), "rejected_columns")
+
+
+@register("file_inventory")
+def q_file_inventory(spark, sf_dir):
+    """The landing files of a derived drop (path, modification time, size)."""
+    _, claims = raw(spark, sf_dir)
+    root = scratch_path(spark, "inventory")
+    write_drop(_claims_text(claims, False), f"{root}/landing", "CLAIMS_DATA", CLAIM_DATA_COLS,
+               "incident_hour_of_the_day")
+    return C.file_inventory(spark, f"{root}/landing", C.CLAIMS_PATTERN)
+
+
+# ---------------------------------------------------------------------------
+# M5: streaming ingest and keyed refresh
+
+
+def _run(query):
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def _stream_claims(spark, sf_dir):
+    _, claims = raw(spark, sf_dir)
+    root = scratch_path(spark, "stream_ingest")
+    layout = I.Layout(root)
+    write_drop(_claims_text(claims, True), f"{root}/landing", "CLAIMS_DATA", CLAIM_DATA_COLS,
+               "incident_hour_of_the_day")
+    _run(I.start_ingest(spark, f"{root}/landing", "claims", layout, max_files_per_trigger=2))
+    return layout
+
+
+@register("stream_ingest_claims", O.with_ctes(O.CLAIMS_RAW)
+          + f"SELECT {_sql_cols(CLAIM_DATA_COLS)} FROM claims_raw WHERE NOT ({BAD_AMOUNT}) AND NOT ({BAD_FRAUD})")
+def q_stream_ingest_claims(spark, sf_dir):
+    """File stream (availableNow, 2 files per trigger) into the raw table."""
+    layout = _stream_claims(spark, sf_dir)
+    return comparable(spark.read.parquet(layout.raw("claims")).select(*CLAIM_DATA_COLS))
+
+
+@register("ingest_log")
+def q_ingest_log(spark, sf_dir):
+    """Per-batch ingest log of the claims stream."""
+    layout = _stream_claims(spark, sf_dir)
+    return I.ingest_log(spark, layout).select("feed", "batch_id", "files", "rows_loaded", "rows_rejected")
+
+
+_L2_STREAM_COLS = [c for c in ("policy_number", "age", "insured_sex", "insured_education_level",
+                               "insured_occupation", "policy_annual_premium", "claim_amount_filled",
+                               "fraud_reported_filled", "customer_state", "age_category", "age_risk_score",
+                               "total_risk_score", "risk_level", "risk_factors")]
+
+
+def _l2_sql_cols() -> str:
+    conv = {"policy_annual_premium": "CAST(policy_annual_premium AS DOUBLE) AS policy_annual_premium",
+            "claim_amount_filled": "CAST(claim_amount_filled AS DOUBLE) AS claim_amount_filled",
+            "risk_factors": "array_to_string(risk_factors, '|') AS risk_factors"}
+    return ", ".join(conv.get(c, c) for c in _L2_STREAM_COLS)
+
+
+REFRESH_BUCKETS = 8   # key buckets of the refreshed levels at test scale
+
+
+@register("stream_refresh_l2", O.with_ctes(*O.BASE_L2) + f"SELECT {_l2_sql_cols()} FROM l2")
+def q_stream_refresh_l2(spark, sf_dir):
+    """Files arrive as half of the claims, then all customers, then the
+    other half of the claims; after each arrival the keyed refresh runs.  The
+    final level 2 equals the batch recompute (load times aside)."""
+    cust, claims = raw(spark, sf_dir)
+    root = scratch_path(spark, "stream_refresh")
+    layout = I.Layout(root)
+    landing = f"{root}/landing"
+    text = _claims_text(claims, False)
+    even = F.col("incident_hour_of_the_day") % 2 == 0
+    steps = [
+        ("claims", lambda: C.write_named_csv(text.where(even), landing, "CLAIMS_DATA_EARLY", key="policy_number",
+                                             column_order=CLAIM_DATA_COLS)),
+        ("customers", lambda: write_drop(cust.select(*CUSTOMER_DATA_COLS), landing, "CUSTOMER_DATA",
+                                         CUSTOMER_DATA_COLS, "age")),
+        ("claims", lambda: C.write_named_csv(text.where(~even), landing, "CLAIMS_DATA_LATE", key="policy_number",
+                                             column_order=list(reversed(CLAIM_DATA_COLS)), header_case="lower")),
+    ]
+    for feed, arrive in steps:
+        arrive()
+        _run(I.start_ingest(spark, landing, feed, layout, buckets=REFRESH_BUCKETS))
+        _run(R.start_refresh(spark, layout, buckets=REFRESH_BUCKETS))
+    return comparable(R.level(spark, layout, 2).select(*_L2_STREAM_COLS))
+
+
+# ---------------------------------------------------------------------------
+# Governed export
+
+
+@register("governed_export", O.with_ctes(*O.BASE_L2, O.broker("consumer")) + """
+SELECT policy_number, age_category, insured_occupation, CAST(policy_annual_premium AS DOUBLE) AS policy_annual_premium,
+       CAST(claim_amount_filled AS DOUBLE) AS claim_amount_filled, customer_state, total_risk_score, risk_level,
+       array_to_string(risk_factors, '|') AS risk_factors, strftime(last_updated, '%Y-%m-%d %H:%M:%S') AS last_updated
+FROM bv""")
+def q_governed_export(spark, sf_dir):
+    """The consumer's broker view materialised as parquet, read back."""
+    path = scratch_path(spark, "export") + "/broker_consumer"
+    gov.export_governed(level2(spark, sf_dir), gov.CONSUMER, path)
+    return comparable(spark.read.parquet(path))
