@@ -92,10 +92,11 @@ def start_refresh(spark: SparkSession, layout: Layout, *, buckets: int = DEFAULT
 
 
 def level(spark: SparkSession, layout: Layout, n: int) -> DataFrame:
+    """Level ``n`` as written by the refresh (empty, with its schema, before the first refresh)."""
+    from riskpipe.sources import schemas as S
+    l1 = integ.integrate(spark.createDataFrame([], S.CUSTOMER_RAW), spark.createDataFrame([], S.CLAIMS_RAW), hot=[])
+    plan = l1 if n == 1 else integ.risk_matrix(l1)
+    schema = T.StructType(plan.schema.fields + [T.StructField("bucket", T.IntegerType())])
     if not _exists(spark, layout.level(n)):
-        from riskpipe.sources import schemas as S
-        empty_c = spark.createDataFrame([], S.CUSTOMER_RAW)
-        empty_l = spark.createDataFrame([], S.CLAIMS_RAW)
-        l1 = integ.integrate(empty_c, empty_l, hot=[])
-        return l1 if n == 1 else integ.risk_matrix(l1)
-    return spark.read.parquet(layout.level(n))
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(layout.level(n))
