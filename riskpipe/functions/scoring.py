@@ -104,7 +104,12 @@ def hash_bucket10(key, mode: str = "portable") -> Column:
 
 def state_from_hash(key, mode: str = "portable") -> Column:
     """m<=2 Colorado, m<=4 Utah, m<=6 Wyoming, else Other States (NULL m → Other)."""
-    m = hash_bucket10(key, mode)
+    return state_from_bucket(hash_bucket10(key, mode))
+
+
+def state_from_bucket(m) -> Column:
+    """D1 on an already computed ``MOD(HASH(key), 10)`` column."""
+    m = _c(m)
     return (F.when(m <= 2, "Colorado")
             .when(m <= 4, "Utah")
             .when(m <= 6, "Wyoming")

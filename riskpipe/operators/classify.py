@@ -41,21 +41,29 @@ NAME_RULES = [
     (r"(^|_)state($|_)", "US_STATE_OR_PROVINCE", "QUASI_IDENTIFIER"),
     (r"(amount|premium|deductable|deductible|salary|income)", "FINANCIAL_AMOUNT", "SENSITIVE"),
 ]
-# fixed values: value rules (regex on trimmed text → semantic, privacy)
+# fixed values: US state names (value rule by set membership)
+US_STATES = ["Alabama", "Alaska", "Arizona", "Arkansas", "California", "Colorado", "Connecticut", "Delaware",
+             "Florida", "Georgia", "Hawaii", "Idaho", "Illinois", "Indiana", "Iowa", "Kansas", "Kentucky",
+             "Louisiana", "Maine", "Maryland", "Massachusetts", "Michigan", "Minnesota", "Mississippi",
+             "Missouri", "Montana", "Nebraska", "Nevada", "New Hampshire", "New Jersey", "New Mexico",
+             "New York", "North Carolina", "North Dakota", "Ohio", "Oklahoma", "Oregon", "Pennsylvania",
+             "Rhode Island", "South Carolina", "South Dakota", "Tennessee", "Texas", "Utah", "Vermont",
+             "Virginia", "Washington", "West Virginia", "Wisconsin", "Wyoming"]
+# fixed values: value rules (regex, or a set of values, on trimmed text → semantic, privacy)
 VALUE_RULES = [
     (r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$", "EMAIL", "IDENTIFIER"),
     (r"^\+?[0-9][0-9 ().-]{8,}[0-9]$", "PHONE_NUMBER", "IDENTIFIER"),
     (r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", "NATIONAL_IDENTIFIER", "IDENTIFIER"),
-    (r"^(Alabama|Alaska|Arizona|Arkansas|California|Colorado|Connecticut|Delaware|Florida|Georgia|Hawaii"
-     r"|Idaho|Illinois|Indiana|Iowa|Kansas|Kentucky|Louisiana|Maine|Maryland|Massachusetts|Michigan"
-     r"|Minnesota|Mississippi|Missouri|Montana|Nebraska|Nevada|New Hampshire|New Jersey|New Mexico"
-     r"|New York|North Carolina|North Dakota|Ohio|Oklahoma|Oregon|Pennsylvania|Rhode Island"
-     r"|South Carolina|South Dakota|Tennessee|Texas|Utah|Vermont|Virginia|Washington|West Virginia"
-     r"|Wisconsin|Wyoming)$", "US_STATE_OR_PROVINCE", "QUASI_IDENTIFIER"),
-    (r"^(M|F|Male|Female|MALE|FEMALE)$", "GENDER", "QUASI_IDENTIFIER"),
+    (US_STATES, "US_STATE_OR_PROVINCE", "QUASI_IDENTIFIER"),
+    (["M", "F", "Male", "Female", "MALE", "FEMALE"], "GENDER", "QUASI_IDENTIFIER"),
 ]
 
 
+def _matches(text: Column, rule) -> Column:
+    """Set rules are a hash lookup; regex rules use ``rlike``."""
+    return text.isin(*rule) if isinstance(rule, list) else text.rlike(rule)
+
+
 def _profile_aggs(df: DataFrame) -> list[Column]:
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, f in enumerate(df.schema.fields):
@@ -67,7 +75,7 @@ def _profile_aggs(df: DataFrame) -> list[Column]:
             aggs.append(F.approx_count_distinct(c, 0.05).alias(f"d{i}"))
         for j, (rx, _, _) in enumerate(VALUE_RULES):
             if isinstance(f.dataType, T.StringType):
-                aggs.append(F.count_if(F.trim(c).rlike(rx)).alias(f"v{i}_{j}"))
+                aggs.append(F.count_if(_matches(F.trim(c), rx)).alias(f"v{i}_{j}"))
             else:
                 aggs.append(F.lit(0).cast("long").alias(f"v{i}_{j}"))
     return aggs

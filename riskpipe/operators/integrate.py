@@ -153,13 +153,15 @@ def integrate(customers: DataFrame, claims: DataFrame, *, state_mode: str = "por
     if hot is None:
         hot = detect_hot_keys(claims, cfg=skew or SkewConfig())
     j = left_join_claims(customers, claims, hot)
+    # the hash remainder is computed once in its own projection, not once per CASE branch
+    j = j.withColumn("_m", scoring.hash_bucket10(F.col("policy_number"), state_mode))
     return j.select(
         *CUSTOMER_PART,
         *CLAIM_PART,
         F.when(F.col("_cl_key").isNotNull(), 1).otherwise(0).alias("has_claim"),
         F.coalesce(F.col("claim_amount"), F.lit(0)).cast(AMOUNT).alias("claim_amount_filled"),
         F.coalesce(F.col("fraud_reported"), F.lit(False)).alias("fraud_reported_filled"),
-        scoring.state_from_hash(F.col("policy_number"), state_mode).alias("customer_state"),
+        scoring.state_from_bucket(F.col("_m")).alias("customer_state"),
         F.greatest(F.col("_c_load"), F.coalesce(F.col("_cl_load"), F.col("_c_load"))).alias("last_updated"),
     )
 
