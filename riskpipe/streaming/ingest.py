@@ -65,7 +65,13 @@ class Layout:
 
 
 def _overwrite_partitions(df: DataFrame, path: str, *cols: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Dynamic partition overwrite of ``cols`` partitions.
+
+    The REBALANCE hint clusters rows by the partition columns before the write,
+    so each partition folder gets about one file instead of one per input task,
+    and AQE splits a skewed partition (a hot bucket) over several tasks/files.
+    """
+    (df.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*cols).parquet(path))
 
 
