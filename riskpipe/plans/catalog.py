@@ -58,10 +58,17 @@ _HOT: dict[tuple, list] = {}
 _PLANS: dict[tuple, DataFrame] = {}
 
 
+def _session_key(spark: SparkSession):
+    try:
+        return (id(spark.sparkContext), spark.sparkContext.applicationId)
+    except Exception:  # sessions without a local SparkContext
+        return (id(spark),)
+
+
 def _memo(spark: SparkSession, sf_dir: str, what: str, build) -> DataFrame:
     """Plan definitions (not data) are built once per session and input folder, like
     view definitions; every execution still scans the parquet files."""
-    key = (id(spark.sparkContext), spark.sparkContext.applicationId, sf_dir, what)
+    key = (_session_key(spark), sf_dir, what)
     if key not in _PLANS:
         _PLANS[key] = build()
     return _PLANS[key]
@@ -75,7 +82,7 @@ def raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def hot_keys(spark: SparkSession, sf_dir: str, claims: DataFrame) -> list:
-    key = (id(spark.sparkContext), spark.sparkContext.applicationId, sf_dir)
+    key = (_session_key(spark), sf_dir)
     if key not in _HOT:
         _HOT[key] = integ.detect_hot_keys(claims)
     return _HOT[key]

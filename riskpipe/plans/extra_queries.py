@@ -362,3 +362,37 @@ def q_classify_columns(spark, sf_dir):
 def q_column_tags(spark, sf_dir):
     """Tag references written by auto-tagging for the risk matrix."""
     return K.tags(K.classify(level2(spark, sf_dir), "risk_score_matrix"), "risk_score_matrix")
+
+
+# ---------------------------------------------------------------------------
+# S13 batch materialisation, T4 lag, F12/F13 display
+
+from riskpipe.plans import reports as RP  # noqa: E402
+from riskpipe.plans.catalog import _L2_SQL_COLS, hot_keys  # noqa: E402
+
+
+@register("l2_materialized", O.with_ctes(*O.BASE_L2) + f"SELECT {_L2_SQL_COLS} FROM l2")
+def q_l2_materialized(spark, sf_dir):
+    """Levels 1 and 2 written as bucket-partitioned parquet tables, level 2 read back."""
+    cust, claims = raw(spark, sf_dir)
+    layout = I.Layout(scratch_path(spark, "materialized"))
+    R.materialize_levels(spark, cust, claims, layout, buckets=REFRESH_BUCKETS,
+                         hot=hot_keys(spark, sf_dir, claims))
+    return comparable(R.level(spark, layout, 2).drop("bucket"))
+
+
+@register("refresh_lag")
+def q_refresh_lag(spark, sf_dir):
+    """T4: newest last_updated of the risk matrix and the lag behind the wall clock."""
+    return comparable(RP.refresh_lag(level2(spark, sf_dir)))
+
+
+@register("risk_overview_display", O.with_ctes(*O.BASE_L2) + """
+SELECT format('{:,}', COUNT(*)) AS total_customers,
+       '$' || format('{:,.0f}', ROUND(AVG(claim_amount_filled), 0)) AS avg_claim_amount,
+       format('{:,.1f}', ROUND(AVG(total_risk_score), 1)) AS avg_risk_score,
+       strftime(MAX(last_updated), '%H:%M:%S') AS last_refresh_time
+FROM l2""")
+def q_risk_overview_display(spark, sf_dir):
+    """the overview formatted for display."""
+    return RP.display_overview(level2(spark, sf_dir))

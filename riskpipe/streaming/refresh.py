@@ -100,3 +100,16 @@ def level(spark: SparkSession, layout: Layout, n: int) -> DataFrame:
     if not _exists(spark, layout.level(n)):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(layout.level(n))
+
+
+def materialize_levels(spark: SparkSession, customers: DataFrame, claims: DataFrame, layout: Layout, *,
+                       buckets: int = DEFAULT_BUCKETS, state_mode: str = "portable",
+                       hot: list | None = None) -> None:
+    """S13 batch form: full recompute of level 1 and level 2, written partitioned by
+    key bucket (overwrite).  Level 2 is derived from the written level 1."""
+    l1 = (integ.integrate(customers, claims, state_mode=state_mode, hot=hot)
+          .withColumn("bucket", key_bucket(F.col("policy_number"), buckets)))
+    l1.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(layout.level(1))
+    l1_new = spark.read.schema(l1.schema).parquet(layout.level(1))
+    l2 = integ.risk_matrix(l1_new).withColumn("bucket", key_bucket(F.col("policy_number"), buckets))
+    l2.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(layout.level(2))
