@@ -59,26 +59,31 @@ VALUE_RULES = [
 ]
 
 
-def _matches(text: Column, rule) -> Column:
-    """Set rules are a hash lookup; regex rules use ``rlike``."""
-    return text.isin(*rule) if isinstance(rule, list) else text.rlike(rule)
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _match_sql(text: str, rule) -> str:
+    """Set rules are a hash lookup (IN); regex rules use RLIKE."""
+    if isinstance(rule, list):
+        return f"{text} IN ({', '.join(_sql_str(v) for v in rule)})"
+    return f"{text} RLIKE {_sql_str(rule)}"
 
 
 def _profile_aggs(df: DataFrame) -> list[Column]:
-    aggs = [F.count(F.lit(1)).alias("__rows")]
+    """All per-column profile aggregates as SQL expressions (one parse each, one pass)."""
+    exprs = ["count(1) AS __rows"]
     for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
-        aggs.append(F.count(c).alias(f"n{i}"))
-        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            aggs.append(F.lit(None).cast("long").alias(f"d{i}"))
-        else:
-            aggs.append(F.approx_count_distinct(c, 0.05).alias(f"d{i}"))
-        for j, (rx, _, _) in enumerate(VALUE_RULES):
+        c = "`" + f.name.replace("`", "``") + "`"
+        exprs.append(f"count({c}) AS n{i}")
+        nested = isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
+        exprs.append(f"CAST(NULL AS BIGINT) AS d{i}" if nested else f"approx_count_distinct({c}, 0.05) AS d{i}")
+        for j, (rule, _, _) in enumerate(VALUE_RULES):
             if isinstance(f.dataType, T.StringType):
-                aggs.append(F.count_if(_matches(F.trim(c), rx)).alias(f"v{i}_{j}"))
+                exprs.append(f"count_if({_match_sql(f'trim({c})', rule)}) AS v{i}_{j}")
             else:
-                aggs.append(F.lit(0).cast("long").alias(f"v{i}_{j}"))
-    return aggs
+                exprs.append(f"CAST(0 AS BIGINT) AS v{i}_{j}")
+    return [F.expr(e) for e in exprs]
 
 
 def profile(df: DataFrame) -> DataFrame:
