@@ -179,3 +179,12 @@ def risk_matrix(integrated: DataFrame) -> DataFrame:
                     "last_updated")
             .withColumn("risk_level", scoring.risk_level(F.col("total_risk_score")))
             .select(*LEVEL2_COLUMNS))
+
+
+def orphan_claims(customers: DataFrame, claims: DataFrame) -> DataFrame:
+    """Claims whose policy has no customer row (dropped by the level-1 left join).
+
+    A left anti join: the claims side is the one AQE may split when a key is hot,
+    and only the distinct customer keys are shuffled from the other side."""
+    keys = customers.select(F.col("policy_number").alias("_c_key")).where(F.col("_c_key").isNotNull()).distinct()
+    return claims.join(keys, claims["policy_number"] == keys["_c_key"], "left_anti")

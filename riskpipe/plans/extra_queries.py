@@ -396,3 +396,15 @@ FROM l2""")
 def q_risk_overview_display(spark, sf_dir):
     """the overview formatted for display."""
     return RP.display_overview(level2(spark, sf_dir))
+
+
+from riskpipe.operators import integrate as INTEG  # noqa: E402
+
+
+@register("orphan_claims", O.with_ctes(O.CUSTOMER_RAW, O.CLAIMS_RAW) + f"""
+SELECT {_sql_cols(CLAIM_DATA_COLS)} FROM claims_raw cl
+WHERE NOT EXISTS (SELECT 1 FROM customer_raw c WHERE c.policy_number = cl.policy_number)""")
+def q_orphan_claims(spark, sf_dir):
+    """Claims without a customer (left anti join; ours, for operations)."""
+    cust, claims = raw(spark, sf_dir)
+    return comparable(INTEG.orphan_claims(cust, claims).select(*CLAIM_DATA_COLS))

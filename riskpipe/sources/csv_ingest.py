@@ -324,3 +324,14 @@ def write_named_csv(df: DataFrame, directory: str, prefix: str, *, partitions: i
         names.append(dst.toString())
     fs.delete(src, True)
     return names
+
+
+INITIAL_PATTERNS = {"claims": CLAIMS_INITIAL_PATTERN, "customers": CUSTOMER_INITIAL_PATTERN}
+
+
+def load_initial(spark: SparkSession, stage: str, feed: str, target: str, **kw) -> LoadResult:
+    """S7 + S4: the exact initial file of a feed (batch files excluded), loaded strictly."""
+    files = list_files(spark, stage, INITIAL_PATTERNS[feed])
+    if not files:
+        raise FileNotFoundError(f"no initial {feed} file under {stage}")
+    return load_batch(spark, files, feed, target, on_error="abort", **kw)

@@ -117,3 +117,11 @@ def test_round_trip_from_tables(spark, scratch):
     back = load(spark, [f.replace("file:", "") for f in files]).select(*X.CLAIM_DATA_COLS)
     assert back.exceptAll(claims.select(*X.CLAIM_DATA_COLS)).count() == 0
     assert claims.select(*X.CLAIM_DATA_COLS).exceptAll(back).count() == 0
+
+
+def test_load_initial_picks_exact_file(spark, scratch):
+    write(f"{scratch}/stage/CLAIMS_DATA.csv", "\n".join([HEADER, ROW1]) + "\n")
+    write(f"{scratch}/stage/CLAIMS_DATA_BATCH2.csv", "\n".join([HEADER, ROW2]) + "\n")
+    res = C.load_initial(spark, f"file:{scratch}/stage", "claims", f"file:{scratch}/init")
+    assert res.files == 1 and res.rows_loaded == 1
+    assert [r.policy_number for r in spark.read.parquet(f"{scratch}/init").collect()] == ["100001"]

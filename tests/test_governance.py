@@ -108,3 +108,14 @@ def test_row_policy_pushed_below_join(spark):
     join_at = plan.find("Join LeftOuter")
     assert join_at >= 0
     assert "md5" in plan[join_at:]   # the hash-derived state predicate sits under the join
+
+
+def test_report_bundle_shares_one_cached_scan(spark, matrix):
+    bundle, release = R.report_bundle(G.governed(matrix.withColumn("age_risk_score", F.lit(5)), G.ADMIN))
+    try:
+        assert bundle.overview.first().total_customers == 40
+        assert sum(r.customer_count for r in bundle.by_state.collect()) == 40
+        assert {r.risk_level for r in bundle.by_risk_level.collect()} <= {"HIGH", "MEDIUM", "LOW"}
+        assert "InMemoryRelation" in bundle.by_age_category._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        release()
