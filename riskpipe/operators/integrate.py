@@ -17,8 +17,8 @@ therefore split hot keys explicitly:
 * customer rows of a hot key are replicated once per salt and inner-joined on
   ``(key, salt)`` — a hot key has claims, so for it the left join equals the
   inner join and no NULL-extended rows are lost or duplicated;
-* all other keys take the ordinary left join (sort-merge, or broadcast when
-  AQE measures the claims side small).
+* all other keys take the ordinary left join, always sort-merge: the claims
+  side has no size bound, so it is never broadcast.
 
 The hot-key list only changes the *plan*, never the result: a key missed by the
 sample is still joined exactly by the ordinary path.
@@ -98,10 +98,13 @@ def detect_hot_keys(claims: DataFrame, key: str = "policy_number",
 
 
 def _claims_side(claims: DataFrame) -> DataFrame:
+    # The claims side grows with the data and has no size bound, so it is never
+    # broadcast (not even when AQE measures it small at test scale): sort-merge
+    # join, which spills gracefully and keeps the 100 TB plan at every scale.
     return claims.select(
         F.col("policy_number").alias("_cl_key"),
         *CLAIM_PART,
-        F.col("load_timestamp").alias("_cl_load"))
+        F.col("load_timestamp").alias("_cl_load")).hint("shuffle_merge")
 
 
 def _customer_side(customers: DataFrame) -> DataFrame:
@@ -186,5 +189,6 @@ def orphan_claims(customers: DataFrame, claims: DataFrame) -> DataFrame:
 
     A left anti join: the claims side is the one AQE may split when a key is hot,
     and only the distinct customer keys are shuffled from the other side."""
-    keys = customers.select(F.col("policy_number").alias("_c_key")).where(F.col("_c_key").isNotNull()).distinct()
+    keys = (customers.select(F.col("policy_number").alias("_c_key")).where(F.col("_c_key").isNotNull())
+            .distinct().hint("shuffle_merge"))   # grows with the data: never broadcast
     return claims.join(keys, claims["policy_number"] == keys["_c_key"], "left_anti")
