@@ -14,7 +14,7 @@ anyone who can run SQL can set a variable.  Untrusted consumers receive
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession

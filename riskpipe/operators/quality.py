@@ -15,7 +15,6 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MetricExpr = Callable[..., Column]
 
@@ -107,10 +106,6 @@ def default_registry() -> MetricRegistry:
     return reg
 
 
-def _metric_key(spec: MetricSpec) -> str:
-    return spec.name
-
-
 def _stack(specs, prefix: str = "_m") -> Column:
     """stack(n, 'NAME1', _m0, 'NAME2', _m1, ...) as (metric_name, value)."""
     args = ", ".join(f"'{s.name}', {prefix}{i}" for i, s in enumerate(specs))

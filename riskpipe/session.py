@@ -42,6 +42,34 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def cluster_settings(input_bytes: int, *, executors: int = 1000, cores_per_executor: int = 4,
+                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Sizing for a large cluster run (e.g. 100 TB over 1000 executors).
+
+    * file splits of ``target_partition_bytes`` (a 100 TB scan → ~400k tasks,
+      ~100 waves over 4000 cores: every task fits in executor memory);
+    * initial shuffle partitions sized so that a full shuffle of the input
+      also lands near ``target_partition_bytes`` per partition (AQE then
+      coalesces small ones and splits skewed ones);
+    * skew thresholds relative to that size.
+    """
+    cores = executors * cores_per_executor
+    shuffle = max(cores * 2, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
+def apply_cluster_settings(spark: SparkSession, input_bytes: int, **kw) -> None:
+    for k, v in cluster_settings(input_bytes, **kw).items():
+        spark.conf.set(k, v)
+
+
 def apply_sql_conf(spark: SparkSession) -> None:
     for k, v in SQL_CONF.items():
         spark.conf.set(k, v)
