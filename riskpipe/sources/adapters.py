@@ -25,7 +25,7 @@ SEVERITIES = ["Trivial Damage", "Minor Damage", "Major Damage", "Total Loss"]
 AUTHORITIES = [None, "Police", "Ambulance", "Fire", "Other"]
 POLICE_REPORT = ["YES", "NO", "?"]
 
-CUSTOMER_LOAD_TS = _dt.datetime(1998, 1, 1, 0, 0, 0)
+CUSTOMER_LOAD_TS = "1998-01-01 00:00:00"   # a wall-clock literal: independent of any time zone
 POLICY_START_BASE = _dt.date(2010, 1, 1)
 
 
@@ -47,7 +47,7 @@ def customer_raw(customer: DataFrame) -> DataFrame:
         F.when(k % 2 == 0, "M").otherwise("F").alias("insured_sex"),
         _pick(EDUCATION_LEVELS, k % 7).alias("insured_education_level"),
         F.col("c_mktsegment").alias("insured_occupation"),
-        F.lit(CUSTOMER_LOAD_TS).cast("timestamp_ntz").alias("load_timestamp"),
+        F.lit(CUSTOMER_LOAD_TS).cast("timestamp_ntz").alias("load_timestamp"),   # string → NTZ
         F.lit(DEFAULT_FILE_NAME).alias("file_name"),
     )
 
