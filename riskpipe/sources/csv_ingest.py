@@ -216,28 +216,35 @@ class LoadResult:
     rows_rejected: int
 
 
-def _commit_staged(spark: SparkSession, staged: str, target: str) -> None:
-    """Move the data files of a finished staging write into ``target`` (rename only)."""
+def _commit_staged(spark: SparkSession, staged: str, target: str, load_id: str) -> str:
+    """Publish a finished staging write as partition ``load_id=<id>`` of ``target``
+    with one directory rename (no partially committed load is ever visible)."""
     src, fs = _jvm_path(spark, staged)
-    dst, _ = _jvm_path(spark, target)
-    if not fs.exists(dst):
-        fs.mkdirs(dst)
-    for st in fs.listStatus(src):
-        name = st.getPath().getName()
-        if name.startswith(("_", ".")):
-            continue
-        fs.rename(st.getPath(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst, name))
-    fs.delete(src, True)
+    dst_root, _ = _jvm_path(spark, target)
+    if not fs.exists(dst_root):
+        fs.mkdirs(dst_root)
+    jvm = spark.sparkContext._jvm
+    for st in fs.listStatus(src):          # drop writer markers before publishing
+        if st.getPath().getName().startswith(("_", ".")):
+            fs.delete(st.getPath(), True)
+    dst = jvm.org.apache.hadoop.fs.Path(dst_root, f"load_id={load_id}")
+    if fs.exists(dst):                     # a retried commit of the same load replaces it
+        fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise OSError(f"could not publish {staged} as {dst.toString()}")
+    return dst.toString()
 
 
 def load_batch(spark: SparkSession, paths: list[str], feed: str, target: str, *,
                on_error: str = "abort", quarantine: str | None = None, staging: str | None = None,
-               **read_kw) -> LoadResult:
+               load_id: str | None = None, **read_kw) -> LoadResult:
     """S4 (abort) / S5 semantics (continue) for a fixed list of files.
 
     abort:    one pass writes to a staging folder while an observation counts
               rejected rows; on any reject the staging folder is dropped and
-              ``LoadError`` raised, else its files are renamed into ``target``.
+              ``LoadError`` raised, else the folder is renamed to partition
+              ``load_id=<id>`` of ``target`` (one rename; re-running a load id
+              replaces it).
     continue: good rows append to ``target``, rejected rows to ``quarantine``;
               the parsed batch is persisted so the files are parsed once.
     """
@@ -261,22 +268,19 @@ def load_batch(spark: SparkSession, paths: list[str], feed: str, target: str, *,
                       .select("_source_file", "_rejected", "_raw_record").take(3))
             raise LoadError(f"{m['rejected']} of {m['rows']} rows did not convert; nothing loaded. "
                             f"First: {[tuple(r) for r in sample]}")
-        _commit_staged(spark, staged, target)
+        import uuid
+        _commit_staged(spark, staged, target, load_id or uuid.uuid4().hex[:16])
         return LoadResult(feed, len(paths), int(m["rows"]), 0)
     if on_error != "continue":
         raise ValueError(f"on_error must be 'abort' or 'continue', not {on_error!r}")
-    typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
+    typed = typed.persist(StorageLevel.MEMORY_AND_DISK)   # parsed once for both outputs
     try:
-        obs = Observation("good")
-        good_rows(typed, feed).observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(target)
-        n_bad = 0
+        good_rows(typed, feed).write.mode("append").parquet(target)
         if quarantine:
-            qobs = Observation("bad")
-            bad_rows(typed).observe(qobs, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(quarantine)
-            n_bad = int(qobs.get["n"])
-        else:
-            n_bad = typed.where(F.size("_rejected") > 0).count()
-        return LoadResult(feed, len(paths), int(obs.get["n"]), n_bad)
+            bad_rows(typed).write.mode("append").parquet(quarantine)
+        stats = typed.agg(F.count_if(F.size("_rejected") == 0).alias("good"),
+                          F.count_if(F.size("_rejected") > 0).alias("bad")).first()
+        return LoadResult(feed, len(paths), int(stats["good"] or 0), int(stats["bad"] or 0))
     finally:
         typed.unpersist()
 

@@ -89,6 +89,7 @@ def ingest_files(spark: SparkSession, paths: list[str], feed: str, layout: Layou
         _overwrite_partitions(good, layout.raw(feed), "bucket", "batch_id")
         bad = C.bad_rows(typed).withColumn("batch_id", F.lit(batch_id).cast("long"))
         _overwrite_partitions(bad, layout.quarantine(feed), "batch_id")
+        # counts from the persisted batch (an observation on an empty write is never reported)
         stats = typed.agg(F.count_if(F.size("_rejected") == 0).alias("good"),
                           F.count_if(F.size("_rejected") > 0).alias("bad")).first()
         touched = (typed.where(F.size("_rejected") == 0).select("bucket").distinct()

@@ -125,3 +125,10 @@ def test_load_initial_picks_exact_file(spark, scratch):
     res = C.load_initial(spark, f"file:{scratch}/stage", "claims", f"file:{scratch}/init")
     assert res.files == 1 and res.rows_loaded == 1
     assert [r.policy_number for r in spark.read.parquet(f"{scratch}/init").collect()] == ["100001"]
+
+
+def test_lenient_load_without_rejects(spark, scratch):
+    good = write(f"{scratch}/in/CLAIMS_DATA_ok.csv", "\n".join([HEADER, ROW1, ROW2]) + "\n")
+    res = C.load_batch(spark, [f"file:{good}"], "claims", f"file:{scratch}/t", on_error="continue",
+                       quarantine=f"file:{scratch}/q")
+    assert (res.rows_loaded, res.rows_rejected) == (2, 0)
