@@ -408,3 +408,24 @@ def q_orphan_claims(spark, sf_dir):
     """Claims without a customer (left anti join; ours, for operations)."""
     cust, claims = raw(spark, sf_dir)
     return comparable(INTEG.orphan_claims(cust, claims).select(*CLAIM_DATA_COLS))
+
+
+from riskpipe.streaming import monitor as MON  # noqa: E402
+
+
+@register("stream_quality_monitor", O.with_ctes(O.CUSTOMER_RAW, O.CLAIMS_RAW)
+          + "SELECT table_name, metric_name, value FROM (\n" + _metrics_sql("claims_raw")
+          + "\nUNION ALL\n" + _metrics_sql("customer_raw") + "\n) r")
+def q_stream_quality_monitor(spark, sf_dir):
+    """Q8 cadence: both feeds stream in from derived drops, the monitor measures once
+    new data arrived; the latest measurement per metric is returned."""
+    cust, claims = raw(spark, sf_dir)
+    root = scratch_path(spark, "stream_monitor")
+    layout = I.Layout(root)
+    landing = f"{root}/landing"
+    write_drop(_claims_text(claims, False), landing, "CLAIMS_DATA", CLAIM_DATA_COLS, "incident_hour_of_the_day")
+    write_drop(cust.select(*CUSTOMER_DATA_COLS), landing, "CUSTOMER_DATA", CUSTOMER_DATA_COLS, "age")
+    for feed in ("claims", "customers"):
+        _run(I.start_ingest(spark, landing, feed, layout, buckets=REFRESH_BUCKETS))
+    _run(MON.start_quality_monitor(spark, layout, f"{root}/quality", available_now=True))
+    return MON.latest_results(spark, f"{root}/quality").select("table_name", "metric_name", "value")

@@ -83,3 +83,19 @@ def test_replayed_batch_replaces_itself(spark, scratch):
     assert spark.read.parquet(layout.raw("claims")).count() == 1
     assert spark.read.parquet(layout.quarantine("claims")).count() == 1
     assert C.list_files(spark, layout.raw("claims"))
+
+
+def test_quality_monitor_measures_on_arrival(spark, scratch):
+    from riskpipe.streaming import monitor as M
+    landing = f"{scratch}/landing"
+    layout = I.Layout(f"file:{scratch}/tables")
+    drop(f"{landing}/CLAIMS_DATA_1.csv", L_HEADER, ["p1,50,false", "p1,1000,true", ",7,false"])
+    run(I.start_ingest(spark, landing, "claims", layout, buckets=4))
+    results = f"file:{scratch}/quality"
+    run(M.start_quality_monitor(spark, layout, results, available_now=True))
+    got = {(r.table_name, r.metric_name): r.value for r in M.latest_results(spark, results).collect()}
+    assert got == {("claims_raw", "INVALID_CLAIM_AMOUNT_COUNT"): 2, ("claims_raw", "NULL_COUNT"): 1,
+                   ("claims_raw", "DUPLICATE_COUNT"): 1}
+    # no new data: the next run measures nothing new
+    run(M.start_quality_monitor(spark, layout, results, available_now=True))
+    assert spark.read.parquet(results).count() == 3
