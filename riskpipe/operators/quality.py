@@ -138,6 +138,8 @@ def results(df_by_table: dict[str, DataFrame], registry: MetricRegistry, *,
         if not specs:
             continue
         parts.append(run_metrics(df, specs, table))
+    if not parts:
+        raise ValueError("no registered metric applies to the given tables")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

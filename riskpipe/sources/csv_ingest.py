@@ -249,14 +249,17 @@ def load_batch(spark: SparkSession, paths: list[str], feed: str, target: str, *,
               the parsed batch is persisted so the files are parsed once.
     """
     from pyspark.sql import Observation
-    from riskpipe.session import scratch_path
 
     schema = S.DATA_SCHEMAS[feed]
     limits = S.VARCHAR_LIMITS.get(feed)
     typed = read_csv_by_name(spark, paths, schema, varchar_limits=limits, **read_kw)
     if on_error == "abort":
+        import uuid
+        load_id = load_id or uuid.uuid4().hex[:16]
         obs = Observation("load")
-        staged = staging or scratch_path(spark, "staging")
+        # staged inside the target folder: the publishing rename never crosses file systems,
+        # and readers skip '_'-prefixed folders
+        staged = staging or f"{target.rstrip('/')}/_staging_{load_id}"
         (typed.observe(obs, F.count(F.lit(1)).alias("rows"),
                        F.count_if(F.size("_rejected") > 0).alias("rejected"))
          .select(*RAW_COLUMNS[feed]).write.mode("overwrite").parquet(staged))
@@ -268,8 +271,7 @@ def load_batch(spark: SparkSession, paths: list[str], feed: str, target: str, *,
                       .select("_source_file", "_rejected", "_raw_record").take(3))
             raise LoadError(f"{m['rejected']} of {m['rows']} rows did not convert; nothing loaded. "
                             f"First: {[tuple(r) for r in sample]}")
-        import uuid
-        _commit_staged(spark, staged, target, load_id or uuid.uuid4().hex[:16])
+        _commit_staged(spark, staged, target, load_id)
         return LoadResult(feed, len(paths), int(m["rows"]), 0)
     if on_error != "continue":
         raise ValueError(f"on_error must be 'abort' or 'continue', not {on_error!r}")

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskpipe.operators import quality as Q
 from riskpipe.streaming.ingest import Layout
-from riskpipe.streaming.refresh import CHANGES_SCHEMA, _exists
+from riskpipe.streaming.refresh import CHANGES_SCHEMA, _exists, ensure_dir
 
 
 def measure(spark: SparkSession, layout: Layout, registry: Q.MetricRegistry, results_path: str) -> int:
@@ -34,6 +34,7 @@ def start_quality_monitor(spark: SparkSession, layout: Layout, results_path: str
                           registry: Q.MetricRegistry | None = None, every: str = "5 minutes",
                           available_now: bool = False) -> StreamingQuery:
     reg = registry or Q.default_registry()
+    ensure_dir(spark, layout.changes())
     changes = spark.readStream.schema(CHANGES_SCHEMA).parquet(layout.changes()).select("feed")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:

@@ -32,6 +32,15 @@ from riskpipe.streaming.ingest import DEFAULT_BUCKETS, Layout, _overwrite_partit
 CHANGES_SCHEMA = "bucket int, feed string, batch_id long"
 
 
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create ``path`` if missing, so a stream can start before the first file arrives."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        fs.mkdirs(p)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -78,6 +87,7 @@ def start_refresh(spark: SparkSession, layout: Layout, *, buckets: int = DEFAULT
                   query_name: str | None = None) -> StreamingQuery:
     """Keep levels 1 and 2 fresh; ``trigger`` e.g. ``{"processingTime": "1 minute"}``
     (the target lag) or the default ``availableNow``."""
+    ensure_dir(spark, layout.changes())
     changes = spark.readStream.schema(CHANGES_SCHEMA).parquet(layout.changes()).select("bucket")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:

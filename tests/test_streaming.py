@@ -99,3 +99,9 @@ def test_quality_monitor_measures_on_arrival(spark, scratch):
     # no new data: the next run measures nothing new
     run(M.start_quality_monitor(spark, layout, results, available_now=True))
     assert spark.read.parquet(results).count() == 3
+
+
+def test_refresh_starts_before_any_ingest(spark, scratch):
+    layout = I.Layout(f"file:{scratch}/empty")
+    run(R.start_refresh(spark, layout, buckets=4))
+    assert R.level(spark, layout, 2).count() == 0
