@@ -28,6 +28,7 @@ def invalid_range_count(lo, hi) -> MetricExpr:
     def expr(col: str) -> Column:
         c = F.col(col)
         return F.count_if(c.isNotNull() & ((c < lo) | (c > hi)))
+    expr.additive = True   # a count: per-partition values sum to the total
     return expr
 
 

@@ -86,6 +86,7 @@ def test_replayed_batch_replaces_itself(spark, scratch):
 
 
 def test_quality_monitor_measures_on_arrival(spark, scratch):
+    from riskpipe.operators import quality as Q
     from riskpipe.streaming import monitor as M
     landing = f"{scratch}/landing"
     layout = I.Layout(f"file:{scratch}/tables")
@@ -99,6 +100,15 @@ def test_quality_monitor_measures_on_arrival(spark, scratch):
     # no new data: the next run measures nothing new
     run(M.start_quality_monitor(spark, layout, results, available_now=True))
     assert spark.read.parquet(results).count() == 3
+    # a second arrival (a duplicate of p1, a new key, another NULL key) updates only its buckets
+    drop(f"{landing}/CLAIMS_DATA_2.csv", L_HEADER, ["p1,600000,false", "p9,200,false", ",8,true"])
+    run(I.start_ingest(spark, landing, "claims", layout, buckets=4))
+    run(M.start_quality_monitor(spark, layout, results, available_now=True))
+    got = {(r.table_name, r.metric_name): r.value for r in M.latest_results(spark, results).collect()}
+    full = {(r.table_name, r.metric_name): r.value for r in
+            Q.run_metrics(spark.read.parquet(layout.raw("claims")), Q.CLAIMS_SPECS, "claims_raw").collect()}
+    assert got == full == {("claims_raw", "INVALID_CLAIM_AMOUNT_COUNT"): 4, ("claims_raw", "NULL_COUNT"): 2,
+                           ("claims_raw", "DUPLICATE_COUNT"): 3}
 
 
 def test_refresh_starts_before_any_ingest(spark, scratch):
