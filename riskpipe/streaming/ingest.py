@@ -64,14 +64,20 @@ class Layout:
         return f"{self.root}/_checkpoints/{name}"
 
 
-def _overwrite_partitions(df: DataFrame, path: str, *cols: str) -> None:
+def _overwrite_partitions(df: DataFrame, path: str, *cols: str, sort_by: tuple[str, ...] = ()) -> None:
     """Dynamic partition overwrite of ``cols`` partitions.
 
     The REBALANCE hint clusters rows by the partition columns before the write,
     so each partition folder gets about one file instead of one per input task,
     and AQE splits a skewed partition (a hot bucket) over several tasks/files.
+    ``sort_by`` orders rows inside each file (after the partition columns, which
+    the writer needs first anyway), so parquet min/max statistics can skip row
+    groups for filters on those columns.
     """
-    (df.hint("rebalance", *cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out = df.hint("rebalance", *cols)
+    if sort_by:
+        out = out.sortWithinPartitions(*cols, *sort_by)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*cols).parquet(path))
 
 
