@@ -14,11 +14,11 @@ therefore split hot keys explicitly:
   and holds only ``(key, n_salts)`` pairs, never rows;
 * claims of a hot key are spread over ``n_salts`` sub-keys with a deterministic
   content hash (a recomputed task after executor loss assigns the same salt);
-* customer rows of a hot key are replicated once per salt and inner-joined on
-  ``(key, salt)`` — a hot key has claims, so for it the left join equals the
-  inner join and no NULL-extended rows are lost or duplicated;
-* all other keys take the ordinary left join, always sort-merge: the claims
-  side has no size bound, so it is never broadcast.
+* customer rows of a hot key are replicated once per salt and joined on
+  ``(key, salt)``; cold keys join on ``(key, 0)``, so one sort-merge join (one
+  scan and one shuffle per side) serves both.  A hot key has claims, so for it
+  the left join equals the inner join: replicas that drew no claim are dropped;
+* the claims side has no size bound, so it is never broadcast.
 
 The hot-key list only changes the *plan*, never the result: a key missed by the
 sample is still joined exactly by the ordinary path.
@@ -98,13 +98,10 @@ def detect_hot_keys(claims: DataFrame, key: str = "policy_number",
 
 
 def _claims_side(claims: DataFrame) -> DataFrame:
-    # The claims side grows with the data and has no size bound, so it is never
-    # broadcast (not even when AQE measures it small at test scale): sort-merge
-    # join, which spills gracefully and keeps the 100 TB plan at every scale.
     return claims.select(
         F.col("policy_number").alias("_cl_key"),
         *CLAIM_PART,
-        F.col("load_timestamp").alias("_cl_load")).hint("shuffle_merge")
+        F.col("load_timestamp").alias("_cl_load"))
 
 
 def _customer_side(customers: DataFrame) -> DataFrame:
@@ -117,34 +114,43 @@ def _salt(n_salts_col) -> F.Column:
     return F.pmod(h, n_salts_col.cast("long")).cast("int")
 
 
+# The claims side grows with the data and has no size bound, so the main join is
+# always a sort-merge join (hint placed right before it): it is never broadcast,
+# not even when AQE measures it small at test scale, and it spills gracefully.
+UNBOUNDED = "shuffle_merge"
+
+
 def left_join_claims(customers: DataFrame, claims: DataFrame,
                      hot: list[tuple[str, int]] | None = None) -> DataFrame:
-    """customers ⟕ claims on policy_number, hot keys split over salted sub-keys."""
+    """customers ⟕ claims on policy_number; hot keys split over salted sub-keys.
+
+    With hot keys there is still one scan and one shuffle per side: the join key
+    becomes ``(policy_number, salt)``; cold keys use salt 0, a hot key's claims
+    get a content-hash salt in ``[0, n)`` and its customer rows are replicated
+    once per salt.  Each claim meets exactly one replica; the NULL-extended rows
+    of replicas that drew no claim are dropped, which is exact because a hot key
+    has claims (its left-join result never contains a NULL-extended row).
+    """
     cust = _customer_side(customers)
     cl = _claims_side(claims)
     if not hot:
-        return cust.join(cl, cust["policy_number"] == cl["_cl_key"], "left")
+        return cust.join(cl.hint(UNBOUNDED), cust["policy_number"] == cl["_cl_key"], "left")
 
     spark = customers.sparkSession
     # bounded by SkewConfig.max_hot_keys rows: safe to broadcast
     hot_df = F.broadcast(spark.createDataFrame(hot, HOT_KEY_SCHEMA))
-    cust_t = cust.join(hot_df, cust["policy_number"] == hot_df["_hot_key"], "left").drop("_hot_key")
-    cl_t = cl.join(hot_df, cl["_cl_key"] == hot_df["_hot_key"], "left").drop("_hot_key")
-
-    cold = (cust_t.where(F.col("_n_salts").isNull()).drop("_n_salts")
-            .join(cl_t.where(F.col("_n_salts").isNull()).drop("_n_salts"),
-                  F.col("policy_number") == F.col("_cl_key"), "left"))
-
-    cust_hot = (cust_t.where(F.col("_n_salts").isNotNull())
-                .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_n_salts") - 1)))
-                .drop("_n_salts"))
-    cl_hot = (cl_t.where(F.col("_n_salts").isNotNull())
-              .withColumn("_salt", _salt(F.col("_n_salts")))
-              .drop("_n_salts"))
-    hot_join = (cust_hot.join(cl_hot, (cust_hot["policy_number"] == cl_hot["_cl_key"])
-                              & (cust_hot["_salt"] == cl_hot["_salt"]), "inner")
-                .drop(cust_hot["_salt"]).drop(cl_hot["_salt"]))
-    return cold.unionByName(hot_join)
+    n = F.col("_n_salts")
+    cust_t = (cust.join(hot_df, cust["policy_number"] == hot_df["_hot_key"], "left").drop("_hot_key")
+              .withColumn("_salt", F.explode(F.when(n.isNull(), F.array(F.lit(0)))
+                                             .otherwise(F.sequence(F.lit(0), n - 1)))))
+    hot_c = hot_df.withColumnRenamed("_n_salts", "_cl_n_salts")
+    cl_t = (cl.join(hot_c, cl["_cl_key"] == hot_c["_hot_key"], "left").drop("_hot_key")
+            .withColumn("_cl_salt", F.when(F.col("_cl_n_salts").isNull(), F.lit(0))
+                        .otherwise(_salt(F.col("_cl_n_salts"))))
+            .drop("_cl_n_salts"))
+    j = cust_t.join(cl_t.hint(UNBOUNDED), (cust_t["policy_number"] == cl_t["_cl_key"])
+                    & (cust_t["_salt"] == cl_t["_cl_salt"]), "left")
+    return j.where(n.isNull() | F.col("_cl_key").isNotNull()).drop("_n_salts", "_salt", "_cl_salt")
 
 
 def integrate(customers: DataFrame, claims: DataFrame, *, state_mode: str = "portable",
