@@ -80,7 +80,14 @@ def detect_hot_keys(claims: DataFrame, key: str = "policy_number",
     if cfg.mode == "off":
         return []
     if cfg.mode == "given":
-        return [(str(k), int(n)) for k, n in cfg.hot_keys if int(n) > 1]
+        # salting drops the NULL-extended rows of a hot key's replicas, which is exact only
+        # for keys that have claims: keep the given keys that occur in ``claims``
+        given = {str(k): int(n) for k, n in cfg.hot_keys if int(n) > 1}
+        if not given:
+            return []
+        present = {r["k"] for r in claims.select(F.col(key).alias("k"))
+                   .where(F.col("k").isin(*given)).distinct().collect()}   # ≤ len(given) keys
+        return [(k, n) for k, n in given.items() if k in present]
     f = cfg.sample_fraction
     keys = claims.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
     sampled = keys if f >= 1.0 else keys.sample(fraction=f, seed=cfg.seed)
@@ -124,6 +131,9 @@ def left_join_claims(customers: DataFrame, claims: DataFrame,
                      hot: list[tuple[str, int]] | None = None) -> DataFrame:
     """customers ⟕ claims on policy_number; hot keys split over salted sub-keys.
 
+    ``hot`` must come from ``detect_hot_keys`` over the same claims (every hot key
+    has at least one claim).
+
     With hot keys there is still one scan and one shuffle per side: the join key
     becomes ``(policy_number, salt)``; cold keys use salt 0, a hot key's claims
     get a content-hash salt in ``[0, n)`` and its customer rows are replicated

@@ -93,3 +93,13 @@ def test_auto_salting_on_adapter_data_matches_plain(spark):
     plain = I.integrate(cust, claims, hot=[]).select(*I.LEVEL1_COLUMNS)
     assert salted.count() == plain.count()
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_given_hot_key_without_claims_is_ignored(spark):
+    cust = customers(spark, [("a", 30), ("nohit", 40)])
+    cl = claims(spark, [("a", Decimal(i), False) for i in range(20)])
+    hot = I.detect_hot_keys(cl, cfg=I.SkewConfig(mode="given", hot_keys=(("a", 4), ("nohit", 4))))
+    assert hot == [("a", 4)]
+    out = I.integrate(cust, cl, hot=hot)
+    assert out.where("policy_number = 'nohit' AND has_claim = 0").count() == 1
+    assert out.where("policy_number = 'a'").count() == 20
