@@ -115,3 +115,15 @@ def test_refresh_starts_before_any_ingest(spark, scratch):
     layout = I.Layout(f"file:{scratch}/empty")
     run(R.start_refresh(spark, layout, buckets=4))
     assert R.level(spark, layout, 2).count() == 0
+
+
+def test_cli_report_over_materialized_levels(spark, scratch, capsys):
+    from riskpipe.__main__ import main
+    from riskpipe.plans import catalog
+    cust, claims = catalog.raw(spark, "/root/testdata/sf0.001")
+    layout = I.Layout(f"file:{scratch}/levels")
+    R.materialize_levels(spark, cust, claims, layout, buckets=4, hot=[])
+    assert R.level(spark, layout, 2).drop("bucket").exceptAll(catalog.level2(spark, "/root/testdata/sf0.001")).count() == 0
+    main(["report", "--root", layout.root, "--report", "by_state", "--role", "PIPELINE_ANALYST"])
+    out = capsys.readouterr().out
+    assert "Colorado" in out and "Other States" not in out
