@@ -36,3 +36,22 @@ def test_binding_by_name(spark, scratch, order, keep, upper, extra):
     assert list(r._rejected) == []
     for c in COLS:
         assert r[c] == (TYPED[c] if c in cols else None), c
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(-5, 130)),
+                               st.one_of(st.none(), st.decimals(min_value=0, max_value=99999999, places=2,
+                                                                allow_nan=False, allow_infinity=False)),
+                               st.one_of(st.none(), st.booleans())), min_size=50, max_size=200))
+def test_score_properties(spark, rows):
+    """score ∈ [5, 115]; fraud ⇒ score ≥ 55 ⇒ never LOW; HIGH ⇒ fraud; factors match the rules."""
+    from pyspark.sql import functions as F
+
+    from riskpipe.functions import scoring as SC
+    df = spark.createDataFrame(rows, "age int, amount decimal(10,2), fraud boolean")
+    t = SC.total_risk_score("age", "amount", "fraud")
+    fraud = F.coalesce(F.col("fraud"), F.lit(False))
+    bad = df.where(~t.between(5, 115) | (fraud & (t < 55)) | (fraud & (SC.risk_level(t) == "LOW"))
+                   | ((SC.risk_level(t) == "HIGH") & ~fraud)
+                   | (F.array_contains(SC.risk_factors("age", "amount", "fraud"), "Fraud History") != fraud))
+    assert bad.count() == 0
