@@ -13,8 +13,8 @@ data touched:
 * per trigger: touched buckets of each feed (from the ingest ``changes`` log,
   at most buckets + 1 ids) → one grouped aggregate over just those bucket
   partitions → dynamic overwrite of those partial rows → the totals are a sum
-  over the partial table (one row per bucket and metric) → appended to the
-  results history.
+  over the partial table (one row per bucket and metric) → written as the
+  batch's own partition of the results history (a replayed batch replaces it).
 
 A metric that is not additive over key buckets (a user metric, or a duplicate
 count on another column) makes the monitor fall back to a full measurement.
@@ -85,7 +85,14 @@ def totals(spark: SparkSession, layout: Layout, measured_at=None, *, database: s
                     F.lit(schema).alias("table_schema"), "table_name", "metric_name", "value"))
 
 
-def measure_full(spark: SparkSession, layout: Layout, registry: Q.MetricRegistry, results_path: str) -> None:
+def _publish(res: DataFrame, results_path: str, batch_id: int) -> None:
+    """Results of one monitor batch; a replayed batch replaces its own rows (idempotent)."""
+    _overwrite_partitions(res.withColumn("monitor_batch", F.lit(batch_id).cast("long")),
+                          results_path, "monitor_batch")
+
+
+def measure_full(spark: SparkSession, layout: Layout, registry: Q.MetricRegistry, results_path: str,
+                 batch_id: int = 0) -> None:
     """Fallback: one full measurement of every registered raw table."""
     tables = {}
     for feed, table in FEED_TABLES.items():
@@ -93,7 +100,7 @@ def measure_full(spark: SparkSession, layout: Layout, registry: Q.MetricRegistry
         if raw is not None and registry.for_table(table):
             tables[table] = raw
     if tables:
-        Q.append_results(Q.results(tables, registry), results_path)
+        _publish(Q.results(tables, registry), results_path, batch_id)
 
 
 def start_quality_monitor(spark: SparkSession, layout: Layout, results_path: str, *,
@@ -111,13 +118,13 @@ def start_quality_monitor(spark: SparkSession, layout: Layout, results_path: str
             return
         session = batch.sparkSession
         if not incremental:
-            measure_full(session, layout, reg, results_path)
+            measure_full(session, layout, reg, results_path, batch_id)
             return
         touched: dict[str, list[int]] = {}
         for r in pairs:
             touched.setdefault(r["feed"], []).append(int(r["bucket"]))
         update_partials(session, layout, reg, touched)
-        Q.append_results(totals(session, layout), results_path)
+        _publish(totals(session, layout), results_path, batch_id)
 
     w = (changes.writeStream.foreachBatch(run_batch)
          .option("checkpointLocation", layout.checkpoint("quality_monitor")))

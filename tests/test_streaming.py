@@ -127,3 +127,17 @@ def test_cli_report_over_materialized_levels(spark, scratch, capsys):
     main(["report", "--root", layout.root, "--report", "by_state", "--role", "PIPELINE_ANALYST"])
     out = capsys.readouterr().out
     assert "Colorado" in out and "Other States" not in out
+
+
+def test_monitor_batch_replay_is_idempotent(spark, scratch):
+    from riskpipe.operators import quality as Q
+    from riskpipe.streaming import monitor as M
+    landing = f"{scratch}/landing"
+    layout = I.Layout(f"file:{scratch}/tables")
+    drop(f"{landing}/CLAIMS_DATA_1.csv", L_HEADER, ["p1,50,false", "p2,1000,true"])
+    run(I.start_ingest(spark, landing, "claims", layout, buckets=4))
+    results = f"file:{scratch}/quality"
+    M.update_partials(spark, layout, Q.default_registry(), {"claims": [0, 1, 2, 3]})
+    for _ in range(2):     # the same monitor batch twice (a replay after a failure)
+        M._publish(M.totals(spark, layout), results, batch_id=7)
+    assert spark.read.parquet(results).count() == 3
