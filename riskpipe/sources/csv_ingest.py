@@ -245,8 +245,10 @@ def load_batch(spark: SparkSession, paths: list[str], feed: str, target: str, *,
               ``LoadError`` raised, else the folder is renamed to partition
               ``load_id=<id>`` of ``target`` (one rename; re-running a load id
               replaces it).
-    continue: good rows append to ``target``, rejected rows to ``quarantine``;
-              the parsed batch is persisted so the files are parsed once.
+    continue: good rows go to partition ``load_id=<id>`` of ``target``, rejected
+              rows to the same partition of ``quarantine`` (dynamic overwrite:
+              re-running a load id replaces it); the parsed batch is persisted
+              so the files are parsed once.
     """
     from pyspark.sql import Observation
 
@@ -277,9 +279,17 @@ def load_batch(spark: SparkSession, paths: list[str], feed: str, target: str, *,
         raise ValueError(f"on_error must be 'abort' or 'continue', not {on_error!r}")
     typed = typed.persist(StorageLevel.MEMORY_AND_DISK)   # parsed once for both outputs
     try:
-        good_rows(typed, feed).write.mode("append").parquet(target)
+        import uuid
+        load_id = load_id or uuid.uuid4().hex[:16]
+
+        def publish(df: DataFrame, path: str) -> None:
+            # partition load_id=<id>: re-running the same load replaces its rows
+            (df.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(path))
+
+        publish(good_rows(typed, feed), target)
         if quarantine:
-            bad_rows(typed).write.mode("append").parquet(quarantine)
+            publish(bad_rows(typed), quarantine)
         stats = typed.agg(F.count_if(F.size("_rejected") == 0).alias("good"),
                           F.count_if(F.size("_rejected") > 0).alias("bad")).first()
         return LoadResult(feed, len(paths), int(stats["good"] or 0), int(stats["bad"] or 0))

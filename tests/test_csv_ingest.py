@@ -132,3 +132,12 @@ def test_lenient_load_without_rejects(spark, scratch):
     res = C.load_batch(spark, [f"file:{good}"], "claims", f"file:{scratch}/t", on_error="continue",
                        quarantine=f"file:{scratch}/q")
     assert (res.rows_loaded, res.rows_rejected) == (2, 0)
+
+
+def test_lenient_load_rerun_is_idempotent(spark, scratch):
+    f = write(f"{scratch}/in/CLAIMS_DATA_r.csv", "\n".join([HEADER, ROW1, ROW1.replace("45320", "abc")]) + "\n")
+    for _ in range(2):
+        C.load_batch(spark, [f"file:{f}"], "claims", f"file:{scratch}/t", on_error="continue",
+                     quarantine=f"file:{scratch}/q", load_id="L1")
+    assert spark.read.parquet(f"{scratch}/t").count() == 1
+    assert spark.read.parquet(f"{scratch}/q").count() == 1
