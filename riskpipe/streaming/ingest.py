@@ -155,3 +155,51 @@ def pipe_status(query: StreamingQuery) -> dict:
 
 def glob_matches(path: str, glob: str) -> bool:
     return fnmatch.fnmatch(path.rsplit("/", 1)[-1], glob)
+
+
+COMPACTED_BATCH = -1   # batch id of a bucket's compacted data
+
+
+def compact_raw(spark: SparkSession, layout: Layout, feed: str, buckets: list[int] | None = None) -> int:
+    """Rewrite each bucket's per-batch raw files as one ``batch_id=-1`` partition.
+
+    Maintenance, run with the ingest/refresh streams stopped.  The rows are
+    unchanged, so refreshed levels and metric partials stay valid.  The new files
+    are written to a staging folder first (one rebalanced pass, AQE splits a hot
+    bucket); then, per bucket, the old batch folders are removed and the staged
+    folder is renamed into place.  Returns the number of buckets compacted.
+    """
+    import uuid
+    from pyspark.sql import types as T
+
+    raw_path = layout.raw(feed)
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(raw_path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    schema = T.StructType(S.RAW_SCHEMAS[feed].fields + [T.StructField("bucket", T.IntegerType()),
+                                                        T.StructField("batch_id", T.LongType())])
+    df = spark.read.schema(schema).parquet(raw_path)
+    if buckets is not None:
+        df = df.where(F.col("bucket").isin(buckets))
+    staging = f"{raw_path}/_compact_{uuid.uuid4().hex[:12]}"
+    (df.withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("long"))
+     .hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket", "batch_id").parquet(staging))
+    done = 0
+    stage_root = jvm.org.apache.hadoop.fs.Path(staging)
+    for st in fs.listStatus(stage_root):
+        name = st.getPath().getName()
+        if not name.startswith("bucket="):
+            continue
+        target = jvm.org.apache.hadoop.fs.Path(root, name)
+        if fs.exists(target):
+            for old in fs.listStatus(target):          # the per-batch folders being replaced
+                fs.delete(old.getPath(), True)
+        else:
+            fs.mkdirs(target)
+        src = jvm.org.apache.hadoop.fs.Path(st.getPath(), f"batch_id={COMPACTED_BATCH}")
+        fs.rename(src, jvm.org.apache.hadoop.fs.Path(target, f"batch_id={COMPACTED_BATCH}"))
+        done += 1
+    fs.delete(stage_root, True)
+    return done

@@ -141,3 +141,19 @@ def test_monitor_batch_replay_is_idempotent(spark, scratch):
     for _ in range(2):     # the same monitor batch twice (a replay after a failure)
         M._publish(M.totals(spark, layout), results, batch_id=7)
     assert spark.read.parquet(results).count() == 3
+
+
+def test_compact_raw_keeps_rows_and_merges_files(spark, scratch):
+    landing = f"{scratch}/landing"
+    layout = I.Layout(f"file:{scratch}/tables")
+    for i in range(3):
+        drop(f"{landing}/CLAIMS_DATA_{i}.csv", L_HEADER, [f"p{j},{100 + i},false" for j in range(6)] + [",5,true"])
+        run(I.start_ingest(spark, landing, "claims", layout, buckets=4))
+    rows = lambda: sorted((tuple(r) for r in spark.read.parquet(layout.raw("claims"))
+                           .drop("batch_id", "load_timestamp").collect()), key=repr)
+    before = rows()
+    n_files = lambda: sum(1 for _, _, fs_ in os.walk(layout.raw("claims").replace("file:", ""))
+                          for f in fs_ if f.endswith(".parquet"))
+    assert n_files() > 5
+    assert I.compact_raw(spark, layout, "claims") == 5   # buckets 0-3 and the NULL bucket -1
+    assert before == rows() and n_files() == 5
