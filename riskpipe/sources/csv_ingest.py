@@ -4,7 +4,7 @@ Spark's CSV reader binds an explicit schema by *position*, and one read of
 several files with different header orders silently mis-binds.  So:
 
 1. the header line of each file is read through the Hadoop FileSystem API on
-   the driver (a few bytes per file, no Spark job, no rows);
+   the driver (a few bytes per file, concurrently, no Spark job, no rows);
 2. files are grouped by header; each group is parsed once, all fields as
    strings, in that group's own column order;
 3. each group is projected *by lower-cased name* onto the target schema
@@ -92,6 +92,17 @@ def read_header(spark: SparkSession, path: str, sep: str = ",") -> tuple[str, ..
     return tuple(h.strip().strip('"').lower() for h in line.split(sep))
 
 
+def read_headers(spark: SparkSession, paths: list[str], sep: str = ",",
+                 threads: int = 32) -> dict[str, tuple[str, ...]]:
+    """Header line of every path, fetched concurrently (each is one small read; on an
+    object store the latency, not the bytes, dominates)."""
+    if len(paths) <= 1:
+        return {p: read_header(spark, p, sep) for p in paths}
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(threads, len(paths))) as pool:
+        return dict(zip(paths, pool.map(lambda p: read_header(spark, p, sep), paths)))
+
+
 # ---------------------------------------------------------------------------
 # typed conversion
 
@@ -160,8 +171,9 @@ def read_csv_by_name(spark: SparkSession, paths: list[str], schema: T.StructType
     opts.update(options or {})
     opts["quote"] = quote if quote else "\u0000"   # no enclosure character unless asked
     groups: dict[tuple[str, ...], list[str]] = {}
+    headers = read_headers(spark, list(paths), opts["sep"])
     for p in paths:
-        groups.setdefault(read_header(spark, p, opts["sep"]), []).append(p)
+        groups.setdefault(headers[p], []).append(p)
     wanted = {f.name for f in schema.fields}
     parts = []
     for header, files in groups.items():
