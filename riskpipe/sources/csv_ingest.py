@@ -264,6 +264,10 @@ def load_batch(spark: SparkSession, paths: list[str], feed: str, target: str, *,
     """
     from pyspark.sql import Observation
 
+    if on_error not in ("abort", "continue"):
+        raise ValueError(f"on_error must be 'abort' or 'continue', not {on_error!r}")
+    if not paths:   # nothing to load (and no empty plan whose observation would never report)
+        return LoadResult(feed, 0, 0, 0)
     schema = S.DATA_SCHEMAS[feed]
     limits = S.VARCHAR_LIMITS.get(feed)
     typed = read_csv_by_name(spark, paths, schema, varchar_limits=limits, **read_kw)
@@ -287,8 +291,6 @@ def load_batch(spark: SparkSession, paths: list[str], feed: str, target: str, *,
                             f"First: {[tuple(r) for r in sample]}")
         _commit_staged(spark, staged, target, load_id)
         return LoadResult(feed, len(paths), int(m["rows"]), 0)
-    if on_error != "continue":
-        raise ValueError(f"on_error must be 'abort' or 'continue', not {on_error!r}")
     typed = typed.persist(StorageLevel.MEMORY_AND_DISK)   # parsed once for both outputs
     try:
         import uuid

@@ -141,3 +141,10 @@ def test_lenient_load_rerun_is_idempotent(spark, scratch):
                      quarantine=f"file:{scratch}/q", load_id="L1")
     assert spark.read.parquet(f"{scratch}/t").count() == 1
     assert spark.read.parquet(f"{scratch}/q").count() == 1
+
+
+def test_load_without_files(spark, scratch):
+    for mode in ("abort", "continue"):
+        assert C.load_batch(spark, [], "claims", f"file:{scratch}/t", on_error=mode).files == 0
+    with pytest.raises(ValueError):
+        C.load_batch(spark, [], "claims", f"file:{scratch}/t", on_error="skip")
