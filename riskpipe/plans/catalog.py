@@ -328,7 +328,8 @@ def q_role_summary(spark, sf_dir):
 @register("governed_sample", O.with_ctes(*O.BASE_L2, O.broker("analyst")) + """
 SELECT policy_number, age_category, customer_state, risk_level,
        CAST(claim_amount_filled AS DOUBLE) AS claim_amount_filled, total_risk_score
-FROM bv ORDER BY policy_number, claim_amount_filled, total_risk_score LIMIT 10""")
+FROM bv ORDER BY policy_number NULLS LAST, claim_amount_filled NULLS LAST, total_risk_score NULLS LAST
+LIMIT 10""")
 def q_governed_sample(spark, sf_dir):
     return comparable(reports.sample(gov.broker_view(level2(spark, sf_dir), gov.ANALYST)))
 

@@ -109,7 +109,8 @@ def sample(view: DataFrame, n: int = 10) -> DataFrame:
     the plan is a per-partition top-n plus a merge (no full sort)."""
     return (view.select("policy_number", "age_category", "customer_state", "risk_level",
                         "claim_amount_filled", "total_risk_score")
-            .orderBy("policy_number", "claim_amount_filled", "total_risk_score")
+            .orderBy(F.asc_nulls_last("policy_number"), F.asc_nulls_last("claim_amount_filled"),
+                     F.asc_nulls_last("total_risk_score"))
             .limit(n))
 
 
