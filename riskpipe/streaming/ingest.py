@@ -60,6 +60,9 @@ class Layout:
     def level(self, n: int) -> str:
         return f"{self.root}/level{n}"
 
+    def refresh_log(self) -> str:
+        return f"{self.root}/refresh_log"
+
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/_checkpoints/{name}"
 

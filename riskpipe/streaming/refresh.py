@@ -94,7 +94,12 @@ def start_refresh(spark: SparkSession, layout: Layout, *, buckets: int = DEFAULT
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         touched = sorted(r["bucket"] for r in batch.distinct().collect())   # ≤ buckets + 1 ints
-        refresh_buckets(batch.sparkSession, layout, touched, buckets=buckets, state_mode=state_mode)
+        session = batch.sparkSession
+        refresh_buckets(session, layout, touched, buckets=buckets, state_mode=state_mode)
+        # one row per refresh batch (idempotent): what was refreshed and when
+        log = session.createDataFrame([(int(batch_id), len(touched))], "batch_id long, buckets int") \
+            .withColumn("refreshed_at", F.current_timestamp().cast("timestamp_ntz"))
+        _overwrite_partitions(log, layout.refresh_log(), "batch_id")
 
     w = (changes.writeStream.foreachBatch(run_batch)
          .option("checkpointLocation", layout.checkpoint("refresh")))
@@ -103,6 +108,24 @@ def start_refresh(spark: SparkSession, layout: Layout, *, buckets: int = DEFAULT
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def freshness(spark: SparkSession, layout: Layout, target_lag_seconds: int = 60) -> DataFrame:
+    """T3 contract check: per feed, the newest ingest vs the newest refresh.
+
+    ``lag_seconds`` is how long the newest ingested batch waited for (or has been
+    waiting for) a refresh; ``within_target`` compares it with the target lag."""
+    ingest = spark.read.parquet(layout.ingest_log()).groupBy("feed").agg(F.max("loaded_at").alias("last_ingest"))
+    last = None
+    if _exists(spark, layout.refresh_log()):   # one aggregate value
+        last = spark.read.parquet(layout.refresh_log()).agg(F.max("refreshed_at")).first()[0]
+    last_refresh = F.lit(last).cast("timestamp_ntz")
+    now = F.current_timestamp().cast("timestamp_ntz")
+    lag = F.when(last_refresh >= F.col("last_ingest"),
+                 F.unix_timestamp(last_refresh) - F.unix_timestamp("last_ingest")) \
+        .otherwise(F.unix_timestamp(now) - F.unix_timestamp("last_ingest"))
+    return ingest.select("feed", "last_ingest", last_refresh.alias("last_refresh"),
+                         lag.cast("bigint").alias("lag_seconds"), (lag <= target_lag_seconds).alias("within_target"))
+
+
 def level(spark: SparkSession, layout: Layout, n: int) -> DataFrame:
     """Level ``n`` as written by the refresh (empty, with its schema, before the first refresh)."""
     from riskpipe.sources import schemas as S

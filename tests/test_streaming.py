@@ -157,3 +157,15 @@ def test_compact_raw_keeps_rows_and_merges_files(spark, scratch):
     assert n_files() > 5
     assert I.compact_raw(spark, layout, "claims") == 5   # buckets 0-3 and the NULL bucket -1
     assert before == rows() and n_files() == 5
+
+
+def test_freshness_contract(spark, scratch):
+    landing = f"{scratch}/landing"
+    layout = I.Layout(f"file:{scratch}/tables")
+    drop(f"{landing}/CLAIMS_DATA_1.csv", L_HEADER, ["p1,50,false"])
+    run(I.start_ingest(spark, landing, "claims", layout, buckets=4))
+    before = R.freshness(spark, layout, target_lag_seconds=3600).first()
+    assert before.last_refresh is None and before.within_target       # waiting, but within an hour
+    run(R.start_refresh(spark, layout, buckets=4))
+    after = R.freshness(spark, layout, target_lag_seconds=60).first()
+    assert after.last_refresh >= after.last_ingest and after.within_target and after.lag_seconds >= 0
