@@ -162,23 +162,29 @@ def set_context_variables(spark: SparkSession, ctx: AccessContext) -> None:
     spark.sql(f"SET VAR riskpipe_role = {lit(ctx.role)}, riskpipe_account = {lit(ctx.account)}")
 
 
-def register_governed_view(spark: SparkSession, matrix: DataFrame, name: str = "broker_risk_view") -> None:
-    """A temp view whose mask and row policy follow the session variables at query time."""
+def register_governed_view(spark: SparkSession, matrix: DataFrame, name: str = "broker_risk_view", *,
+                           columns: list[str] | None = None, require_state: bool = True) -> None:
+    """A temp view whose mask and row policy follow the session variables at query time.
+
+    Defaults give the broker view (G9: 10 columns, state not NULL); ``columns=None,
+    require_state=False`` gives the governed table itself (every reader of the
+    name is governed, G6)."""
     src = f"_{name}_src"
     matrix.createOrReplaceTempView(src)
     admin = ", ".join(f"'{r}'" for r in ADMIN_ROLES)
     analyst = ", ".join(f"'{r}'" for r in ANALYST_ROLES)
     states = ", ".join(f"'{s}'" for s in BROKER_STATES)
     broker = (f"(riskpipe_role IN ({analyst}) OR riskpipe_account LIKE '%{CONSUMER_ACCOUNT_MARK}%')")
+    wanted = BROKER_VIEW_COLUMNS if require_state and columns is None else (columns or matrix.columns)
     cols = ", ".join(
         f"CASE WHEN riskpipe_role IN ({admin}) THEN claim_amount_filled "
         f"ELSE CAST(FLOOR(claim_amount_filled / {MASK_STEP}) * {MASK_STEP} AS DECIMAL(10,2)) END "
         f"AS claim_amount_filled" if c == "claim_amount_filled" else c
-        for c in BROKER_VIEW_COLUMNS)
+        for c in wanted)
+    state_filter = "customer_state IS NOT NULL AND " if require_state else ""
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY VIEW {name} AS
         SELECT {cols} FROM {src}
-        WHERE customer_state IS NOT NULL
-          AND COALESCE(CASE WHEN riskpipe_role IN ({admin}) THEN TRUE
-                            WHEN {broker} THEN customer_state IN ({states})
-                            ELSE FALSE END, FALSE)""")
+        WHERE {state_filter}COALESCE(CASE WHEN riskpipe_role IN ({admin}) THEN TRUE
+                                          WHEN {broker} THEN customer_state IN ({states})
+                                          ELSE FALSE END, FALSE)""")
