@@ -1,6 +1,7 @@
 """Scoring rules as ``Column`` expressions.
 
-Every rule is a ``CASE`` chain of built-in expressions, so it stays inside
+Every rule is a searched ``CASE`` chain (P6: first match wins, a NULL comparison
+never matches) of built-in expressions (P8 null tests, F10 arithmetic), so it stays inside
 whole-stage codegen; no Python runs on executors.  Each factory takes columns
 (or column names) and returns a column, so the same rule serves the batch
 tables, streaming refresh and ad-hoc SQL (``register_sql_functions``).
@@ -82,7 +83,7 @@ def risk_factors(age, amount, fraud) -> Column:
         F.when(a < 25, F.lit("Young Driver")),
         F.when(a > 65, F.lit("Senior Driver")),
         F.when(m > CLAIM_HIGH, F.lit("High Claim Amount")),
-        F.when(f == F.lit(True), F.lit("Fraud History")),
+        F.when(f == F.lit(True), F.lit("Fraud History")),   # P13
     ))
 
 

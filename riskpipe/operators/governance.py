@@ -36,7 +36,7 @@ BROKER_VIEW_COLUMNS = ["policy_number", "age_category", "insured_occupation", "p
 
 @dataclass(frozen=True)
 class AccessContext:
-    """Who is asking: the current role and account name (either may be None)."""
+    """Who is asking (F9: the current role and account name; either may be None)."""
     role: str | None = None
     account: str | None = None
 
@@ -46,7 +46,7 @@ class AccessContext:
 
     @property
     def is_broker(self) -> bool:
-        # LIKE '%CONSUMER%' is case-sensitive
+        # LIKE '%CONSUMER%' is case-sensitive
         return (self.role in ANALYST_ROLES
                 or (self.account is not None and CONSUMER_ACCOUNT_MARK in self.account))
 
@@ -58,7 +58,7 @@ OTHER = AccessContext("PUBLIC", "MAIN")
 
 
 def floor_mask(value: Column, step: int = MASK_STEP) -> Column:
-    """``FLOOR(v / step) * step`` in the column's own decimal type; NULL stays NULL."""
+    """``FLOOR(v / step) * step`` in the column's own decimal type; NULL stays NULL."""
     return (F.floor(value / F.lit(step)) * F.lit(step)).cast(AMOUNT)
 
 
@@ -72,7 +72,7 @@ def broker_access(state: Column, ctx: AccessContext) -> Column:
     if ctx.is_admin:
         return F.lit(True)
     if ctx.is_broker:
-        return state.isin(*BROKER_STATES)
+        return state.isin(*BROKER_STATES)        # P10
     return F.lit(False)
 
 
@@ -111,7 +111,11 @@ RISK_MATRIX_POLICIES = PolicySet(
 
 
 def governed(df: DataFrame, ctx: AccessContext, policies: PolicySet = RISK_MATRIX_POLICIES) -> DataFrame:
-    """Apply row policies (filter first, on true values) then column masks."""
+    """Apply row policies (filter first, on true values) then column masks.
+
+    G7: apply to the scored level-2 table, never to level 1 — scores and risk
+    factors are computed from true amounts; the mask acts on what readers see.
+    All other columns pass through unchanged (P2 ``SELECT *``)."""
     out = df
     for rp in policies.rows:
         out = out.where(rp.fn(F.col(rp.column), ctx))

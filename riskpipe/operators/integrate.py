@@ -129,7 +129,7 @@ UNBOUNDED = "shuffle_merge"
 
 def left_join_claims(customers: DataFrame, claims: DataFrame,
                      hot: list[tuple[str, int]] | None = None) -> DataFrame:
-    """customers ⟕ claims on policy_number; hot keys split over salted sub-keys.
+    """Customers ⟕ claims on policy_number; hot keys split over salted sub-keys.
 
     ``hot`` must come from ``detect_hot_keys`` over the same claims (every hot key
     has at least one claim).
@@ -172,16 +172,16 @@ def integrate(customers: DataFrame, claims: DataFrame, *, state_mode: str = "por
     if hot is None:
         hot = detect_hot_keys(claims, cfg=skew or SkewConfig())
     j = left_join_claims(customers, claims, hot)
-    # the hash remainder is computed once in its own projection, not once per CASE branch
+    # the hash remainder is computed once in its own projection, not once per CASE branch
     j = j.withColumn("_m", scoring.hash_bucket10(F.col("policy_number"), state_mode))
-    return j.select(
+    return j.select(                                                       # P1 projection
         *CUSTOMER_PART,
         *CLAIM_PART,
-        F.when(F.col("_cl_key").isNotNull(), 1).otherwise(0).alias("has_claim"),
-        F.coalesce(F.col("claim_amount"), F.lit(0)).cast(AMOUNT).alias("claim_amount_filled"),
-        F.coalesce(F.col("fraud_reported"), F.lit(False)).alias("fraud_reported_filled"),
-        scoring.state_from_bucket(F.col("_m")).alias("customer_state"),
-        F.greatest(F.col("_c_load"), F.coalesce(F.col("_cl_load"), F.col("_c_load"))).alias("last_updated"),
+        F.when(F.col("_cl_key").isNotNull(), 1).otherwise(0).alias("has_claim"),                 # P4
+        F.coalesce(F.col("claim_amount"), F.lit(0)).cast(AMOUNT).alias("claim_amount_filled"),  # P5/F1
+        F.coalesce(F.col("fraud_reported"), F.lit(False)).alias("fraud_reported_filled"),       # P5/F1
+        scoring.state_from_bucket(F.col("_m")).alias("customer_state"),                          # D1/P6
+        F.greatest(F.col("_c_load"), F.coalesce(F.col("_cl_load"), F.col("_c_load"))).alias("last_updated"),  # F2
     )
 
 

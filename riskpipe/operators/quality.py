@@ -49,7 +49,7 @@ def row_count() -> Column:
 
 @dataclass(frozen=True)
 class MetricSpec:
-    """One attachment: ``expr(*columns)`` measured on ``table``."""
+    """One attachment (U5: a table-argument metric function): ``expr(*columns)`` measured on ``table``."""
     name: str
     table: str
     columns: tuple[str, ...]
@@ -228,7 +228,7 @@ def alerts(res: DataFrame, thresholds=None) -> DataFrame:
 
 
 def load_validation(df: DataFrame, label: str = "INITIAL LOAD STATUS", count_name: str = "total_rows") -> DataFrame:
-    """Q12: label, row count, distinct policies, first and last load time (one pass)."""
+    """Q12: label (P3 constant), row count (A1), distinct policies (A2), first/last load (A3); one pass."""
     return df.agg(
         F.lit(label).alias("check_type"),
         F.count(F.lit(1)).cast("bigint").alias(count_name),

@@ -3,7 +3,7 @@
 Each report is one aggregate plan: partial aggregation on every map task, a
 shuffle of at most (groups × tasks) rows, and a final aggregation.  Group keys
 are low-cardinality labels (levels, categories, states), so a hot group costs
-nothing extra.  Reports return ``DataFrame``s; collecting is the caller's job.
+nothing extra.  Reports return ``DataFrame``s (S15); collecting is the caller's job.
 """
 
 from __future__ import annotations
@@ -17,10 +17,12 @@ from riskpipe.operators import governance as gov
 
 
 def _count_level(level: str) -> Column:
+    """A4: COUNT(CASE WHEN risk_level = level THEN 1 END)."""
     return F.count(F.when(F.col("risk_level") == level, 1))
 
 
 def _ravg(c: str, k: int) -> Column:
+    """ROUND(AVG(c), k), half away from zero."""
     return F.round(F.avg(F.col(c)), k).cast("double")
 
 
@@ -41,7 +43,7 @@ def _order_small(df: DataFrame, *cols) -> DataFrame:
 
 
 def overview(matrix: DataFrame) -> DataFrame:
-    """Row count, per-level counts, average score and claim, last refresh."""
+    """Row count (A1), per-level counts, average score and claim, last refresh (A3)."""
     return matrix.agg(
         F.count(F.lit(1)).cast("bigint").alias("total_customers"),
         _count_level("HIGH").cast("bigint").alias("high_risk_count"),
@@ -54,7 +56,7 @@ def overview(matrix: DataFrame) -> DataFrame:
 
 
 def by_age_category(matrix: DataFrame) -> DataFrame:
-    """R2: per age category; sorted by average total score (category breaks ties)."""
+    """R2: per age category (A7); sorted by average total score, descending (O1; category breaks ties)."""
     return (matrix.groupBy("age_category")
             .agg(F.count(F.lit(1)).cast("bigint").alias("customer_count"),
                  _ravg("age_risk_score", 1).alias("avg_age_risk_score"),
@@ -94,7 +96,7 @@ def high_risk_share(matrix: DataFrame) -> DataFrame:
 
 
 def role_summary(view: DataFrame, role_name: str | None) -> DataFrame:
-    """What the current role sees in the broker view."""
+    """What the current role sees in the broker view (A2: distinct states)."""
     return view.agg(
         F.lit(role_name).cast("string").alias("role_name"),
         F.count(F.lit(1)).cast("bigint").alias("visible_records"),
@@ -105,7 +107,7 @@ def role_summary(view: DataFrame, role_name: str | None) -> DataFrame:
 
 
 def sample(view: DataFrame, n: int = 10) -> DataFrame:
-    """Six columns, ``n`` rows.  Ordered first so the rows are reproducible;
+    """Six columns, ``n`` rows (O3).  Ordered first so the rows are reproducible;
     the plan is a per-partition top-n plus a merge (no full sort)."""
     return (view.select("policy_number", "age_category", "customer_state", "risk_level",
                         "claim_amount_filled", "total_risk_score")

@@ -84,6 +84,7 @@ def claims_raw(orders: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A parquet table scan (columns and filters are pruned by the plans that use it)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -196,7 +196,7 @@ def read_csv_by_name(spark: SparkSession, paths: list[str], schema: T.StructType
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    lt = load_time if load_time is not None else F.current_timestamp().cast("timestamp_ntz")
+    lt = load_time if load_time is not None else F.current_timestamp().cast("timestamp_ntz")   # F8
     if file_name_mode == "source":
         fname = F.element_at(F.split(F.col("_source_file"), "/"), -1)
     else:
