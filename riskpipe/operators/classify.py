@@ -63,11 +63,22 @@ def _sql_str(v: str) -> str:
     return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _match_sql(text: str, rule) -> str:
-    """Set rules are a hash lookup (IN); regex rules use RLIKE."""
+# Necessary conditions checked before each regex (AND short-circuits, so most
+# values never reach the regex engine; the match result is unchanged).
+REGEX_GUARDS = {
+    "EMAIL": "instr({x}, '@') > 0",
+    "PHONE_NUMBER": "length({x}) BETWEEN 10 AND 25",
+    "NATIONAL_IDENTIFIER": "length({x}) = 11",
+}
+
+
+def _match_sql(text: str, rule, semantic: str | None = None) -> str:
+    """Set rules are a hash lookup (IN); regex rules use RLIKE behind a cheap guard."""
     if isinstance(rule, list):
         return f"{text} IN ({', '.join(_sql_str(v) for v in rule)})"
-    return f"{text} RLIKE {_sql_str(rule)}"
+    guard = REGEX_GUARDS.get(semantic)
+    match = f"{text} RLIKE {_sql_str(rule)}"
+    return f"({guard.format(x=text)} AND {match})" if guard else match
 
 
 def _profile_aggs(df: DataFrame) -> list[Column]:
@@ -78,9 +89,9 @@ def _profile_aggs(df: DataFrame) -> list[Column]:
         exprs.append(f"count({c}) AS n{i}")
         nested = isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
         exprs.append(f"CAST(NULL AS BIGINT) AS d{i}" if nested else f"approx_count_distinct({c}, 0.05) AS d{i}")
-        for j, (rule, _, _) in enumerate(VALUE_RULES):
+        for j, (rule, semantic, _) in enumerate(VALUE_RULES):
             if isinstance(f.dataType, T.StringType):
-                exprs.append(f"count_if({_match_sql(f'trim({c})', rule)}) AS v{i}_{j}")
+                exprs.append(f"count_if({_match_sql(f'trim({c})', rule, semantic)}) AS v{i}_{j}")
             else:
                 exprs.append(f"CAST(0 AS BIGINT) AS v{i}_{j}")
     return [F.expr(e) for e in exprs]
