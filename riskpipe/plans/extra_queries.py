@@ -421,3 +421,22 @@ def q_stream_quality_monitor(spark, sf_dir):
         _run(I.start_ingest(spark, landing, feed, layout, buckets=REFRESH_BUCKETS))
     _run(MON.start_quality_monitor(spark, layout, f"{root}/quality", available_now=True))
     return MON.latest_results(spark, f"{root}/quality").select("table_name", "metric_name", "value")
+
+
+@register("risk_overview_policies", O.with_ctes(*O.BASE_L2) + """
+SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, CAST(COUNT(DISTINCT policy_number) AS BIGINT) AS distinct_policies,
+       CAST(COUNT(CASE WHEN risk_level = 'HIGH' THEN 1 END) AS BIGINT) AS high_risk_count
+FROM l2""")
+def q_risk_overview_policies(spark, sf_dir):
+    """R1 variant: rows (one per claim) next to distinct policies."""
+    return RP.overview_with_policies(level2(spark, sf_dir))
+
+
+@register("customer_state_signed")
+def q_customer_state_signed(spark, sf_dir):
+    """D1 with a signed 64-bit hash: reproduces the skew of a signed vendor hash
+    (negative remainders fall to the first state); rows-only, DuckDB has no xxhash64."""
+    from riskpipe.functions import scoring
+    cust, _ = raw(spark, sf_dir)
+    return (cust.select(scoring.state_from_hash("policy_number", mode="signed").alias("customer_state"))
+            .groupBy("customer_state").agg(F.count(F.lit(1)).cast("bigint").alias("customers")))
