@@ -198,3 +198,39 @@ def test_refresh_equals_recompute_for_any_arrival_order(spark, scratch, order):
                                               spark.read.parquet(layout.raw("claims")), hot=[])).drop("last_updated")
     assert got.count() == 4                      # p1 ×2 claims, p2 ×1, NULL-key customer ×1
     assert got.exceptAll(truth).count() == 0 and truth.exceptAll(got).count() == 0
+
+
+def test_all_streams_running_together(spark, scratch):
+    """The deployment shape: two ingest streams, the refresh and the monitor run at the
+    same time on processing-time triggers while files keep arriving."""
+    from riskpipe.streaming import monitor as M
+    landing = f"{scratch}/landing"
+    os.makedirs(landing)
+    layout = I.Layout(f"file:{scratch}/tables")
+    trig = {"processingTime": "1 second"}
+    queries = [I.start_ingest(spark, landing, feed, layout, trigger=trig, buckets=4) for feed in ("claims", "customers")]
+    queries.append(R.start_refresh(spark, layout, buckets=4, trigger=trig))
+    queries.append(M.start_quality_monitor(spark, layout, f"file:{scratch}/quality", every="1 second"))
+    try:
+        drop(f"{landing}/CLAIMS_DATA_1.csv", L_HEADER, ["p1,1000,false"])
+        time.sleep(3)
+        drop(f"{landing}/CUSTOMER_DATA_1.csv", C_HEADER, ["p1,30,2014-01-01 00:00:00.000,10,500,900,M,College,x",
+                                                           "p2,70,2014-01-01 00:00:00.000,10,500,900,F,PhD,y"])
+        time.sleep(3)
+        drop(f"{landing}/CLAIMS_DATA_2.csv", L_HEADER, ["p2,90000,true"])
+        deadline = time.time() + 90
+        want = [("p1", 1, "1000.00"), ("p2", 1, "90000.00")]
+        while time.time() < deadline:
+            for q in queries:
+                assert q.exception() is None, q.exception()
+            try:
+                done = state(spark, layout) == want and spark.read.parquet(f"{scratch}/quality").count() > 0
+            except Exception:   # a folder may be mid-write; try again
+                done = False
+            if done:
+                break
+            time.sleep(2)
+        assert state(spark, layout) == want
+    finally:
+        for q in queries:
+            q.stop()
