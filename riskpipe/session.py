@@ -28,8 +28,10 @@ SQL_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "riskpipe") -> SparkSession:
+                app_name: str = "riskpipe", extra_conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
