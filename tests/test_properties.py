@@ -55,3 +55,28 @@ def test_score_properties(spark, rows):
                    | ((SC.risk_level(t) == "HIGH") & ~fraud)
                    | (F.array_contains(SC.risk_factors("age", "amount", "fraud"), "Fraud History") != fraud))
     assert bad.count() == 0
+
+
+ROLES = st.one_of(st.none(), st.sampled_from(["ACCOUNTADMIN", "PIPELINE_ANALYST", "accountadmin", "PUBLIC"]),
+                  st.text(alphabet="ABCDEFGHIJKLMNOPQRSTUVWXYZ_", max_size=12))
+ACCOUNTS = st.one_of(st.none(), st.sampled_from(["MAIN", "A_CONSUMER_1", "a_consumer_1", "CONSUMER", "XCONSUMERX"]),
+                     st.text(alphabet="ABCDEFGHIJKLMNOPQRSTUVWXYZ_", max_size=12))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(role=ROLES, account=ACCOUNTS)
+def test_governance_matches_the_rules(spark, role, account):
+    """G4/G5 against a plain statement of the rules, for arbitrary caller contexts."""
+    from riskpipe.operators import governance as G
+    states = ["Colorado", "Utah", "Wyoming", "Other States", None]
+    rows = [(str(i), states[i % 5], Decimal(i * 1234) / 10) for i in range(25)]
+    df = spark.createDataFrame(rows, "policy_number string, customer_state string, claim_amount_filled decimal(10,2)")
+    ctx = G.AccessContext(role, account)
+    admin = role == "ACCOUNTADMIN"
+    broker = role == "PIPELINE_ANALYST" or (account is not None and "CONSUMER" in account)
+    want = {}
+    for p, s, amt in rows:
+        if admin or (broker and s in ("Colorado", "Utah", "Wyoming")):
+            want[p] = amt if admin else (amt // 10000) * 10000
+    got = {r.policy_number: r.claim_amount_filled for r in G.governed(df, ctx).collect()}
+    assert got == want
