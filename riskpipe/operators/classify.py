@@ -180,7 +180,7 @@ def needs_classification(spark, results_path: str, table: str,
                          now: _dt.datetime | None = None, object_created: _dt.datetime | None = None) -> bool:
     """Re-classify only when the last result is older than the validity window and
     the object is at least the minimum age (both from the profile)."""
-    now = now or _dt.datetime.utcnow()
+    now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     if object_created is not None and \
             (now - object_created).days < profile_opts.minimum_object_age_for_classification_days:
         return False
