@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskpipe.operators import quality as Q
 from riskpipe.sources import schemas as S
 from riskpipe.streaming.ingest import Layout, _overwrite_partitions
-from riskpipe.streaming.refresh import CHANGES_SCHEMA, _exists, ensure_dir
+from riskpipe.streaming.refresh import CHANGES_SCHEMA, _exists, ensure_dir, raw_buckets
 
 FEED_TABLES = {"claims": "claims_raw", "customers": "customer_raw"}
 BUCKET_KEY = "policy_number"
@@ -65,10 +65,10 @@ def update_partials(spark: SparkSession, layout: Layout, registry: Q.MetricRegis
     for feed, buckets in touched.items():
         table = FEED_TABLES[feed]
         specs = registry.for_table(table)
-        raw = _raw(spark, layout, feed)
-        if not specs or raw is None or not buckets:
+        raw = raw_buckets(spark, layout, feed, buckets) if buckets else None   # touched folders only
+        if not specs or raw is None:
             continue
-        part = (Q.run_metrics(raw.where(F.col("bucket").isin(buckets)), specs, table, by=["bucket"])
+        part = (Q.run_metrics(raw, specs, table, by=["bucket"])
                 .select(F.col("bucket").cast("int"), "change_commit_time", "metric_name",
                         F.col("value").cast("long"), "table_name"))
         _overwrite_partitions(part, partials_path(layout), "table_name", "bucket")

@@ -48,15 +48,27 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _raw(spark: SparkSession, layout: Layout, feed: str, buckets_touched: list[int]) -> DataFrame | None:
+def raw_buckets(spark: SparkSession, layout: Layout, feed: str, buckets_touched: list[int]) -> DataFrame | None:
+    """Raw rows of the touched buckets only.
+
+    Only the touched ``bucket=<b>`` folders are listed (``basePath`` keeps the
+    partition columns), so the file listing grows with what changed, not with the
+    number of batches ever ingested."""
     from riskpipe.sources import schemas as S
-    path = layout.raw(feed)
-    if not _exists(spark, path):
+    root = layout.raw(feed)
+    if not _exists(spark, root):
+        return None
+    paths = [f"{root}/bucket={b}" for b in sorted(set(buckets_touched))]
+    paths = [p for p in paths if _exists(spark, p)]      # ≤ buckets + 1 metadata calls
+    if not paths:
         return None
     schema = T.StructType(S.RAW_SCHEMAS[feed].fields + [T.StructField("bucket", T.IntegerType()),
                                                         T.StructField("batch_id", T.LongType())])
-    # partition pruning: only the touched bucket folders are listed and read
-    return spark.read.schema(schema).parquet(path).where(F.col("bucket").isin(buckets_touched))
+    return (spark.read.schema(schema).option("basePath", root).parquet(*paths)
+            .where(F.col("bucket").isin(buckets_touched)))
+
+
+_raw = raw_buckets
 
 
 def refresh_buckets(spark: SparkSession, layout: Layout, buckets_touched: list[int], *,
