@@ -9,8 +9,8 @@ exactly once by the checkpointed file log.  Per micro-batch (``foreachBatch``):
 2. good rows go to ``raw/<feed>`` partitioned by ``(bucket, batch_id)`` with
    dynamic partition overwrite, so a replayed batch replaces itself;
 3. rejected rows go to ``quarantine/<feed>`` (``batch_id`` partition, idempotent);
-4. the buckets touched and one ingest-log row are written for the refresh job
-   and for monitoring.
+4. the buckets touched go to one small log per consumer (refresh, monitor),
+   and one ingest-log row is written for monitoring.
 
 Only file paths, bucket ids and counters reach the driver, never rows.
 """
@@ -30,6 +30,7 @@ from riskpipe.sources import csv_ingest as C
 from riskpipe.sources import schemas as S
 
 DEFAULT_BUCKETS = 64
+CHANGE_CONSUMERS = ("refresh", "monitor")
 FEED_PATTERNS = {"claims": C.CLAIMS_PATTERN, "customers": C.CUSTOMER_PATTERN}
 FEED_GLOBS = {"claims": "*CLAIMS_DATA*.csv", "customers": "*CUSTOMER_DATA*.csv"}
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -51,8 +52,9 @@ class Layout:
     def quarantine(self, feed: str) -> str:
         return f"{self.root}/quarantine/{feed}"
 
-    def changes(self) -> str:
-        return f"{self.root}/changes"
+    def changes(self, consumer: str) -> str:
+        """Touched-bucket log of one consumer stream (each consumer deletes what it processed)."""
+        return f"{self.root}/changes/{consumer}"
 
     def ingest_log(self) -> str:
         return f"{self.root}/ingest_log"
@@ -103,7 +105,15 @@ def ingest_files(spark: SparkSession, paths: list[str], feed: str, layout: Layou
                           F.count_if(F.size("_rejected") > 0).alias("bad")).first()
         touched = (typed.where(F.size("_rejected") == 0).select("bucket").distinct()
                    .withColumn("feed", F.lit(feed)).withColumn("batch_id", F.lit(batch_id).cast("long")))
-        _overwrite_partitions(touched, layout.changes(), "feed", "batch_id")
+        # one small append-only log per consumer: a replayed batch may log its buckets
+        # twice, which is harmless (refreshing or re-measuring a bucket is idempotent),
+        # and each consumer stream deletes the files it has processed (cleanSource)
+        touched = touched.coalesce(1).cache()
+        try:
+            for consumer in CHANGE_CONSUMERS:
+                touched.write.mode("append").parquet(layout.changes(consumer))
+        finally:
+            touched.unpersist()
         res = C.LoadResult(feed, len(paths), int(stats["good"] or 0), int(stats["bad"] or 0))
         log = spark.createDataFrame(
             [(feed, int(batch_id), len(paths), res.rows_loaded, res.rows_rejected)],

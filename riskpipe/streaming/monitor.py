@@ -108,8 +108,9 @@ def start_quality_monitor(spark: SparkSession, layout: Layout, results_path: str
                           available_now: bool = False) -> StreamingQuery:
     reg = registry or Q.default_registry()
     incremental = all(additive_over_buckets(s) for s in reg.specs)
-    ensure_dir(spark, layout.changes())
-    changes = spark.readStream.schema(CHANGES_SCHEMA).parquet(layout.changes()).select("feed", "bucket")
+    ensure_dir(spark, layout.changes("monitor"))
+    changes = (spark.readStream.schema(CHANGES_SCHEMA).option("cleanSource", "delete")
+               .parquet(layout.changes("monitor")).select("feed", "bucket"))
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         # (feed, bucket) pairs touched since the last trigger: at most 2 × (buckets + 1)

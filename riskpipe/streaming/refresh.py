@@ -6,7 +6,7 @@ customer makes earlier claims visible (W5).  A stream-stream left join cannot
 do that (it emits the NULL-extended row once and never takes it back), so the
 refresh recomputes whole key buckets instead:
 
-* the ingest jobs log which buckets each batch touched (``changes``);
+* the ingest jobs log which buckets each batch touched (``changes/refresh``);
 * this query streams that log; per micro-batch it collects the distinct bucket
   ids (at most ``buckets + 1`` integers), recomputes level 1 for exactly those
   buckets from the raw tables (partition pruning on ``bucket``), overwrites
@@ -101,8 +101,10 @@ def start_refresh(spark: SparkSession, layout: Layout, *, buckets: int = DEFAULT
                   query_name: str | None = None) -> StreamingQuery:
     """Keep levels 1 and 2 fresh; ``trigger`` e.g. ``{"processingTime": "1 minute"}``
     (the target lag) or the default ``availableNow``."""
-    ensure_dir(spark, layout.changes())
-    changes = spark.readStream.schema(CHANGES_SCHEMA).parquet(layout.changes()).select("bucket")
+    ensure_dir(spark, layout.changes("refresh"))
+    # processed log files are deleted, so the source listing stays small over months of batches
+    changes = (spark.readStream.schema(CHANGES_SCHEMA).option("cleanSource", "delete")
+               .parquet(layout.changes("refresh")).select("bucket"))
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         touched = sorted(r["bucket"] for r in batch.distinct().collect())   # ≤ buckets + 1 ints
