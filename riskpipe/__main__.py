@@ -23,6 +23,7 @@ def main(argv=None) -> None:
     s.add_argument("--buckets", type=int, default=64)
     s.add_argument("--lag", default="1 minute")
     s.add_argument("--quality-every", default="5 minutes")
+    s.add_argument("--archive", help="move processed landing files here (keeps the landing listing small)")
     r = sub.add_parser("report")
     r.add_argument("--root", required=True)
     r.add_argument("--report", default="overview",
@@ -40,7 +41,8 @@ def main(argv=None) -> None:
         from riskpipe.streaming import refresh as R
         trig = {"processingTime": a.lag}
         queries = [I.start_ingest(spark, a.landing, feed, layout, trigger=trig, buckets=a.buckets,
-                                  query_name=f"ingest_{feed}") for feed in ("claims", "customers")]
+                                  query_name=f"ingest_{feed}", archive_dir=a.archive)
+                   for feed in ("claims", "customers")]
         queries.append(R.start_refresh(spark, layout, buckets=a.buckets, trigger=trig, query_name="refresh"))
         queries.append(M.start_quality_monitor(spark, layout, f"{a.root}/quality_results", every=a.quality_every))
         spark.streams.awaitAnyTermination()

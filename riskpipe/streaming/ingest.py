@@ -128,9 +128,13 @@ def ingest_files(spark: SparkSession, paths: list[str], feed: str, layout: Layou
 def start_ingest(spark: SparkSession, landing: str, feed: str, layout: Layout, *,
                  trigger: dict | None = None, max_files_per_trigger: int | None = 1000,
                  buckets: int = DEFAULT_BUCKETS, pattern: str | None = None,
-                 query_name: str | None = None) -> StreamingQuery:
+                 query_name: str | None = None, archive_dir: str | None = None) -> StreamingQuery:
     """Start the lenient continuous load of one feed.
 
+    ``archive_dir`` (optional) moves processed landing files there once their batch
+    is committed, so the landing listing stays small on a long run; by default files
+    stay in place (the staged-file inventory S8 lists them).
+
     ``trigger`` defaults to ``availableNow`` (process what is there, then stop:
     S9 refresh/backfill); pass ``{"processingTime": "1 minute"}`` to keep running.
     """
@@ -140,6 +144,8 @@ def start_ingest(spark: SparkSession, landing: str, feed: str, layout: Layout, *
            .option("pathGlobFilter", FEED_GLOBS[feed]))
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        src = src.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     files = src.load(landing).select("path")
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:

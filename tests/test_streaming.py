@@ -234,3 +234,15 @@ def test_all_streams_running_together(spark, scratch):
     finally:
         for q in queries:
             q.stop()
+
+
+def test_landing_files_archived_after_commit(spark, scratch):
+    landing = f"{scratch}/landing"
+    layout = I.Layout(f"file:{scratch}/tables")
+    archive = f"{scratch}/archive"
+    for i in range(3):
+        drop(f"{landing}/CLAIMS_DATA_{i}.csv", L_HEADER, [f"p{i},100,false"])
+        run(I.start_ingest(spark, landing, "claims", layout, buckets=4, archive_dir=f"file:{archive}"))
+    archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")]
+    assert len(archived) >= 2                                  # earlier batches moved out of landing
+    assert spark.read.parquet(layout.raw("claims")).count() == 3
