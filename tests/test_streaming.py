@@ -127,6 +127,10 @@ def test_cli_report_over_materialized_levels(spark, scratch, capsys):
     main(["report", "--root", layout.root, "--report", "by_state", "--role", "PIPELINE_ANALYST"])
     out = capsys.readouterr().out
     assert "Colorado" in out and "Other States" not in out
+    for report in ("overview", "by_age_category", "by_risk_level", "high_risk_share", "role_summary", "sample",
+                   "policy_status"):
+        main(["report", "--root", layout.root, "--report", report, "--role", "ACCOUNTADMIN"])
+        assert capsys.readouterr().out.strip()
 
 
 def test_monitor_batch_replay_is_idempotent(spark, scratch):
