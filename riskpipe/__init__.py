@@ -2,12 +2,16 @@
 
 Layout
 ------
-sources/    raw schemas, by-name CSV ingest, file inventory, parquet test adapter
-functions/  scoring rules as plain ``Column`` expressions (no Python UDFs)
+sources/    raw schemas, by-name CSV ingest (strict / lenient), file inventory,
+            parquet test adapter
+functions/  scoring rules as plain ``Column`` expressions (no Python UDFs) and
+            their SQL-function form
 operators/  level-1 integration (skew-aware left join), level-2 risk matrix,
             quality metrics, governance (mask / row policy), column classification
-plans/      report queries and the registry of named queries
-streaming/  continuous ingest and keyed refresh of the two derived levels
+plans/      report queries, the SQL surface (governed temp views), the registry
+            of named queries and their DuckDB oracle SQL
+streaming/  continuous ingest, keyed refresh of the two derived levels, the
+            incremental quality monitor, raw compaction
 """
 
 from riskpipe.session import get_session, scratch_path
