@@ -4,8 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from scripts import compare_oracle
 from scripts.compare_oracle import TABLES, rows_of
 
+compare_oracle.EXACT = True   # values must agree bit for bit, floats included
+
 SF = "/root/testdata/sf0.001"
 SLOW = {"stream_refresh_l2", "ingest_log", "stream_ingest_claims"}   # covered in test_streaming
 
