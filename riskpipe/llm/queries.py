@@ -2,9 +2,41 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
+from riskpipe.llm import common, mixing
+from riskpipe.llm.ann import op6_cross_polytope
+from riskpipe.llm.bpe_tree import op4_tree_bpe
+from riskpipe.llm.mixing import op7_pareto_mix
+from riskpipe.llm.near_dups import op10_fast_sketch_dedup
 from riskpipe.llm.outliers import op1_mcd_quality
+from riskpipe.llm.pii import op5_pii
+from riskpipe.llm.pitman_yor import op8_pitman_yor
+from riskpipe.llm.quality import op9_nbsvm_quality
+from riskpipe.llm.token_files import op2_token_files
+from riskpipe.llm.toxicity import op3_toxic_segments
+
+
+
+def _with_package(query):
+    """The query, after the executors have been given this package."""
+    @wraps(query)
+    def run(spark, sf_dir):
+        common.ship(spark)
+        return query(spark, sf_dir)
+    return run
+
 
-QUERIES = {
+QUERIES = {name: _with_package(query) for name, query in {
     "op1_mcd_quality": op1_mcd_quality,
-}
-ORACLE: dict[str, str] = {}
+    "op2_token_files": op2_token_files,
+    "op3_toxic_segments": op3_toxic_segments,
+    "op4_tree_bpe": op4_tree_bpe,
+    "op5_pii": op5_pii,
+    "op6_cross_polytope": op6_cross_polytope,
+    "op7_pareto_mix": op7_pareto_mix,
+    "op8_pitman_yor": op8_pitman_yor,
+    "op9_nbsvm_quality": op9_nbsvm_quality,
+    "op10_fast_sketch_dedup": op10_fast_sketch_dedup,
+}.items()}
+ORACLE: dict[str, str] = {"op7_pareto_mix": mixing.ORACLE_SQL}
