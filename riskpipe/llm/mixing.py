@@ -64,7 +64,8 @@ def targets(classes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame
     """source, source_size, target.  ``classes``: source, w, words.
 
     With the sources in order of size over weight, a source is at its limit as long as the level
-    that all later ones could share is above its own; the first level that is not is the final one.
+    that all later ones could share is above its own; the first level that is not is the final one, and the
+    largest of those that are not (to limit a source that need not be leaves the others less).
     """
     n = len(weights)
     pick = "CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) % {} {} END".format(
@@ -77,7 +78,7 @@ def targets(classes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame
         f"sum(source_size) OVER () - {MAX_COPIES} * coalesce(sum(source_size) {before}, 0) AS words_left",
         f"sum(weight) OVER () - coalesce(sum(weight) {before}, 0) AS weight_left")
     per = per.selectExpr("*", f"CASE WHEN words_left * weight <= {MAX_COPIES} * source_size * weight_left THEN words_left / CAST(weight_left AS DOUBLE) END AS level")
-    return per.selectExpr("source", "source_size", f"least({MAX_COPIES} * source_size, min(level) OVER () * weight) AS target")
+    return per.selectExpr("source", "source_size", f"least({MAX_COPIES} * source_size, max(level) OVER () * weight) AS target")
 
 
 def plan(docs: DataFrame, *, seed: str = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -87,14 +88,14 @@ def plan(docs: DataFrame, *, seed: str = SEED, doc_id: str = "doc_id", text: str
     classes = sizes.groupBy("source", "w").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs"))
     classes = common.stored(classes, "mix-classes")
     per = targets(classes, weights).select(F.col("source").alias("_source"), "source_size", "target")
-    # c: the first, from the largest class down, that leaves its class within the most copies
+    # c: the first, from the largest class down, that leaves its class within the most copies; the largest such
     down = "OVER (PARTITION BY source ORDER BY w DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     factors = (classes.join(per, F.col("source").eqNullSafe(F.col("_source")))
                .selectExpr("source", "w", "words", "source_size", "target",
                            f"target - {MAX_COPIES} * coalesce(sum(words) {down}, 0) AS lacking",
                            f"sum(w * words) OVER (PARTITION BY source) - coalesce(sum(w * words) {down}, 0) AS weighted")
                .selectExpr("*", f"CASE WHEN weighted > 0 AND lacking * w <= {MAX_COPIES} * CAST(weighted AS DOUBLE) THEN lacking / weighted END AS c")
-               .selectExpr("*", f"least({MAX_COPIES}, coalesce(min(c) OVER (PARTITION BY source), {MAX_COPIES}) * w) AS expected")
+               .selectExpr("*", f"least({MAX_COPIES}, coalesce(max(c) OVER (PARTITION BY source), {MAX_COPIES}) * w) AS expected")
                .selectExpr("source", "w", "source_size", "target", "expected", "CAST(floor(expected) AS BIGINT) AS whole",
                            "expected - floor(expected) AS p",
                            "target - sum(CAST(floor(expected) AS BIGINT) * words) OVER (PARTITION BY source) AS rest"))
@@ -102,7 +103,7 @@ def plan(docs: DataFrame, *, seed: str = SEED, doc_id: str = "doc_id", text: str
     # the prefix of the ranking: first by bins, then within the bin where it ends
     ranked = _with_class(sizes, factors).where("p > 0").selectExpr("source", "id", "size", "rest", f"{_KEY} AS k", f"CAST(floor({_KEY} * {BINS}) AS INT) AS bin")
     ranked = common.stored(ranked, "mix-ranks")
-    bins = ranked.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
+    bins = ranked.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.greatest(F.first("rest"), F.lit(0.0)).alias("rest"))
     below = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.withColumn("below", F.coalesce(F.sum("words").over(below), F.lit(0)))
     ends = bins.where("below <= rest AND rest < below + words").selectExpr("source AS _source", "bin AS end", "below")
@@ -162,12 +163,12 @@ s AS (SELECT source, CAST(sum(words) AS BIGINT) AS source_size, 1 + (row_number(
 l AS (SELECT *, sum(source_size) OVER () - {m} * coalesce(sum(source_size) OVER o, 0) AS words_left, sum(weight) OVER () - coalesce(sum(weight) OVER o, 0) AS weight_left
       FROM s WINDOW o AS (ORDER BY CAST(source_size AS DOUBLE) / weight, source IS NULL, source COLLATE C {up})),
 v AS (SELECT *, CASE WHEN words_left * weight <= {m} * source_size * weight_left THEN CAST(words_left AS DOUBLE) / CAST(weight_left AS DOUBLE) END AS level FROM l),
-t AS (SELECT source, source_size, least(CAST({m} * source_size AS DOUBLE), min(level) OVER () * weight) AS target FROM v),
+t AS (SELECT source, source_size, least(CAST({m} * source_size AS DOUBLE), max(level) OVER () * weight) AS target FROM v),
 f AS (SELECT k.source, w, words, source_size, target, target - {m} * coalesce(sum(words) OVER o, 0) AS lacking,
              sum(w * words) OVER (PARTITION BY k.source) - coalesce(sum(w * words) OVER o, 0) AS weighted
       FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source WINDOW o AS (PARTITION BY k.source ORDER BY w DESC {up})),
 c AS (SELECT *, CASE WHEN weighted > 0 AND lacking * w <= {m} * CAST(weighted AS DOUBLE) THEN lacking / CAST(weighted AS DOUBLE) END AS c FROM f),
-e AS (SELECT *, least(CAST({m} AS DOUBLE), coalesce(min(c) OVER (PARTITION BY source), CAST({m} AS DOUBLE)) * w) AS expected FROM c),
+e AS (SELECT *, least(CAST({m} AS DOUBLE), coalesce(max(c) OVER (PARTITION BY source), CAST({m} AS DOUBLE)) * w) AS expected FROM c),
 g AS (SELECT *, expected - floor(expected) AS p, CAST(floor(expected) AS BIGINT) AS whole,
              target - sum(CAST(floor(expected) AS BIGINT) * words) OVER (PARTITION BY source) AS rest FROM e),
 r AS (SELECT z.*, source_size, target, expected, whole, p, rest, u * (1 - p) / (u * (1 - p) + (1 - u) * p) AS k
