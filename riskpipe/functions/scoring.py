@@ -13,12 +13,15 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # fixed values: scoring thresholds and labels
-AGE_SCORE_YOUNG, AGE_SCORE_25_34, AGE_SCORE_35_54, AGE_SCORE_55_UP, AGE_SCORE_NULL = 25, 15, 5, 10, 0
+# (below this age, score) in order, then the score above all and the score of an unknown age
+AGE_SCORES, AGE_SCORE_ABOVE, AGE_SCORE_NULL = [(25, 25), (35, 15), (55, 5)], 10, 0
+# (below this age, category) in order, then the category above all and that of an unknown age
+AGE_LADDER, AGE_CATEGORY_ABOVE, AGE_CATEGORY_NULL = [(25, "Young Driver"), (45, "Middle Age"), (65, "Mature Driver")], "Senior Driver", "Unknown"
 CLAIM_HIGH, CLAIM_MID = 75000, 25000
 CLAIM_SCORE_HIGH, CLAIM_SCORE_MID, CLAIM_SCORE_LOW = 40, 20, 5
 FRAUD_SCORE = 50
 RISK_HIGH_AT, RISK_MEDIUM_AT = 80, 40
-AGE_CATEGORIES = ["Young Driver", "Middle Age", "Mature Driver", "Senior Driver", "Unknown"]
+AGE_CATEGORIES = [*[c for _, c in AGE_LADDER], AGE_CATEGORY_ABOVE, AGE_CATEGORY_NULL]
 STATES = ["Colorado", "Utah", "Wyoming", "Other States"]
 BROKER_STATES = ["Colorado", "Utah", "Wyoming"]
 
@@ -27,24 +30,44 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _ladder(c: Column, steps, above, null) -> Column:
+    out = F.when(c.isNull(), null)
+    for limit, value in steps:
+        out = out.when(c < limit, value)
+    return out.otherwise(above)
+
+
+def _ladder_sql(c: str, steps, above, null) -> str:
+    lit = lambda v: f"'{v}'" if isinstance(v, str) else str(v)
+    return (f"CASE WHEN {c} IS NULL THEN {lit(null)} " + " ".join(f"WHEN {c} < {k} THEN {lit(v)}" for k, v in steps)
+            + f" ELSE {lit(above)} END")
+
+
+def age_score_sql(age: str = "age") -> str:
+    return _ladder_sql(age, AGE_SCORES, AGE_SCORE_ABOVE, AGE_SCORE_NULL)
+
+
+def age_category_sql(age: str = "age") -> str:
+    return _ladder_sql(age, AGE_LADDER, AGE_CATEGORY_ABOVE, AGE_CATEGORY_NULL)
+
+
+def claim_score_sql(amount: str) -> str:
+    return (f"CASE WHEN {amount} IS NULL THEN {CLAIM_SCORE_LOW} WHEN {amount} > {CLAIM_HIGH} THEN {CLAIM_SCORE_HIGH} "
+            f"WHEN {amount} > {CLAIM_MID} THEN {CLAIM_SCORE_MID} ELSE {CLAIM_SCORE_LOW} END")
+
+
+def total_score_sql(age: str, amount: str, fraud: str) -> str:
+    return f"({age_score_sql(age)}) + ({claim_score_sql(amount)}) + (CASE WHEN {fraud} THEN {FRAUD_SCORE} ELSE 0 END)"
+
+
 def age_risk_score(age) -> Column:
     """NULL→0, <25→25, <35→15, <55→5, else 10."""
-    a = _c(age)
-    return (F.when(a.isNull(), AGE_SCORE_NULL)
-            .when(a < 25, AGE_SCORE_YOUNG)
-            .when(a < 35, AGE_SCORE_25_34)
-            .when(a < 55, AGE_SCORE_35_54)
-            .otherwise(AGE_SCORE_55_UP)).cast("int")
+    return _ladder(_c(age), AGE_SCORES, AGE_SCORE_ABOVE, AGE_SCORE_NULL).cast("int")
 
 
 def driver_age_category(age) -> Column:
     """NULL→Unknown, <25 Young Driver, <45 Middle Age, <65 Mature Driver, else Senior Driver."""
-    a = _c(age)
-    return (F.when(a.isNull(), "Unknown")
-            .when(a < 25, "Young Driver")
-            .when(a < 45, "Middle Age")
-            .when(a < 65, "Mature Driver")
-            .otherwise("Senior Driver"))
+    return _ladder(_c(age), AGE_LADDER, AGE_CATEGORY_ABOVE, AGE_CATEGORY_NULL)
 
 
 def claim_risk_score(amount) -> Column:
@@ -92,14 +115,14 @@ def hash_bucket10(key, mode: str = "portable") -> Column:
 
     portable: first 32 bits of MD5 as an unsigned number, mod 10 (reproducible
               in any SQL engine; NULL key → NULL).
-    signed:   signed 64-bit ``xxhash64`` mod 10 (remainder takes the dividend's
-              sign, as with a signed vendor hash; NULL key hashes to a constant).
+    signed:   first 64 bits of MD5 as a signed number, mod 10 (the remainder takes
+              the dividend's sign, as with a signed vendor hash; NULL key → NULL).
     """
     k = _c(key)
     if mode == "portable":
         return F.conv(F.substring(F.md5(k), 1, 8), 16, 10).cast("bigint") % 10
     if mode == "signed":
-        return F.xxhash64(k) % 10
+        return F.conv(F.substring(F.md5(k), 1, 16), 16, -10).cast("bigint") % 10
     raise ValueError(f"unknown hash mode {mode!r}")
 
 
@@ -119,21 +142,14 @@ def state_from_bucket(m) -> Column:
 
 def register_sql_functions(spark: SparkSession) -> None:
     """U1-U3 as SQL functions (inlined by the analyzer, no Python at run time)."""
-    spark.sql("""
+    spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION calculate_age_risk_score(age INT) RETURNS INT
-        RETURN CAST(CASE WHEN age IS NULL THEN 0 WHEN age < 25 THEN 25 WHEN age < 35 THEN 15
-                         WHEN age < 55 THEN 5 ELSE 10 END AS INT)""")
-    spark.sql("""
+        RETURN CAST({age_score_sql()} AS INT)""")
+    spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION categorize_driver_age(age INT) RETURNS STRING
-        RETURN CASE WHEN age IS NULL THEN 'Unknown' WHEN age < 25 THEN 'Young Driver'
-                    WHEN age < 45 THEN 'Middle Age' WHEN age < 65 THEN 'Mature Driver'
-                    ELSE 'Senior Driver' END""")
-    spark.sql("""
+        RETURN {age_category_sql()}""")
+    # ten decimals: amounts are compared as given, not rounded to cents first
+    spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION calculate_total_risk_score(
-            age INT, claim_amount DECIMAL(38, 2), fraud_reported BOOLEAN) RETURNS INT
-        RETURN CAST(
-            (CASE WHEN age IS NULL THEN 0 WHEN age < 25 THEN 25 WHEN age < 35 THEN 15
-                  WHEN age < 55 THEN 5 ELSE 10 END)
-          + (CASE WHEN claim_amount IS NULL THEN 5 WHEN claim_amount > 75000 THEN 40
-                  WHEN claim_amount > 25000 THEN 20 ELSE 5 END)
-          + (CASE WHEN fraud_reported THEN 50 ELSE 0 END) AS INT)""")
+            age INT, claim_amount DECIMAL(38, 10), fraud_reported BOOLEAN) RETURNS INT
+        RETURN CAST({total_score_sql('age', 'claim_amount', 'fraud_reported')} AS INT)""")

@@ -3,7 +3,7 @@
 The vendor classifier is closed, so the rules here are our own: a column's
 *name* and a profile of its *values* decide a semantic category and a privacy
 category.  The value profile of every column of a table is computed in **one**
-aggregate pass (null count, approximate distinct count, regex match counts);
+aggregate pass (null count, match counts);
 each map task pre-aggregates, so the pass costs one scan whatever the size.
 The wide profile row is unpivoted to one row per column and classified with
 column expressions; nothing is collected.
@@ -34,7 +34,7 @@ NAME_RULES = [
     (r"(^|_)(email)($|_)", "EMAIL", "IDENTIFIER"),
     (r"(^|_)(phone)($|_)", "PHONE_NUMBER", "IDENTIFIER"),
     (r"(^|_)(name|first_name|last_name)$", "NAME", "IDENTIFIER"),
-    (r"(^|_)age($|_)", "AGE", "QUASI_IDENTIFIER"),
+    (r"(^|_)age$", "AGE", "QUASI_IDENTIFIER"),
     (r"(^|_)(sex|gender)($|_)", "GENDER", "QUASI_IDENTIFIER"),
     (r"(^|_)occupation($|_)", "OCCUPATION", "QUASI_IDENTIFIER"),
     (r"(^|_)education", "EDUCATION", "QUASI_IDENTIFIER"),
@@ -87,8 +87,6 @@ def _profile_aggs(df: DataFrame) -> list[Column]:
     for i, f in enumerate(df.schema.fields):
         c = "`" + f.name.replace("`", "``") + "`"
         exprs.append(f"count({c}) AS n{i}")
-        nested = isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))
-        exprs.append(f"CAST(NULL AS BIGINT) AS d{i}" if nested else f"approx_count_distinct({c}, 0.05) AS d{i}")
         for j, (rule, semantic, _) in enumerate(VALUE_RULES):
             if isinstance(f.dataType, T.StringType):
                 exprs.append(f"count_if({_match_sql(f'trim({c})', rule, semantic)}) AS v{i}_{j}")
@@ -98,7 +96,7 @@ def _profile_aggs(df: DataFrame) -> list[Column]:
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """One row per column: (column, data_type, rows, non_null, approx_distinct, match_<k>...)."""
+    """One row per column: (column, data_type, rows, non_null, matches)."""
     wide = df.agg(*_profile_aggs(df))
     per_col = []
     for i, f in enumerate(df.schema.fields):
@@ -106,7 +104,6 @@ def profile(df: DataFrame) -> DataFrame:
             F.lit(f.name).alias("column_name"),
             F.lit(f.dataType.simpleString()).alias("data_type"),
             F.col(f"n{i}").cast("long").alias("non_null"),
-            F.col(f"d{i}").cast("long").alias("approx_distinct"),
             F.array(*[F.col(f"v{i}_{j}").cast("long") for j in range(len(VALUE_RULES))]).alias("matches")))
     return wide.select(F.col("__rows").cast("long").alias("rows"), F.inline(F.array(*per_col)))
 
@@ -122,7 +119,7 @@ def _name_rule(col: Column, idx: int) -> Column:
 def classify(df: DataFrame, table: str, profile_opts: ClassificationProfile = ClassificationProfile(),
              classified_at: Column | None = None) -> DataFrame:
     """G1: (table_name, column_name, semantic_category, privacy_category, confidence,
-    null_rate, distinct_ratio, classified_at), one row per column, one scan of ``df``."""
+    null_rate, classified_at), one row per column, one scan of ``df``."""
     p = profile(df)
     thr = profile_opts.value_match_threshold
     rate = [F.when(F.col("non_null") > 0, F.col("matches")[j] / F.col("non_null")).otherwise(F.lit(0.0))
@@ -145,8 +142,6 @@ def classify(df: DataFrame, table: str, profile_opts: ClassificationProfile = Cl
         F.lit(table).alias("table_name"), "column_name", "data_type",
         sem.alias("semantic_category"), priv.alias("privacy_category"), conf.alias("confidence"),
         F.when(F.col("rows") > 0, 1.0 - F.col("non_null") / F.col("rows")).alias("null_rate"),
-        F.when(F.col("non_null") > 0, F.least(F.lit(1.0), F.col("approx_distinct") / F.col("non_null")))
-         .alias("distinct_ratio"),
         at.alias("classified_at"))
 
 
@@ -175,6 +170,16 @@ def apply_tags_as_metadata(df: DataFrame, tag_rows: list[tuple[str, str, str]])
                        for c in df.columns])
 
 
+RESULT_SCHEMA = ("table_name string, column_name string, data_type string, semantic_category string, privacy_category string, "
+                 "confidence string, null_rate double, classified_at timestamp_ntz")
+TAG_SCHEMA = "table_name string, column_name string, tag_name string, tag_value string"
+
+
+def _there(spark, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def needs_classification(spark, results_path: str, table: str,
                          profile_opts: ClassificationProfile = ClassificationProfile(),
                          now: _dt.datetime | None = None, object_created: _dt.datetime | None = None) -> bool:
@@ -184,20 +189,55 @@ def needs_classification(spark, results_path: str, table: str,
     if object_created is not None and \
             (now - object_created).days < profile_opts.minimum_object_age_for_classification_days:
         return False
-    try:
-        last = (spark.read.parquet(results_path).where(F.col("table_name") == table)
-                .agg(F.max("classified_at")).first()[0])
-    except Exception:  # no results yet
+    if not _there(spark, results_path):
         return True
+    last = (spark.read.schema(RESULT_SCHEMA).parquet(results_path).where(F.col("table_name") == table)
+            .agg(F.max("classified_at")).first()[0])
     if last is None:
         return True
     return (now - last).days >= profile_opts.maximum_classification_validity_days
 
 
+def tags_path(results_path: str) -> str:
+    return f"{results_path.rstrip('/')}_tags"
+
+
 def classify_and_store(spark, df: DataFrame, table: str, results_path: str,
                        profile_opts: ClassificationProfile = ClassificationProfile(), *, force: bool = False) -> bool:
-    """Run G1 if stale (or forced) and append the result; returns whether it ran."""
+    """Run G1 if stale (or forced) and append the result; returns whether it ran.
+
+    With ``auto_tag`` the tags of the table's columns are stored too, in place of its earlier ones."""
     if not force and not needs_classification(spark, results_path, table, profile_opts):
         return False
     classify(df, table, profile_opts).write.mode("append").parquet(results_path)
+    if profile_opts.auto_tag:
+        newest = classification_result(spark.read.schema(RESULT_SCHEMA).parquet(results_path), table)
+        last = newest.agg(F.max("classified_at").alias("_at"))   # one row
+        (tags(newest.join(F.broadcast(last), F.col("classified_at") == F.col("_at")))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("table_name").parquet(tags_path(results_path)))
     return True
+
+
+def stored_tags(spark, results_path: str) -> DataFrame:
+    """The tags as stored."""
+    if not _there(spark, tags_path(results_path)):
+        return spark.createDataFrame([], TAG_SCHEMA)
+    return spark.read.schema(TAG_SCHEMA).parquet(tags_path(results_path)).select("table_name", "column_name", "tag_name", "tag_value")
+
+
+@dataclass
+class SchemaProfile:
+    """A classification profile set on a schema: its options hold for every table, one scan each."""
+    results_path: str
+    options: ClassificationProfile = ClassificationProfile()
+    active: bool = True
+
+    def unset(self) -> None:
+        """Tables are no longer classified; what is stored stays."""
+        self.active = False
+
+    def run(self, spark, tables: dict[str, DataFrame], *, force: bool = False) -> list[str]:
+        """Classify the tables that need it; returns their names."""
+        if not self.active:
+            return []
+        return [name for name, df in tables.items() if classify_and_store(spark, df, name, self.results_path, self.options, force=force)]

@@ -23,10 +23,7 @@ from pyspark.sql import functions as F
 from riskpipe.functions.scoring import BROKER_STATES
 from riskpipe.sources.schemas import AMOUNT
 
-# fixed values: role names and the account marker of consumer accounts
-ADMIN_ROLES = ("ACCOUNTADMIN",)
-ANALYST_ROLES = ("PIPELINE_ANALYST",)
-CONSUMER_ACCOUNT_MARK = "CONSUMER"
+# fixed value: the step that masked amounts are rounded down to
 MASK_STEP = 10000
 
 BROKER_VIEW_COLUMNS = ["policy_number", "age_category", "insured_occupation", "policy_annual_premium",
@@ -34,21 +31,31 @@ BROKER_VIEW_COLUMNS = ["policy_number", "age_category", "insured_occupation", "p
                        "risk_factors", "last_updated"]
 
 
+@dataclass(frozen=True)
+class RoleNames:
+    """The names that the policies know; other deployments give their own."""
+    # fixed values: the default role names and the mark of consumer accounts
+    admin: tuple[str, ...] = ("ACCOUNTADMIN",)
+    analyst: tuple[str, ...] = ("PIPELINE_ANALYST",)
+    consumer_mark: str = "CONSUMER"
+
+
 @dataclass(frozen=True)
 class AccessContext:
     """Who is asking (F9: the current role and account name; either may be None)."""
     role: str | None = None
     account: str | None = None
+    roles: RoleNames = RoleNames()
 
     @property
     def is_admin(self) -> bool:
-        return self.role in ADMIN_ROLES
+        return self.role in self.roles.admin
 
     @property
     def is_broker(self) -> bool:
         # LIKE '%CONSUMER%' is case-sensitive
-        return (self.role in ANALYST_ROLES
-                or (self.account is not None and CONSUMER_ACCOUNT_MARK in self.account))
+        return (self.role in self.roles.analyst
+                or (self.account is not None and self.roles.consumer_mark in self.account))
 
 
 ADMIN = AccessContext("ACCOUNTADMIN", "MAIN")
@@ -167,7 +174,7 @@ def set_context_variables(spark: SparkSession, ctx: AccessContext) -> None:
 
 
 def register_governed_view(spark: SparkSession, matrix: DataFrame, name: str = "broker_risk_view", *,
-                           columns: list[str] | None = None, require_state: bool = True) -> None:
+                           columns: list[str] | None = None, require_state: bool = True, roles: RoleNames = RoleNames()) -> None:
     """A temp view whose mask and row policy follow the session variables at query time.
 
     Defaults give the broker view (G9: 10 columns, state not NULL); ``columns=None,
@@ -175,10 +182,10 @@ def register_governed_view(spark: SparkSession, matrix: DataFrame, name: str = "
     name is governed, G6)."""
     src = f"_{name}_src"
     matrix.createOrReplaceTempView(src)
-    admin = ", ".join(f"'{r}'" for r in ADMIN_ROLES)
-    analyst = ", ".join(f"'{r}'" for r in ANALYST_ROLES)
+    admin = ", ".join(f"'{r}'" for r in roles.admin)
+    analyst = ", ".join(f"'{r}'" for r in roles.analyst)
     states = ", ".join(f"'{s}'" for s in BROKER_STATES)
-    broker = (f"(riskpipe_role IN ({analyst}) OR riskpipe_account LIKE '%{CONSUMER_ACCOUNT_MARK}%')")
+    broker = (f"(riskpipe_role IN ({analyst}) OR riskpipe_account LIKE '%{roles.consumer_mark}%')")
     wanted = BROKER_VIEW_COLUMNS if require_state and columns is None else (columns or matrix.columns)
     cols = ", ".join(
         f"CASE WHEN riskpipe_role IN ({admin}) THEN claim_amount_filled "

@@ -9,19 +9,22 @@ skew handling can only split the *preserved* side of an outer join, which here
 is the customer side, so a hot key in claims would land in one task.  We
 therefore split hot keys explicitly:
 
-* hot keys are found from a sample of the claim keys (partial aggregation, so a
-  hot key costs one row per map task); the list is bounded by ``max_hot_keys``
-  and holds only ``(key, n_salts)`` pairs, never rows;
-* claims of a hot key are spread over ``n_salts`` sub-keys with a deterministic
-  content hash (a recomputed task after executor loss assigns the same salt);
+* hot keys are those with many claims in a sample of the claim keys (partial
+  aggregation, so a hot key costs one row per map task).  Each has at least
+  ``2 * rows_per_task`` claims, so there are at most ``claims / (2 * rows_per_task)``
+  of them; the list stays a table and is broadcast only while it is small;
+* claims of a hot key are spread over ``n_salts`` sub-keys by the place of the row
+  in its file, so equal claims spread as well and a recomputed task (after an
+  executor is lost) gives the same salt;
 * customer rows of a hot key are replicated once per salt and joined on
   ``(key, salt)``; cold keys join on ``(key, 0)``, so one sort-merge join (one
-  scan and one shuffle per side) serves both.  A hot key has claims, so for it
-  the left join equals the inner join: replicas that drew no claim are dropped;
+  scan and one shuffle per side) serves both.  Only keys that do have claims when
+  the query runs are split, so for them the left join equals the inner join and
+  replicas that drew no claim are dropped; a listed key without claims stays cold;
 * the claims side has no size bound, so it is never broadcast.
 
 The hot-key list only changes the *plan*, never the result: a key missed by the
-sample is still joined exactly by the ordinary path.
+sample is joined by the ordinary path, a stale one does no harm.
 """
 
 from __future__ import annotations
@@ -29,11 +32,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskpipe.functions import scoring
+from riskpipe.session import scratch_path
 from riskpipe.sources.schemas import AMOUNT
 
 CUSTOMER_PART = ["policy_number", "age", "insured_sex", "insured_education_level", "insured_occupation",
@@ -53,10 +58,9 @@ LEVEL2_COLUMNS = ["policy_number", "age", "insured_sex", "insured_education_leve
 class SkewConfig:
     """How to look for hot join keys.
 
-    mode:            'auto' (sample the claim keys), 'off', or 'given' (use ``hot_keys``)
+    mode:            'auto' (sample the claim keys) or 'off'
     sample_fraction: share of claim rows sampled to estimate key counts
     rows_per_task:   target number of claim rows per join task for a hot key
-    max_hot_keys:    bound on the broadcast hot-key list (its proven size bound)
     """
     mode: str = "auto"
     # A key is hot from 2 x rows_per_task claims (4M by default); at a 1e-4 sample it is
@@ -64,117 +68,113 @@ class SkewConfig:
     # a 10^12-row table stays ~10^8 keys.  A key the sample misses is joined exactly anyway.
     sample_fraction: float = 1e-4
     rows_per_task: int = 2_000_000
-    max_hot_keys: int = 4096
     seed: int = 7
-    hot_keys: tuple = ()
 
 
 HOT_KEY_SCHEMA = T.StructType([T.StructField("_hot_key", T.StringType(), False),
                                T.StructField("_n_salts", T.IntegerType(), False)])
+# rows of a hot-key list that are still broadcast (about 40 MB); a longer one is joined as Spark sees fit
+HOT_BROADCAST_ROWS = 1_000_000
 
 
-def detect_hot_keys(claims: DataFrame, key: str = "policy_number",
-                    cfg: SkewConfig = SkewConfig()) -> list[tuple[str, int]]:
-    """Keys whose estimated claim count exceeds ``rows_per_task``, with their salt count.
+def detect_hot_keys(claims: DataFrame, key: str = "policy_number", cfg: SkewConfig = SkewConfig()) -> DataFrame:
+    """(_hot_key, _n_salts) of the keys whose estimated claim count is at least twice ``rows_per_task``.
 
-    Reads only the key column; the sampled counts are partially aggregated per
-    map task before the shuffle.  At most ``max_hot_keys`` pairs reach the driver.
-    """
+    Reads only the key column; the sampled counts are partially aggregated per map task."""
+    f = min(cfg.sample_fraction, 1.0)
+    keys = claims.select(F.col(key).alias("_hot_key")).where(F.col("_hot_key").isNotNull())
     if cfg.mode == "off":
-        return []
-    if cfg.mode == "given":
-        # salting drops the NULL-extended rows of a hot key's replicas, which is exact only
-        # for keys that have claims: keep the given keys that occur in ``claims``
-        given = {str(k): int(n) for k, n in cfg.hot_keys if int(n) > 1}
-        if not given:
-            return []
-        present = {r["k"] for r in claims.select(F.col(key).alias("k"))
-                   .where(F.col("k").isin(*given)).distinct().collect()}   # ≤ len(given) keys
-        return [(k, n) for k, n in given.items() if k in present]
-    f = cfg.sample_fraction
-    keys = claims.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
+        keys = keys.limit(0)
     sampled = keys if f >= 1.0 else keys.sample(fraction=f, seed=cfg.seed)
-    min_sampled = max(1, int(math.ceil(cfg.rows_per_task * min(f, 1.0))))
-    rows = (sampled.groupBy("k").count()
-            .where(F.col("count") >= 2 * min_sampled)
-            .orderBy(F.desc("count"), "k")
-            .limit(cfg.max_hot_keys)
-            .collect())
-    out = []
-    for r in rows:
-        est = r["count"] / min(f, 1.0)
-        out.append((r["k"], int(math.ceil(est / cfg.rows_per_task))))
-    return [(k, n) for k, n in out if n > 1]
-
-
-def _claims_side(claims: DataFrame) -> DataFrame:
+    least = 2 * max(1, math.ceil(cfg.rows_per_task * f))
+    return (sampled.groupBy("_hot_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+            .select("_hot_key", F.greatest(F.lit(2), F.ceil(F.col("n") / (f * cfg.rows_per_task))).cast("int").alias("_n_salts")))
+
+
+def with_locator(claims: DataFrame) -> DataFrame:
+    """``claims`` with ``_row``: a hash of the row's place (file and row number), the same in every run of a task.
+
+    Rows that do not come from files get their place in the plan's partitions."""
+    try:
+        return claims.select("*", F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("_row"))
+    except AnalysisException:
+        return claims.select("*", F.xxhash64(F.monotonically_increasing_id()).alias("_row"))
+
+
+def _claims_side(claims: DataFrame, *more: str) -> DataFrame:
     return claims.select(
         F.col("policy_number").alias("_cl_key"),
         *CLAIM_PART,
-        F.col("load_timestamp").alias("_cl_load"))
+        F.col("load_timestamp").alias("_cl_load"), *more)
 
 
 def _customer_side(customers: DataFrame) -> DataFrame:
     return customers.select(*CUSTOMER_PART, F.col("load_timestamp").alias("_c_load"))
 
 
-def _salt(n_salts_col) -> F.Column:
-    # deterministic content hash of the claim row: stable across task retries
-    h = F.xxhash64(F.col("_cl_key"), *[F.col(c) for c in CLAIM_PART], F.col("_cl_load"))
-    return F.pmod(h, n_salts_col.cast("long")).cast("int")
-
-
 # The claims side grows with the data and has no size bound, so the main join is
 # always a sort-merge join (hint placed right before it): it is never broadcast,
 # not even when AQE measures it small at test scale, and it spills gracefully.
 UNBOUNDED = "shuffle_merge"
 
 
-def left_join_claims(customers: DataFrame, claims: DataFrame,
-                     hot: list[tuple[str, int]] | None = None) -> DataFrame:
+def left_join_claims(customers: DataFrame, claims: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Customers ⟕ claims on policy_number; hot keys split over salted sub-keys.
 
-    ``hot`` must come from ``detect_hot_keys`` over the same claims (every hot key
-    has at least one claim).
-
-    With hot keys there is still one scan and one shuffle per side: the join key
-    becomes ``(policy_number, salt)``; cold keys use salt 0, a hot key's claims
-    get a content-hash salt in ``[0, n)`` and its customer rows are replicated
-    once per salt.  Each claim meets exactly one replica; the NULL-extended rows
-    of replicas that drew no claim are dropped, which is exact because a hot key
-    has claims (its left-join result never contains a NULL-extended row).
-    """
+    ``hot`` is a table (_hot_key, _n_salts), not empty, or None.  With hot keys there is
+    still one scan and one shuffle per side: the join key becomes ``(policy_number, salt)``;
+    cold keys use salt 0, a hot key's claims get a salt in ``[0, n)`` by their place and its
+    customer rows are replicated once per salt.  Each claim meets exactly one replica."""
     cust = _customer_side(customers)
-    cl = _claims_side(claims)
-    if not hot:
+    if hot is None:
+        cl = _claims_side(claims)
         return cust.join(cl.hint(UNBOUNDED), cust["policy_number"] == cl["_cl_key"], "left")
 
-    spark = customers.sparkSession
-    # bounded by SkewConfig.max_hot_keys rows: safe to broadcast
-    hot_df = F.broadcast(spark.createDataFrame(hot, HOT_KEY_SCHEMA))
+    small = hot.limit(HOT_BROADCAST_ROWS + 1).count() <= HOT_BROADCAST_ROWS
+    bounded = F.broadcast if small else (lambda d: d)
+    # of the listed keys, those that have claims now: replicas without a claim may then go
+    live = (claims.select(F.col("policy_number").alias("_hot_key")).join(bounded(hot), "_hot_key")
+            .groupBy("_hot_key").agg(F.max("_n_salts").alias("_n_salts")))
+    hot_df = bounded(live)
     n = F.col("_n_salts")
     cust_t = (cust.join(hot_df, cust["policy_number"] == hot_df["_hot_key"], "left").drop("_hot_key")
               .withColumn("_salt", F.explode(F.when(n.isNull(), F.array(F.lit(0)))
                                              .otherwise(F.sequence(F.lit(0), n - 1)))))
-    hot_c = hot_df.withColumnRenamed("_n_salts", "_cl_n_salts")
+    hot_c = bounded(live.withColumnRenamed("_n_salts", "_cl_n_salts"))
+    cl = _claims_side(with_locator(claims), "_row")
     cl_t = (cl.join(hot_c, cl["_cl_key"] == hot_c["_hot_key"], "left").drop("_hot_key")
             .withColumn("_cl_salt", F.when(F.col("_cl_n_salts").isNull(), F.lit(0))
-                        .otherwise(_salt(F.col("_cl_n_salts"))))
-            .drop("_cl_n_salts"))
+                        .otherwise(F.pmod(F.col("_row"), F.col("_cl_n_salts").cast("long")).cast("int")))
+            .drop("_cl_n_salts", "_row"))
     j = cust_t.join(cl_t.hint(UNBOUNDED), (cust_t["policy_number"] == cl_t["_cl_key"])
                     & (cust_t["_salt"] == cl_t["_cl_salt"]), "left")
     return j.where(n.isNull() | F.col("_cl_key").isNotNull()).drop("_n_salts", "_salt", "_cl_salt")
 
 
+def _hot_table(claims: DataFrame, hot, skew: SkewConfig | None) -> DataFrame | None:
+    """The hot-key table to use, or None for the plain join: what ``skew`` finds, or the given pairs or table."""
+    spark = claims.sparkSession
+    if hot is None:
+        found = detect_hot_keys(claims, cfg=skew or SkewConfig())
+        path = scratch_path(spark, "hot_keys")   # written once: read by the size check and by both sides of the join
+        found.write.parquet(path)
+        hot = spark.read.schema(found.schema).parquet(path)
+    elif not isinstance(hot, DataFrame):
+        if not hot:
+            return None
+        hot = spark.createDataFrame([(str(k), int(m)) for k, m in hot], HOT_KEY_SCHEMA)
+    hot = hot.where(F.col("_n_salts") > 1)
+    return None if hot.isEmpty() else hot
+
+
 def integrate(customers: DataFrame, claims: DataFrame, *, state_mode: str = "portable",
-              skew: SkewConfig | None = None, hot: list[tuple[str, int]] | None = None) -> DataFrame:
+              skew: SkewConfig | None = None, hot=None) -> DataFrame:
     """Level-1 table ``customer_claims_integrated``.
 
-    ``hot`` overrides detection (pass a cached list); otherwise ``skew`` decides.
+    ``hot`` (pairs of key and salts, or a table of them; ``[]``: none) overrides detection;
+    otherwise ``skew`` decides.
     """
-    if hot is None:
-        hot = detect_hot_keys(claims, cfg=skew or SkewConfig())
-    j = left_join_claims(customers, claims, hot)
+    j = left_join_claims(customers, claims, _hot_table(claims, hot, skew))
     # the hash remainder is computed once in its own projection, not once per CASE branch
     j = j.withColumn("_m", scoring.hash_bucket10(F.col("policy_number"), state_mode))
     return j.select(                                                       # P1 projection

@@ -52,23 +52,23 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# shared building blocks (lazy plans; the hot-key list is computed once per input)
+# shared building blocks (lazy plans)
 
-_HOT: dict[tuple, list] = {}
 _PLANS: dict[tuple, DataFrame] = {}
 
 
-def _session_key(spark: SparkSession):
-    try:
-        return (id(spark.sparkContext), spark.sparkContext.applicationId)
-    except Exception:  # sessions without a local SparkContext
-        return (id(spark),)
+def _stamp(spark: SparkSession, sf_dir: str, table: str) -> tuple:
+    """Names, sizes and times of a table's files: a plan made for other files is not used again."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path))
 
 
 def _memo(spark: SparkSession, sf_dir: str, what: str, build) -> DataFrame:
-    """Plan definitions (not data) are built once per session and input folder, like
-    view definitions; every execution still scans the parquet files."""
-    key = (_session_key(spark), sf_dir, what)
+    """Plan definitions (not data) are built once per application and state of the input files,
+    like view definitions; every execution still scans the parquet files."""
+    key = (spark.sparkContext.applicationId, sf_dir, _stamp(spark, sf_dir, "customer"), _stamp(spark, sf_dir, "orders"), what)
     if key not in _PLANS:
         _PLANS[key] = build()
     return _PLANS[key]
@@ -81,17 +81,10 @@ def raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
                   lambda: adapters.claims_raw(adapters.read_table(spark, sf_dir, "orders"))))
 
 
-def hot_keys(spark: SparkSession, sf_dir: str, claims: DataFrame) -> list:
-    key = (_session_key(spark), sf_dir)
-    if key not in _HOT:
-        _HOT[key] = integ.detect_hot_keys(claims)
-    return _HOT[key]
-
-
 def level1(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         cust, claims = raw(spark, sf_dir)
-        return integ.integrate(cust, claims, hot=hot_keys(spark, sf_dir, claims))
+        return integ.integrate(cust, claims)
     return _memo(spark, sf_dir, "level1", build)
 
 
@@ -107,7 +100,8 @@ def level2(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT age, {O.AGE_CATEGORY} AS age_category,
        CAST({O.AGE_SCORE} AS INTEGER) AS age_risk_score,
        CAST({O.total_score('age', '80000', 'TRUE')} AS INTEGER) AS high_risk_total,
-       CAST({O.total_score('age', '15000', 'FALSE')} AS INTEGER) AS low_risk_total
+       CAST({O.total_score('age', '15000', 'FALSE')} AS INTEGER) AS low_risk_total,
+       CAST({O.total_score('age', '75000.004', 'TRUE')} AS INTEGER) AS just_above_total
 FROM (SELECT DISTINCT age FROM customer_raw)""")
 def q_udf_selfcheck(spark, sf_dir):
     """U4 through the SQL-registered functions, over every distinct age on file."""
@@ -118,7 +112,8 @@ def q_udf_selfcheck(spark, sf_dir):
         F.expr("categorize_driver_age(age)").alias("age_category"),
         F.expr("calculate_age_risk_score(age)").alias("age_risk_score"),
         F.expr("calculate_total_risk_score(age, 80000, TRUE)").alias("high_risk_total"),
-        F.expr("calculate_total_risk_score(age, 15000, FALSE)").alias("low_risk_total"))
+        F.expr("calculate_total_risk_score(age, 15000, FALSE)").alias("low_risk_total"),
+        F.expr("calculate_total_risk_score(age, 75000.004, TRUE)").alias("just_above_total"))
 
 
 @register("age_risk_score", O.with_ctes(O.CUSTOMER_RAW) + f"""
@@ -183,6 +178,20 @@ def q_l1(spark, sf_dir):
     return comparable(level1(spark, sf_dir))
 
 
+# splits every policy with at least 16 claims, so the salted plan runs at any scale
+FORCED_SKEW = integ.SkewConfig(sample_fraction=1.0, rows_per_task=8)
+
+
+def salted_level1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return integ.integrate(*raw(spark, sf_dir), skew=FORCED_SKEW)
+
+
+@register("l1_salted", O.with_ctes(*O.BASE_L1) + f"SELECT {_L1_SQL_COLS} FROM l1")
+def q_l1_salted(spark, sf_dir):
+    """J1/T1 with hot keys split."""
+    return comparable(salted_level1(spark, sf_dir))
+
+
 _L2_SQL_COLS = ", ".join(
     (f"CAST({c} AS DOUBLE) AS {c}" if c in ("policy_annual_premium", "claim_amount_filled")
      else f"{O.ts(c)} AS {c}" if c == "last_updated"
@@ -282,9 +291,25 @@ def _row_policy(ctx_name: str) -> Builder:
     return build
 
 
-for _ctx in ("analyst", "consumer", "other"):
+for _ctx in ("analyst", "consumer"):
     register(f"row_policy_{_ctx}", _row_policy_sql(_ctx))(_row_policy(_ctx))
 
+_SEES = {"admin": "TRUE", "analyst": f"customer_state IN {O.BROKER_STATES_SQL}",
+         "consumer": f"customer_state IN {O.BROKER_STATES_SQL}", "other": "FALSE"}
+
+
+@register("row_policy_other", O.with_ctes(*O.BASE_L2) + "\nUNION ALL\n".join(
+    f"SELECT '{k}' AS role_name, CAST(COUNT_IF({c}) AS BIGINT) AS visible, CAST(COUNT(*) - COUNT_IF({c}) AS BIGINT) AS hidden FROM l2"
+    for k, c in _SEES.items()))
+def q_row_policy_other(spark, sf_dir):
+    """G5 in numbers: rows that each kind of caller sees and does not see; a caller of no kind sees none."""
+    m = level2(spark, sf_dir).select("customer_state")
+    seen = [F.count_if(gov.broker_access(F.col("customer_state"), c)).alias(k) for k, c in CONTEXTS.items()]
+    one = m.agg(F.count(F.lit(1)).alias("n"), *seen)
+    return one.select(F.inline(F.array(*[F.struct(F.lit(k).alias("role_name"), F.col(k).alias("visible"), (F.col("n") - F.col(k)).alias("hidden"))
+                                         for k in CONTEXTS])))
+
+
 _BV_SQL_COLS = ", ".join(
     (f"CAST({c} AS DOUBLE) AS {c}" if c in ("policy_annual_premium", "claim_amount_filled")
      else f"{O.ts(c)} AS {c}" if c == "last_updated"
@@ -317,12 +342,7 @@ _ROLE_SUMMARY_SQL = O.with_ctes(*O.BASE_L2, *[O.broker(k, f"g_{k}", f"bv_{k}") f
 @register("role_summary", _ROLE_SUMMARY_SQL)
 def q_role_summary(spark, sf_dir):
     """R5 for each context (G10 comparison), one row per role."""
-    m = level2(spark, sf_dir)
-    parts = [reports.role_summary(gov.broker_view(m, ctx), label) for label, ctx in CONTEXTS.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reports.roles_summary(reports.summary(level2(spark, sf_dir)), CONTEXTS)
 
 
 @register("governed_sample", O.with_ctes(*O.BASE_L2, O.broker("analyst")) + """
@@ -346,10 +366,44 @@ def q_visible_states(spark, sf_dir):
 
 
 @register("policy_status", O.with_ctes(*O.BASE_L2, O.broker("analyst"),
-                                       "n AS (SELECT CAST(COUNT(DISTINCT customer_state) AS VARCHAR) AS v FROM bv)") + """
-SELECT 'Row Access Policy' AS feature, 'Active' AS status,
-       'Geographic filtering: ' || v || ' states visible' AS impact FROM n
-UNION ALL SELECT 'Masking Policy', 'Active', 'Claim amounts rounded to 10K'
-UNION ALL SELECT 'Secure View', 'Active', 'Curated broker access'""")
+                                       "n AS (SELECT CAST(COUNT(DISTINCT customer_state) AS VARCHAR) AS v FROM bv)")
+          + "\nUNION ALL\n".join(f"SELECT '{f}' AS feature, replace('{st}', '{{n}}', v) AS status, '{i}' AS impact FROM n"
+                                 for f, st, i in reports.PANEL))
 def q_policy_status(spark, sf_dir):
     return reports.policy_status(gov.broker_view(level2(spark, sf_dir), gov.ANALYST))
+
+
+# the dashboard as a role sees it: the reports read the governed matrix
+
+
+def _governed_report(name: str, ctx_name: str, sql: str, build) -> None:
+    def query(spark, sf_dir):
+        return comparable(build(reports.governed_summary(reports.summary(level2(spark, sf_dir)), CONTEXTS[ctx_name])))
+    query.__name__ = f"q_{name}"
+    register(name, O.with_ctes(*O.BASE_L2, O.governed(ctx_name)) + sql)(query)
+
+
+_governed_report("risk_overview_analyst", "analyst", f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS total_customers, CAST(COUNT_IF(risk_level = 'HIGH') AS BIGINT) AS high_risk_count,
+       CAST(COUNT_IF(risk_level = 'MEDIUM') AS BIGINT) AS medium_risk_count, CAST(COUNT_IF(risk_level = 'LOW') AS BIGINT) AS low_risk_count,
+       CAST(ROUND(AVG(total_risk_score), 1) AS DOUBLE) AS avg_risk_score,
+       CAST(ROUND(AVG(claim_amount_filled), 0) AS DOUBLE) AS avg_claim_amount, {O.ts('MAX(last_updated)')} AS last_refresh FROM g""",
+                 reports.summary_overview)
+_governed_report("by_age_category_analyst", "analyst", """
+SELECT age_category, CAST(COUNT(*) AS BIGINT) AS customer_count, CAST(ROUND(AVG(age_risk_score), 1) AS DOUBLE) AS avg_age_risk_score,
+       CAST(ROUND(AVG(total_risk_score), 1) AS DOUBLE) AS avg_total_risk_score, CAST(COUNT_IF(risk_level = 'HIGH') AS BIGINT) AS high_risk_count
+FROM g GROUP BY age_category""", reports.summary_by_age_category)
+_governed_report("by_state_consumer", "consumer", """
+SELECT customer_state, CAST(COUNT(*) AS BIGINT) AS customer_count, CAST(ROUND(AVG(total_risk_score), 1) AS DOUBLE) AS avg_risk_score,
+       CAST(COUNT_IF(risk_level = 'HIGH') AS BIGINT) AS high_risk_count, CAST(ROUND(AVG(claim_amount_filled), 0) AS DOUBLE) AS avg_claim_amount
+FROM g GROUP BY customer_state""", reports.summary_by_state)
+_governed_report("by_risk_level_analyst", "analyst", """
+SELECT risk_level, CAST(COUNT(*) AS BIGINT) AS count, CAST(ROUND(AVG(total_risk_score), 1) AS DOUBLE) AS avg_score,
+       CAST(ROUND(AVG(claim_amount_filled), 0) AS DOUBLE) AS avg_claim, CAST(ROUND(AVG(policy_annual_premium), 0) AS DOUBLE) AS avg_premium
+FROM g GROUP BY risk_level""", reports.summary_by_risk_level)
+
+
+@register("by_state_salted", ORACLE["by_state"])
+def q_by_state_salted(spark, sf_dir):
+    """R3 over level 1 with hot keys split."""
+    return reports.by_state(integ.risk_matrix(salted_level1(spark, sf_dir)))

@@ -45,23 +45,23 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def cluster_settings(input_bytes: int, *, executors: int = 1000, cores_per_executor: int = 4,
-                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+                     split_bytes: int = 512 * 1024 * 1024, shuffled_share: float = 0.25,
+                     shuffle_partition_bytes: int = 1024 * 1024 * 1024) -> dict[str, str]:
     """Sizing for a large cluster run (e.g. 100 TB over 1000 executors).
 
-    * file splits of ``target_partition_bytes`` (a 100 TB scan → ~400k tasks,
-      ~100 waves over 4000 cores: every task fits in executor memory);
-    * initial shuffle partitions sized so that a full shuffle of the input
-      also lands near ``target_partition_bytes`` per partition (AQE then
-      coalesces small ones and splits skewed ones);
-    * skew thresholds relative to that size.
+    * file splits of ``split_bytes``;
+    * shuffle partitions sized by what is shuffled (``shuffled_share`` of the input: joins carry
+      pruned columns, aggregates are combined before), about ``shuffle_partition_bytes`` each, which
+      tasks may spill.  Blocks, one for each map task and partition, then stay large enough to fetch;
+    * adaptive execution merges small partitions and splits skewed ones.
     """
     cores = executors * cores_per_executor
-    shuffle = max(cores * 2, -(-input_bytes // target_partition_bytes))
+    shuffle = max(cores * 2, -(-int(input_bytes * shuffled_share) // shuffle_partition_bytes))
     return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(int(shuffle)),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes // 4),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(shuffle_partition_bytes * 2),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
@@ -84,6 +84,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         # Unset: only happens in tests / local runs.
         root = tempfile.mkdtemp(prefix="riskpipe-ckpt-")
         sc.setCheckpointDir(root)
@@ -104,13 +106,3 @@ def local_fs_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return path
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_local_dir(path: str) -> str:
-    p = local_fs_path(path)
-    os.makedirs(p, exist_ok=True)
-    return p

@@ -123,10 +123,15 @@ def convert(text: Column, dtype: T.DataType, timestamp_format: str = S.TIMESTAMP
     if isinstance(dtype, T.DecimalType):
         return text.try_cast(dtype)
     if isinstance(dtype, T.BooleanType):
-        return text.try_cast(T.BooleanType())
-    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
-        ts = F.try_to_timestamp(text, F.lit(timestamp_format))
-        return ts.cast("timestamp_ntz") if isinstance(dtype, T.TimestampNTZType) else ts
+        # fixed values: the words for true and false that the cast does not know
+        word = F.lower(text)
+        return F.when(word == "on", F.lit(True)).when(word == "off", F.lit(False)).otherwise(text.try_cast(T.BooleanType()))
+    if isinstance(dtype, T.TimestampNTZType):
+        # read as UTC, then counted from a zoneless epoch: no session zone and no clock change can shift it
+        at = F.unix_micros(F.try_to_timestamp(F.concat(text, F.lit(" +00:00")), F.lit(timestamp_format + " XXX")))
+        return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=(at / F.lit(1_000_000).cast("decimal(10,0)")).cast("decimal(18,6)"))
+    if isinstance(dtype, T.TimestampType):
+        return F.try_to_timestamp(text, F.lit(timestamp_format))
     return text.try_cast(dtype)
 
 
@@ -321,47 +326,37 @@ def file_inventory(spark: SparkSession, path: str, pattern: str | None = None) -
 
 
 def write_csv(df: DataFrame, path: str, *, header_case: str = "upper", column_order: list[str] | None = None,
-              timestamp_format: str = S.TIMESTAMP_FORMAT, single_file: bool = False) -> None:
+              timestamp_format: str = S.TIMESTAMP_FORMAT) -> None:
     """Write ``df`` in the landing-file format (used to derive fixture drops from tables)."""
     cols = column_order or df.columns
     out = df.select(*[F.col(c).alias(c.upper() if header_case == "upper" else c.lower()) for c in cols])
-    if single_file:
-        out = out.coalesce(1)
     (out.write.mode("overwrite")
      .option("header", "true").option("sep", ",").option("nullValue", "").option("emptyValue", "")
      .option("timestampNTZFormat", timestamp_format).option("timestampFormat", timestamp_format)
      .csv(path))
 
 
-def write_named_csv(df: DataFrame, directory: str, prefix: str, *, partitions: int = 2,
-                    key: str | None = None, **kw) -> list[str]:
-    """Write ``df`` as ``<directory>/<prefix>_<n>.csv`` landing files (header in each).
+def write_named_csv(df: DataFrame, directory: str, prefix: str, *, file_name: str = "{prefix}_{n}.csv", **kw) -> list[str]:
+    """Write ``df`` as landing files ``<directory>/<file_name>`` (header in each).
 
-    The rows are hash-partitioned on ``key`` (deterministic), written to a
-    hidden staging folder, then the part files are renamed into place.
+    One file per partition of ``df``, as its input was split: nothing is shuffled.  They are
+    written to a hidden staging folder, then renamed into place.
     """
     staging = f"{directory}/_staging_{prefix}"
-    out = df.repartition(partitions, key) if key else df.repartition(partitions)
-    write_csv(out, staging, **kw)
+    write_csv(df, staging, **kw)
     src, fs = _jvm_path(df.sparkSession, staging)
     jvm = df.sparkSession.sparkContext._jvm
     names = []
     parts = sorted((st.getPath() for st in fs.listStatus(src) if st.getPath().getName().startswith("part-")),
                    key=lambda p: p.getName())
     for i, p in enumerate(parts):
-        dst = jvm.org.apache.hadoop.fs.Path(directory, f"{prefix}_{i}.csv")
-        fs.rename(p, dst)
+        dst = jvm.org.apache.hadoop.fs.Path(directory, file_name.format(prefix=prefix, n=i))
+        fs.mkdirs(dst.getParent())
+        if not fs.rename(p, dst):
+            raise OSError(f"could not publish {dst.toString()}")
         names.append(dst.toString())
     fs.delete(src, True)
     return names
 
 
 INITIAL_PATTERNS = {"claims": CLAIMS_INITIAL_PATTERN, "customers": CUSTOMER_INITIAL_PATTERN}
-
-
-def load_initial(spark: SparkSession, stage: str, feed: str, target: str, **kw) -> LoadResult:
-    """S7 + S4: the exact initial file of a feed (batch files excluded), loaded strictly."""
-    files = list_files(spark, stage, INITIAL_PATTERNS[feed])
-    if not files:
-        raise FileNotFoundError(f"no initial {feed} file under {stage}")
-    return load_batch(spark, files, feed, target, on_error="abort", **kw)

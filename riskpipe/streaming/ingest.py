@@ -5,7 +5,9 @@ the file path (content is never read by the stream), so each file is tracked
 exactly once by the checkpointed file log.  Per micro-batch (``foreachBatch``):
 
 1. the batch's file paths (bounded by ``maxFilesPerTrigger``) are matched
-   against the feed pattern and parsed by column name (``csv_ingest``);
+   against the feed pattern, on the whole path; files that the feed has loaded
+   before (by path, size and time, also through ``copy_into``) are left out, the
+   others parsed by column name (``csv_ingest``) into a staging table;
 2. good rows go to ``raw/<feed>`` partitioned by ``(bucket, batch_id)`` with
    dynamic partition overwrite, so a replayed batch replaces itself;
 3. rejected rows go to ``quarantine/<feed>`` (``batch_id`` partition, idempotent);
@@ -13,15 +15,19 @@ exactly once by the checkpointed file log.  Per micro-batch (``foreachBatch``):
    and one ingest-log row is written for monitoring.
 
 Only file paths, bucket ids and counters reach the driver, never rows.
+
+``copy_into`` loads a fixed list of files into the same tables, strictly or
+leniently.  ``compact_raw`` writes a new version of a raw table; readers use the
+newest version whose marker file exists.
 """
 
 from __future__ import annotations
 
-import fnmatch
+import hashlib
 import re
+import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,7 +38,6 @@ from riskpipe.sources import schemas as S
 DEFAULT_BUCKETS = 64
 CHANGE_CONSUMERS = ("refresh", "monitor")
 FEED_PATTERNS = {"claims": C.CLAIMS_PATTERN, "customers": C.CUSTOMER_PATTERN}
-FEED_GLOBS = {"claims": "*CLAIMS_DATA*.csv", "customers": "*CUSTOMER_DATA*.csv"}
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -49,6 +54,18 @@ class Layout:
     def raw(self, feed: str) -> str:
         return f"{self.root}/raw/{feed}"
 
+    def raw_version(self, feed: str, version: int) -> str:
+        """Folder of one version of a raw table; version 0 is what ingest writes at first."""
+        return self.raw(feed) if version == 0 else f"{self.root}/raw_v{version}/{feed}"
+
+    def versions(self, feed: str) -> str:
+        """Marker files ``<version>-<last batch id in it>`` of finished compactions."""
+        return f"{self.root}/_versions/{feed}"
+
+    def loaded(self, feed: str) -> str:
+        """Files that were loaded (path, size, time)."""
+        return f"{self.root}/loaded_files/{feed}"
+
     def quarantine(self, feed: str) -> str:
         return f"{self.root}/quarantine/{feed}"
 
@@ -86,43 +103,135 @@ def _overwrite_partitions(df: DataFrame, path: str, *cols: str, sort_by: tuple[s
      .partitionBy(*cols).parquet(path))
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder.  One metadata call."""
+    p, fs = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def check_buckets(spark: SparkSession, layout: Layout, buckets: int) -> None:
+    """The bucket count is a property of the tables: kept with them on first use, and no other accepted later."""
+    kept = [int(n.split("=")[1]) for n in _names(spark, f"{layout.root}/_buckets") if n.startswith("count=")]
+    if not kept:
+        p, fs = _fs(spark, f"{layout.root}/_buckets/count={buckets}")
+        fs.create(p, True).close()
+    elif kept != [buckets]:
+        raise ValueError(f"the tables under {layout.root} have {kept[0]} buckets, not {buckets}")
+
+
+def current_version(spark: SparkSession, layout: Layout, feed: str) -> tuple[int, int]:
+    """Newest finished version of a raw table, and the last batch id that its compaction took in (-1: none)."""
+    marks = [n for n in _names(spark, layout.versions(feed)) if re.fullmatch(r"[0-9]+-[0-9]+", n)]
+    return max((tuple(map(int, n.split("-"))) for n in marks), default=(0, -1))
+
+
+def raw_path(spark: SparkSession, layout: Layout, feed: str) -> str:
+    """Folder of the raw table as it is now."""
+    return layout.raw_version(feed, current_version(spark, layout, feed)[0])
+
+
+def _file_facts(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
+    """(path, size, time) of the files of one batch."""
+    out = []
+    for x in paths:
+        p, fs = _fs(spark, x)
+        st = fs.getFileStatus(p)
+        out.append((x, st.getLen(), st.getModificationTime()))
+    return out
+
+
+_LOADED = "path string, size long, modified long, batch_id long"
+
+
+def _not_loaded(spark: SparkSession, layout: Layout, feed: str, files: list[tuple[str, int, int]], batch_id: int | None) -> list[tuple[str, int, int]]:
+    """Of ``files`` those that no other batch has loaded."""
+    if not files or not _names(spark, layout.loaded(feed)):
+        return files
+    seen = spark.read.schema(_LOADED).parquet(layout.loaded(feed))
+    if batch_id is not None:
+        seen = seen.where(F.col("batch_id") != batch_id)   # a replayed batch loads its own files again
+    mine = spark.createDataFrame(files, "path string, size long, modified long")
+    return [tuple(r) for r in mine.join(seen, ["path", "size", "modified"], "left_anti").collect()]   # at most this batch
+
+
 def ingest_files(spark: SparkSession, paths: list[str], feed: str, layout: Layout, batch_id: int, *,
-                 buckets: int = DEFAULT_BUCKETS, **read_kw) -> C.LoadResult:
-    """Load one batch of files leniently into the layout (idempotent per batch_id)."""
+                 buckets: int = DEFAULT_BUCKETS, on_error: str = "continue", file_name_mode: str = "source", **read_kw) -> C.LoadResult:
+    """Load one batch of files into the layout (idempotent per batch_id).
+
+    ``on_error="abort"``: if any row does not convert, all such rows go to the quarantine
+    and nothing else is written."""
+    check_buckets(spark, layout, buckets)
     schema = S.DATA_SCHEMAS[feed]
+    files = _file_facts(spark, paths)
     typed = C.read_csv_by_name(spark, paths, schema, varchar_limits=S.VARCHAR_LIMITS.get(feed),
-                               file_name_mode="source", **read_kw)
+                               file_name_mode=file_name_mode, **read_kw)
     typed = (typed.withColumn("bucket", key_bucket(F.col("policy_number"), buckets))
              .withColumn("batch_id", F.lit(batch_id).cast("long"))
-             .persist(StorageLevel.MEMORY_AND_DISK))   # one parse for the three outputs
+             .withColumn("_good", F.size("_rejected") == 0))
+    staging = f"{layout.root}/_staging/{uuid.uuid4().hex}"
+    typed.write.partitionBy("_good").parquet(staging)   # one parse; what follows reads the typed files
     try:
-        good = typed.where(F.size("_rejected") == 0).select(*C.RAW_COLUMNS[feed], "bucket", "batch_id")
-        _overwrite_partitions(good, layout.raw(feed), "bucket", "batch_id")
-        bad = C.bad_rows(typed).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        staged = spark.read.schema(typed.schema).parquet(staging)
+        counts = {r["_good"]: r["count"] for r in staged.groupBy("_good").count().collect()}
+        res = C.LoadResult(feed, len(paths), int(counts.get(True, 0)), int(counts.get(False, 0)))
+        bad = C.bad_rows(staged.where("NOT _good")).withColumn("batch_id", F.lit(batch_id).cast("long"))
         _overwrite_partitions(bad, layout.quarantine(feed), "batch_id")
-        # counts from the persisted batch (an observation on an empty write is never reported)
-        stats = typed.agg(F.count_if(F.size("_rejected") == 0).alias("good"),
-                          F.count_if(F.size("_rejected") > 0).alias("bad")).first()
-        touched = (typed.where(F.size("_rejected") == 0).select("bucket").distinct()
+        if on_error == "abort" and res.rows_rejected:
+            raise C.LoadError(f"{res.rows_rejected} of {res.rows_loaded + res.rows_rejected} rows did not convert; nothing loaded. "
+                              f"They are in {layout.quarantine(feed)}, batch_id {batch_id}")
+        good = staged.where("_good").select(*C.RAW_COLUMNS[feed], "bucket", "batch_id")
+        version, folded = current_version(spark, layout, feed)
+        if not 0 <= batch_id <= folded:   # a replay of a batch that a compaction took in is there already
+            _overwrite_partitions(good, layout.raw_version(feed, version), "bucket", "batch_id")
+        touched = (good.select("bucket").distinct()
                    .withColumn("feed", F.lit(feed)).withColumn("batch_id", F.lit(batch_id).cast("long")))
         # one small append-only log per consumer: a replayed batch may log its buckets
         # twice, which is harmless (refreshing or re-measuring a bucket is idempotent),
         # and each consumer stream deletes the files it has processed (cleanSource)
-        touched = touched.coalesce(1).cache()
-        try:
-            for consumer in CHANGE_CONSUMERS:
-                touched.write.mode("append").parquet(layout.changes(consumer))
-        finally:
-            touched.unpersist()
-        res = C.LoadResult(feed, len(paths), int(stats["good"] or 0), int(stats["bad"] or 0))
+        for consumer in CHANGE_CONSUMERS:
+            touched.coalesce(1).write.mode("append").parquet(layout.changes(consumer))
         log = spark.createDataFrame(
             [(feed, int(batch_id), len(paths), res.rows_loaded, res.rows_rejected)],
             "feed string, batch_id long, files int, rows_loaded long, rows_rejected long",
         ).withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
         _overwrite_partitions(log, layout.ingest_log(), "feed", "batch_id")
+        done = spark.createDataFrame([(*f, int(batch_id)) for f in files], _LOADED)
+        _overwrite_partitions(done, layout.loaded(feed), "batch_id")
         return res
     finally:
-        typed.unpersist()
+        p, fs = _fs(spark, staging)
+        fs.delete(p, True)
+
+
+def copy_into(spark: SparkSession, paths: list[str], feed: str, layout: Layout, *, on_error: str = "abort", force: bool = False,
+              buckets: int = DEFAULT_BUCKETS, **read_kw) -> C.LoadResult:
+    """Load a fixed list of files into the raw table that the streams write as well.
+
+    Files that the feed has loaded before are skipped unless ``force``; the batch id follows from
+    the files (below -1, where no stream batch is), so loading the same files again replaces their rows."""
+    if on_error not in ("abort", "continue"):
+        raise ValueError(f"on_error must be 'abort' or 'continue', not {on_error!r}")
+    files = _file_facts(spark, sorted(set(paths)))
+    if not force:
+        files = _not_loaded(spark, layout, feed, files, None)
+    if not files:
+        return C.LoadResult(feed, 0, 0, 0)
+    digest = hashlib.md5("\n".join(f"{x}|{n}|{t}" for x, n, t in sorted(files)).encode()).hexdigest()
+    return ingest_files(spark, sorted(x for x, _, _ in files), feed, layout, -2 - int(digest[:15], 16), buckets=buckets,
+                        on_error=on_error, **read_kw)
+
+
+def load_initial(spark: SparkSession, stage: str, feed: str, layout: Layout, **kw) -> C.LoadResult:
+    """S7 + S4: the exact initial file of a feed (batch files excluded), loaded strictly."""
+    files = C.list_files(spark, stage, C.INITIAL_PATTERNS[feed])
+    if not files:
+        raise FileNotFoundError(f"no initial {feed} file under {stage}")
+    return copy_into(spark, files, feed, layout, file_name_mode="default", **kw)
 
 
 def start_ingest(spark: SparkSession, landing: str, feed: str, layout: Layout, *,
@@ -140,8 +249,7 @@ def start_ingest(spark: SparkSession, landing: str, feed: str, layout: Layout, *
     """
     rx = re.compile(pattern or FEED_PATTERNS[feed])
     src = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
-           .option("recursiveFileLookup", "true")
-           .option("pathGlobFilter", FEED_GLOBS[feed]))
+           .option("recursiveFileLookup", "true"))   # the pattern is matched on whole paths, per batch
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
@@ -151,8 +259,9 @@ def start_ingest(spark: SparkSession, landing: str, feed: str, layout: Layout, *
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         paths = [r["path"] for r in batch.collect()]   # file paths only, ≤ maxFilesPerTrigger
         paths = [p for p in paths if rx.fullmatch(p)]
-        if paths:
-            ingest_files(batch.sparkSession, sorted(paths), feed, layout, batch_id, buckets=buckets)
+        new = _not_loaded(batch.sparkSession, layout, feed, _file_facts(batch.sparkSession, sorted(paths)), batch_id)
+        if new:
+            ingest_files(batch.sparkSession, sorted(x for x, _, _ in new), feed, layout, batch_id, buckets=buckets)
 
     w = (files.writeStream.foreachBatch(run_batch)
          .option("checkpointLocation", layout.checkpoint(f"ingest_{feed}")))
@@ -172,53 +281,32 @@ def pipe_status(query: StreamingQuery) -> dict:
     return {"status": query.status, "last_progress": query.lastProgress}
 
 
-def glob_matches(path: str, glob: str) -> bool:
-    return fnmatch.fnmatch(path.rsplit("/", 1)[-1], glob)
-
-
 COMPACTED_BATCH = -1   # batch id of a bucket's compacted data
 
 
-def compact_raw(spark: SparkSession, layout: Layout, feed: str, buckets: list[int] | None = None) -> int:
-    """Rewrite each bucket's per-batch raw files as one ``batch_id=-1`` partition.
+def compact_raw(spark: SparkSession, layout: Layout, feed: str) -> int:
+    """Write a new version of a raw table with the batches of each bucket merged.
 
-    Maintenance, run with the ingest/refresh streams stopped.  The rows are
-    unchanged, so refreshed levels and metric partials stay valid.  The new files
-    are written to a staging folder first (one rebalanced pass, AQE splits a hot
-    bucket); then, per bucket, the old batch folders are removed and the staged
-    folder is renamed into place.  Returns the number of buckets compacted.
-    """
-    import uuid
+    Maintenance, run with the ingest streams stopped.  The new version is complete before its
+    marker file appears, and only the marker makes it current; a failure before that leaves the
+    old version as it was.  The marker names the last stream batch taken in, so its replay adds
+    nothing.  The version before the last is removed.  Returns the number of buckets."""
     from pyspark.sql import types as T
 
-    raw_path = layout.raw(feed)
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(raw_path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
+    version, folded = current_version(spark, layout, feed)
+    source = layout.raw_version(feed, version)
+    if not _names(spark, source):
         return 0
     schema = T.StructType(S.RAW_SCHEMAS[feed].fields + [T.StructField("bucket", T.IntegerType()),
                                                         T.StructField("batch_id", T.LongType())])
-    df = spark.read.schema(schema).parquet(raw_path)
-    if buckets is not None:
-        df = df.where(F.col("bucket").isin(buckets))
-    staging = f"{raw_path}/_compact_{uuid.uuid4().hex[:12]}"
+    df = spark.read.schema(schema).parquet(source)
+    last = df.agg(F.max("batch_id")).first()[0]
+    target = layout.raw_version(feed, version + 1)
     (df.withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("long"))
-     .hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket", "batch_id").parquet(staging))
-    done = 0
-    stage_root = jvm.org.apache.hadoop.fs.Path(staging)
-    for st in fs.listStatus(stage_root):
-        name = st.getPath().getName()
-        if not name.startswith("bucket="):
-            continue
-        target = jvm.org.apache.hadoop.fs.Path(root, name)
-        if fs.exists(target):
-            for old in fs.listStatus(target):          # the per-batch folders being replaced
-                fs.delete(old.getPath(), True)
-        else:
-            fs.mkdirs(target)
-        src = jvm.org.apache.hadoop.fs.Path(st.getPath(), f"batch_id={COMPACTED_BATCH}")
-        fs.rename(src, jvm.org.apache.hadoop.fs.Path(target, f"batch_id={COMPACTED_BATCH}"))
-        done += 1
-    fs.delete(stage_root, True)
-    return done
+     .hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket", "batch_id").parquet(target))
+    mark, fs = _fs(spark, f"{layout.versions(feed)}/{version + 1}-{max(folded, last if last is not None else -1, 0)}")
+    fs.create(mark, True).close()
+    if version >= 1:
+        old, fs = _fs(spark, layout.raw_version(feed, version - 1))
+        fs.delete(old, True)
+    return sum(n.startswith("bucket=") for n in _names(spark, target))

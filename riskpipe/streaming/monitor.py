@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskpipe.operators import quality as Q
 from riskpipe.sources import schemas as S
-from riskpipe.streaming.ingest import Layout, _overwrite_partitions
+from riskpipe.streaming.ingest import Layout, _overwrite_partitions, raw_path
 from riskpipe.streaming.refresh import CHANGES_SCHEMA, _exists, ensure_dir, raw_buckets
 
 FEED_TABLES = {"claims": "claims_raw", "customers": "customer_raw"}
@@ -48,11 +48,11 @@ def additive_over_buckets(spec: Q.MetricSpec) -> bool:
 
 
 def _raw(spark: SparkSession, layout: Layout, feed: str) -> DataFrame | None:
-    if not _exists(spark, layout.raw(feed)):
+    if not _exists(spark, raw_path(spark, layout, feed)):
         return None
     schema = T.StructType(S.RAW_SCHEMAS[feed].fields + [T.StructField("bucket", T.IntegerType()),
                                                         T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).parquet(layout.raw(feed))
+    return spark.read.schema(schema).parquet(raw_path(spark, layout, feed))
 
 
 def partials_path(layout: Layout) -> str:

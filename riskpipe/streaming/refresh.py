@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskpipe.operators import integrate as integ
-from riskpipe.streaming.ingest import DEFAULT_BUCKETS, Layout, _overwrite_partitions, key_bucket
+from riskpipe.streaming.ingest import DEFAULT_BUCKETS, Layout, _names, _overwrite_partitions, check_buckets, key_bucket, raw_path
 
 CHANGES_SCHEMA = "bucket int, feed string, batch_id long"
 L2_SORT = ("customer_state", "policy_number")
@@ -55,11 +55,9 @@ def raw_buckets(spark: SparkSession, layout: Layout, feed: str, buckets_touched:
     partition columns), so the file listing grows with what changed, not with the
     number of batches ever ingested."""
     from riskpipe.sources import schemas as S
-    root = layout.raw(feed)
-    if not _exists(spark, root):
-        return None
-    paths = [f"{root}/bucket={b}" for b in sorted(set(buckets_touched))]
-    paths = [p for p in paths if _exists(spark, p)]      # ≤ buckets + 1 metadata calls
+    root = raw_path(spark, layout, feed)
+    there = set(_names(spark, root))                     # one listing of the bucket folders
+    paths = [f"{root}/bucket={b}" for b in sorted(set(buckets_touched)) if f"bucket={b}" in there]
     if not paths:
         return None
     schema = T.StructType(S.RAW_SCHEMAS[feed].fields + [T.StructField("bucket", T.IntegerType()),
@@ -78,6 +76,7 @@ def refresh_buckets(spark: SparkSession, layout: Layout, buckets_touched: list[i
     if not buckets_touched:
         return
     from riskpipe.sources import schemas as S
+    check_buckets(spark, layout, buckets)
     cust = _raw(spark, layout, "customers", buckets_touched)
     claims = _raw(spark, layout, "claims", buckets_touched)
     if cust is None:

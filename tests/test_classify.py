@@ -44,7 +44,28 @@ def test_validity_window_and_tags(spark, scratch):
 
 def test_cluster_settings():
     s = cluster_settings(100 * 1024 ** 4, executors=1000, cores_per_executor=4)
-    assert int(s["spark.sql.shuffle.partitions"]) == 400 * 1024     # 100 TB / 256 MB
-    assert int(s["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
+    assert int(s["spark.sql.shuffle.partitions"]) == 25 * 1024     # a quarter of 100 TB in 1 GB partitions
+    assert int(s["spark.sql.files.maxPartitionBytes"]) == 512 * 1024 ** 2
     small = cluster_settings(1024 ** 3, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 80           # at least 2 per core
+
+
+def test_schema_profile_and_stored_tags(spark, scratch):
+    path = f"file:{scratch}/results"
+    other = _df(spark).select("age", "insured_sex")
+    p = K.SchemaProfile(path)
+    assert p.run(spark, {"t": _df(spark), "u": other}) == ["t", "u"]
+    assert p.run(spark, {"t": _df(spark), "u": other}) == []          # still valid
+    tags = {(r.table_name, r.column_name, r.tag_name): r.tag_value for r in K.stored_tags(spark, path).collect()}
+    assert tags["u", "age", "SEMANTIC_CATEGORY"] == "AGE" and tags["t", "contact", "PRIVACY_CATEGORY"] == "IDENTIFIER"
+    assert p.run(spark, {"u": other}, force=True) == ["u"] and K.stored_tags(spark, path).count() == len(tags)
+    p.unset()
+    assert p.run(spark, {"t": _df(spark)}, force=True) == []
+    quiet = K.SchemaProfile(f"file:{scratch}/quiet", K.ClassificationProfile(auto_tag=False))
+    assert quiet.run(spark, {"u": other}) == ["u"] and K.stored_tags(spark, quiet.results_path).isEmpty()
+
+
+def test_derived_columns_are_not_ages(spark):
+    df = spark.createDataFrame([("Senior Driver", 5, 70)], "age_category string, age_risk_score int, age int")
+    got = {r.column_name: r.semantic_category for r in K.classify(df, "t").collect()}
+    assert got == {"age_category": None, "age_risk_score": None, "age": "AGE"}

@@ -119,12 +119,26 @@ def test_round_trip_from_tables(spark, scratch):
     assert claims.select(*X.CLAIM_DATA_COLS).exceptAll(back).count() == 0
 
 
-def test_load_initial_picks_exact_file(spark, scratch):
+def test_initial_pattern_picks_exact_file(spark, scratch):
+    from riskpipe.streaming import ingest as I
     write(f"{scratch}/stage/CLAIMS_DATA.csv", "\n".join([HEADER, ROW1]) + "\n")
     write(f"{scratch}/stage/CLAIMS_DATA_BATCH2.csv", "\n".join([HEADER, ROW2]) + "\n")
-    res = C.load_initial(spark, f"file:{scratch}/stage", "claims", f"file:{scratch}/init")
+    layout = I.Layout(f"file:{scratch}/init")
+    res = I.load_initial(spark, f"file:{scratch}/stage", "claims", layout)
     assert res.files == 1 and res.rows_loaded == 1
-    assert [r.policy_number for r in spark.read.parquet(f"{scratch}/init").collect()] == ["100001"]
+    assert [r.policy_number for r in spark.read.parquet(layout.raw("claims")).collect()] == ["100001"]
+
+
+def test_timestamps_and_booleans_do_not_depend_on_the_session(spark):
+    from pyspark.sql import types as T
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Denver")
+        df = spark.createDataFrame([("2015-03-08 02:30:00.123", "on"), ("1969-11-02 01:30:00.000", "Off"), ("2015-13-01 00:00:00.000", "yes")], "t string, b string")
+        got = df.select(C.convert(F.col("t"), T.TimestampNTZType()).cast("string").alias("t"), C.convert(F.col("b"), T.BooleanType()).alias("b")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [tuple(r) for r in got] == [("2015-03-08 02:30:00.123", True), ("1969-11-02 01:30:00", False), (None, True)]
 
 
 def test_lenient_load_without_rejects(spark, scratch):

@@ -74,8 +74,8 @@ def test_broker_view_and_reports(matrix):
     assert (s.visible_records, s.visible_states) == (30, 3)
     assert R.role_summary(G.broker_view(matrix, G.OTHER), "other").first().visible_records == 0
     st = R.policy_status(v).collect()
-    assert [r.feature for r in st] == ["Row Access Policy", "Masking Policy", "Secure View"]
-    assert "3 states visible" in st[0].impact
+    assert [r.feature for r in st] == ["Data Masking", "Row Access Control", "Geographic Restriction", "Real-time Enforcement"]
+    assert "(3 states only)" in st[2].status
     assert len(R.sample(v).collect()) == 10
     cmp = G.compare_roles(matrix, {"admin": G.ADMIN, "analyst": G.ANALYST},
                           lambda g: g.agg(F.count("*").alias("n")))
@@ -110,12 +110,40 @@ def test_row_policy_pushed_below_join(spark):
     assert "md5" in plan[join_at:]   # the hash-derived state predicate sits under the join
 
 
-def test_report_bundle_shares_one_cached_scan(spark, matrix):
-    bundle, release = R.report_bundle(G.governed(matrix.withColumn("age_risk_score", F.lit(5)), G.ADMIN))
-    try:
-        assert bundle.overview.first().total_customers == 40
-        assert sum(r.customer_count for r in bundle.by_state.collect()) == 40
-        assert {r.risk_level for r in bundle.by_risk_level.collect()} <= {"HIGH", "MEDIUM", "LOW"}
-        assert "InMemoryRelation" in bundle.by_age_category._jdf.queryExecution().optimizedPlan().toString()
-    finally:
-        release()
+def test_summary_reports_equal_reports_of_the_governed_matrix(spark, matrix):
+    m = matrix.withColumn("age_risk_score", F.lit(5))
+    s = R.summary(m)
+    pairs = [(R.overview, R.summary_overview), (R.by_age_category, R.summary_by_age_category),
+             (R.by_state, R.summary_by_state), (R.by_risk_level, R.summary_by_risk_level)]
+    for ctx in (G.ADMIN, G.ANALYST, G.CONSUMER, G.OTHER):
+        for plain, short in pairs:
+            assert short(R.governed_summary(s, ctx)).collect() == plain(G.governed(m, ctx)).collect()
+        assert R.summary_role(R.governed_summary(s, ctx), "x").collect() == R.role_summary(G.broker_view(m, ctx), "x").collect()
+    contexts = {"admin": G.ADMIN, "analyst": G.ANALYST, "other": G.OTHER}
+    want = [R.role_summary(G.broker_view(m, c), k).first() for k, c in contexts.items()]
+    assert R.roles_summary(s, contexts).collect() == want
+    joins = R.roles_summary(s, contexts)._jdf.queryExecution().optimizedPlan().toString()
+    assert joins.count("LogicalRDD") + joins.count("LocalRelation") + joins.count("Relation") <= 1
+
+
+def test_report_cache_lives_as_long_as_it_should(spark, matrix):
+    now, reads = [0.0], []
+    def source():
+        reads.append(1)
+        return matrix.withColumn("age_risk_score", F.lit(5))
+    cache = R.ReportCache(source, life=30, clock=lambda: now[0])
+    assert cache.report("overview", G.ADMIN).first().total_customers == 40
+    assert sum(r.customer_count for r in cache.report("by_state", G.ANALYST).collect()) == 30
+    assert {r.risk_level for r in cache.report("by_risk_level", G.ADMIN).collect()} <= {"HIGH", "MEDIUM", "LOW"}
+    assert len(reads) == 1
+    now[0] = 30.0
+    cache.report("by_age_category", G.ADMIN).collect()
+    assert len(reads) == 2
+
+
+def test_role_names_are_settings(spark, matrix):
+    mine = G.RoleNames(admin=("BOSS",), analyst=("DESK",), consumer_mark="PARTNER")
+    assert G.governed(matrix, G.AccessContext("BOSS", roles=mine)).count() == 40
+    assert G.governed(matrix, G.AccessContext("DESK", roles=mine)).count() == 30
+    assert G.governed(matrix, G.AccessContext(None, "A_PARTNER_1", roles=mine)).count() == 30
+    assert G.governed(matrix, G.AccessContext("PIPELINE_ANALYST", roles=mine)).count() == 0

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -49,17 +50,26 @@ def test_salted_hot_keys_equal_plain_join(spark):
     cl = claims(spark, rows)
     plain = _as_set(I.integrate(cust, cl, hot=[]))
     given = _as_set(I.integrate(cust, cl, hot=[("hot", 7), ("3", 2)]))
-    auto_hot = I.detect_hot_keys(cl, cfg=I.SkewConfig(sample_fraction=1.0, rows_per_task=50))
-    assert auto_hot and auto_hot[0][0] == "hot" and auto_hot[0][1] >= 6
+    auto_hot = I.detect_hot_keys(cl, cfg=I.SkewConfig(sample_fraction=1.0, rows_per_task=50)).collect()
+    assert [r._hot_key for r in auto_hot] == ["hot"] and auto_hot[0]._n_salts == 6
     auto = _as_set(I.integrate(cust, cl, skew=I.SkewConfig(sample_fraction=1.0, rows_per_task=50)))
     assert plain == given == auto
     assert len(plain) == 2 * 300 + 200 + 0
 
 
-def test_hot_key_list_is_bounded(spark):
+def test_every_hot_key_is_listed(spark):
     cl = claims(spark, [(str(i % 20), Decimal(1), False) for i in range(2000)])
-    hot = I.detect_hot_keys(cl, cfg=I.SkewConfig(sample_fraction=1.0, rows_per_task=10, max_hot_keys=5))
-    assert len(hot) == 5
+    hot = I.detect_hot_keys(cl, cfg=I.SkewConfig(sample_fraction=1.0, rows_per_task=10))
+    assert hot.count() == 20 and hot.where("_n_salts = 10").count() == 20
+    assert I.detect_hot_keys(cl, cfg=I.SkewConfig(mode="off")).isEmpty()
+
+
+def test_equal_claims_spread_over_all_salts(spark, scratch):
+    path = f"{scratch}/claims"
+    claims(spark, [("hot", Decimal(1), False)] * 10_000).repartition(4).write.parquet(path)
+    rows = I.with_locator(spark.read.parquet(path)).select(F.pmod("_row", F.lit(16)).alias("salt"))
+    sizes = [r["count"] for r in rows.groupBy("salt").count().collect()]
+    assert len(sizes) == 16 and min(sizes) > 400
 
 
 def test_level2_plan_is_jvm_only(spark):
@@ -86,20 +96,25 @@ def test_auto_salting_on_adapter_data_matches_plain(spark):
     the salted plan must still give exactly the plain left join."""
     from riskpipe.plans import catalog
     cust, claims = catalog.raw(spark, "/root/testdata/sf0.001")
-    cfg = I.SkewConfig(sample_fraction=1.0, rows_per_task=3, max_hot_keys=50)
-    hot = I.detect_hot_keys(claims, cfg=cfg)
-    assert 0 < len(hot) <= 50
+    hot = I.detect_hot_keys(claims, cfg=I.SkewConfig(sample_fraction=1.0, rows_per_task=3))
+    assert not hot.isEmpty()
     salted = I.integrate(cust, claims, hot=hot).select(*I.LEVEL1_COLUMNS)
     plain = I.integrate(cust, claims, hot=[]).select(*I.LEVEL1_COLUMNS)
     assert salted.count() == plain.count()
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
 
 
-def test_given_hot_key_without_claims_is_ignored(spark):
+def test_listed_key_without_claims_keeps_its_customer(spark):
     cust = customers(spark, [("a", 30), ("nohit", 40)])
     cl = claims(spark, [("a", Decimal(i), False) for i in range(20)])
-    hot = I.detect_hot_keys(cl, cfg=I.SkewConfig(mode="given", hot_keys=(("a", 4), ("nohit", 4))))
-    assert hot == [("a", 4)]
-    out = I.integrate(cust, cl, hot=hot)
+    out = I.integrate(cust, cl, hot=[("a", 4), ("nohit", 4)])
     assert out.where("policy_number = 'nohit' AND has_claim = 0").count() == 1
     assert out.where("policy_number = 'a'").count() == 20
+
+
+def test_salted_scan_reads_needed_columns_only(spark):
+    from riskpipe.plans import catalog
+    df = catalog.salted_level1(spark, "/root/testdata/sf0.001").select("customer_state", "claim_amount_filled")
+    scans = re.findall(r"ReadSchema: struct<([^>]*)>", df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
+    orders = [x for x in scans if "o_custkey" in x]
+    assert orders and all("o_orderdate" not in x and "o_orderstatus" not in x for x in orders)

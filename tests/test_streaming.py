@@ -1,6 +1,8 @@
+import itertools
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskpipe.operators import integrate as integ
@@ -153,14 +155,85 @@ def test_compact_raw_keeps_rows_and_merges_files(spark, scratch):
     for i in range(3):
         drop(f"{landing}/CLAIMS_DATA_{i}.csv", L_HEADER, [f"p{j},{100 + i},false" for j in range(6)] + [",5,true"])
         run(I.start_ingest(spark, landing, "claims", layout, buckets=4))
-    rows = lambda: sorted((tuple(r) for r in spark.read.parquet(layout.raw("claims"))
+    rows = lambda: sorted((tuple(r) for r in spark.read.parquet(I.raw_path(spark, layout, "claims"))
                            .drop("batch_id", "load_timestamp").collect()), key=repr)
     before = rows()
-    n_files = lambda: sum(1 for _, _, fs_ in os.walk(layout.raw("claims").replace("file:", ""))
+    n_files = lambda: sum(1 for _, _, fs_ in os.walk(I.raw_path(spark, layout, "claims").replace("file:", ""))
                           for f in fs_ if f.endswith(".parquet"))
     assert n_files() > 5
     assert I.compact_raw(spark, layout, "claims") == 5   # buckets 0-3 and the NULL bucket -1
     assert before == rows() and n_files() == 5
+    # a batch that was committed to the table but not to the stream comes again: nothing is added
+    I.ingest_files(spark, [f"file:{landing}/CLAIMS_DATA_2.csv"], "claims", layout, batch_id=2, buckets=4)
+    assert before == rows()
+    # new batches go into the new version, and the next compaction removes the one before the last
+    drop(f"{landing}/CLAIMS_DATA_9.csv", L_HEADER, ["p1,77,false"])
+    run(I.start_ingest(spark, landing, "claims", layout, buckets=4))
+    assert len(rows()) == len(before) + 1
+    assert I.compact_raw(spark, layout, "claims") == 5 and len(rows()) == len(before) + 1
+    assert not os.path.exists(layout.raw("claims").replace("file:", ""))
+
+
+def test_unfinished_compaction_changes_nothing(spark, scratch, monkeypatch):
+    landing = f"{scratch}/landing"
+    layout = I.Layout(f"file:{scratch}/tables")
+    drop(f"{landing}/CLAIMS_DATA_1.csv", L_HEADER, ["p1,1,false", "p2,2,false"])
+    run(I.start_ingest(spark, landing, "claims", layout, buckets=4))
+    real = I._fs
+    monkeypatch.setattr(I, "_fs", lambda s, p: (_ for _ in ()).throw(OSError("no store")) if "_versions/claims/" in p else real(s, p))
+    with pytest.raises(OSError):
+        I.compact_raw(spark, layout, "claims")
+    monkeypatch.undo()
+    assert I.raw_path(spark, layout, "claims") == layout.raw("claims")
+    assert spark.read.parquet(I.raw_path(spark, layout, "claims")).count() == 2
+
+
+def test_bucket_count_is_kept_with_the_tables(spark, scratch):
+    landing = f"{scratch}/landing"
+    layout = I.Layout(f"file:{scratch}/tables")
+    drop(f"{landing}/CLAIMS_DATA_1.csv", L_HEADER, ["p1,1,false"])
+    I.copy_into(spark, [f"file:{landing}/CLAIMS_DATA_1.csv"], "claims", layout, buckets=4)
+    with pytest.raises(ValueError):
+        I.ingest_files(spark, [f"file:{landing}/CLAIMS_DATA_1.csv"], "claims", layout, batch_id=3, buckets=16)
+    with pytest.raises(ValueError):
+        R.refresh_buckets(spark, layout, [0], buckets=16)
+
+
+def test_pattern_matches_whole_paths(spark, scratch):
+    layout = I.Layout(f"file:{scratch}/tables")
+    drop(f"{scratch}/landing/CLAIMS_DATA/part1.csv", L_HEADER, ["p1,1,false"])
+    drop(f"{scratch}/landing/CLAIMS_DATA_2.csv", L_HEADER, ["p2,2,false"])
+    run(I.start_ingest(spark, f"{scratch}/landing", "claims", layout, buckets=4))
+    assert spark.read.parquet(layout.raw("claims")).count() == 2
+
+
+def test_initial_load_then_stream_share_one_table(spark, scratch):
+    landing = f"{scratch}/landing"
+    layout = I.Layout(f"file:{scratch}/tables")
+    drop(f"{landing}/CLAIMS_DATA.csv", L_HEADER, ["p1,1000,false"])
+    drop(f"{landing}/CUSTOMER_DATA.csv", C_HEADER, ["p1,30,2014-01-01 00:00:00.000,10,500,900,M,College,x"])
+    for feed in ("claims", "customers"):
+        assert I.load_initial(spark, landing, feed, layout, buckets=4).rows_loaded == 1
+    run(R.start_refresh(spark, layout, buckets=4))
+    assert state(spark, layout) == [("p1", 1, "1000.00")]
+    # the stream sees the initial file too, and leaves it out; so does a second load
+    drop(f"{landing}/CLAIMS_DATA_1.csv", L_HEADER, ["p1,2000,false"])
+    cycle(spark, landing, layout)
+    assert I.load_initial(spark, landing, "claims", layout, buckets=4).files == 0
+    assert state(spark, layout) == [("p1", 1, "1000.00"), ("p1", 1, "2000.00")]
+    # by force, it replaces its own rows
+    assert I.load_initial(spark, landing, "claims", layout, buckets=4, force=True).rows_loaded == 1
+    assert spark.read.parquet(layout.raw("claims")).count() == 2
+
+
+def test_strict_copy_keeps_all_rejects(spark, scratch):
+    from riskpipe.sources import csv_ingest as C
+    layout = I.Layout(f"file:{scratch}/tables")
+    drop(f"{scratch}/landing/CLAIMS_DATA.csv", L_HEADER, ["p1,1,false"] + [f"p{i},x,false" for i in range(5)])
+    with pytest.raises(C.LoadError):
+        I.load_initial(spark, f"{scratch}/landing", "claims", layout, buckets=4)
+    assert spark.read.parquet(layout.quarantine("claims")).count() == 5
+    assert not os.path.exists(layout.raw("claims").replace("file:", ""))
 
 
 def test_freshness_contract(spark, scratch):
@@ -175,10 +248,6 @@ def test_freshness_contract(spark, scratch):
     assert after.last_refresh >= after.last_ingest and after.within_target and after.lag_seconds >= 0
 
 
-import itertools
-
-import pytest
-
 ARRIVALS = {
     "C": ("CUSTOMER_DATA_c.csv", C_HEADER, ["p1,30,2014-01-01 00:00:00.000,10,500,900,M,College,x",
                                           "p2,70,2014-01-01 00:00:00.000,10,500,900,F,PhD,y",
