@@ -17,8 +17,8 @@ of near copies meets pair by pair, so candidates come in rounds:
 3. links are joined into components (least label, with pointer jumping);
 4. in buckets that still hold several components, every class outside the bucket's
    largest component is compared with its nearest partners in other components, nearest by
-   the sketch: first ``PARTNERS[0]`` of them, then more, at last all whose sketch does not
-   rule a link out (a wrong exclusion has probability below 1e-6).  Buckets of one component
+   a finer sketch: first ``PARTNERS[0]`` of them, then more, at last all whose sketch does not
+   rule a link out (a wrong exclusion has probability about 1e-6).  Buckets of one component
    are done: what is linked needs no more links.
 
 Step 4 ends when a round left no partner out, so no link between different texts that
@@ -47,6 +47,7 @@ from riskpipe.llm import common, wordhash
 SHINGLE, LINK_PERCENT = 3, 85
 BANDS, ROWS = 25, 5
 T = BANDS * ROWS
+FINE = 1024  # coordinates, of a byte each, of the sketch that rules pairs out
 PARTNERS = (4, 32, 1 << 30)
 BLOCK = 2048
 SIGMAS = 4.75  # how far below the link a sketch may estimate and still be compared
@@ -121,20 +122,20 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in range(ROWS):
                 bands = wordhash.mix(bands * np.uint64(3) + rows_of[:, r::ROWS])
             bands = wordhash.mix(bands + np.arange(BANDS, dtype=np.uint64))
-            bits = (wordhash.mix(rows_of) >> np.uint64(56)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [rows["doc_id"].cast(pa.int64()), pa.array(np.diff(ends, prepend=0), pa.int64()), pa.array(digest, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(bands.view(np.int64).reshape(-1))),
-                 pa.array([b.tobytes() for b in bits], pa.binary())],
-                names=["doc_id", "n", "digest", "bands", "bits"])
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(bands.view(np.int64).reshape(-1)))],
+                names=["doc_id", "n", "digest", "bands"])
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, texts in wordhash.chunks(batch):
             values, ends = shingle_sets(texts)
+            bits = (wordhash.mix(sketches(values, ends, FINE)) >> np.uint64(56)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [rows["doc_id"].cast(pa.int64()), pa.array([x.astype("<u8").tobytes() for x in np.split(values, ends[:-1])], pa.binary())], names=["rep", "shingles"])
+                [rows["doc_id"].cast(pa.int64()), pa.array([x.astype("<u8").tobytes() for x in np.split(values, ends[:-1])], pa.binary()),
+                 pa.array([b.tobytes() for b in bits], pa.binary())], names=["rep", "shingles", "bits"])
 
 
 def _confirm_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,13 +179,13 @@ def components(links: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _partners(most: int):
     """For the rows of one block of a bucket: pairs of a left-over class with its ``most`` nearest in other components."""
-    least = np.ceil(T * (LINK_PERCENT / 100 - SIGMAS * np.sqrt(LINK_PERCENT / 100 * (1 - LINK_PERCENT / 100) / T)))
+    least = np.ceil(FINE * (LINK_PERCENT / 100 - SIGMAS * np.sqrt(LINK_PERCENT / 100 * (1 - LINK_PERCENT / 100) / FINE)))
 
     def run(group: pa.Table) -> pa.Table:
         rep, comp = group["rep"].to_numpy(), group["comp"].to_numpy()
         left = np.flatnonzero(group["left"].to_numpy(zero_copy_only=False))
         here = np.flatnonzero(group["here"].to_numpy(zero_copy_only=False))
-        bits = np.frombuffer(b"".join(group["bits"].to_pylist()), np.uint8).reshape(-1, T)
+        bits = np.frombuffer(b"".join(group["bits"].to_pylist()), np.uint8).reshape(-1, FINE)
         out_a, out_b, more = [], [], []
         theirs = bits[here]
         for i in left:
@@ -219,7 +220,7 @@ def open_pairs(members: DataFrame, bits: DataFrame, labels: DataFrame, most: int
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    own = common.stored(docs.mapInArrow(_sketch_rows, "doc_id long, n long, digest binary, bands array<long>, bits binary"), "sketches")
+    own = common.stored(docs.mapInArrow(_sketch_rows, "doc_id long, n long, digest binary, bands array<long>"), "sketches")
     classes = common.stored(own.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     reps = own.where("n > 0").join(classes, "digest").where("doc_id = rep").dropDuplicates(["rep"])
     keys = reps.select("rep", F.explode("bands").alias("key"))
@@ -227,8 +228,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = common.stored(keys.join(shared, "key").select("key", "rep", "least"), "members")
     involved = common.stored(members.select("rep").distinct(), "involved")
     sets = common.stored(docs.join(involved.withColumnRenamed("rep", "doc_id"), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-                         .mapInArrow(_set_rows, "rep long, shingles binary"), "sets")
-    bits = common.stored(reps.join(involved, "rep").select("rep", "bits"), "bits")
+                         .mapInArrow(_set_rows, "rep long, shingles binary, bits binary"), "sets")
+    bits, sets = sets.select("rep", "bits"), sets.select("rep", "shingles")
     # the first round: one partner each
     met = members.where("least < rep").groupBy("rep", "least").agg(F.count(F.lit(1)).alias("n"))
     first = met.groupBy("rep").agg(F.max(F.struct("n", -F.col("least"))).alias("best")).select((-F.col("best.col2")).alias("a"), F.col("rep").alias("b"))
