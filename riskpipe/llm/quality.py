@@ -50,9 +50,10 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     pair_doc = w.doc[1:][same_doc]
     raw = np.frombuffer(b"\n".join(texts), np.uint8).astype(np.uint64)
     sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
-    owner = np.repeat(np.arange(len(texts)), sizes)[:max(len(raw) - 2, 0)]
-    gram = raw[:-2] << np.uint64(16) | raw[1:-1] << np.uint64(8) | raw[2:] if len(raw) > 2 else np.zeros(0, np.uint64)
-    inside = owner == np.repeat(np.arange(len(texts)), sizes)[2:len(raw)] if len(raw) > 2 else np.zeros(0, bool)
+    owner = np.repeat(np.arange(len(texts)), sizes)[:len(raw)]
+    left = (np.cumsum(sizes) - 1)[owner] - np.arange(len(raw))  # bytes from here to the end of the text
+    inside = np.flatnonzero(left >= 3)
+    gram = raw[inside] << np.uint64(16) | raw[inside + 1] << np.uint64(8) | raw[inside + 2]
     n = w.per_doc()
     stutter = np.bincount(w.doc[1:][same_doc & (h[1:] == h[:-1])], minlength=len(texts))
     order = np.lexsort((pair, pair_doc))
@@ -63,7 +64,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     parts = [
         (docs[n > 0], wordhash.mix(np.uint64(1 << 60) + t[n > 0].astype(np.uint64) + np.uint64(100 * k))) for k, t in enumerate(tenths)]
     parts += [(w.doc, wordhash.mix(h + np.uint64(1))), (pair_doc, wordhash.mix(pair + np.uint64(2))),
-              (owner[inside], wordhash.mix(gram[inside] + np.uint64(1 << 58)))]
+              (owner[inside], wordhash.mix(gram + np.uint64(1 << 58)))]
     key = np.concatenate([(d.astype(np.uint64) << np.uint64(BITS)) | (x >> np.uint64(64 - BITS)) for d, x in parts])
     key = np.unique(key)
     ends = np.cumsum(np.bincount((key >> np.uint64(BITS)).astype(np.int64), minlength=len(texts)))

@@ -1,25 +1,27 @@
 """Operator 3: toxicity by maximum-scoring segments.
 
-A word's score is its log-odds between toxic and clean training texts, each rate
-smoothed by a Dirichlet prior in proportion to the word's share of all texts.  The
-same is done for the word's first four and first six bytes, and the word takes the
-level whose log-odds stand out most from their standard error, so unseen endings of
-a known stem count.  Less a constant drift, so that ordinary words are slightly
+A word's score is its log-odds between toxic and clean training texts, from the
+numbers of texts that have it.  The Dirichlet prior weighs ``PRIOR`` texts for each
+word, dealt to the classes by their sizes, so a word met once or twice says little.
+The same is done for the word's first bytes (four, six and eight), and the word takes
+the level whose log-odds stand out most from their standard error, so unseen endings
+of a known stem count.  Less a constant drift, so that ordinary words are slightly
 negative, the scores of a text form a sequence whose maximal segments (all of them,
-in linear time) are its toxic passages.
+in linear time) are its toxic passages.  A word's further occurrences in a text count
+as ordinary words: repeating one does not make a passage.
 
 A segment of score S in a text of n words is calibrated by extreme-value theory: by
 chance, clean texts hold one with probability 1 - exp(-K n exp(-lambda S)).  lambda
 solves E exp(lambda s) = 1 over the scores of clean words, K is the maximum-likelihood
 fit to the best segments of clean texts.  Segments with K n exp(-lambda S) below 1 are
-significant, and a text's evidence is the sum of lambda S - log(K n) over them; a
-logistic curve maps it to the probability of the label.
+significant, and a text's evidence is the sum of lambda S - log(K n) over them, or a
+shade of its largest if there are none; a logistic curve maps it to the probability of the label.
 
 Counts are hashed to a fixed number of buckets, so the model has one size (about 2 MB)
 whatever the corpus, and only it is sent to the tasks.
 
-Defined results: a null or empty text has no evidence and gets the curve's value
-there; without labels of both kinds every text gets the share of label 1.
+Defined results: a null or empty text has no segments and gets the curve's value for
+that; without labels of both kinds every text gets the share of label 1.
 """
 
 from __future__ import annotations
@@ -34,12 +36,13 @@ from pyspark.sql import functions as F
 
 from riskpipe.llm import common, labelled, wordhash
 
-#: Buckets (a power of two) of each level, finest first: the word, six bytes, four bytes.
-LEVELS = ((None, 18), (6, 16), (4, 16))
+#: Buckets (a power of two) of each level, finest first: the word, its first eight, six and four bytes.
+LEVELS = ((None, 18), (8, 17), (6, 16), (4, 16))
 _START = np.cumsum([0, *(1 << bits for _, bits in LEVELS)])
-PRIOR = 200.0       # words that the Dirichlet prior weighs
-DRIFT = 0.5         # taken off every word's log-odds
+PRIOR = 15.0        # texts that the Dirichlet prior weighs for each word
+DRIFT = 0.8         # taken off every word's log-odds
 LEAST, MOST = -1.0, 6.0
+SHADE = 0.05        # what evidence below significance counts: enough to order texts, too little to bend the curve
 BINS = 20           # histogram bins per unit of score
 
 
@@ -49,6 +52,14 @@ def buckets(w: wordhash.Words) -> np.ndarray:
                      for (size, bits), start in zip(LEVELS, _START, strict=False)])
 
 
+def first_in_text(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a word's bucket occurs in its text for the first time."""
+    _, first = np.unique((doc << 20) | at, return_index=True)
+    out = np.zeros(len(at), bool)
+    out[first] = True
+    return out
+
+
 @dataclass
 class Model:
     score: np.ndarray                     # log-odds by bucket
@@ -60,10 +71,21 @@ class Model:
     def scores(self, w: wordhash.Words) -> np.ndarray:
         at = buckets(w)
         best = np.argmax(self.weight[at], axis=0)
-        return np.clip(self.score[at[best, np.arange(at.shape[1])]] - DRIFT, LEAST, MOST)
+        odds = self.score[at[best, np.arange(at.shape[1])]]
+        return np.clip(np.where(first_in_text(w.doc, at[0]), odds, 0) - DRIFT, LEAST, MOST)
 
     def evidence(self, total: float, n: int) -> float:
-        return max(0.0, self.lam * total - float(np.log(self.k * n)))
+        """How far a segment of this sum stands out in a text of n words; above 0, it is significant."""
+        return self.lam * total - float(np.log(self.k * max(n, 1)))
+
+    def total(self, sums: list[float], n: int) -> float:
+        """A text's evidence: that of its significant segments together or, without any, of its best."""
+        found = [self.evidence(x, n) for x in sums] or [self.evidence(0.0, n)]
+        return float(np.clip(sum(x for x in found if x > 0) or SHADE * max(found), -10, 30))
+
+    def probability(self, evidence: np.ndarray) -> np.ndarray:
+        a, b = self.curve
+        return labelled.sigmoid(a * evidence + b)
 
 
 def fit_odds(toxic: np.ndarray, clean: np.ndarray) -> Model:
@@ -72,10 +94,10 @@ def fit_odds(toxic: np.ndarray, clean: np.ndarray) -> Model:
     for a, b in zip(_START, _START[1:], strict=False):
         y1, y0 = toxic[a:b].astype(float), clean[a:b].astype(float)
         n1, n0 = y1.sum(), y0.sum()
-        prior = PRIOR * (y1 + y0) / max(n1 + n0, 1) + 1e-2
-        odds = [np.log((y + prior) / np.maximum(n + prior.sum() - y - prior, 1e-9)) for y, n in ((y1, n1), (y0, n0))]
+        p1, p0 = PRIOR * (n1 + 1) / (n1 + n0 + 2), PRIOR * (n0 + 1) / (n1 + n0 + 2)
+        odds = [np.log((y + p) / (n + p * (b - a) - y - p)) for y, p, n in ((y1, p1, n1), (y0, p0, n0))]
         score[a:b] = odds[0] - odds[1]
-        weight[a:b] = np.abs(score[a:b]) / np.sqrt(1 / (y1 + prior) + 1 / (y0 + prior))
+        weight[a:b] = np.abs(score[a:b]) / np.sqrt(1 / (y1 + p1) + 1 / (y0 + p0))
     return Model(score.astype(np.float32), weight.astype(np.float32))
 
 
@@ -124,15 +146,16 @@ def extreme_rate(counts: np.ndarray, values: np.ndarray) -> float:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts by bucket and label of one task's texts."""
+    """Numbers of one task's texts by bucket and label."""
     found = np.zeros((2, _START[-1]), np.int64)
     for batch in batches:
         for rows, texts in wordhash.chunks(batch):
             w = wordhash.words(texts)
             toxic = rows["label"].to_numpy()[w.doc] == 1
             for at in buckets(w):
-                found[1] += np.bincount(at[toxic], minlength=_START[-1])
-                found[0] += np.bincount(at[~toxic], minlength=_START[-1])
+                new = first_in_text(w.doc, at)
+                found[1] += np.bincount(at[toxic & new], minlength=_START[-1])
+                found[0] += np.bincount(at[~toxic & new], minlength=_START[-1])
     at = np.flatnonzero(found.any(axis=0))
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(found[1][at]), pa.array(found[0][at])], names=["bucket", "toxic", "clean"])
 
@@ -172,8 +195,8 @@ def fit(train: DataFrame) -> Model:
     texts = int(((label == 0) & (n > 0)).sum())
     model.k = max(texts, 1) / max(sum(m * np.exp(-model.lam * b) for b, m in best) + empty, 1.0)
     real = label >= 0
-    x = np.array([sum(model.evidence(v, m) for v in s) for s, y, m in zip(sums, label, n, strict=True) if y >= 0])
-    model.curve = labelled.platt(np.minimum(x, 30.0), label[real])
+    x = np.array([model.total(s, m) for s, y, m in zip(sums, label, n, strict=True) if y >= 0])
+    model.curve = labelled.platt(x, label[real])
     shared.unpersist()
     return model
 
@@ -192,17 +215,15 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for rows, texts in wordhash.chunks(batch):
                 w = wordhash.words(texts)
-                scores, ends = m.scores(w), np.cumsum(w.per_doc())
-                evidence, passages = np.zeros(len(texts)), [[] for _ in texts]
+                scores, n = m.scores(w), w.per_doc()
+                ends = np.cumsum(n)
+                evidence, passages = np.array([m.total([], int(k)) for k in n]), [[] for _ in texts]
                 for i in np.unique(w.doc[scores > 0]):  # other texts have no segments
-                    s = scores[(ends[i - 1] if i else 0):ends[i]]
-                    for a, b, total in maximal_segments(s):
-                        if (x := m.evidence(total, len(s))) > 0:
-                            evidence[i] += x
-                            passages[i].append(f"{a}:{b}")
-                a, b = m.curve
+                    found = maximal_segments(scores[ends[i] - n[i]:ends[i]])
+                    evidence[i] = m.total([x for *_, x in found], int(n[i]))
+                    passages[i] = [f"{a}:{b}" for a, b, x in found if m.evidence(x, int(n[i])) > 0]
                 yield pa.RecordBatch.from_arrays(
-                    [rows["doc_id"].cast(pa.int64()), pa.array(labelled.sigmoid(a * np.minimum(evidence, 30.0) + b)),
+                    [rows["doc_id"].cast(pa.int64()), pa.array(m.probability(evidence)),
                      pa.array([len(p) for p in passages], pa.int64()), pa.array([",".join(p) for p in passages], pa.string())],
                     names=["doc_id", "score", "n_passages", "passages"])
 
