@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskpipe.llm import common
 
@@ -204,4 +205,4 @@ def encoded(docs: DataFrame, text: str = "text", name: str = "token_ids") -> Dat
                 names=[*keep, name, "n_tokens"])
 
     df = docs.select(*[F.col(f"`{c}`") for c in keep])
-    return df.mapInArrow(run, df.schema.add(name, "binary").add("n_tokens", "long"))
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.BinaryType()), T.StructField("n_tokens", T.LongType())]))
