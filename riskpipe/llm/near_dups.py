@@ -262,3 +262,19 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns.  Rows without an id cannot be named, and stay."""
     gone = near_duplicates(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     return docs.join(common.stored(gone, "dropped"), "doc_id", "left_anti").select(docs.columns)
+
+
+#: The same result by plain joins: all pairs that share a shingle, and their closure.
+ORACLE_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \\t-\\r]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < {SHINGLE} THEN w ELSE w[i:i + {SHINGLE - 1}] END AS x
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 2}, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= {LINK_PERCENT} * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT DISTINCT doc_id, doc_id AS x FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.x),
+m AS (SELECT doc_id, min(x) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM d JOIN m USING (doc_id) LEFT JOIN n USING (doc_id)"""

@@ -46,6 +46,7 @@ GRID = 1024
 #: document, where an estimated scatter would be singular; below the floor a difference is not odd.
 FEATURES = {"f_symbols": 0.05, "f_upper": 0.08, "f_marks": 0.08, "f_length": 0.10, "f_lines": 0.25, "f_repeat": 0.25, "f_stutter": 0.12}
 P = len(FEATURES)
+DECILES = 2.563  # standard deviations between the first and the last decile of a normal distribution
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -164,19 +165,37 @@ KEY = ["g_pooled", "g_lang", "g_source"]
 XS = list(FEATURES)
 
 
-def _cholesky(est: DataFrame, scale: float) -> DataFrame:
-    """From columns n, s_i, s_i_j (sums over a group) the columns m_i and l_i_j of scale * covariance plus floors.
+def _real(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
 
-    Each expression may use the ones before it (lateral aliases)."""
+
+def _cholesky_sql(scale: float) -> list[str]:
     out = [f"s_{i} / n AS m_{i}" for i in range(P)]
     for i in range(P):
         for j in range(i + 1):
-            floor = f" + {(FEATURES[XS[i]] * GRID) ** 2!r}D" if i == j else ""
-            out.append(f"(s_{i}_{j} - CAST(s_{i} AS DOUBLE) * s_{j} / n) / n * {scale!r}D{floor} AS c_{i}_{j}")
+            floor = f" + {_real((FEATURES[XS[i]] * GRID) ** 2)}" if i == j else ""
+            out.append(f"(s_{i}_{j} - CAST(s_{i} AS DOUBLE) * s_{j} / n) / n * {_real(scale)}{floor} AS c_{i}_{j}")
     for j in range(P):
         for i in range(j, P):
             rest = "".join(f" - l_{i}_{k} * l_{j}_{k}" for k in range(j))
             out.append(f"sqrt(c_{j}_{j}{rest}) AS l_{j}_{j}" if i == j else f"(c_{i}_{j}{rest}) / l_{j}_{j} AS l_{i}_{j}")
+    return out
+
+
+def _distance_sql() -> list[str]:
+    z = [f"({x} - m_{i}" + "".join(f" - l_{i}_{k} * z_{k}" for k in range(i)) + f") / l_{i}_{i} AS z_{i}" for i, x in enumerate(XS)]
+    return [*z, " + ".join(f"z_{i} * z_{i}" for i in range(P)) + " AS d2"]
+
+
+def _sums_sql() -> list[str]:
+    return [f"sum({x}) AS s_{i}" for i, x in enumerate(XS)] + [f"sum({XS[i]} * {XS[j]}) AS s_{i}_{j}" for i in range(P) for j in range(i + 1)]
+
+
+def _cholesky(est: DataFrame, scale: float) -> DataFrame:
+    """From columns n, s_i, s_i_j (sums over a group) the columns m_i and l_i_j of scale * covariance plus floors.
+
+    Each expression may use the ones before it (lateral aliases)."""
+    out = _cholesky_sql(scale)
     return est.selectExpr(*KEY, *out).select(*KEY, *_PARAMS)
 
 
@@ -188,7 +207,7 @@ def _start(rows: DataFrame) -> DataFrame:
     agg = rows.groupBy(*KEY).agg(*[F.percentile(x, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias(f"q_{i}") for i, x in enumerate(XS)])
     cols = {f"m_{i}": F.col(f"q_{i}")[1] for i in range(P)}
     for i, x in enumerate(XS):
-        spread = (F.col(f"q_{i}")[2] - F.col(f"q_{i}")[0]) / 2.563
+        spread = (F.col(f"q_{i}")[2] - F.col(f"q_{i}")[0]) / DECILES
         for j in range(i + 1):
             cols[f"l_{i}_{j}"] = F.sqrt(spread * spread + (FEATURES[x] * GRID) ** 2) if i == j else F.lit(0.0)
     return agg.select(*KEY, *[cols[k].alias(k) for k in _PARAMS])
@@ -203,15 +222,11 @@ def with_distance(rows: DataFrame, params: DataFrame) -> DataFrame:
     """Adds ``d2``, the squared Mahalanobis distance; null where the group has no estimate."""
     p = params.select(*[F.col(k).alias(f"_{k}") for k in KEY], *_PARAMS)
     df = rows.join(p, _on_key(), "left")
-    z = [f"({x} - m_{i}" + "".join(f" - l_{i}_{k} * z_{k}" for k in range(i)) + f") / l_{i}_{i} AS z_{i}" for i, x in enumerate(XS)]
-    d2 = " + ".join(f"z_{i} * z_{i}" for i in range(P))
-    return df.selectExpr(*[f"`{c}`" for c in rows.columns], *z, f"{d2} AS d2").select(*rows.columns, "d2")
+    return df.selectExpr(*[f"`{c}`" for c in rows.columns], *_distance_sql()).select(*rows.columns, "d2")
 
 
 def _moments(rows: DataFrame) -> DataFrame:
-    sums = [f"sum({x}) AS s_{i}" for i, x in enumerate(XS)]
-    sums += [f"sum({XS[i]} * {XS[j]}) AS s_{i}_{j}" for i in range(P) for j in range(i + 1)]
-    return rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), *map(F.expr, sums))
+    return rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), *map(F.expr, _sums_sql()))
 
 
 def _closest(rows: DataFrame, share: float, bins: int) -> DataFrame:
@@ -268,7 +283,7 @@ def judge(docs: DataFrame, carry: list[str], cfg: McdConfig = McdConfig(), lang:
 
 def op1_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge(common.documents(spark, sf_dir), ["doc_id"])
-    return out.select(F.col("row.doc_id").alias("doc_id"), *BASE, "base_failed", "kept", "distance2")
+    return out.select(F.col("row.doc_id").alias("doc_id"), *BASE, "base_failed", "kept", F.round("distance2", 4).alias("distance2"))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -276,3 +291,66 @@ def keep_good(docs: DataFrame) -> DataFrame:
     cols = docs.columns
     out = judge(docs, cols).where("kept")
     return out.select(*[F.col("row")[c].alias(c) for c in cols])
+
+
+def _nested(source: str, columns: list[str]) -> str:
+    """Each column in a query of its own over the one before, so that none is worked out twice."""
+    for c in columns:
+        source = f"SELECT *, {c} FROM ({source})"
+    return source
+
+
+def _oracle(cfg: McdConfig = McdConfig()) -> str:
+    """The same estimate with every step as a query, for DuckDB."""
+    key = ", ".join(KEY)
+    same = " AND ".join(f"r.{k} IS NOT DISTINCT FROM p.{k}" for k in KEY)
+    share = lambda a, b: f"CAST(floor(sqrt(least({a} / CAST({b} AS DOUBLE), 1)) * {GRID} + CAST(0.5 AS DOUBLE)) AS BIGINT)"
+    count = lambda chars: f"length(t) - length(regexp_replace(t, '[{chars}]', '', 'g'))"
+    chars, words, lines = "greatest(word_chars, 1)", "greatest(n_words, 1)", "greatest(n_lines, 1)"
+    steps = []
+
+    def distances(k: int, rows: str) -> str:
+        return _nested(f"SELECT r.*, p.* EXCLUDE ({key}) FROM {rows} r JOIN p{k} p ON {same}", _distance_sql())
+
+    inside = chi2_cdf(chi2_quantile(cfg.support, P), P + 2)
+    for k in range(cfg.steps):
+        steps.append(f"""
+x{k} AS (SELECT {key}, {', '.join(XS)}, floor(log2(1 + d2) * {cfg.bins}) AS bin FROM ({distances(k, 'clean')})),
+h{k} AS (SELECT {key}, bin, count(*) AS c FROM x{k} GROUP BY ALL),
+w{k} AS (SELECT *, coalesce(sum(c) OVER (PARTITION BY {key} ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below, sum(c) OVER (PARTITION BY {key}) AS total FROM h{k}),
+t{k} AS (SELECT {key}, max(bin) AS lim FROM w{k} WHERE below < total * {_real(cfg.support)} GROUP BY ALL),
+s{k} AS (SELECT {', '.join('r.' + c for c in KEY)}, count(*) AS n, {', '.join(_sums_sql())} FROM x{k} r JOIN t{k} p ON {same} WHERE bin <= lim GROUP BY ALL),
+p{k + 1} AS MATERIALIZED (SELECT {key}, {', '.join(_PARAMS)} FROM ({_nested(f'SELECT * FROM s{k}', _cholesky_sql(cfg.support / inside))}))""")
+    k, limit = cfg.steps, chi2_quantile(cfg.reweight, P)
+    last = f"""
+sr AS (SELECT {key}, count(*) AS n, {', '.join(_sums_sql())} FROM ({distances(k, 'clean')}) WHERE d2 <= {_real(limit)} GROUP BY {key}),
+p{k + 1} AS MATERIALIZED (SELECT {key}, {', '.join(_PARAMS)} FROM ({_nested('SELECT * FROM sr', _cholesky_sql(cfg.reweight / chi2_cdf(limit, P + 2)))}))"""
+    spread = [f"quantile_cont({x}, CAST({q} AS DOUBLE)) AS q_{i}_{j}" for i, x in enumerate(XS) for j, q in enumerate((0.1, 0.5, 0.9))]
+    start = [f"q_{i}_1 AS m_{i}" for i in range(P)] + [
+        f"sqrt((q_{i}_2 - q_{i}_0) / {_real(DECILES)} * ((q_{i}_2 - q_{i}_0) / {_real(DECILES)}) + {_real((FEATURES[x] * GRID) ** 2)}) AS l_{i}_{j}" if i == j else f"CAST(0 AS DOUBLE) AS l_{i}_{j}"
+        for i, x in enumerate(XS) for j in range(i + 1)]
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+') AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) AS ls FROM documents),
+win AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, w[i:i + {WINDOW - 1}]) AS c FROM (SELECT rid, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM d)),
+rep AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + {WINDOW})) AS j FROM win WHERE c > 1) GROUP BY rid),
+stu AS (SELECT rid, count_if(w[i] = w[i - 1]) AS n FROM (SELECT rid, w, unnest(range(2, len(w) + 1)) AS i FROM d) GROUP BY rid),
+b AS MATERIALIZED (SELECT d.rid, doc_id, lang, source, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, {count(SYMBOLS)} AS n_symbols,
+             len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines, coalesce(rep.n, 0) AS n_repeat_words, {count('!?.,;:')} AS n_marks,
+             len(regexp_extract_all(t, '\\p{{Lu}}')) AS n_upper, coalesce(stu.n, 0) AS n_stutter
+      FROM d LEFT JOIN rep ON d.rid = rep.rid LEFT JOIN stu ON d.rid = stu.rid),
+f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed,
+             {share('n_symbols', chars)} AS f_symbols, {share('n_upper', chars)} AS f_upper, {share('n_marks', chars)} AS f_marks,
+             CAST(floor(ln({chars} / CAST({words} AS DOUBLE)) * {GRID} + CAST(0.5 AS DOUBLE)) AS BIGINT) AS f_length,
+             {share('n_dup_lines', lines)} AS f_lines, {share('n_repeat_words', words)} AS f_repeat, {share('n_stutter', words)} AS f_stutter FROM b),
+z AS (SELECT lang, source, count(*) AS size FROM f WHERE NOT base_failed GROUP BY ALL),
+g AS MATERIALIZED (SELECT *, CASE WHEN NOT g_pooled THEN lang END AS g_lang, CASE WHEN NOT g_pooled THEN source END AS g_source
+      FROM (SELECT f.*, coalesce(size, 0) < {cfg.min_group} AS g_pooled FROM f LEFT JOIN z ON f.lang IS NOT DISTINCT FROM z.lang AND f.source IS NOT DISTINCT FROM z.source)),
+clean AS MATERIALIZED (SELECT * FROM (SELECT {key}, {', '.join(XS)}, count(*) OVER (PARTITION BY {key}) AS members FROM g WHERE NOT base_failed) WHERE members >= {cfg.min_group}),
+q AS (SELECT {key}, {', '.join(spread)} FROM clean GROUP BY ALL),
+p0 AS MATERIALIZED (SELECT {key}, {', '.join(start)} FROM q),{','.join(steps)},{last}
+SELECT doc_id, {', '.join(BASE)}, base_failed, NOT base_failed AND (d2 IS NULL OR d2 <= {_real(chi2_quantile(1 - cfg.tail, P))}) AS kept, round(d2, 4) AS distance2
+FROM ({_nested(f'SELECT r.*, p.* EXCLUDE ({key}) FROM g r LEFT JOIN p{k + 1} p ON {same}', _distance_sql())})"""
+
+
+ORACLE_SQL = _oracle()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from riskpipe.llm import common, mixing
+from riskpipe.llm import common, mixing, near_dups, outliers
 from riskpipe.llm.ann import op6_cross_polytope
 from riskpipe.llm.bpe_tree import op4_tree_bpe
 from riskpipe.llm.mixing import op7_pareto_mix
@@ -39,4 +39,9 @@ QUERIES = {name: _with_package(query) for name, query in {
     "op9_nbsvm_quality": op9_nbsvm_quality,
     "op10_fast_sketch_dedup": op10_fast_sketch_dedup,
 }.items()}
-ORACLE: dict[str, str] = {"op7_pareto_mix": mixing.ORACLE_SQL}
+#: The others: files, learned models, tokenizers and approximate search, held against plain versions in tests.
+ORACLE: dict[str, str] = {
+    "op1_mcd_quality": outliers.ORACLE_SQL,
+    "op7_pareto_mix": mixing.ORACLE_SQL,
+    "op10_fast_sketch_dedup": near_dups.ORACLE_SQL,
+}

@@ -123,7 +123,7 @@ def test_seating_has_the_right_mean():
         p[1] = 1
         for n in range(1, c):
             t = np.arange(c + 2)
-            new = a / (a + n - d * t)
+            new = np.where(t <= n, a / (a + n - d * np.minimum(t, n)), 0)
             p = p * (1 - new) + np.concatenate([[0], (p * new)[:-1]])
         return (p * np.arange(c + 2)).sum()
     rng = np.random.default_rng(0)
