@@ -186,12 +186,14 @@ def _partners(most: int):
         left = np.flatnonzero(group["left"].to_numpy(zero_copy_only=False))
         here = np.flatnonzero(group["here"].to_numpy(zero_copy_only=False))
         bits = np.frombuffer(b"".join(group["bits"].to_pylist()), np.uint8).reshape(-1, FINE)
+        bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)[:, :group["band"][0].as_py()]
         out_a, out_b, more = [], [], []
         theirs = bits[here]
         for i in left:
             agree = (theirs == bits[i]).sum(axis=1)
             at = np.flatnonzero((agree >= least) & (comp[here] != comp[i]))
-            # of two left-over classes in one block, one asks
+            # a pair is a matter of the first band it shares
+            at = at[~(bands[here[at]] == bands[i]).any(axis=1)]
             if len(at) > most:
                 at = at[np.argsort(-agree[at], kind="stable")]
             chosen = rep[here[at[:most]]]
@@ -212,7 +214,7 @@ def open_pairs(members: DataFrame, bits: DataFrame, labels: DataFrame, most: int
     rows = rows.join(top.select("key", F.col("top.comp").alias("main"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "key").join(bits, "rep")
     rows = rows.withColumn("left", F.col("comp") != F.col("main")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("block", F.explode(F.when(F.col("left"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))))
-    rows = rows.select("key", "block", "rep", "comp", "bits", "left", (F.col("block") == F.col("own")).alias("here"))
+    rows = rows.select("key", "band", "block", "rep", "comp", "bits", "bands", "left", (F.col("block") == F.col("own")).alias("here"))
     found = rows.groupBy("key", "block").applyInArrow(_partners(most), "a long, b long, more boolean")
     return found.groupBy("a", "b").agg(F.max("more").alias("more"))
 
@@ -222,14 +224,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     own = common.stored(docs.mapInArrow(_sketch_rows, "doc_id long, n long, digest binary, bands array<long>"), "sketches")
     classes = common.stored(own.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = own.where("n > 0").join(classes, "digest").where("doc_id = rep").dropDuplicates(["rep"])
-    keys = reps.select("rep", F.explode("bands").alias("key"))
+    reps = common.stored(own.where("n > 0").join(classes, "digest").where("doc_id = rep").dropDuplicates(["rep"]).select("rep", "bands"), "reps")
+    keys = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     shared = keys.groupBy("key").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = common.stored(keys.join(shared, "key").select("key", "rep", "least"), "members")
+    members = common.stored(keys.join(shared, "key").select("key", "band", "rep", "least"), "members")
     involved = common.stored(members.select("rep").distinct(), "involved")
     sets = common.stored(docs.join(involved.withColumnRenamed("rep", "doc_id"), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
                          .mapInArrow(_set_rows, "rep long, shingles binary, bits binary"), "sets")
-    bits, sets = sets.select("rep", "bits"), sets.select("rep", "shingles")
+    bits, sets = common.stored(sets.select("rep", "bits").join(reps, "rep"), "bits"), sets.select("rep", "shingles")
     # the first round: one partner each
     met = members.where("least < rep").groupBy("rep", "least").agg(F.count(F.lit(1)).alias("n"))
     first = met.groupBy("rep").agg(F.max(F.struct("n", -F.col("least"))).alias("best")).select((-F.col("best.col2")).alias("a"), F.col("rep").alias("b"))
