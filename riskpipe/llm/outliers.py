@@ -55,7 +55,7 @@ class McdConfig:
     support: float = 0.75       # share of a group that the determinant is minimised over
     steps: int = 4              # concentration steps, then one reweighting step
     reweight: float = 0.975     # chi-square quantile of the reweighting step
-    tail: float = 1e-8          # share of clean documents that the cutoff gives up, were they normal
+    tail: float = 1e-3          # share of clean documents that the cutoff gives up, were they normal
     min_group: int = 20 * P
     bins: int = 64              # histogram bins per doubling of the distance
 
