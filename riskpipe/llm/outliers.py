@@ -238,7 +238,7 @@ def _closest(rows: DataFrame, share: float, bins: int) -> DataFrame:
                           F.sum("c").over(by).alias("total"))
     limit = (below.where(F.coalesce(F.col("below"), F.lit(0)) < F.col("total") * share)
              .groupBy(*[F.col(k).alias(f"_{k}") for k in KEY]).agg(F.max("bin").alias("limit")))
-    return rows.join(limit, _on_key()).where(F.col("bin") <= F.col("limit"))
+    return rows.join(common.stored(limit, "mcd"), _on_key()).where(F.col("bin") <= F.col("limit"))
 
 
 def fit(rows: DataFrame, cfg: McdConfig = McdConfig()) -> DataFrame:
@@ -261,17 +261,15 @@ def judge(docs: DataFrame, carry: list[str], cfg: McdConfig = McdConfig(), lang:
     df = df.select(F.struct(*[F.col("row")[c].alias(c) for c in carry]).alias("row"),
                    F.col("row")[lang].alias("lang"), F.col("row")[source].alias("source"), *BASE, "base_failed", *XS)
     df = common.stored(df, "statistics")
-    sizes = (df.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("size"))
-             .select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "size"))
-    pooled = F.coalesce(F.col("size"), F.lit(0)) < cfg.min_group
-    df = (df.join(sizes, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
-          .withColumn("g_pooled", pooled)
-          .withColumn("g_lang", F.when(~F.col("g_pooled"), F.col("lang")))
-          .withColumn("g_source", F.when(~F.col("g_pooled"), F.col("source")))
-          .drop("_l", "_s", "size"))
-    clean = df.where(~F.col("base_failed")).select(*KEY, *XS)
-    few = clean.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= cfg.min_group).select(*[F.col(k).alias(f"_{k}") for k in KEY])
-    params = fit(clean.join(few, _on_key(), "left_semi"), cfg)
+    # a row for each (language, source): its group and the documents in it
+    groups = df.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("size"))
+    groups = groups.selectExpr("lang AS _l", "source AS _s", "size", f"size < {cfg.min_group} AS g_pooled")
+    groups = groups.selectExpr("*", "CASE WHEN NOT g_pooled THEN _l END AS g_lang", "CASE WHEN NOT g_pooled THEN _s END AS g_source")
+    groups = common.stored(groups.withColumn("members", F.sum("size").over(Window.partitionBy(*KEY))), "groups")
+    df = (df.join(groups, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
+          .withColumn("g_pooled", F.coalesce("g_pooled", F.lit(True))).drop("_l", "_s", "size"))
+    clean = df.where(~F.col("base_failed") & (F.col("members") >= cfg.min_group)).select(*KEY, *XS)
+    params = fit(common.stored(clean, "vectors"), cfg)
     limit = chi2_quantile(1 - cfg.tail, P)
     out = with_distance(df, params)
     return out.select("row", *BASE, "base_failed", F.col("d2").alias("distance2"),
