@@ -101,6 +101,16 @@ def sketches(values: np.ndarray, ends: np.ndarray, t: int = T) -> np.ndarray:
     return out
 
 
+def fine_bits(values: np.ndarray, ends: np.ndarray, at_once: int = 256) -> np.ndarray:
+    """A byte of each coordinate of the fine sketches, made for a few sets at a time: they are large beside short texts."""
+    starts = np.concatenate([[0], ends[:-1]])
+    out = np.empty((len(ends), FINE), np.uint8)
+    for i in range(0, len(ends), at_once):
+        e = ends[i:i + at_once]
+        out[i:i + at_once] = wordhash.mix(sketches(values[starts[i]:e[-1]], e - starts[i], FINE)) >> np.uint64(56)
+    return out
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int = LINK_PERCENT) -> bool:
     """Whether two sorted sets have a Jaccard similarity of at least ``percent`` hundredths."""
     if not len(a) or not len(b) or 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
@@ -132,7 +142,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, texts in wordhash.chunks(batch):
             values, ends = shingle_sets(texts)
-            bits = (wordhash.mix(sketches(values, ends, FINE)) >> np.uint64(56)).astype(np.uint8)
+            bits = fine_bits(values, ends)
             yield pa.RecordBatch.from_arrays(
                 [rows["doc_id"].cast(pa.int64()), pa.array([x.astype("<u8").tobytes() for x in np.split(values, ends[:-1])], pa.binary()),
                  pa.array([b.tobytes() for b in bits], pa.binary())], names=["rep", "shingles", "bits"])

@@ -91,6 +91,11 @@ def test_sets_and_sketches():
         assert (row == none).all() if not shingles(t) else (row != none).all()
 
 
+def test_fine_bits_do_not_depend_on_the_slices():
+    values, ends = N.shingle_sets([(t or "").encode() for t in ODD] * 3)
+    assert (N.fine_bits(values, ends, 4) == N.fine_bits(values, ends, 1000)).all()
+
+
 def test_sketches_estimate_similarity():
     """Unbiased and concentrated like independent coordinates, for small and large sets."""
     rng = np.random.default_rng(5)
