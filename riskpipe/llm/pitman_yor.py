@@ -1,7 +1,7 @@
 """Operator 8: language-model scores from a hierarchical Pitman-Yor model.
 
-Tokens are a text's words and one end.  The restaurant of a context (the class of the
-previous token, by hash, among ``CLASSES``) seats the tokens that follow it; its new
+Tokens are a text's words and one end.  The restaurant of a context (the whole previous
+token, by its 64-bit hash) seats the tokens that follow it; its new
 tables send customers to one restaurant that all contexts share, whose new tables come
 from a uniform base over the known words and one unknown.  With counts c, tables t,
 discount d, strength s and the parent's probability P of the token,
@@ -22,8 +22,11 @@ random remainder.  Scores use the mean of the predictive probabilities of the sw
 Layout.  The corpus is packed once, by blocks of documents, into tokens per shard; all
 occurrences of a word fall into one shard, where its counts are complete.  Words so frequent
 that they would weigh on a shard are spread by context, and pairs that frequent by block;
-the totals of those (at most a few per shard) are summed over shards like the totals of the
-contexts.  What every task gets is those lists and two arrays of ``CLASSES`` numbers a sweep.
+the totals of those (at most a few per shard) are summed on the driver and sent to every task.
+The customers and tables of the contexts grow with the vocabulary and stay in tables: after a
+sweep each shard sends one sum for each of its contexts to the range of hashes that the context
+falls into, which adds them up and answers each shard, and the next pass joins the answers to
+the shards.  A frequent context is so at most one number a shard.
 A document's score is the sum of what the shards found for it, gathered by block.
 
 Defined results: a null or empty text is the end alone; documents without an id belong to the
@@ -43,8 +46,6 @@ from pyspark.sql import functions as F
 
 from riskpipe.llm import common, labelled, wordhash
 
-CLASS_BITS = 16
-CLASSES = 1 << CLASS_BITS
 STRENGTH = (1.0, 1.0)     # of the context restaurants and of the shared one
 SWEEPS, BURN_IN = 3, 1
 EXACT = 64
@@ -52,7 +53,7 @@ BLOCK_BYTES, BLOCK_DOCS = 1 << 22, 1 << 14
 HOT = 4                   # a word or pair is spread from 1/HOT of a shard's share on
 
 _U = np.uint64
-END, BEGIN = _U(0x8F1BBCDCCA62C1D6), CLASSES - 1
+END, BEGIN = _U(0x8F1BBCDCCA62C1D6), _U(0xFFFFFFFFFFFFFFFF)  # BEGIN: the context of a first token, last in order
 
 
 def _u(x: int) -> np.uint64:
@@ -72,19 +73,39 @@ def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
 
 
+def _planes(x: np.ndarray) -> np.ndarray:
+    """Sorted hashes as the bytes of their differences, by place: high places are mostly 0."""
+    return np.ascontiguousarray(np.diff(x, prepend=_U(0)).view(np.uint8).reshape(-1, 8).T)
+
+
+def _sorted(planes: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).view(_U).ravel(), dtype=_U)
+
+
+def _raw(x: np.ndarray) -> bytes:
+    """Numbers with the letter of their type before them; whole ones as small as they can be."""
+    whole = np.rint(x).astype(np.int64)
+    x = _small(whole) if (whole == x).all() else x.astype(np.float64)
+    return x.dtype.char.encode() + x.tobytes()
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, chr(data[0]), offset=1).astype(np.float64)
+
+
 # -- blocks and shards ------------------------------------------------------------------------
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token hashes (words, then END), the class of the token before (BEGIN at the start), and the number per text."""
+    """Token hashes (words, then END), the token before (BEGIN at the start), and the number per text."""
     w = wordhash.words(texts)
     n = w.per_doc() + 1
     last = np.cumsum(n) - 1
     tok = np.empty(int(n.sum()), _U)
     tok[np.arange(len(w.doc)) + w.doc] = w.hash
     tok[last] = END
-    ctx = np.empty(len(tok), np.int64)
-    ctx[1:] = (wordhash.mix(tok[:-1]) >> _U(64 - CLASS_BITS)).astype(np.int64)
+    ctx = np.empty(len(tok), _U)
+    ctx[1:] = tok[:-1]
     ctx[np.concatenate([[0], last[:-1] + 1])] = BEGIN
     return tok, ctx, n
 
@@ -95,8 +116,10 @@ def pair_hash(tok: np.ndarray, ctx: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Block:
-    """Distinct tokens; pairs (token, context) in their order; entries (pair, text) with the times the text has the pair."""
+    """Distinct tokens, and contexts (BEGIN after them); pairs (token, context) in their order, by their places there;
+    entries (pair, text) with the times the text has the pair."""
     words: np.ndarray
+    contexts: np.ndarray
     word: np.ndarray
     ctx: np.ndarray
     entry_pair: np.ndarray
@@ -108,15 +131,18 @@ class Block:
 def block(texts: list[bytes]) -> Block:
     tok, ctx, n = tokens(texts)
     words, at = np.unique(tok, return_inverse=True)
+    before = np.concatenate([[len(words)], at[:-1]])
+    before[ctx == BEGIN] = len(words)
     doc = np.repeat(np.arange(len(texts), dtype=np.int64), n)
-    key = np.sort((at.astype(np.int64) << (CLASS_BITS + 14)) | (ctx << 14) | doc)
+    doc_bits, ctx_bits = len(texts).bit_length(), len(words).bit_length()
+    key = np.sort((at.astype(np.int64) << (ctx_bits + doc_bits)) | (before << doc_bits) | doc)
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     entry = key[first]
-    pair = entry >> 14
+    pair = entry >> doc_bits
     new = np.concatenate([[True], pair[1:] != pair[:-1]])
     pairs = pair[new]
-    return Block(words, pairs >> CLASS_BITS, pairs & (CLASSES - 1), np.cumsum(new) - 1, entry & ((1 << 14) - 1),
-                 np.diff(np.concatenate([first, [len(key)]])), n)
+    return Block(words, np.concatenate([words, [BEGIN]]), pairs >> ctx_bits, pairs & ((1 << ctx_bits) - 1), np.cumsum(new) - 1,
+                 entry & ((1 << doc_bits) - 1), np.diff(np.concatenate([first, [len(key)]])), n)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, list[bytes]]]:
@@ -156,7 +182,7 @@ def frequent(docs: DataFrame, shards: int) -> Hot:
             least = max(2, times.sum() // (2 * HOT * shards))
             w, p = np.flatnonzero(by_word >= least), np.flatnonzero(times >= least)
             kind = np.concatenate([np.zeros(1), np.ones(len(w)), np.full(len(p), 2)]).astype(np.int32)
-            value = np.concatenate([np.zeros(1, _U), b.words[w], pair_hash(b.words[b.word[p]], b.ctx[p])])
+            value = np.concatenate([np.zeros(1, _U), b.words[w], pair_hash(b.words[b.word[p]], b.contexts[b.ctx[p]])])
             count = np.concatenate([[times.sum()], by_word[w], times[p]])
             yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(value.view(np.int64)), pa.array(count.astype(np.int64))], names=["kind", "value", "n"])
 
@@ -188,7 +214,7 @@ def sharded(docs: DataFrame, held_out, shards: int, hot: Hot) -> DataFrame:
             b = block(texts)
             train = ~rows["held_out"].to_numpy(zero_copy_only=False)
             words = b.words[b.word]
-            pairs = pair_hash(words, b.ctx)
+            pairs = pair_hash(words, b.contexts[b.ctx])
             counts = np.bincount(b.entry_pair, weights=b.times * train[b.entry_doc], minlength=len(pairs)).astype(np.int64)
             entries = np.bincount(b.entry_pair, minlength=len(pairs))
             shard_hash = wordhash.mix(words + _U(5))
@@ -205,8 +231,9 @@ def sharded(docs: DataFrame, held_out, shards: int, hot: Hot) -> DataFrame:
                 p = order[bounds[s]:bounds[s + 1]]
                 e = np.repeat(starts[p] - (np.cumsum(entries[p]) - entries[p]), entries[p]) + np.arange(int(entries[p].sum()))
                 u, per = np.unique(b.word[p], return_counts=True)
+                c, ctx = np.unique(b.ctx[p], return_inverse=True)
                 out_key.append(int(keys[s]))
-                out_blob.append(_pack(b.words[u], _small(per), b.ctx[p].astype(np.uint16), _small(counts[p]), _small(entries[p]),
+                out_blob.append(_pack(_planes(b.words[u]), _small(per), _planes(b.contexts[c]), _small(ctx), _small(counts[p]), _small(entries[p]),
                                       b.entry_doc[e].astype(np.uint16), _small(b.times[e])))
             ids = rows["doc_id"]
             about = _pack(ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), ~train, b.n)
@@ -222,19 +249,20 @@ def sharded(docs: DataFrame, held_out, shards: int, hot: Hot) -> DataFrame:
         rows = _shard_rows([shard] * len(out), [b for b, _ in out], *[pa.nulls(len(out), pa.binary())] * 2, [x for _, x in out])
         if not of_shard:
             return pa.Table.from_batches([rows])
-        word = np.concatenate([np.repeat(x[0], x[1]) for _, x in of_shard])
-        ctx = np.concatenate([x[2] for _, x in of_shard])
-        count = np.concatenate([x[3].astype(np.int64) for _, x in of_shard])
+        word = np.concatenate([np.repeat(_sorted(x[0]), x[1]) for _, x in of_shard])
+        count = np.concatenate([x[4].astype(np.int64) for _, x in of_shard])
         words, at = np.unique(word, return_inverse=True)
-        key = (at.astype(np.int64) << CLASS_BITS) | ctx
-        pairs, gid = np.unique(key, return_inverse=True)
-        per = np.bincount(pairs >> CLASS_BITS, minlength=len(words))
-        merged = _pack(words, _small(per), (pairs & (CLASSES - 1)).astype(np.uint16), _small(np.bincount(gid, weights=count).astype(np.int64)))
+        contexts, ctx = np.unique(np.concatenate([_sorted(x[2])[x[3]] for _, x in of_shard]), return_inverse=True)
+        bits = len(contexts).bit_length()
+        pairs, gid = np.unique((at.astype(np.int64) << bits) | ctx, return_inverse=True)
+        per = np.bincount(pairs >> bits, minlength=len(words))
+        merged = _pack(shard, _planes(words), _small(per), _planes(contexts), _small(pairs & ((1 << bits) - 1)),
+                       _small(np.bincount(gid, weights=count).astype(np.int64)))
         entries, done = [], 0
         for number, x in of_shard:
-            g = gid[done:done + len(x[2])]
-            done += len(x[2])
-            entries.append((number, _small(np.diff(g, prepend=0)), x[4], x[5], x[6]))
+            g = gid[done:done + len(x[3])]
+            done += len(x[3])
+            entries.append((number, _small(np.diff(g, prepend=0)), x[5], x[6], x[7]))
         one = _shard_rows([shard], [-1], [merged], [_pack(entries)], pa.nulls(1, pa.binary()))
         return pa.Table.from_batches([one, rows])
 
@@ -271,10 +299,31 @@ def seat(c: np.ndarray, a: np.ndarray, d: float, key: np.ndarray, sweep: int) ->
     return np.minimum(t, c)
 
 
+@dataclass
+class ByContext:
+    """A number for each context, in a table: what each shard was told about its contexts, by ranges of their hashes."""
+    table: DataFrame
+    shards: DataFrame
+
+    def __getstate__(self):
+        return {}  # a task gets the numbers of its shard joined
+
+    def of(self, shard: int) -> np.ndarray:
+        rows = self.table.where(f"shard = {shard}").select("k", "x").collect()
+        return np.concatenate([_numbers(bytes(r.x)) for r in sorted(rows)])
+
+    def __getitem__(self, context) -> float:
+        def run(sh: Shard, _) -> pa.Table:
+            return pa.table({"x": sh.told[0][sh.contexts == _u(int(context))]})
+
+        row = _joined(self.shards, State(), [self], run, "x double").first()
+        return row.x if row else 0.0
+
+
 @dataclass
 class Sweep:
     """Totals of one sweep: tables by context; customers and tables of the shared restaurant; customers of spread tokens."""
-    tables: np.ndarray
+    tables: ByContext
     customers: float
     shared: float
     spread: np.ndarray
@@ -282,14 +331,20 @@ class Sweep:
 
 @dataclass
 class State:
-    hot: Hot
-    customers: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES))   # by context
+    hot: Hot = field(default_factory=lambda: Hot(np.zeros(0, _U), np.zeros(0, _U)))
+    customers: ByContext | None = None        # by context
     n: int = 0
     v: int = 0
     discount: tuple[float, float] = (0.5, 0.5)
     word_counts: np.ndarray = field(default_factory=lambda: np.zeros(0))       # of spread tokens
     pair_counts: np.ndarray = field(default_factory=lambda: np.zeros(0))       # of spread pairs
     sweeps: list[Sweep] = field(default_factory=list)
+    keys: list[int] = field(default_factory=list)                              # of the ranges of context hashes
+
+    @property
+    def told(self) -> list[ByContext]:
+        """What shards are told about their contexts: customers, then tables by sweep."""
+        return [self.customers, *(x.tables for x in self.sweeps)] if self.customers else []
 
     @property
     def base(self) -> float:
@@ -299,12 +354,15 @@ class State:
 class Shard:
     """The pairs of one shard, and what a state makes of them."""
 
-    def __init__(self, data: bytes, state: State):
-        self.words, per, ctx, count = _unpack(data)
+    def __init__(self, data: bytes, state: State, told: list[np.ndarray] | None = None):
+        self.number, words, per, contexts, at, count = _unpack(data)
         self.s = state
-        self.ctx = ctx.astype(np.int64)
+        self.words, self.contexts = _sorted(words), _sorted(contexts)
+        self.told = [x.of(self.number) for x in state.told] if told is None else told
+        self.at = at.astype(np.int64)
+        self.ctx = self.contexts[self.at]
         self.local = count.astype(np.float64)
-        self.word = np.repeat(np.arange(len(per)), per)
+        self.word = np.repeat(np.arange(len(per)), per.astype(np.int64))
         self.pair = pair_hash(self.words[self.word], self.ctx)
         self.hot_word = _is_in(self.words, state.hot.words)
         self.hot_pair = _is_in(self.pair, state.hot.pairs)
@@ -315,6 +373,10 @@ class Shard:
         if len(state.word_counts):
             self.word_count[self.hot_word] = state.word_counts[np.searchsorted(state.hot.words, self.words[self.hot_word])]
 
+    def tables(self, sweep: int) -> np.ndarray:
+        """Tables of each pair's context."""
+        return self.told[1 + sweep][self.at]
+
     def own(self) -> np.ndarray:
         """Pairs that this shard answers for: spread pairs belong to the shard that their hash gives, as a share each."""
         return np.where(self.hot_pair & (self.count > 0), self.local / np.maximum(self.count, 1), 1.0)
@@ -348,7 +410,7 @@ class Shard:
         t = np.minimum(self.count, 1)
         for i in range(upto + 1):
             if i:
-                a = (STRENGTH[0] + d * s.sweeps[i - 1].tables[self.ctx]) * p[self.word]  # noqa: F821
+                a = (STRENGTH[0] + d * self.tables(i - 1)) * p[self.word]  # noqa: F821
                 t = seat(self.count, a, d, self.pair, i)
             m = self.customers(i, t)
             p = self.parent(i, m) if i < len(s.sweeps) else None
@@ -356,33 +418,72 @@ class Shard:
 
 
 _TOTAL = "kind int, value long, x double"
-_CONTEXT, _SHARED, _SPREAD, _COUNTS, _PAIRS = range(5)
+_SHARED, _SPREAD, _COUNTS, _PAIRS = range(4)
+_SENT = "key int, k int, shard int, contexts binary, x binary, sums binary"
+_TOLD = "k int, shard int, x binary, sums binary"
 
 
-def _totals(kind: int, value: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(value), kind, np.int32)), pa.array(value.astype(np.int64)), pa.array(x.astype(np.float64))], names=["kind", "value", "x"])
+def _table(schema: str, rows: list[tuple]) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+    cols = list(zip(*rows, strict=True)) or [[]] * (schema.count(",") + 1)
+    return pa.table({(f := c.split())[0]: pa.array(x, kinds[f[1]]) for c, x in zip(schema.split(", "), cols, strict=True)})
 
 
-def _summed(shards: DataFrame, state: State, run) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Sums over shards of what ``run(Shard)`` returns, as (kind, value, x) arrays; bounded by the classes and spread lists."""
+def _joined(shards: DataFrame, state: State, told: list[ByContext], run, schema: str, entries: bool = False) -> DataFrame:
+    """``run(Shard, entries)`` of every shard, with what it was told about its contexts."""
     shared = shards.sparkSession.sparkContext.broadcast(state)
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+    none = F.lit(None).cast("binary").alias("entries")
+    parts = shards.where("pairs IS NOT NULL").select("shard", F.lit(-1).alias("number"), F.lit(0).alias("k"), F.col("pairs").alias("data"), F.col("entries") if entries else none)
+    for i, x in enumerate(told):
+        parts = parts.unionByName(x.table.where("shard IS NOT NULL").select("shard", F.lit(i).alias("number"), "k", F.col("x").alias("data"), none))
+
+    def task(table: pa.Table) -> pa.Table:
+        number, data = table["number"].to_numpy(), table["data"]
+        order = np.lexsort([table["k"].to_numpy(), number])
+        got = [np.concatenate([_numbers(data[int(j)].as_py()) for j in order if number[j] == i]) for i in range(len(told))]
+        first = int(order[0])
+        return run(Shard(data[first].as_py(), shared.value, got), table["entries"][first].as_py())
+
+    return parts.groupBy("shard").applyInArrow(task, schema)
+
+
+def _exchanged(shards: DataFrame, state: State, run) -> tuple[ByContext, dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """``run(Shard)`` gives a number for each context of the shard and (kind, x) arrays bounded by the spread lists:
+    the sums over shards of the former in a table, of the latter here."""
+    spark, keys = shards.sparkSession, state.keys
+    starts = np.array([-(-k * (1 << 64) // len(keys)) for k in range(len(keys))], _U)  # of the ranges of hashes
+
+    def send(sh: Shard, _) -> pa.Table:
+        by_context, sums = run(sh)
+        bounds = np.append(np.searchsorted(sh.contexts, starts), len(sh.contexts))
+        rows = [(keys[k], k, sh.number, _planes(sh.contexts[bounds[k]:bounds[k + 1]]).tobytes(), _raw(by_context[bounds[k]:bounds[k + 1]]), None)
+                for k in np.flatnonzero(np.diff(bounds)).tolist()]
+        found = [(kind, at := np.flatnonzero(x), x[at]) for kind, x in sums]
+        return _table(_SENT, [*rows, (keys[sh.number % len(keys)], None, None, None, None, _pack(*found))])
+
+    def answer(table: pa.Table) -> pa.Table:
+        sums = [(None, None, None, x.as_py()) for x in table["sums"] if x.is_valid]
+        sent = [r for r in zip(*[table[c].to_pylist() for c in ("k", "shard", "contexts", "x")], strict=True) if r[0] is not None]
+        if not sent:
+            return _table(_TOLD, sums)
+        contexts = [_sorted(np.frombuffer(c, np.uint8)) for _, _, c, _ in sent]
+        _, at = np.unique(np.concatenate(contexts), return_inverse=True)
+        # whole numbers, or shares that add up to such; the order of the rows does not show
+        total = np.rint(np.bincount(at, weights=np.concatenate([_numbers(x) for *_, x in sent])))[at]
+        ends = np.cumsum([len(c) for c in contexts])
+        return _table(_TOLD, [*sums, *((k, shard, _raw(total[e - len(c):e]), None) for (k, shard, _, _), c, e in zip(sent, contexts, ends, strict=True))])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data in batch["pairs"]:
-                if data.is_valid:
-                    for kind, x in run(Shard(data.as_py(), shared.value)):
-                        sums[kind] = sums[kind] + x if kind in sums else x
-        for kind, x in sums.items():
-            at = np.flatnonzero(x)
-            yield _totals(kind, at, x[at])
-
-    # sums of whole numbers, or of shares rounded below; the order of the tasks does not show
-    got = shards.select("pairs").where("pairs IS NOT NULL").mapInArrow(task, _TOTAL).groupBy("kind", "value").agg(F.sum("x").alias("x")).toArrow()
+            for data in batch["sums"]:
+                for kind, value, x in _unpack(data.as_py()):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), kind, np.int32)), pa.array(value.astype(np.int64)), pa.array(x.astype(np.float64))], names=["kind", "value", "x"])
+
+    table = common.stored(_joined(shards, state, state.told, send, _SENT).groupBy("key").applyInArrow(answer, _TOLD), "contexts")
+    got = table.where("sums IS NOT NULL").select("sums").mapInArrow(unpack, _TOTAL).groupBy("kind", "value").agg(F.sum("x").alias("x")).toArrow()
+    spark._jvm.System.gc()  # so that Spark deletes the shuffled files of this pass
     kind, value, x = (got[c].to_numpy() for c in ("kind", "value", "x"))
-    shared.unpersist()
-    return {k: (value[kind == k], np.round(x[kind == k], 6)) for k in range(5)}
+    return ByContext(table, shards), {k: (value[kind == k], np.round(x[kind == k], 6)) for k in range(4)}
 
 
 def _dense(got: tuple[np.ndarray, np.ndarray], size: int) -> np.ndarray:
@@ -393,21 +494,21 @@ def _dense(got: tuple[np.ndarray, np.ndarray], size: int) -> np.ndarray:
 
 def count(shards: DataFrame, hot: Hot) -> State:
     """Counts, sizes and discounts (from the numbers of pairs and tokens met once and twice)."""
-    state = State(hot)
+    spark = shards.sparkSession
+    state = State(hot, keys=spread_keys(spark, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     def local(sh: Shard):
-        yield _CONTEXT, np.bincount(sh.ctx, weights=sh.local, minlength=CLASSES)
         cold = ~sh.hot_word
         w = np.bincount(sh.word, weights=sh.local, minlength=len(sh.words))
         cp = sh.local[~sh.hot_pair]
-        yield _COUNTS, np.array([sh.local.sum(), (w[cold] > 0).sum(), (cp == 1).sum(), (cp == 2).sum(), 0, 0], float)
         pairs_of = np.bincount(sh.word, weights=sh.local > 0, minlength=len(sh.words))[cold]
-        yield _SHARED, np.array([(pairs_of == 1).sum(), (pairs_of == 2).sum()], float)
-        yield _SPREAD, np.bincount(np.searchsorted(hot.words, sh.words[sh.hot_word]), weights=w[sh.hot_word], minlength=len(hot.words))
-        yield _PAIRS, np.bincount(np.searchsorted(hot.pairs, sh.pair[sh.hot_pair]), weights=sh.local[sh.hot_pair], minlength=len(hot.pairs))
+        return np.bincount(sh.at, weights=sh.local, minlength=len(sh.contexts)), [
+            (_COUNTS, np.array([sh.local.sum(), (w[cold] > 0).sum(), (cp == 1).sum(), (cp == 2).sum(), 0, 0], float)),
+            (_SHARED, np.array([(pairs_of == 1).sum(), (pairs_of == 2).sum()], float)),
+            (_SPREAD, np.bincount(np.searchsorted(hot.words, sh.words[sh.hot_word]), weights=w[sh.hot_word], minlength=len(hot.words))),
+            (_PAIRS, np.bincount(np.searchsorted(hot.pairs, sh.pair[sh.hot_pair]), weights=sh.local[sh.hot_pair], minlength=len(hot.pairs)))]
 
-    got = _summed(shards, state, local)
-    state.customers = _dense(got[_CONTEXT], CLASSES)
+    state.customers, got = _exchanged(shards, state, local)
     counts, once = _dense(got[_COUNTS], 6), _dense(got[_SHARED], 2)
     state.word_counts, state.pair_counts = _dense(got[_SPREAD], len(hot.words)), _dense(got[_PAIRS], len(hot.pairs))
     state.n = int(counts[0])
@@ -424,18 +525,17 @@ def sweep(shards: DataFrame, state: State) -> Sweep:
 
     def tables(sh: Shard):
         *_, (t, m, _) = sh.chain(i)
-        own = t * sh.own()
-        yield _CONTEXT, np.bincount(sh.ctx, weights=own, minlength=CLASSES)
         cold = ~sh.hot_word
-        yield _SHARED, np.array([m[cold].sum(), sh._shared(i, m)[cold].sum()])
-        yield _SPREAD, np.bincount(np.searchsorted(hot.words, sh.words[sh.hot_word]), weights=m[sh.hot_word], minlength=len(hot.words))
+        return np.bincount(sh.at, weights=t * sh.own(), minlength=len(sh.contexts)), [
+            (_SHARED, np.array([m[cold].sum(), sh._shared(i, m)[cold].sum()])),
+            (_SPREAD, np.bincount(np.searchsorted(hot.words, sh.words[sh.hot_word]), weights=m[sh.hot_word], minlength=len(hot.words)))]
 
-    got = _summed(shards, state, tables)
+    by_context, got = _exchanged(shards, state, tables)
     spread = _dense(got[_SPREAD], len(hot.words))
     cold = _dense(got[_SHARED], 2)
     a = (STRENGTH[1] + state.discount[1] * state.sweeps[i - 1].shared) * state.base if i else 0.0
     own = seat(np.rint(spread), np.full(len(spread), a), state.discount[1], wordhash.mix(hot.words + _U(3)), i) if i else np.minimum(spread, 1)
-    return Sweep(_dense(got[_CONTEXT], CLASSES), float(cold[0] + spread.sum()), float(cold[1] + own.sum()), spread)
+    return Sweep(by_context, float(cold[0] + spread.sum()), float(cold[1] + own.sum()), spread)
 
 
 def fit(shards: DataFrame, hot: Hot, sweeps: int = SWEEPS) -> State:
@@ -454,7 +554,7 @@ def predictive(sh: Shard, burn_in: int = BURN_IN) -> np.ndarray:
     total, used = np.zeros(len(sh.ctx)), 0
     for i, (t, _, p) in enumerate(sh.chain(len(s.sweeps) - 1)):
         if i > burn_in or len(s.sweeps) <= burn_in + 1:
-            total += (sh.count - d * t + (STRENGTH[0] + d * s.sweeps[i].tables[sh.ctx]) * p[sh.word]) / (STRENGTH[0] + s.customers[sh.ctx])
+            total += (sh.count - d * t + (STRENGTH[0] + d * sh.tables(i)) * p[sh.word]) / (STRENGTH[0] + sh.told[0][sh.at])
             used += 1
     return total / used
 
@@ -462,30 +562,24 @@ def predictive(sh: Shard, burn_in: int = BURN_IN) -> np.ndarray:
 _RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
+_PARTS = "block long, part binary, docs binary"
+
+
 def scores(shards: DataFrame, state: State) -> DataFrame:
     """One row per document of the shards' blocks."""
     shared = shards.sparkSession.sparkContext.broadcast(state)
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = shared.value
-        for batch in batches:
-            for number, pairs, entries, about in zip(*[batch[c] for c in ("block", "pairs", "entries", "docs")], strict=True):
-                if about.is_valid:
-                    yield pa.RecordBatch.from_arrays([pa.array([number.as_py()], pa.int64()), pa.nulls(1, pa.binary()), pa.array([about.as_py()], pa.binary())], names=["block", "part", "docs"])
-                if not pairs.is_valid:
-                    continue
-                sh = Shard(pairs.as_py(), s)
-                model, base = np.log10(predictive(sh)), np.log10(sh.word_count + 1)[sh.word]
-                known = (sh.word_count > 0)[sh.word]
-                blocks, blobs = [], []
-                for number_, step, per, doc, times in _unpack(entries.as_py())[0]:
-                    g = np.repeat(np.cumsum(step.astype(np.int64)), per)
-                    doc = doc.astype(np.int64)
-                    sums = [np.bincount(doc, weights=x[g] * times) for x in (known, base, model)]
-                    at = np.flatnonzero(np.bincount(doc))
-                    blocks.append(number_)
-                    blobs.append(_pack(at.astype(np.uint16), _small(sums[0][at].astype(np.int64)), sums[1][at], sums[2][at]))
-                yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(blobs, pa.binary()), pa.nulls(len(blocks), pa.binary())], names=["block", "part", "docs"])
+    def partial(sh: Shard, entries: bytes) -> pa.Table:
+        model, base = np.log10(predictive(sh)), np.log10(sh.word_count + 1)[sh.word]
+        known = (sh.word_count > 0)[sh.word]
+        out = []
+        for number, step, per, doc, times in _unpack(entries)[0]:
+            g = np.repeat(np.cumsum(step.astype(np.int64)), per)
+            doc = doc.astype(np.int64)
+            sums = [np.bincount(doc, weights=x[g] * times) for x in (known, base, model)]
+            at = np.flatnonzero(np.bincount(doc))
+            out.append((number, _pack(at.astype(np.uint16), _small(sums[0][at].astype(np.int64)), sums[1][at], sums[2][at]), None))
+        return _table(_PARTS, out)
 
     def gather(table: pa.Table) -> pa.Table:
         s = shared.value
@@ -500,7 +594,9 @@ def scores(shards: DataFrame, state: State) -> DataFrame:
         return pa.table([pa.array(ids, pa.int64(), mask=null), pa.array(held), pa.array(n, pa.int64()), pa.array(np.rint(sums[0]).astype(np.int64)),
                          pa.array(np.full(len(ids), s.n, np.int64)), pa.array(base), pa.array(sums[2])], names=[c.split()[0] for c in _RESULT.split(", ")])
 
-    return shards.mapInArrow(partial, "block long, part binary, docs binary").groupBy("block").applyInArrow(gather, _RESULT)
+    parts = _joined(shards, state, state.told, partial, _PARTS, entries=True)
+    docs = shards.where("docs IS NOT NULL").select("block", F.lit(None).cast("binary").alias("part"), "docs")
+    return parts.unionByName(docs).groupBy("block").applyInArrow(gather, _RESULT)
 
 
 def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,3 +137,21 @@ def test_spread_keys(spark):
     for n in (1, 7, 64):
         keys = P.spread_keys(spark, n)
         assert len(set(keys)) == n
+
+
+def test_every_previous_word_has_a_restaurant_of_its_own(spark):
+    """Also words that agree in the first 16 bits of their mixed hash, of which there are 65,536 only."""
+    from pyspark.sql import functions as F
+    names = [f"w{i}" for i in range(100_000)]
+    tok, ctx, _ = P.tokens([" ".join(names).encode()])
+    assert len(np.unique(ctx)) == len(names) + 1
+    first = {}
+    u, v = next((first[c], i) for i, c in enumerate((P.wordhash.mix(tok[:-1]) >> np.uint64(48)).tolist()) if first.setdefault(c, i) != i)
+    texts = [f"{names[u]} x"] * 30 + [f"{names[v]} y"] * 20 + [f"{names[u]} y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    hot = P.frequent(df, 3)
+    shards = P.sharded(df, F.col("doc_id") == 50, 3, hot)
+    state = P.fit(shards, hot)
+    assert state.customers[tok[u]] == 30 and state.customers[tok[v]] == 20
+    got = {r.doc_id: r.score for r in P.scores(shards, state).collect()}
+    assert got[50] < got[0] - 1 and got[50] < got[30] - 1
