@@ -1,14 +1,15 @@
 """Operator 3: toxicity by maximum-scoring segments.
 
-A word's score is its log-odds between toxic and clean training texts, from the
-numbers of texts that have it.  The Dirichlet prior weighs ``PRIOR`` texts for each
+A word's score is its log-odds between toxic and clean training texts, from its
+occurrences there.  The Dirichlet prior weighs ``PRIOR`` occurrences for each
 word, dealt to the classes by their sizes, so a word met once or twice says little.
 The same is done for the word's first bytes (four, six and eight), and the word takes
 the level whose log-odds stand out most from their standard error, so unseen endings
 of a known stem count.  Less a constant drift, so that ordinary words are slightly
 negative, the scores of a text form a sequence whose maximal segments (all of them,
-in linear time) are its toxic passages.  A word's further occurrences in a text count
-as ordinary words: repeating one does not make a passage.
+in linear time) are its toxic passages.  Every occurrence of a word is counted and
+scored, but for a word equal to the one directly before it, which counts as an ordinary word:
+stuttering does not make a passage.
 
 A segment of score S in a text of n words is calibrated by extreme-value theory: by
 chance, clean texts hold one with probability 1 - exp(-K n exp(-lambda S)).  lambda
@@ -39,7 +40,7 @@ from riskpipe.llm import common, labelled, wordhash
 #: Buckets (a power of two) of each level, finest first: the word, its first eight, six and four bytes.
 LEVELS = ((None, 18), (8, 17), (6, 16), (4, 16))
 _START = np.cumsum([0, *(1 << bits for _, bits in LEVELS)])
-PRIOR = 15.0        # texts that the Dirichlet prior weighs for each word
+PRIOR = 15.0        # occurrences that the Dirichlet prior weighs for each word
 DRIFT = 0.8         # taken off every word's log-odds
 LEAST, MOST = -1.0, 6.0
 SHADE = 0.05        # what evidence below significance counts: enough to order texts, too little to bend the curve
@@ -52,11 +53,11 @@ def buckets(w: wordhash.Words) -> np.ndarray:
                      for (size, bits), start in zip(LEVELS, _START, strict=False)])
 
 
-def first_in_text(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether a word's bucket occurs in its text for the first time."""
-    _, first = np.unique((doc << 20) | at, return_index=True)
-    out = np.zeros(len(at), bool)
-    out[first] = True
+def stuttered(w: wordhash.Words) -> np.ndarray:
+    """Whether a word equals the one directly before it in its text."""
+    h = w.hash
+    out = np.zeros(len(h), bool)
+    out[1:] = (h[1:] == h[:-1]) & (w.doc[1:] == w.doc[:-1])
     return out
 
 
@@ -72,7 +73,7 @@ class Model:
         at = buckets(w)
         best = np.argmax(self.weight[at], axis=0)
         odds = self.score[at[best, np.arange(at.shape[1])]]
-        return np.clip(np.where(first_in_text(w.doc, at[0]), odds, 0) - DRIFT, LEAST, MOST)
+        return np.clip(np.where(stuttered(w), 0, odds) - DRIFT, LEAST, MOST)
 
     def evidence(self, total: float, n: int) -> float:
         """How far a segment of this sum stands out in a text of n words; above 0, it is significant."""
@@ -146,14 +147,14 @@ def extreme_rate(counts: np.ndarray, values: np.ndarray) -> float:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers of one task's texts by bucket and label."""
+    """Numbers of one task's words by bucket and label."""
     found = np.zeros((2, _START[-1]), np.int64)
     for batch in batches:
         for rows, texts in wordhash.chunks(batch):
             w = wordhash.words(texts)
             toxic = rows["label"].to_numpy()[w.doc] == 1
+            new = ~stuttered(w)
             for at in buckets(w):
-                new = first_in_text(w.doc, at)
                 found[1] += np.bincount(at[toxic & new], minlength=_START[-1])
                 found[0] += np.bincount(at[~toxic & new], minlength=_START[-1])
     at = np.flatnonzero(found.any(axis=0))

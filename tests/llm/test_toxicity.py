@@ -86,3 +86,18 @@ def test_platt_and_rate():
     counts, values = np.array([70, 30]), np.array([-1.0, 1.0])
     lam = T.extreme_rate(counts, values * 1.5)
     assert abs((0.7 * np.exp(-1.5 * lam) + 0.3 * np.exp(1.5 * lam)) - 1) < 1e-6
+
+
+def test_every_occurrence_counts(spark):
+    """Two equal toxic passages far apart in a long text are both found; a stuttered word is not a passage."""
+    rng = np.random.default_rng(5)
+    clean = lambda n: " ".join(f"c{int(x)}" for x in rng.integers(0, 300, n))
+    bad = [f"bad{i}" for i in range(12)]
+    train = [(i, f"{clean(60)} {' '.join(rng.permutation(bad))} {clean(60)}" if i % 4 == 0 else clean(132), int(i % 4 == 0)) for i in range(200)]
+    model = T.fit(spark.createDataFrame(train, "doc_id long, text string, label int"))
+    passage, first, between = " ".join(bad), clean(400), clean(3000)
+    texts = [f"{first} {passage} {between} {passage} {clean(400)}", f"{first} {passage} {between}", f"{first} {'bad0 ' * 12} {between}"]
+    got = {r.doc_id: r for r in T.scored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    inside = lambda r, at: any(int(a) <= at + 2 and at + 10 <= int(b) for a, b in (p.split(":") for p in r.passages.split(",") if p))
+    assert inside(got[0], 400) and inside(got[0], 3412) and got[0].n_passages == 2
+    assert got[1].n_passages == 1 and inside(got[1], 400) and got[2].n_passages == 0
