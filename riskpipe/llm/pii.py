@@ -42,6 +42,15 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _DIGIT = re.compile(r"[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+#: ISO 13616: the length of an IBAN by its country.
+_IBAN_LENGTH = {code: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "IS TR", 27: "BF BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BJ BY CI CY DO GT HN HU LB MA ML NE NI PL PS SN SV TG", 29: "BR EG QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}.items() for code in codes.split()}
+_IBAN_OF = {n: re.compile(rf"[A-Z0-9]{{4}}(?:\x20?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + rf"\x20?[A-Z0-9]{{{n % 4}}}" * (n % 4 > 0) + "(?![A-Za-z0-9])")
+            for n in set(_IBAN_LENGTH.values())}
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+().-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9-])")
 
@@ -113,6 +122,22 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", floor)
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """At each start the country's length is tried first, then the longest match and, where the country has no length
+    here, the shorter ones that end a group.  A start that fails hides none of those after it."""
+    m = _IBAN.search(text)
+    while m:
+        start, end = m.span()
+        length = _IBAN_LENGTH.get(text[start:start + 2])
+        fixed = length and _IBAN_OF[length].match(text, start)
+        ends = [fixed.end()] if fixed else []
+        ends += [end] if length else [end, *(i for i in range(end - 1, start, -1) if text[i] == " ")]
+        good = next((e for e in ends if 15 <= len(s := text[start:e].replace(" ", "")) <= 34 and mod97(s)), None)
+        if good:
+            yield start, good
+        m = _IBAN.search(text, good or start + 1)
+
+
 def _candidates(text: str) -> Iterator[tuple[str, int, int]]:
     if "@" in text:
         for a, b in _emails(text):
@@ -131,9 +156,8 @@ def _candidates(text: str) -> Iterator[tuple[str, int, int]]:
         for m in _PHONE.finditer(text):
             if 8 <= sum("0" <= c <= "9" for c in m[0]) <= 15:
                 yield "phone", *m.span()
-    for m in _IBAN.finditer(text):
-        if 15 <= len(s := m[0].replace(" ", "")) <= 34 and mod97(s):
-            yield "iban", *m.span()
+    for a, b in _ibans(text):
+        yield "iban", a, b
     for m in _SSN.finditer(text):
         if _issued(*m.groups()):
             yield "ssn", *m.span()

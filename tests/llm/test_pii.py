@@ -71,3 +71,19 @@ def test_stage(spark, tables):
     for a, b in zip(before, after, strict=True):
         assert b.text == (a.text and pii.redact(a.text, pii.find(a.text)))
         assert b.n_chars == (a.n_chars if a.text == b.text else len(b.text))
+
+
+def test_iban_before_other_words():
+    """What follows an IBAN, or an upper-case word before it, does not hide it."""
+    ibans = lambda t: [t[s.start:s.end] for s in pii.find(t) if s.kind == "iban"]
+    es, be = "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034"
+    assert ibans(f"{es} EUR 500") == [es]
+    assert ibans("ES9121000418450200051332 EUR") == ["ES9121000418450200051332"]
+    assert ibans(f"{be} 100 euro") == [be]
+    assert ibans(f"REF1 AB12 {es} {be} TOTAL 1234") == [es, be] and ibans(f"{es[:-1]}3 EUR 500") == []
+    rest = next(f"{n:02}" for n in range(100) if pii.mod97(f"ZZ{n:02}123456789012"))  # a country without a length here
+    assert ibans(f"ZZ{rest} 1234 5678 9012 EUR 500") == [f"ZZ{rest} 1234 5678 9012"]
+    text = f"pay {es} EUR 500"
+    assert pii.redact(text, pii.find(text)) == "pay <IBAN> EUR 500"
+    for t in ("AA11 " * 60_000, "ES91 2100 " * 30_000):
+        pii.find(t)
