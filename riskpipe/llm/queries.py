@@ -15,7 +15,7 @@ from riskpipe.llm.pitman_yor import op8_pitman_yor
 from riskpipe.llm.quality import op9_nbsvm_quality
 from riskpipe.llm.token_files import op2_token_files
 from riskpipe.llm.toxicity import op3_toxic_segments
-
+from riskpipe.llm.whitening import op13_bit_sliced_whitening
 
 
 def _with_package(query):
@@ -38,6 +38,7 @@ QUERIES = {name: _with_package(query) for name, query in {
     "op8_pitman_yor": op8_pitman_yor,
     "op9_nbsvm_quality": op9_nbsvm_quality,
     "op10_fast_sketch_dedup": op10_fast_sketch_dedup,
+    "op13_bit_sliced_whitening": op13_bit_sliced_whitening,
 }.items()}
 #: The others: files, learned models, tokenizers and approximate search, held against plain versions in tests.
 ORACLE: dict[str, str] = {
