@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import wraps
 
-from riskpipe.llm import common, hard_negatives, mixing, near_dups, outliers
+from riskpipe.llm import common, hard_negatives, mixing, near_dups, ngram_join, outliers
 from riskpipe.llm.ann import op6_cross_polytope
 from riskpipe.llm.bpe_tree import op4_tree_bpe
 from riskpipe.llm.hard_negatives import op11_l2ap_negatives
 from riskpipe.llm.mixing import op7_pareto_mix
 from riskpipe.llm.near_dups import op10_fast_sketch_dedup
+from riskpipe.llm.ngram_join import op12_divide_skip_join
 from riskpipe.llm.outliers import op1_mcd_quality
 from riskpipe.llm.pii import op5_pii
 from riskpipe.llm.pitman_yor import op8_pitman_yor
@@ -40,6 +41,7 @@ QUERIES = {name: _with_package(query) for name, query in {
     "op9_nbsvm_quality": op9_nbsvm_quality,
     "op10_fast_sketch_dedup": op10_fast_sketch_dedup,
     "op11_l2ap_negatives": op11_l2ap_negatives,
+    "op12_divide_skip_join": op12_divide_skip_join,
     "op13_bit_sliced_whitening": op13_bit_sliced_whitening,
 }.items()}
 #: The others: files, learned models, tokenizers and approximate search, held against plain versions in tests.
@@ -48,4 +50,5 @@ ORACLE: dict[str, str] = {
     "op7_pareto_mix": mixing.ORACLE_SQL,
     "op10_fast_sketch_dedup": near_dups.ORACLE_SQL,
     "op11_l2ap_negatives": hard_negatives.ORACLE_SQL,
+    "op12_divide_skip_join": ngram_join.ORACLE_SQL,
 }
