@@ -10,19 +10,20 @@ table in the shared scratch folder, and each concentration step is
 
 * a join of that table with one row of parameters per group (ordinary join: the
   number of groups has no bound that we know, so Spark decides by size),
-* a histogram of the distances per group (at most a few thousand bins each, so a
-  group that holds a third of all rows is counted in every task and never
-  gathered) whose running sum gives the distance below which ``SUPPORT`` of the
-  group lies,
-* sums and sums of products of the rows below it.
+* a histogram of the distances per group, whose bins hold counts, sums and sums of products
+  (at most a few thousand bins each, so a group that holds a third of all rows is summed
+  up in every task and never gathered),
+* running sums over the bins, read off at the one below which ``support`` of the group lies.
 
 The statistics are held as whole numbers of ``1/GRID``, so all sums are exact
 and a rerun gives the same rows whatever the order of the tasks.
 
 Defined results.  A null or empty text has no words and fails the base rule.
 Null languages and sources are groups like any other.  Groups with fewer than
-``min_group`` documents are estimated together; if even those are too few, the
-base rule alone decides.  Repeated rows are judged each for itself.
+``min_group`` documents that pass the base rule are pooled in steps: the small groups of a
+language are estimated together, and where these are still too few, those of all
+such languages; if even that is too little, the base rule alone decides.  Repeated rows are judged each for itself, texts
+are read whole whatever their length, and only the columns used are taken, so others may have any name.
 """
 
 from __future__ import annotations
@@ -161,7 +162,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
 # -- estimates ------------------------------------------------------------------------------
 
-KEY = ["g_pooled", "g_lang", "g_source"]
+KEY = ["g_level", "g_lang", "g_source"]   # level 0: a group of its own, 1: of a language, 2: of all
 XS = list(FEATURES)
 
 
@@ -225,20 +226,16 @@ def with_distance(rows: DataFrame, params: DataFrame) -> DataFrame:
     return df.selectExpr(*[f"`{c}`" for c in rows.columns], *_distance_sql()).select(*rows.columns, "d2")
 
 
-def _moments(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), *map(F.expr, _sums_sql()))
-
-
 def _closest(rows: DataFrame, share: float, bins: int) -> DataFrame:
-    """The rows of each group up to the distance below which ``share`` of it lies (whole histogram bins)."""
+    """n, s_i and s_i_j of each group's rows up to the distance below which ``share`` of it lies (whole histogram bins)."""
     rows = rows.withColumn("bin", F.floor(F.log2(1 + F.col("d2")) * bins).cast("int"))
-    counts = rows.groupBy(*KEY, "bin").agg(F.count(F.lit(1)).alias("c"))
+    sums = ["count(1) AS n", *_sums_sql()]
+    names = [x.split(" AS ")[1] for x in sums]
     by = Window.partitionBy(*KEY)
-    below = counts.select(*KEY, "bin", "c", F.sum("c").over(by.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)).alias("below"),
-                          F.sum("c").over(by).alias("total"))
-    limit = (below.where(F.coalesce(F.col("below"), F.lit(0)) < F.col("total") * share)
-             .groupBy(*[F.col(k).alias(f"_{k}") for k in KEY]).agg(F.max("bin").alias("limit")))
-    return rows.join(common.stored(limit, "mcd"), _on_key()).where(F.col("bin") <= F.col("limit"))
+    so_far = by.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    cells = rows.groupBy(*KEY, "bin").agg(*map(F.expr, sums))
+    cells = cells.select(*KEY, F.col("n").alias("here"), F.sum("n").over(by).alias("total"), *[F.sum(c).over(so_far).alias(c) for c in names])
+    return cells.where((F.col("n") >= F.col("total") * share) & (F.col("n") - F.col("here") < F.col("total") * share)).select(*KEY, *names)
 
 
 def fit(rows: DataFrame, cfg: McdConfig = McdConfig()) -> DataFrame:
@@ -246,11 +243,10 @@ def fit(rows: DataFrame, cfg: McdConfig = McdConfig()) -> DataFrame:
     params = common.stored(_start(rows), "mcd")
     inside = chi2_cdf(chi2_quantile(cfg.support, P), P + 2)
     for _ in range(cfg.steps):
-        core = _closest(with_distance(rows, params), cfg.support, cfg.bins)
-        params = common.stored(_cholesky(_moments(core), cfg.support / inside), "mcd")
+        params = common.stored(_cholesky(_closest(with_distance(rows, params), cfg.support, cfg.bins), cfg.support / inside), "mcd")
     limit = chi2_quantile(cfg.reweight, P)
-    core = with_distance(rows, params).where(F.col("d2") <= limit)
-    return common.stored(_cholesky(_moments(core), cfg.reweight / chi2_cdf(limit, P + 2)), "mcd")
+    core = with_distance(rows, params).where(F.col("d2") <= limit).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), *map(F.expr, _sums_sql()))
+    return common.stored(_cholesky(core, cfg.reweight / chi2_cdf(limit, P + 2)), "mcd")
 
 
 def judge(docs: DataFrame, carry: list[str], cfg: McdConfig = McdConfig(), lang: str = "lang", source: str = "source") -> DataFrame:
@@ -263,11 +259,13 @@ def judge(docs: DataFrame, carry: list[str], cfg: McdConfig = McdConfig(), lang:
     df = common.stored(df, "statistics")
     # a row for each (language, source): its group and the documents in it
     groups = df.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count(F.lit(1)).alias("size"))
-    groups = groups.selectExpr("lang AS _l", "source AS _s", "size", f"size < {cfg.min_group} AS g_pooled")
-    groups = groups.selectExpr("*", "CASE WHEN NOT g_pooled THEN _l END AS g_lang", "CASE WHEN NOT g_pooled THEN _s END AS g_source")
+    groups = groups.selectExpr("lang AS _l", "source AS _s", "size", f"size >= {cfg.min_group} AS own")
+    pool = F.sum("size").over(Window.partitionBy("own", "_l"))
+    groups = groups.withColumn("g_level", F.when(F.col("own"), 0).when(pool >= cfg.min_group, 1).otherwise(2))
+    groups = groups.selectExpr("*", "CASE WHEN g_level < 2 THEN _l END AS g_lang", "CASE WHEN g_level = 0 THEN _s END AS g_source")
     groups = common.stored(groups.withColumn("members", F.sum("size").over(Window.partitionBy(*KEY))), "groups")
     df = (df.join(groups, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
-          .withColumn("g_pooled", F.coalesce("g_pooled", F.lit(True))).drop("_l", "_s", "size"))
+          .withColumn("g_level", F.coalesce("g_level", F.lit(2))).drop("_l", "_s", "size", "own"))
     clean = df.where(~F.col("base_failed") & (F.col("members") >= cfg.min_group)).select(*KEY, *XS)
     params = fit(common.stored(clean, "vectors"), cfg)
     limit = chi2_quantile(1 - cfg.tail, P)
@@ -341,9 +339,10 @@ f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT}
              {share('n_symbols', chars)} AS f_symbols, {share('n_upper', chars)} AS f_upper, {share('n_marks', chars)} AS f_marks,
              CAST(floor(ln({chars} / CAST({words} AS DOUBLE)) * {GRID} + CAST(0.5 AS DOUBLE)) AS BIGINT) AS f_length,
              {share('n_dup_lines', lines)} AS f_lines, {share('n_repeat_words', words)} AS f_repeat, {share('n_stutter', words)} AS f_stutter FROM b),
-z AS (SELECT lang, source, count(*) AS size FROM f WHERE NOT base_failed GROUP BY ALL),
-g AS MATERIALIZED (SELECT *, CASE WHEN NOT g_pooled THEN lang END AS g_lang, CASE WHEN NOT g_pooled THEN source END AS g_source
-      FROM (SELECT f.*, coalesce(size, 0) < {cfg.min_group} AS g_pooled FROM f LEFT JOIN z ON f.lang IS NOT DISTINCT FROM z.lang AND f.source IS NOT DISTINCT FROM z.source)),
+z AS (SELECT *, CASE WHEN own THEN 0 WHEN sum(size) OVER (PARTITION BY own, lang) >= {cfg.min_group} THEN 1 ELSE 2 END AS g_level
+      FROM (SELECT lang, source, count(*) AS size, count(*) >= {cfg.min_group} AS own FROM f WHERE NOT base_failed GROUP BY ALL)),
+g AS MATERIALIZED (SELECT f.*, coalesce(z.g_level, 2) AS g_level, CASE WHEN z.g_level < 2 THEN f.lang END AS g_lang, CASE WHEN z.g_level = 0 THEN f.source END AS g_source
+      FROM f LEFT JOIN z ON f.lang IS NOT DISTINCT FROM z.lang AND f.source IS NOT DISTINCT FROM z.source),
 clean AS MATERIALIZED (SELECT * FROM (SELECT {key}, {', '.join(XS)}, count(*) OVER (PARTITION BY {key}) AS members FROM g WHERE NOT base_failed) WHERE members >= {cfg.min_group}),
 q AS (SELECT {key}, {', '.join(spread)} FROM clean GROUP BY ALL),
 p0 AS MATERIALIZED (SELECT {key}, {', '.join(start)} FROM q),{','.join(steps)},{last}

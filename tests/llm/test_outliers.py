@@ -47,7 +47,7 @@ def test_estimate_finds_the_centre_among_outliers(spark):
     good = rng.multivariate_normal(np.full(O.P, 900), np.diag(np.arange(1, O.P + 1) * 900.0) + 300, 900)
     bad = rng.normal(4000, 50, (200, O.P))
     x = np.rint(np.vstack([good, bad])).astype(int)
-    df = spark.createDataFrame([(False, "a", None, *map(int, r)) for r in x], "g_pooled boolean, g_lang string, g_source string, " + ", ".join(f"{c} long" for c in O.XS))
+    df = spark.createDataFrame([(0, "a", None, *map(int, r)) for r in x], "g_level int, g_lang string, g_source string, " + ", ".join(f"{c} long" for c in O.XS))
     p = O.fit(df).collect()
     assert len(p) == 1
     m = np.array([p[0][f"m_{i}"] for i in range(O.P)])
@@ -69,3 +69,29 @@ def test_stage_keeps_all_columns(spark, tables):
     kept = O.keep_good(docs)
     assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
     assert kept.exceptAll(docs).isEmpty() and kept.where(F.col("text").isNull()).isEmpty()
+
+
+@pytest.mark.parametrize("min_group", [1, 12, 60])
+def test_pools_of_small_groups_against_sql(spark, min_group):
+    """Groups of their own, pools of a language and the pool of all, each step by step as the SQL has them."""
+    import duckdb
+    top, cfg = "/root/testdata/sf0.01", O.McdConfig(min_group=min_group)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{top}/documents.parquet'")
+    want = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, kept, distance2 FROM ({O._oracle(cfg)})").fetchall()}
+    out = O.judge(spark.read.parquet(f"{top}/documents.parquet"), ["doc_id"], cfg)
+    got = {r.doc_id: (r.kept, r.distance2) for r in out.select("row.doc_id", "kept", "distance2").collect()}
+    assert got.keys() == want.keys()
+    for d, (kept, distance) in want.items():
+        assert got[d][0] == kept and (got[d][1] is None) == (distance is None) and abs((got[d][1] or 0) - (distance or 0)) < 1e-3
+    sizes = duckdb.sql(f"SELECT max(c), min(c) FROM (SELECT count(*) AS c FROM '{top}/documents.parquet' GROUP BY lang, source)").fetchone()
+    assert sizes[1] < 60 and sizes[0] >= 12
+
+
+def test_same_verdict_as_a_group_of_its_own(spark):
+    """A language whose sources are all small is judged as one group would be."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'")
+    one = O.judge(docs.withColumn("source", F.lit("x")), ["doc_id"])
+    many = O.judge(docs.withColumn("source", F.concat(F.lit("s"), F.col("doc_id"))), ["doc_id"])
+    key = lambda df: sorted((r.doc_id, r.kept, r.distance2 or 0) for r in df.select("row.doc_id", "kept", "distance2").collect())
+    assert key(one) == key(many)
