@@ -26,9 +26,12 @@ share a bucket is lost.  Large buckets are cut into blocks of ``BLOCK`` classes,
 compares a block with the few classes left over, whatever the bucket's size.  All tables
 between the steps are written to the shared scratch folder; the driver sees counts only.
 
-Defined results: a document without words has an empty set and is its own component; rows
-that share an id are one document; rows without an id take part and get the smallest id of
-their component, or none, and are kept if there is none.
+Defined results: a document without words has an empty set and is its own component.  Rows that
+share an id but not the text are documents of their own, equal rows get equal results.  Rows
+without an id take part like others and get the smallest id of their component, or none, and
+are kept if there is none.  Texts are read whole whatever their length.  The stage
+(``one_of_each``) leaves one row of each component, of several with the smallest id too; rows
+without words and id all stay.
 """
 
 from __future__ import annotations
@@ -133,9 +136,9 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bands = wordhash.mix(bands * np.uint64(3) + rows_of[:, r::ROWS])
             bands = wordhash.mix(bands + np.arange(BANDS, dtype=np.uint64))
             yield pa.RecordBatch.from_arrays(
-                [rows["doc_id"].cast(pa.int64()), pa.array(np.diff(ends, prepend=0), pa.int64()), pa.array(digest, pa.binary()),
+                [rows["doc_id"], rows["text_key"], pa.array(np.diff(ends, prepend=0), pa.int64()), pa.array(digest, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(bands.view(np.int64).reshape(-1)))],
-                names=["doc_id", "n", "digest", "bands"])
+                names=["doc_id", "text_key", "n", "digest", "bands"])
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +147,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values, ends = shingle_sets(texts)
             bits = fine_bits(values, ends)
             yield pa.RecordBatch.from_arrays(
-                [rows["doc_id"].cast(pa.int64()), pa.array([x.astype("<u8").tobytes() for x in np.split(values, ends[:-1])], pa.binary()),
+                [rows["rep"], pa.array([x.astype("<u8").tobytes() for x in np.split(values, ends[:-1])], pa.binary()),
                  pa.array([b.tobytes() for b in bits], pa.binary())], names=["rep", "shingles", "bits"])
 
 
@@ -229,18 +232,23 @@ def open_pairs(members: DataFrame, bits: DataFrame, labels: DataFrame, most: int
     return found.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    own = common.stored(docs.mapInArrow(_sketch_rows, "doc_id long, n long, digest binary, bands array<long>"), "sketches")
-    classes = common.stored(own.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = common.stored(own.where("n > 0").join(classes, "digest").where("doc_id = rep").dropDuplicates(["rep"]).select("rep", "bands"), "reps")
+def _judged(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key (a hash of the text), n, component_id and ``stays`` (whether the row is one of its component's
+    least) of every row of ``docs`` (doc_id, text)."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
+    own = common.stored(docs.mapInArrow(_sketch_rows, "doc_id long, text_key long, n long, digest binary, bands array<long>"), "sketches")
+    # a class for each set, numbered; its least row stands for it
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    classes = own.where("n > 0").groupBy("digest").agg(F.min(row).alias("row"), F.any_value("bands").alias("bands"))
+    classes = common.stored(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    reps = classes.select("rep", "bands")
     keys = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     shared = keys.groupBy("key").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = common.stored(keys.join(shared, "key").select("key", "band", "rep", "least"), "members")
     involved = common.stored(members.select("rep").distinct(), "involved")
-    sets = common.stored(docs.join(involved.withColumnRenamed("rep", "doc_id"), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-                         .mapInArrow(_set_rows, "rep long, shingles binary, bits binary"), "sets")
+    rows = involved.join(classes.select("rep", F.col("row.doc_id").alias("_id"), F.col("row.text_key").alias("_key")), "rep")
+    texts = docs.join(rows, docs["doc_id"].eqNullSafe(F.col("_id")) & (docs["text_key"] == F.col("_key")))
+    sets = common.stored(texts.groupBy("rep").agg(F.min("text").alias("text")).mapInArrow(_set_rows, "rep long, shingles binary, bits binary"), "sets")
     bits, sets = common.stored(sets.select("rep", "bits").join(reps, "rep"), "bits"), sets.select("rep", "shingles")
     # the first round: one partner each
     met = members.where("least < rep").groupBy("rep", "least").agg(F.count(F.lit(1)).alias("n"))
@@ -259,11 +267,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             labels = components(links, labels)
         if not more:
             break
-    known = classes.join(labels, "rep", "left").select("digest", F.coalesce("comp", "rep").alias("component_id"))
-    out = own.select("doc_id", "n", "digest").join(known, "digest", "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+    known = classes.select("rep", "digest", "row").join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    named = known.groupBy("comp").agg(F.min("row").alias("least"))
+    known = known.join(named, "comp").select("digest", "least")
+    out = own.select("doc_id", "text_key", "n", "digest").join(known, "digest", "left")
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_key") == F.col("least.text_key"))
+    return out.select("doc_id", "text_key", "n", F.when(F.col("n") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                      ((F.col("n") == 0) | stays).alias("stays"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text)."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    return _judged(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
 
 
 def op10_fast_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,9 +287,18 @@ def op10_fast_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns.  Rows without an id cannot be named, and stay."""
-    gone = near_duplicates(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(common.stored(gone, "dropped"), "doc_id", "left_anti").select(docs.columns)
+    """One row of ``docs`` of each component, with all its columns (of rows alike in id and text any one)."""
+    judged = _judged(docs.select("doc_id", "text"))
+    per = judged.groupBy("doc_id", "text_key").agg(F.any_value("stays").alias("stays"), F.count(F.lit(1)).alias("n_rows"), F.max("n").alias("n"))
+    per = per.where("NOT stays OR (n_rows > 1 AND (n > 0 OR doc_id IS NOT NULL))")
+    per = common.stored(per.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "stays"), "not-as-they-are")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    out = rows.join(per, same, "left_anti").select("row")
+    repeated = per.where("stays")
+    if not repeated.isEmpty():
+        out = out.unionAll(rows.join(repeated, same, "left_semi").groupBy("id", "key").agg(F.any_value("row").alias("row")).select("row"))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 #: The same result by plain joins: all pairs that share a shingle, and their closure.

@@ -123,9 +123,30 @@ def test_rows_without_an_id(spark):
     assert got == [(False, 4, 4, True), (False, 7, 7, True), (True, 0, 0, True), (True, 0, 0, True), (True, 0, 7, False)]
 
 
+def test_near_copies_without_ids_and_ids_of_several_texts(spark):
+    """Rows without an id are linked by their texts; an id that two texts share names both."""
+    base = " ".join(f"w{i}" for i in range(60))
+    near = [base.replace("w59", x) for x in ("x", "y", "z")]
+    df = spark.createDataFrame([(7, base), (None, near[0]), (None, near[1]), (5, "all other words are here"), (5, near[2]), (9, "all other words are here")], "doc_id long, text string")
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in N.near_duplicates(df).collect())
+    assert got == Counter({(7, 5, False): 1, (None, 5, False): 2, (5, 5, True): 2, (9, 5, False): 1})
+    kept = Counter((r.doc_id, r.text) for r in N.one_of_each(df).collect())
+    assert kept == Counter([(5, near[2]), (5, "all other words are here")])
+    df = df.where("doc_id IS NULL").unionAll(df.where("doc_id IS NULL"))
+    assert N.one_of_each(df).count() == 1
+
+
+def test_stage_leaves_one_of_equal_rows(spark):
+    row = (3, "a b c d e", "x", 1.5)
+    rows = [row] * 5 + [(None, "f g h i", "y", None)] * 4 + [(4, "", "z", 0.0)] * 2 + [(None, "", "z", 0.0)] * 2
+    out = N.one_of_each(spark.createDataFrame(rows, "doc_id int, text string, key string, least double"))
+    assert out.dtypes == [("doc_id", "int"), ("text", "string"), ("key", "string"), ("least", "double")]
+    assert Counter(map(tuple, out.collect())) == Counter([row, (None, "f g h i", "y", None), (4, "", "z", 0.0), (None, "", "z", 0.0), (None, "", "z", 0.0)])
+
+
 def test_stage(spark, tables, docs):
     df = spark.read.parquet(f"{tables}/documents.parquet")
     out = N.one_of_each(df)
     _, comp = components(docs)
     assert out.dtypes == df.dtypes
-    assert Counter(r.doc_id for r in out.collect()) == Counter(d["doc_id"] for d in docs if comp[d["doc_id"]] == d["doc_id"])
+    assert Counter(r.doc_id for r in out.collect()) == Counter({d["doc_id"] for d in docs if comp[d["doc_id"]] == d["doc_id"]})
