@@ -54,6 +54,7 @@ FINE = 1024  # coordinates, of a byte each, of the sketch that rules pairs out
 PARTNERS = (4, 32, 1 << 30)
 BLOCK = 2048
 SIGMAS = 4.75  # how far below the link a sketch may estimate and still be compared
+FEW = 1_000_000  # rows of keys (24 bytes each) that are still broadcast to the texts; more are joined by a shuffle
 
 
 # -- sets and sketches --------------------------------------------------------------------------
@@ -232,6 +233,11 @@ def open_pairs(members: DataFrame, bits: DataFrame, labels: DataFrame, most: int
     return found.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
+def _to_texts(keys: DataFrame) -> DataFrame:
+    """``keys``, a stored table of a few numbers a row, for a join with the texts: broadcast after a check of its size."""
+    return F.broadcast(keys) if keys.limit(FEW + 1).count() <= FEW else keys
+
+
 def _judged(docs: DataFrame) -> DataFrame:
     """doc_id, text_key (a hash of the text), n, component_id and ``stays`` (whether the row is one of its component's
     least) of every row of ``docs`` (doc_id, text)."""
@@ -246,8 +252,8 @@ def _judged(docs: DataFrame) -> DataFrame:
     shared = keys.groupBy("key").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = common.stored(keys.join(shared, "key").select("key", "band", "rep", "least"), "members")
     involved = common.stored(members.select("rep").distinct(), "involved")
-    rows = involved.join(classes.select("rep", F.col("row.doc_id").alias("_id"), F.col("row.text_key").alias("_key")), "rep")
-    texts = docs.join(rows, docs["doc_id"].eqNullSafe(F.col("_id")) & (docs["text_key"] == F.col("_key")))
+    rows = common.stored(involved.join(classes.select("rep", F.col("row.doc_id").alias("_id"), F.col("row.text_key").alias("_key")), "rep"), "rows")
+    texts = docs.join(_to_texts(rows), docs["doc_id"].eqNullSafe(F.col("_id")) & (docs["text_key"] == F.col("_key")))
     sets = common.stored(texts.groupBy("rep").agg(F.min("text").alias("text")).mapInArrow(_set_rows, "rep long, shingles binary, bits binary"), "sets")
     bits, sets = common.stored(sets.select("rep", "bits").join(reps, "rep"), "bits"), sets.select("rep", "shingles")
     # the first round: one partner each
@@ -294,7 +300,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     per = common.stored(per.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "stays"), "not-as-they-are")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
-    out = rows.join(per, same, "left_anti").select("row")
+    out = rows.join(_to_texts(per), same, "left_anti").select("row")
     repeated = per.where("stays")
     if not repeated.isEmpty():
         out = out.unionAll(rows.join(repeated, same, "left_semi").groupBy("id", "key").agg(F.any_value("row").alias("row")).select("row"))
