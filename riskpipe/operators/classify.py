@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from riskpipe.sources.csv_ingest import utc_now
 from pyspark.sql import types as T
 
 
@@ -137,7 +138,7 @@ def classify(df: DataFrame, table: str, profile_opts: ClassificationProfile = Cl
             .when(value_sem.isNotNull(), "MEDIUM")
             .when(name_sem.isNotNull(), "MEDIUM")
             .otherwise(None))
-    at = classified_at if classified_at is not None else F.current_timestamp().cast("timestamp_ntz")
+    at = classified_at if classified_at is not None else utc_now()
     return p.select(
         F.lit(table).alias("table_name"), "column_name", "data_type",
         sem.alias("semantic_category"), priv.alias("privacy_category"), conf.alias("confidence"),

@@ -94,11 +94,18 @@ def detect_hot_keys(claims: DataFrame, key: str = "policy_number", cfg: SkewConf
 def with_locator(claims: DataFrame) -> DataFrame:
     """``claims`` with ``_row``: a hash of the row's place (file and row number), the same in every run of a task.
 
-    Rows that do not come from files get their place in the plan's partitions."""
+    Rows that do not come from files are written to the shared scratch folder first: a place in a
+    shuffled plan may differ when a task runs again."""
+    if "_row" in claims.columns:
+        return claims
+    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("_row")
     try:
-        return claims.select("*", F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")).alias("_row"))
+        return claims.select("*", place)
     except AnalysisException:
-        return claims.select("*", F.xxhash64(F.monotonically_increasing_id()).alias("_row"))
+        spark = claims.sparkSession
+        path = scratch_path(spark, "located")
+        claims.write.parquet(path)
+        return spark.read.schema(claims.schema).parquet(path).select("*", place)
 
 
 def _claims_side(claims: DataFrame, *more: str) -> DataFrame:

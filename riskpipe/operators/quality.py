@@ -15,6 +15,7 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from riskpipe.sources.csv_ingest import utc_now
 
 MetricExpr = Callable[..., Column]
 
@@ -144,7 +145,7 @@ def results(df_by_table: dict[str, DataFrame], registry: MetricRegistry, *,
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    mt = measured_at if measured_at is not None else F.current_timestamp().cast("timestamp_ntz")
+    mt = measured_at if measured_at is not None else utc_now()
     return out.select("change_commit_time", mt.alias("measurement_time"),
                       F.lit(database).alias("table_database"), F.lit(schema).alias("table_schema"),
                       "table_name", "metric_name", F.col("value").cast("bigint").alias("value"))

@@ -307,7 +307,7 @@ def _stream_claims(spark, sf_dir):
 def q_stream_ingest_claims(spark, sf_dir):
     """File stream (availableNow, 2 files per trigger) into the raw table."""
     layout = _stream_claims(spark, sf_dir)
-    return comparable(spark.read.parquet(I.raw_path(spark, layout, "claims")).select(*CLAIM_DATA_COLS))
+    return comparable(I.read_raw(spark, layout, "claims").select(*CLAIM_DATA_COLS))
 
 
 @register("ingest_log", O.with_ctes(O.CLAIMS_RAW) + f"""
@@ -328,7 +328,7 @@ def q_stream_ingest_nested(spark, sf_dir):
     layout = I.Layout(root)
     C.write_named_csv(_claims_text(claims, False), f"{root}/landing/CLAIMS_DATA", "part", column_order=CLAIM_DATA_COLS)
     _run(I.start_ingest(spark, f"{root}/landing", "claims", layout))
-    return comparable(spark.read.parquet(I.raw_path(spark, layout, "claims")).select(*CLAIM_DATA_COLS))
+    return comparable(I.read_raw(spark, layout, "claims").select(*CLAIM_DATA_COLS))
 
 
 _L2_STREAM_COLS = [c for c in ("policy_number", "age", "insured_sex", "insured_education_level",
@@ -392,6 +392,54 @@ def q_initial_then_stream_l2(spark, sf_dir):
     return comparable(R.level(spark, layout, 2).select(*_L2_STREAM_COLS))
 
 
+@register("ingest_after_reset", O.with_ctes(O.CLAIMS_RAW) + f"SELECT {_sql_cols(CLAIM_DATA_COLS)} FROM claims_raw")
+def q_ingest_after_reset(spark, sf_dir):
+    """A stream, a compaction, the stream created anew with more files, and a load by force of files that the
+    compaction took in: each file's rows are there once."""
+    _, claims = raw(spark, sf_dir)
+    root = scratch_path(spark, "ingest_reset")
+    layout, landing = I.Layout(root), f"{root}/landing"
+    text = _claims_text(claims, False)
+    early = F.col("incident_hour_of_the_day") % 2 == 0
+    first = C.write_named_csv(text.where(early), landing, "CLAIMS_DATA_EARLY", column_order=CLAIM_DATA_COLS)
+    I.copy_into(spark, first, "claims", layout, buckets=REFRESH_BUCKETS)
+    _run(I.start_ingest(spark, landing, "claims", layout, buckets=REFRESH_BUCKETS))
+    I.compact_raw(spark, layout, "claims")
+    C.write_named_csv(text.where(~early), landing, "CLAIMS_DATA_LATE", column_order=list(reversed(CLAIM_DATA_COLS)), header_case="lower")
+    _run(I.start_ingest(spark, landing, "claims", layout, buckets=REFRESH_BUCKETS, checkpoint=layout.checkpoint("created_anew")))
+    I.copy_into(spark, first, "claims", layout, buckets=REFRESH_BUCKETS, force=True)
+    return comparable(I.read_raw(spark, layout, "claims").select(*CLAIM_DATA_COLS))
+
+
+_LATE_KEY = "(SELECT MIN(policy_number) FROM claims0 WHERE policy_number IN (SELECT policy_number FROM customer_raw))"
+_LATE_CLAIMS = (O.CLAIMS_RAW.replace("claims_raw AS", "claims0 AS", 1) + f""",
+claims_raw AS (SELECT * FROM claims0 UNION ALL
+  SELECT * REPLACE (CAST(60000 AS DECIMAL(10, 2)) AS claim_amount, TRUE AS fraud_reported) FROM claims0 WHERE policy_number = {_LATE_KEY})""")
+
+
+@register("stream_refresh_one_key", O.with_ctes(O.CUSTOMER_RAW, _LATE_CLAIMS, O.L1, O.L2)
+          + f"SELECT {_l2_sql_cols()}, policy_number IS NOT DISTINCT FROM {_LATE_KEY} AS refreshed FROM l2")
+def q_stream_refresh_one_key(spark, sf_dir):
+    """Everything is loaded and refreshed, then late claims of one policy arrive.  Level 2 afterwards, and
+    which of its rows the last refresh wrote: those of that policy."""
+    cust, claims = raw(spark, sf_dir)
+    root = scratch_path(spark, "refresh_key")
+    layout, landing = I.Layout(root), f"{root}/landing"
+    text = _claims_text(claims, False)
+    files = {"claims": C.write_named_csv(text, landing, "CLAIMS_DATA_ALL", column_order=CLAIM_DATA_COLS),
+             "customers": C.write_named_csv(cust.select(*CUSTOMER_DATA_COLS), landing, "CUSTOMER_DATA_ALL", column_order=CUSTOMER_DATA_COLS)}
+    for feed, paths in files.items():
+        I.copy_into(spark, paths, feed, layout, buckets=REFRESH_BUCKETS)
+    _run(R.start_refresh(spark, layout, buckets=REFRESH_BUCKETS))
+    key = text.join(cust.select("policy_number"), "policy_number", "left_semi").agg(F.min("policy_number").alias("policy_number"))
+    late = text.join(F.broadcast(key), "policy_number", "left_semi").withColumns({"claim_amount": F.lit("60000.00"), "fraud_reported": F.lit("true")})
+    C.write_named_csv(late, landing, "CLAIMS_DATA_LATE", column_order=CLAIM_DATA_COLS)
+    _run(I.start_ingest(spark, landing, "claims", layout, buckets=REFRESH_BUCKETS))
+    _run(R.start_refresh(spark, layout, buckets=REFRESH_BUCKETS))
+    last = max(R.level_commits(spark, layout).state().live)
+    return comparable(R.level(spark, layout, 2, with_load=True).select(*_L2_STREAM_COLS, (F.col("load") == last).alias("refreshed")))
+
+
 # ---------------------------------------------------------------------------
 # Governed export
 

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from riskpipe.sources.csv_ingest import utc_now
 
 from riskpipe.operators import governance as gov
 
@@ -131,7 +132,7 @@ def refresh_lag(matrix: DataFrame) -> DataFrame:
     return matrix.agg(F.max("last_updated").alias("last_refresh")).select(
         "last_refresh",
         F.date_format("last_refresh", "HH:mm:ss").alias("last_refresh_time"),
-        (F.unix_timestamp(F.current_timestamp().cast("timestamp_ntz"))
+        (F.unix_timestamp(utc_now())
          - F.unix_timestamp(F.col("last_refresh"))).cast("bigint").alias("lag_seconds"))
 
 

@@ -113,6 +113,12 @@ def _text(c: Column) -> Column:
     return F.when(t == "", F.lit(None)).otherwise(t)
 
 
+def utc_now() -> Column:
+    """The time of the query as a zoneless timestamp in UTC, whatever the session's zone."""
+    seconds = (F.unix_micros(F.current_timestamp()) / F.lit(1_000_000).cast("decimal(10,0)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def convert(text: Column, dtype: T.DataType, timestamp_format: str = S.TIMESTAMP_FORMAT) -> Column:
     """S3: the typed value, or NULL when the text does not convert."""
     if isinstance(dtype, T.StringType):
@@ -201,7 +207,7 @@ def read_csv_by_name(spark: SparkSession, paths: list[str], schema: T.StructType
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    lt = load_time if load_time is not None else F.current_timestamp().cast("timestamp_ntz")   # F8
+    lt = load_time if load_time is not None else utc_now()   # F8
     if file_name_mode == "source":
         fname = F.element_at(F.split(F.col("_source_file"), "/"), -1)
     else:

@@ -8,17 +8,22 @@ exactly once by the checkpointed file log.  Per micro-batch (``foreachBatch``):
    against the feed pattern, on the whole path; files that the feed has loaded
    before (by path, size and time, also through ``copy_into``) are left out, the
    others parsed by column name (``csv_ingest``) into a staging table;
-2. good rows go to ``raw/<feed>`` partitioned by ``(bucket, batch_id)`` with
-   dynamic partition overwrite, so a replayed batch replaces itself;
-3. rejected rows go to ``quarantine/<feed>`` (``batch_id`` partition, idempotent);
-4. the buckets touched go to one small log per consumer (refresh, monitor),
-   and one ingest-log row is written for monitoring.
+2. the batch's id follows from its files, so it is the same when the batch is replayed
+   and different for any other, whatever checkpoint the stream has;
+3. good rows go to ``raw/<feed>`` into folders ``(bucket, load)``, rejected rows to
+   ``quarantine/<feed>``, counts to the ingest log, files to the list of loaded ones;
+4. one commit file makes all of it count (``commits``).  Readers of the raw table, of
+   the log and of the list leave out what is not committed;
+5. the keys and buckets touched go to one log per consumer (refresh: keys, monitor:
+   buckets), and a mark says so.  A commit without the mark is handed on by the next
+   batch, so a crash between the two loses no change.
 
 Only file paths, bucket ids and counters reach the driver, never rows.
 
 ``copy_into`` loads a fixed list of files into the same tables, strictly or
-leniently.  ``compact_raw`` writes a new version of a raw table; readers use the
-newest version whose marker file exists.
+leniently.  ``compact_raw`` merges the loads of a raw table into one, whose commit
+takes the place of theirs; rows keep their batch id, so files loaded again by force still
+replace their own rows.
 """
 
 from __future__ import annotations
@@ -30,14 +35,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskpipe.sources import csv_ingest as C
 from riskpipe.sources import schemas as S
+from riskpipe.streaming.commits import Commits, _fs, _names, batch_of, read, remove
 
 DEFAULT_BUCKETS = 64
 CHANGE_CONSUMERS = ("refresh", "monitor")
 FEED_PATTERNS = {"claims": C.CLAIMS_PATTERN, "customers": C.CUSTOMER_PATTERN}
+_FOLD = "fold"   # loads that a compaction made
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -54,13 +62,9 @@ class Layout:
     def raw(self, feed: str) -> str:
         return f"{self.root}/raw/{feed}"
 
-    def raw_version(self, feed: str, version: int) -> str:
-        """Folder of one version of a raw table; version 0 is what ingest writes at first."""
-        return self.raw(feed) if version == 0 else f"{self.root}/raw_v{version}/{feed}"
-
-    def versions(self, feed: str) -> str:
-        """Marker files ``<version>-<last batch id in it>`` of finished compactions."""
-        return f"{self.root}/_versions/{feed}"
+    def commits(self, table: str) -> str:
+        """Commit files of a feed's raw table, or of the levels."""
+        return f"{self.root}/_commits/{table}"
 
     def loaded(self, feed: str) -> str:
         """Files that were loaded (path, size, time)."""
@@ -70,7 +74,7 @@ class Layout:
         return f"{self.root}/quarantine/{feed}"
 
     def changes(self, consumer: str) -> str:
-        """Touched-bucket log of one consumer stream (each consumer deletes what it processed)."""
+        """Change log of one consumer stream (each consumer deletes what it processed)."""
         return f"{self.root}/changes/{consumer}"
 
     def ingest_log(self) -> str:
@@ -79,6 +83,10 @@ class Layout:
     def level(self, n: int) -> str:
         return f"{self.root}/level{n}"
 
+    def level_keys(self) -> str:
+        """The keys that each refresh recomputed."""
+        return f"{self.root}/level_keys"
+
     def refresh_log(self) -> str:
         return f"{self.root}/refresh_log"
 
@@ -103,15 +111,9 @@ def _overwrite_partitions(df: DataFrame, path: str, *cols: str, sort_by: tuple[s
      .partitionBy(*cols).parquet(path))
 
 
-def _fs(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    """Names of what a folder holds; none if there is no such folder.  One metadata call."""
-    p, fs = _fs(spark, path)
-    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+def _write_partitions(df: DataFrame, path: str, *cols: str) -> None:
+    """The same for a table of few rows, without a shuffle."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
 
 
 def check_buckets(spark: SparkSession, layout: Layout, buckets: int) -> None:
@@ -124,15 +126,18 @@ def check_buckets(spark: SparkSession, layout: Layout, buckets: int) -> None:
         raise ValueError(f"the tables under {layout.root} have {kept[0]} buckets, not {buckets}")
 
 
-def current_version(spark: SparkSession, layout: Layout, feed: str) -> tuple[int, int]:
-    """Newest finished version of a raw table, and the last batch id that its compaction took in (-1: none)."""
-    marks = [n for n in _names(spark, layout.versions(feed)) if re.fullmatch(r"[0-9]+-[0-9]+", n)]
-    return max((tuple(map(int, n.split("-"))) for n in marks), default=(0, -1))
+def commits(spark: SparkSession, layout: Layout, feed: str) -> Commits:
+    return Commits(spark, layout.commits(feed))
+
 
+def raw_schema(feed: str) -> T.StructType:
+    return T.StructType([*S.RAW_SCHEMAS[feed].fields, T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("load", T.StringType())])
 
-def raw_path(spark: SparkSession, layout: Layout, feed: str) -> str:
-    """Folder of the raw table as it is now."""
-    return layout.raw_version(feed, current_version(spark, layout, feed)[0])
+
+def read_raw(spark: SparkSession, layout: Layout, feed: str, buckets_touched: list[int] | None = None) -> DataFrame | None:
+    """The raw table as it is now (of some buckets only, if given), with ``batch_id`` and ``bucket``; None where it has no rows."""
+    df = read(spark, layout.raw(feed), raw_schema(feed), commits(spark, layout, feed).state(), buckets_touched)
+    return None if df is None else df.drop("load")
 
 
 def _file_facts(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
@@ -148,27 +153,67 @@ def _file_facts(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, i
 _LOADED = "path string, size long, modified long, batch_id long"
 
 
-def _not_loaded(spark: SparkSession, layout: Layout, feed: str, files: list[tuple[str, int, int]], batch_id: int | None) -> list[tuple[str, int, int]]:
-    """Of ``files`` those that no other batch has loaded."""
-    if not files or not _names(spark, layout.loaded(feed)):
+def _not_loaded(spark: SparkSession, layout: Layout, feed: str, files: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Of ``files`` those that no committed batch has loaded."""
+    done = commits(spark, layout, feed).state().batches
+    if not files or not done or not _names(spark, layout.loaded(feed)):
         return files
-    seen = spark.read.schema(_LOADED).parquet(layout.loaded(feed))
-    if batch_id is not None:
-        seen = seen.where(F.col("batch_id") != batch_id)   # a replayed batch loads its own files again
     mine = spark.createDataFrame(files, "path string, size long, modified long")
+    seen = _committed(spark, spark.read.schema(_LOADED).parquet(layout.loaded(feed)), {feed: done})
     return [tuple(r) for r in mine.join(seen, ["path", "size", "modified"], "left_anti").collect()]   # at most this batch
 
 
-def ingest_files(spark: SparkSession, paths: list[str], feed: str, layout: Layout, batch_id: int, *,
-                 buckets: int = DEFAULT_BUCKETS, on_error: str = "continue", file_name_mode: str = "source", **read_kw) -> C.LoadResult:
-    """Load one batch of files into the layout (idempotent per batch_id).
+def _committed(spark: SparkSession, rows: DataFrame, batches: dict[str, set[str]]) -> DataFrame:
+    """The rows whose batch was committed (a few bytes for each batch ever loaded)."""
+    done = spark.createDataFrame([(feed, int(b)) for feed, of in batches.items() for b in of if b.lstrip("-").isdigit()], "_feed string, _batch long")
+    same = (F.col("batch_id") == F.col("_batch")) & (F.col("feed") == F.col("_feed")) if "feed" in rows.columns else F.col("batch_id") == F.col("_batch")
+    return rows.join(F.broadcast(done), same, "left_semi")
+
+
+def batch_identity(files: list[tuple[str, int, int]]) -> int:
+    """A number that follows from the files (path, size, time)."""
+    return int(hashlib.md5("\n".join(f"{x}|{n}|{t}" for x, n, t in sorted(files)).encode()).hexdigest()[:15], 16)
+
+
+def _hand_on(spark: SparkSession, layout: Layout, feed: str, load: str, rows: DataFrame) -> None:
+    """Log the keys and buckets of ``rows`` for the consumers, then mark the load.
+
+    Done twice (after a crash) it does no harm: refreshing or measuring again changes nothing."""
+    keys = rows.select("policy_number", "bucket").withColumns({"feed": F.lit(feed), "batch_id": F.lit(int(batch_of(load))).cast("long")})
+    keys.distinct().write.mode("append").parquet(layout.changes("refresh"))
+    keys.select("bucket", "feed", "batch_id").distinct().coalesce(1).write.mode("append").parquet(layout.changes("monitor"))
+    commits(spark, layout, feed).log(load)
+
+
+def hand_on_the_rest(spark: SparkSession, layout: Layout, feed: str) -> None:
+    """Hand on the changes of commits that have no mark: an ingest ended between the two."""
+    state = commits(spark, layout, feed).state()
+    for load in sorted(state.live - state.logged):
+        if load.startswith(_FOLD):
+            continue
+        rows = spark.read.schema(raw_schema(feed)).parquet(layout.raw(feed))
+        _hand_on(spark, layout, feed, load, rows.where((F.col("load") == load) | (F.col("batch_id") == int(batch_of(load)))))
+
+
+def ingest_files(spark: SparkSession, paths: list[str], feed: str, layout: Layout, batch_id: int | None = None, *,
+                 buckets: int = DEFAULT_BUCKETS, on_error: str = "continue", file_name_mode: str = "source", force: bool = False, **read_kw) -> C.LoadResult:
+    """Load one batch of files into the layout.  Its id follows from the files unless given; a batch
+    that was committed before is not loaded again, or with ``force`` replaces its own rows.
 
     ``on_error="abort"``: if any row does not convert, all such rows go to the quarantine
     and nothing else is written."""
     check_buckets(spark, layout, buckets)
-    schema = S.DATA_SCHEMAS[feed]
+    hand_on_the_rest(spark, layout, feed)
     files = _file_facts(spark, paths)
-    typed = C.read_csv_by_name(spark, paths, schema, varchar_limits=S.VARCHAR_LIMITS.get(feed),
+    batch_id = batch_identity(files) if batch_id is None else batch_id
+    log = commits(spark, layout, feed)
+    state = log.state()
+    again = str(batch_id) in state.batches
+    if again and not force:
+        old = ingest_log(spark, layout).where((F.col("feed") == feed) & (F.col("batch_id") == batch_id)).first()
+        return C.LoadResult(feed, len(paths), old["rows_loaded"], old["rows_rejected"])
+    load = f"{batch_id}.{uuid.uuid4().hex[:8]}" if again else str(batch_id)
+    typed = C.read_csv_by_name(spark, paths, S.DATA_SCHEMAS[feed], varchar_limits=S.VARCHAR_LIMITS.get(feed),
                                file_name_mode=file_name_mode, **read_kw)
     typed = (typed.withColumn("bucket", key_bucket(F.col("policy_number"), buckets))
              .withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -179,29 +224,30 @@ def ingest_files(spark: SparkSession, paths: list[str], feed: str, layout: Layou
         staged = spark.read.schema(typed.schema).parquet(staging)
         counts = {r["_good"]: r["count"] for r in staged.groupBy("_good").count().collect()}
         res = C.LoadResult(feed, len(paths), int(counts.get(True, 0)), int(counts.get(False, 0)))
-        bad = C.bad_rows(staged.where("NOT _good")).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        _overwrite_partitions(bad, layout.quarantine(feed), "batch_id")
+        if res.rows_rejected:
+            bad = C.bad_rows(staged.where("NOT _good")).withColumn("batch_id", F.lit(batch_id).cast("long"))
+            _overwrite_partitions(bad, layout.quarantine(feed), "batch_id")
         if on_error == "abort" and res.rows_rejected:
             raise C.LoadError(f"{res.rows_rejected} of {res.rows_loaded + res.rows_rejected} rows did not convert; nothing loaded. "
                               f"They are in {layout.quarantine(feed)}, batch_id {batch_id}")
-        good = staged.where("_good").select(*C.RAW_COLUMNS[feed], "bucket", "batch_id")
-        version, folded = current_version(spark, layout, feed)
-        if not 0 <= batch_id <= folded:   # a replay of a batch that a compaction took in is there already
-            _overwrite_partitions(good, layout.raw_version(feed, version), "bucket", "batch_id")
-        touched = (good.select("bucket").distinct()
-                   .withColumn("feed", F.lit(feed)).withColumn("batch_id", F.lit(batch_id).cast("long")))
-        # one small append-only log per consumer: a replayed batch may log its buckets
-        # twice, which is harmless (refreshing or re-measuring a bucket is idempotent),
-        # and each consumer stream deletes the files it has processed (cleanSource)
-        for consumer in CHANGE_CONSUMERS:
-            touched.coalesce(1).write.mode("append").parquet(layout.changes(consumer))
-        log = spark.createDataFrame(
+        good = staged.where("_good").select(*C.RAW_COLUMNS[feed], "bucket", "batch_id").withColumn("load", F.lit(load))
+        # files in key order: a refresh of few keys skips row groups
+        _overwrite_partitions(good, layout.raw(feed), "bucket", "load", sort_by=("policy_number",))
+        entry = spark.createDataFrame(
             [(feed, int(batch_id), len(paths), res.rows_loaded, res.rows_rejected)],
             "feed string, batch_id long, files int, rows_loaded long, rows_rejected long",
-        ).withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
-        _overwrite_partitions(log, layout.ingest_log(), "feed", "batch_id")
-        done = spark.createDataFrame([(*f, int(batch_id)) for f in files], _LOADED)
-        _overwrite_partitions(done, layout.loaded(feed), "batch_id")
+        ).withColumn("loaded_at", C.utc_now()).coalesce(1)
+        _write_partitions(entry, layout.ingest_log(), "feed", "batch_id")
+        _write_partitions(spark.createDataFrame([(*f, int(batch_id)) for f in files], _LOADED).coalesce(1), layout.loaded(feed), "batch_id")
+        touched = good
+        if again:      # keys of the rows that go have changed as well
+            touched = good.unionByName(read(spark, layout.raw(feed), raw_schema(feed), state).where(F.col("batch_id") == batch_id))
+            olds = {x for x in state.live if batch_of(x) == str(batch_id)}
+            folds = {x: {str(batch_id)} for x in state.live if x.startswith(_FOLD)}
+            log.swap(load, state, olds, {str(batch_id)}, folds)
+        else:
+            log.add(load)
+        _hand_on(spark, layout, feed, load, touched)
         return res
     finally:
         p, fs = _fs(spark, staging)
@@ -212,18 +258,16 @@ def copy_into(spark: SparkSession, paths: list[str], feed: str, layout: Layout,
               buckets: int = DEFAULT_BUCKETS, **read_kw) -> C.LoadResult:
     """Load a fixed list of files into the raw table that the streams write as well.
 
-    Files that the feed has loaded before are skipped unless ``force``; the batch id follows from
-    the files (below -1, where no stream batch is), so loading the same files again replaces their rows."""
+    Files that the feed has loaded before are skipped; with ``force`` the batch of exactly these files is
+    loaded again and replaces its rows, wherever a compaction has put them."""
     if on_error not in ("abort", "continue"):
         raise ValueError(f"on_error must be 'abort' or 'continue', not {on_error!r}")
     files = _file_facts(spark, sorted(set(paths)))
     if not force:
-        files = _not_loaded(spark, layout, feed, files, None)
+        files = _not_loaded(spark, layout, feed, files)
     if not files:
         return C.LoadResult(feed, 0, 0, 0)
-    digest = hashlib.md5("\n".join(f"{x}|{n}|{t}" for x, n, t in sorted(files)).encode()).hexdigest()
-    return ingest_files(spark, sorted(x for x, _, _ in files), feed, layout, -2 - int(digest[:15], 16), buckets=buckets,
-                        on_error=on_error, **read_kw)
+    return ingest_files(spark, sorted(x for x, _, _ in files), feed, layout, buckets=buckets, on_error=on_error, force=force, **read_kw)
 
 
 def load_initial(spark: SparkSession, stage: str, feed: str, layout: Layout, **kw) -> C.LoadResult:
@@ -237,9 +281,12 @@ def load_initial(spark: SparkSession, stage: str, feed: str, layout: Layout, **k
 def start_ingest(spark: SparkSession, landing: str, feed: str, layout: Layout, *,
                  trigger: dict | None = None, max_files_per_trigger: int | None = 1000,
                  buckets: int = DEFAULT_BUCKETS, pattern: str | None = None,
-                 query_name: str | None = None, archive_dir: str | None = None) -> StreamingQuery:
+                 query_name: str | None = None, archive_dir: str | None = None, checkpoint: str | None = None) -> StreamingQuery:
     """Start the lenient continuous load of one feed.
 
+    ``checkpoint`` names another checkpoint of the stream; a new one lists the landing folder
+    afresh and loads what is not loaded.
+
     ``archive_dir`` (optional) moves processed landing files there once their batch
     is committed, so the landing listing stays small on a long run; by default files
     stay in place (the staged-file inventory S8 lists them).
@@ -259,12 +306,14 @@ def start_ingest(spark: SparkSession, landing: str, feed: str, layout: Layout, *
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         paths = [r["path"] for r in batch.collect()]   # file paths only, ≤ maxFilesPerTrigger
         paths = [p for p in paths if rx.fullmatch(p)]
-        new = _not_loaded(batch.sparkSession, layout, feed, _file_facts(batch.sparkSession, sorted(paths)), batch_id)
+        new = _not_loaded(batch.sparkSession, layout, feed, _file_facts(batch.sparkSession, sorted(paths)))
         if new:
-            ingest_files(batch.sparkSession, sorted(x for x, _, _ in new), feed, layout, batch_id, buckets=buckets)
+            ingest_files(batch.sparkSession, sorted(x for x, _, _ in new), feed, layout, buckets=buckets)
+        else:
+            hand_on_the_rest(batch.sparkSession, layout, feed)
 
     w = (files.writeStream.foreachBatch(run_batch)
-         .option("checkpointLocation", layout.checkpoint(f"ingest_{feed}")))
+         .option("checkpointLocation", checkpoint or layout.checkpoint(f"ingest_{feed}")))
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(**(trigger or {"availableNow": True}))
@@ -272,8 +321,9 @@ def start_ingest(spark: SparkSession, landing: str, feed: str, layout: Layout, *
 
 
 def ingest_log(spark: SparkSession, layout: Layout) -> DataFrame:
-    """One row per ingest batch and feed."""
-    return spark.read.parquet(layout.ingest_log())
+    """One row per committed ingest batch and feed."""
+    feeds = {f: commits(spark, layout, f).state().batches for f in FEED_PATTERNS}
+    return _committed(spark, spark.read.parquet(layout.ingest_log()), feeds)
 
 
 def pipe_status(query: StreamingQuery) -> dict:
@@ -281,32 +331,19 @@ def pipe_status(query: StreamingQuery) -> dict:
     return {"status": query.status, "last_progress": query.lastProgress}
 
 
-COMPACTED_BATCH = -1   # batch id of a bucket's compacted data
-
-
 def compact_raw(spark: SparkSession, layout: Layout, feed: str) -> int:
-    """Write a new version of a raw table with the batches of each bucket merged.
-
-    Maintenance, run with the ingest streams stopped.  The new version is complete before its
-    marker file appears, and only the marker makes it current; a failure before that leaves the
-    old version as it was.  The marker names the last stream batch taken in, so its replay adds
-    nothing.  The version before the last is removed.  Returns the number of buckets."""
-    from pyspark.sql import types as T
-
-    version, folded = current_version(spark, layout, feed)
-    source = layout.raw_version(feed, version)
-    if not _names(spark, source):
+    """Merge the loads of a raw table into one, with about one file a bucket.
+
+    Loads committed meanwhile stay beside it.  A failure before the commit changes nothing.
+    What an earlier compaction replaced is removed.  Returns the number of buckets."""
+    log = commits(spark, layout, feed)
+    state = log.state()
+    rows = read(spark, layout.raw(feed), raw_schema(feed), state)
+    if rows is None:
         return 0
-    schema = T.StructType(S.RAW_SCHEMAS[feed].fields + [T.StructField("bucket", T.IntegerType()),
-                                                        T.StructField("batch_id", T.LongType())])
-    df = spark.read.schema(schema).parquet(source)
-    last = df.agg(F.max("batch_id")).first()[0]
-    target = layout.raw_version(feed, version + 1)
-    (df.withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("long"))
-     .hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket", "batch_id").parquet(target))
-    mark, fs = _fs(spark, f"{layout.versions(feed)}/{version + 1}-{max(folded, last if last is not None else -1, 0)}")
-    fs.create(mark, True).close()
-    if version >= 1:
-        old, fs = _fs(spark, layout.raw_version(feed, version - 1))
-        fs.delete(old, True)
-    return sum(n.startswith("bucket=") for n in _names(spark, target))
+    hand_on_the_rest(spark, layout, feed)
+    load = f"{_FOLD}.{uuid.uuid4().hex[:8]}"
+    _overwrite_partitions(rows.withColumn("load", F.lit(load)), layout.raw(feed), "bucket", "load", sort_by=("policy_number",))
+    log.swap(load, state, state.live, state.batches)
+    remove(spark, layout.raw(feed), state.replaced)
+    return sum(f"load={load}" in _names(spark, f"{layout.raw(feed)}/{n}") for n in _names(spark, layout.raw(feed)) if n.startswith("bucket="))

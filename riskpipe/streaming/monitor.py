@@ -28,9 +28,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskpipe.operators import quality as Q
-from riskpipe.sources import schemas as S
-from riskpipe.streaming.ingest import Layout, _overwrite_partitions, raw_path
-from riskpipe.streaming.refresh import CHANGES_SCHEMA, _exists, ensure_dir, raw_buckets
+from riskpipe.sources.csv_ingest import utc_now
+from riskpipe.streaming.ingest import Layout, _overwrite_partitions, read_raw
+from riskpipe.streaming.refresh import CHANGES_SCHEMA, ensure_dir
 
 FEED_TABLES = {"claims": "claims_raw", "customers": "customer_raw"}
 BUCKET_KEY = "policy_number"
@@ -47,14 +47,6 @@ def additive_over_buckets(spec: Q.MetricSpec) -> bool:
     return spec.expr in ADDITIVE_BODIES or getattr(spec.expr, "additive", False)
 
 
-def _raw(spark: SparkSession, layout: Layout, feed: str) -> DataFrame | None:
-    if not _exists(spark, raw_path(spark, layout, feed)):
-        return None
-    schema = T.StructType(S.RAW_SCHEMAS[feed].fields + [T.StructField("bucket", T.IntegerType()),
-                                                        T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).parquet(raw_path(spark, layout, feed))
-
-
 def partials_path(layout: Layout) -> str:
     return f"{layout.root}/quality_partials"
 
@@ -65,7 +57,7 @@ def update_partials(spark: SparkSession, layout: Layout, registry: Q.MetricRegis
     for feed, buckets in touched.items():
         table = FEED_TABLES[feed]
         specs = registry.for_table(table)
-        raw = raw_buckets(spark, layout, feed, buckets) if buckets else None   # touched folders only
+        raw = read_raw(spark, layout, feed, buckets) if buckets else None   # touched folders only
         if not specs or raw is None:
             continue
         part = (Q.run_metrics(raw, specs, table, by=["bucket"])
@@ -78,7 +70,7 @@ def totals(spark: SparkSession, layout: Layout, measured_at=None, *, database: s
            schema: str = "raw_data") -> DataFrame:
     """Current metric values: a sum over the per-bucket partials (tiny input)."""
     p = spark.read.schema(PARTIALS_SCHEMA).parquet(partials_path(layout))
-    mt = measured_at if measured_at is not None else F.current_timestamp().cast("timestamp_ntz")
+    mt = measured_at if measured_at is not None else utc_now()
     return (p.groupBy("table_name", "metric_name")
             .agg(F.sum("value").cast("bigint").alias("value"), F.max("change_commit_time").alias("change_commit_time"))
             .select("change_commit_time", mt.alias("measurement_time"), F.lit(database).alias("table_database"),
@@ -96,7 +88,7 @@ def measure_full(spark: SparkSession, layout: Layout, registry: Q.MetricRegistry
     """Fallback: one full measurement of every registered raw table."""
     tables = {}
     for feed, table in FEED_TABLES.items():
-        raw = _raw(spark, layout, feed)
+        raw = read_raw(spark, layout, feed)
         if raw is not None and registry.for_table(table):
             tables[table] = raw
     if tables:

@@ -33,14 +33,13 @@ def cycle(spark, landing, layout):
 
 def state(spark, layout):
     l1 = R.level(spark, layout, 1)
-    return sorted((r.policy_number, r.has_claim, str(r.claim_amount)) for r in l1.collect())
+    return sorted(((r.policy_number, r.has_claim, str(r.claim_amount)) for r in l1.collect()), key=repr)
 
 
 def batch_truth(spark, layout):
-    cust = spark.read.parquet(layout.raw("customers")) if os.path.exists(layout.raw("customers").replace("file:", "")) else None
-    claims = spark.read.parquet(layout.raw("claims"))
+    cust, claims = I.read_raw(spark, layout, "customers"), I.read_raw(spark, layout, "claims")
     l1 = integ.integrate(cust, claims, hot=[])
-    return sorted((r.policy_number, r.has_claim, str(r.claim_amount)) for r in l1.collect())
+    return sorted(((r.policy_number, r.has_claim, str(r.claim_amount)) for r in l1.collect()), key=repr)
 
 
 def test_arrivals(spark, scratch):
@@ -149,43 +148,116 @@ def test_monitor_batch_replay_is_idempotent(spark, scratch):
     assert spark.read.parquet(results).count() == 3
 
 
+def claims_of(spark, layout):
+    return sorted(((r.policy_number, str(r.claim_amount)) for r in I.read_raw(spark, layout, "claims").collect()), key=repr)
+
+
+def loads_on_disk(layout):
+    return {n for _, folders, _ in os.walk(layout.raw("claims").replace("file:", "")) for n in folders if n.startswith("load=")}
+
+
 def test_compact_raw_keeps_rows_and_merges_files(spark, scratch):
     landing = f"{scratch}/landing"
     layout = I.Layout(f"file:{scratch}/tables")
-    for i in range(3):
+    for i in range(2):
         drop(f"{landing}/CLAIMS_DATA_{i}.csv", L_HEADER, [f"p{j},{100 + i},false" for j in range(6)] + [",5,true"])
-        run(I.start_ingest(spark, landing, "claims", layout, buckets=4))
-    rows = lambda: sorted((tuple(r) for r in spark.read.parquet(I.raw_path(spark, layout, "claims"))
-                           .drop("batch_id", "load_timestamp").collect()), key=repr)
-    before = rows()
-    n_files = lambda: sum(1 for _, _, fs_ in os.walk(I.raw_path(spark, layout, "claims").replace("file:", ""))
-                          for f in fs_ if f.endswith(".parquet"))
-    assert n_files() > 5
+        I.copy_into(spark, [f"file:{landing}/CLAIMS_DATA_{i}.csv"], "claims", layout, buckets=4)
+    before, first = claims_of(spark, layout), loads_on_disk(layout)
     assert I.compact_raw(spark, layout, "claims") == 5   # buckets 0-3 and the NULL bucket -1
-    assert before == rows() and n_files() == 5
+    assert before == claims_of(spark, layout) and len(before) == 14
+    assert first < loads_on_disk(layout)                 # for readers that resolved before
     # a batch that was committed to the table but not to the stream comes again: nothing is added
-    I.ingest_files(spark, [f"file:{landing}/CLAIMS_DATA_2.csv"], "claims", layout, batch_id=2, buckets=4)
-    assert before == rows()
-    # new batches go into the new version, and the next compaction removes the one before the last
+    r = I.ingest_files(spark, [f"file:{landing}/CLAIMS_DATA_1.csv"], "claims", layout, buckets=4)
+    assert before == claims_of(spark, layout) and (r.rows_loaded, r.rows_rejected) == (7, 0)
+    # loads after it stand beside it; by force, a load that it took in is replaced
     drop(f"{landing}/CLAIMS_DATA_9.csv", L_HEADER, ["p1,77,false"])
-    run(I.start_ingest(spark, landing, "claims", layout, buckets=4))
-    assert len(rows()) == len(before) + 1
-    assert I.compact_raw(spark, layout, "claims") == 5 and len(rows()) == len(before) + 1
-    assert not os.path.exists(layout.raw("claims").replace("file:", ""))
+    I.copy_into(spark, [f"file:{landing}/CLAIMS_DATA_9.csv"], "claims", layout, buckets=4)
+    for _ in range(2):
+        assert I.copy_into(spark, [f"file:{landing}/CLAIMS_DATA_0.csv"], "claims", layout, buckets=4, force=True).rows_loaded == 7
+        assert claims_of(spark, layout) == sorted([*before, ("p1", "77.00")], key=repr)
+    assert I.compact_raw(spark, layout, "claims") == 5 and claims_of(spark, layout) == sorted([*before, ("p1", "77.00")], key=repr)
+    assert not first & loads_on_disk(layout)             # what the one before replaced is gone
+    assert I.ingest_log(spark, layout).agg(F.sum("rows_loaded")).first()[0] == 15
 
 
-def test_unfinished_compaction_changes_nothing(spark, scratch, monkeypatch):
+def test_a_new_checkpoint_loads_what_is_not_loaded(spark, scratch):
+    """Files archived or compacted before, the stream created anew: no row is lost, none comes twice."""
     landing = f"{scratch}/landing"
     layout = I.Layout(f"file:{scratch}/tables")
-    drop(f"{landing}/CLAIMS_DATA_1.csv", L_HEADER, ["p1,1,false", "p2,2,false"])
-    run(I.start_ingest(spark, landing, "claims", layout, buckets=4))
-    real = I._fs
-    monkeypatch.setattr(I, "_fs", lambda s, p: (_ for _ in ()).throw(OSError("no store")) if "_versions/claims/" in p else real(s, p))
+    rows = []
+    for i in range(3):
+        drop(f"{landing}/CLAIMS_DATA_{i}.csv", L_HEADER, [f"p{j},{100 + i},false" for j in range(4)])
+        rows += [(f"p{j}", f"{100 + i}.00") for j in range(4)]
+        run(I.start_ingest(spark, landing, "claims", layout, buckets=4, checkpoint=f"file:{scratch}/checkpoint{i}"))
+        assert claims_of(spark, layout) == sorted(rows)
+        if i == 1:
+            I.compact_raw(spark, layout, "claims")
+    assert I.ingest_log(spark, layout).agg(F.sum("rows_loaded")).first()[0] == 12
+
+
+def test_a_load_counts_from_its_commit_and_is_handed_on_once(spark, scratch, monkeypatch):
+    from riskpipe.streaming import commits as K
+    layout = I.Layout(f"file:{scratch}/tables")
+    drop(f"{scratch}/landing/CLAIMS_DATA_1.csv", L_HEADER, ["p1,1,false", "p2,2,false"])
+    drop(f"{scratch}/landing/CUSTOMER_DATA_1.csv", C_HEADER, ["p1,30,2014-01-01 00:00:00.000,10,500,900,M,College,x"])
+    one = [f"file:{scratch}/landing/CLAIMS_DATA_1.csv"]
+    fails = lambda *a, **k: (_ for _ in ()).throw(OSError("lost"))
+    monkeypatch.setattr(K.Commits, "add", fails)
+    with pytest.raises(OSError):
+        I.copy_into(spark, one, "claims", layout, buckets=4)
+    monkeypatch.undo()
+    assert I.read_raw(spark, layout, "claims") is None and I.ingest_log(spark, layout).count() == 0
+    # the commit stands, what follows it fails: the next batch hands it on
+    monkeypatch.setattr(I, "_hand_on", fails)
+    with pytest.raises(OSError):
+        I.copy_into(spark, one, "claims", layout, buckets=4)
+    monkeypatch.undo()
+    assert claims_of(spark, layout) == [("p1", "1.00"), ("p2", "2.00")]
+    assert I.copy_into(spark, one, "claims", layout, buckets=4).files == 0
+    I.copy_into(spark, [f"file:{scratch}/landing/CUSTOMER_DATA_1.csv"], "customers", layout, buckets=4)
+    I.hand_on_the_rest(spark, layout, "claims")
+    run(R.start_refresh(spark, layout, buckets=4))
+    assert state(spark, layout) == [("p1", 1, "1.00")]
+
+
+def test_unfinished_compaction_changes_nothing(spark, scratch, monkeypatch):
+    from riskpipe.streaming import commits as K
+    layout = I.Layout(f"file:{scratch}/tables")
+    drop(f"{scratch}/landing/CLAIMS_DATA_1.csv", L_HEADER, ["p1,1,false", "p2,2,false"])
+    I.copy_into(spark, [f"file:{scratch}/landing/CLAIMS_DATA_1.csv"], "claims", layout, buckets=4)
+    monkeypatch.setattr(K.Commits, "swap", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
     with pytest.raises(OSError):
         I.compact_raw(spark, layout, "claims")
     monkeypatch.undo()
-    assert I.raw_path(spark, layout, "claims") == layout.raw("claims")
-    assert spark.read.parquet(I.raw_path(spark, layout, "claims")).count() == 2
+    assert claims_of(spark, layout) == [("p1", "1.00"), ("p2", "2.00")]
+    assert I.compact_raw(spark, layout, "claims") > 0 and claims_of(spark, layout) == [("p1", "1.00"), ("p2", "2.00")]
+
+
+def test_refresh_writes_only_the_keys_that_changed(spark, scratch, monkeypatch):
+    layout = I.Layout(f"file:{scratch}/tables")
+    into = lambda name, header, rows: (drop(f"{scratch}/landing/{name}.csv", header, rows),
+                                       I.copy_into(spark, [f"file:{scratch}/landing/{name}.csv"], "customers" if name.startswith("CUST") else "claims", layout, buckets=2))
+    into("CUSTOMER_DATA_1", C_HEADER, [f"p{i},{20 + i},2014-01-01 00:00:00.000,10,500,900,M,College,x" for i in range(40)] + [",40,2014-01-01 00:00:00.000,10,500,900,F,MD,z"])
+    into("CLAIMS_DATA_1", L_HEADER, ["p1,100,false", "p2,200,false"])
+    run(R.start_refresh(spark, layout, buckets=2))
+    monkeypatch.setattr(R, "MERGE_AFTER", 2)
+    for i, amount in enumerate((300, 400, 500)):
+        into(f"CLAIMS_DATA_L{i}", L_HEADER, [f"p{i + 1},{amount},true"])
+        run(R.start_refresh(spark, layout, buckets=2))
+        last = max(R.level_commits(spark, layout).state().live)
+        rows = R.level(spark, layout, 2, with_load=True).where(F.col("load") == last).collect()
+        assert i == 1 or {r.policy_number for r in rows} == {f"p{i + 1}"}     # the second is merged with those before
+        assert state(spark, layout) == batch_truth(spark, layout)
+    assert R.level(spark, layout, 2).where("policy_number = 'p3'").count() == 1       # its row without a claim is gone
+    before = sorted(map(repr, R.level(spark, layout, 2).collect()))
+    R.merge_refreshes(spark, layout)
+    assert sorted(map(repr, R.level(spark, layout, 2).collect())) == before
+    R.compact_levels(spark, layout)
+    assert sorted(map(repr, R.level(spark, layout, 2).collect())) == before
+    assert len(R.level_commits(spark, layout).state().live) == 1
+    into("CLAIMS_DATA_Z", L_HEADER, ["p9,1,false"])
+    run(R.start_refresh(spark, layout, buckets=2))
+    assert state(spark, layout) == batch_truth(spark, layout)
 
 
 def test_bucket_count_is_kept_with_the_tables(spark, scratch):
@@ -196,7 +268,20 @@ def test_bucket_count_is_kept_with_the_tables(spark, scratch):
     with pytest.raises(ValueError):
         I.ingest_files(spark, [f"file:{landing}/CLAIMS_DATA_1.csv"], "claims", layout, batch_id=3, buckets=16)
     with pytest.raises(ValueError):
-        R.refresh_buckets(spark, layout, [0], buckets=16)
+        R.refresh_keys(spark, layout, spark.createDataFrame([("p1", 0)], "policy_number string, bucket int"), buckets=16)
+
+
+def test_load_time_is_an_instant(spark):
+    from riskpipe.sources.csv_ingest import utc_now
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    times = []
+    try:
+        for z in ("UTC", "America/Denver"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            times.append(spark.range(1).select(utc_now()).first()[0])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert 0 <= (times[1] - times[0]).total_seconds() < 600
 
 
 def test_pattern_matches_whole_paths(spark, scratch):
@@ -223,7 +308,7 @@ def test_initial_load_then_stream_share_one_table(spark, scratch):
     assert state(spark, layout) == [("p1", 1, "1000.00"), ("p1", 1, "2000.00")]
     # by force, it replaces its own rows
     assert I.load_initial(spark, landing, "claims", layout, buckets=4, force=True).rows_loaded == 1
-    assert spark.read.parquet(layout.raw("claims")).count() == 2
+    assert I.read_raw(spark, layout, "claims").count() == 2
 
 
 def test_strict_copy_keeps_all_rejects(spark, scratch):
