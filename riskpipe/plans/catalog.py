@@ -209,55 +209,56 @@ def q_l2(spark, sf_dir):
 # M2: reports
 
 
-@register("risk_overview", O.with_ctes(*O.BASE_L2) + f"""
-SELECT CAST(COUNT(*) AS BIGINT) AS total_customers,
-       CAST(COUNT(CASE WHEN risk_level = 'HIGH' THEN 1 END) AS BIGINT) AS high_risk_count,
-       CAST(COUNT(CASE WHEN risk_level = 'MEDIUM' THEN 1 END) AS BIGINT) AS medium_risk_count,
-       CAST(COUNT(CASE WHEN risk_level = 'LOW' THEN 1 END) AS BIGINT) AS low_risk_count,
-       CAST(ROUND(AVG(total_risk_score), 1) AS DOUBLE) AS avg_risk_score,
-       CAST(ROUND(AVG(claim_amount_filled), 0) AS DOUBLE) AS avg_claim_amount,
-       {O.ts('MAX(last_updated)')} AS last_refresh
-FROM l2""")
+# The reports' twins read one relation of exact sums, a row for each group that any report tells apart.
+_SUMS = {"n": "COUNT(*)", "score": "SUM(total_risk_score)", "age_score": "SUM(age_risk_score)", "claim": "SUM(claim_amount_filled)",
+         "premium": "SUM(policy_annual_premium)", "premiums": "COUNT(policy_annual_premium)", "newest": "MAX(last_updated)"}
+SUMMARY = "summary AS (SELECT age_category, customer_state, risk_level, " + ", ".join(f"{x} AS {n}" for n, x in _SUMS.items()) + " FROM l2 GROUP BY ALL)"
+
+
+def _n(name: str, level: str | None = None) -> str:
+    """Rows, or those of one risk level."""
+    return f"CAST(COALESCE(SUM(n){'' if level is None else f" FILTER (risk_level = '{level}')"}, 0) AS BIGINT) AS {name}"
+
+
+def _mean(name: str, of: str, digits: int, rows: str = "n") -> str:
+    return f"CAST(ROUND(SUM({of}) / CAST(SUM({rows}) AS DOUBLE), {digits}) AS DOUBLE) AS {name}"
+
+
+def _report_sql(*columns: str, by: str | None = None, order: str = "") -> str:
+    group = f" GROUP BY {by} ORDER BY {order}, {by}" if by else ""
+    return O.with_ctes(*O.BASE_L2, SUMMARY) + "SELECT " + ", ".join([by] * (by is not None) + list(columns)) + " FROM summary" + group
+
+
+@register("risk_overview", _report_sql(
+    _n("total_customers"), *[_n(f"{x.lower()}_risk_count", x) for x in ("HIGH", "MEDIUM", "LOW")],
+    _mean("avg_risk_score", "score", 1), _mean("avg_claim_amount", "claim", 0), f"{O.ts('MAX(newest)')} AS last_refresh"))
 def q_risk_overview(spark, sf_dir):
     return comparable(reports.overview(level2(spark, sf_dir)))
 
 
-@register("by_age_category", O.with_ctes(*O.BASE_L2) + """
-SELECT age_category, CAST(COUNT(*) AS BIGINT) AS customer_count,
-       CAST(ROUND(AVG(age_risk_score), 1) AS DOUBLE) AS avg_age_risk_score,
-       CAST(ROUND(AVG(total_risk_score), 1) AS DOUBLE) AS avg_total_risk_score,
-       CAST(COUNT(CASE WHEN risk_level = 'HIGH' THEN 1 END) AS BIGINT) AS high_risk_count
-FROM l2 GROUP BY age_category ORDER BY avg_total_risk_score DESC, age_category""")
+@register("by_age_category", _report_sql(
+    _n("customer_count"), _mean("avg_age_risk_score", "age_score", 1), _mean("avg_total_risk_score", "score", 1), _n("high_risk_count", "HIGH"),
+    by="age_category", order="avg_total_risk_score DESC"))
 def q_by_age_category(spark, sf_dir):
     return reports.by_age_category(level2(spark, sf_dir))
 
 
-@register("by_state", O.with_ctes(*O.BASE_L2) + """
-SELECT customer_state, CAST(COUNT(*) AS BIGINT) AS customer_count,
-       CAST(ROUND(AVG(total_risk_score), 1) AS DOUBLE) AS avg_risk_score,
-       CAST(COUNT(CASE WHEN risk_level = 'HIGH' THEN 1 END) AS BIGINT) AS high_risk_count,
-       CAST(ROUND(AVG(claim_amount_filled), 0) AS DOUBLE) AS avg_claim_amount
-FROM l2 GROUP BY customer_state ORDER BY customer_count DESC, customer_state""")
+@register("by_state", _report_sql(
+    _n("customer_count"), _mean("avg_risk_score", "score", 1), _n("high_risk_count", "HIGH"), _mean("avg_claim_amount", "claim", 0),
+    by="customer_state", order="customer_count DESC"))
 def q_by_state(spark, sf_dir):
     return reports.by_state(level2(spark, sf_dir))
 
 
-@register("by_risk_level", O.with_ctes(*O.BASE_L2) + """
-SELECT risk_level, CAST(COUNT(*) AS BIGINT) AS count,
-       CAST(ROUND(AVG(total_risk_score), 1) AS DOUBLE) AS avg_score,
-       CAST(ROUND(AVG(claim_amount_filled), 0) AS DOUBLE) AS avg_claim,
-       CAST(ROUND(AVG(policy_annual_premium), 0) AS DOUBLE) AS avg_premium
-FROM l2 GROUP BY risk_level ORDER BY avg_score DESC, risk_level""")
+@register("by_risk_level", _report_sql(
+    _n("count"), _mean("avg_score", "score", 1), _mean("avg_claim", "claim", 0), _mean("avg_premium", "premium", 0, "premiums"),
+    by="risk_level", order="avg_score DESC"))
 def q_by_risk_level(spark, sf_dir):
     return reports.by_risk_level(level2(spark, sf_dir))
 
 
-@register("high_risk_share", O.with_ctes(*O.BASE_L2) + """
-SELECT CAST(COUNT(*) AS BIGINT) AS total_customers,
-       CAST(COUNT(CASE WHEN risk_level = 'HIGH' THEN 1 END) AS BIGINT) AS high_risk_count,
-       CAST(CASE WHEN COUNT(*) > 0 THEN ROUND(COUNT(CASE WHEN risk_level = 'HIGH' THEN 1 END) * 100.0 / COUNT(*), 1)
-            END AS DOUBLE) AS high_risk_pct
-FROM l2""")
+@register("high_risk_share", _report_sql(
+    _n("total_customers"), _n("high_risk_count", "HIGH"), "CAST(ROUND(100 * high_risk_count / NULLIF(CAST(total_customers AS DOUBLE), 0), 1) AS DOUBLE) AS high_risk_pct"))
 def q_high_risk_share(spark, sf_dir):
     return reports.high_risk_share(level2(spark, sf_dir))
 

@@ -12,7 +12,7 @@ from riskpipe.operators import integrate as INTEG
 from riskpipe.operators import quality as Q
 from riskpipe.plans import oracle as O
 from riskpipe.plans import reports as RP
-from riskpipe.plans.catalog import _L2_SQL_COLS, comparable, level1, level2, raw, register
+from riskpipe.plans.catalog import _L2_SQL_COLS, SUMMARY, comparable, level1, level2, raw, register
 from riskpipe.session import scratch_path
 from riskpipe.sources import csv_ingest as C
 from riskpipe.sources import schemas as S
@@ -23,19 +23,17 @@ from riskpipe.streaming import refresh as R
 # ---------------------------------------------------------------------------
 # M6: quality metrics
 
-_CLAIMS_METRICS_SQL = [
-    ("INVALID_CLAIM_AMOUNT_COUNT",
-     "COUNT_IF(claim_amount IS NOT NULL AND (claim_amount < 100 OR claim_amount > 500000))"),
-    ("NULL_COUNT", "COUNT_IF(policy_number IS NULL)"),
-    ("DUPLICATE_COUNT", "COUNT(*) - COUNT(DISTINCT policy_number) - "
-                        "CASE WHEN COUNT_IF(policy_number IS NULL) > 0 THEN 1 ELSE 0 END"),
-]
-_CUSTOMER_METRICS_SQL = [
-    ("INVALID_CUSTOMER_AGE_COUNT", "COUNT_IF(age IS NOT NULL AND (age < 18 OR age > 85))"),
-    ("NULL_COUNT", "COUNT_IF(policy_number IS NULL)"),
-    ("ROW_COUNT", "COUNT(*)"),
-]
-_METRICS_SQL = {"claims_raw": _CLAIMS_METRICS_SQL, "customer_raw": _CUSTOMER_METRICS_SQL}
+def _outside(bounds: tuple[int, int]):
+    return lambda c: f"COALESCE(SUM(CASE WHEN {c} NOT BETWEEN {bounds[0]} AND {bounds[1]} THEN 1 ELSE 0 END), 0)"
+
+
+# what each metric function counts, in SQL; range checks by the column that they are for
+_BODIES = {Q.null_count: lambda c: f"COUNT(*) - COUNT({c})",
+           Q.duplicate_count: lambda c: f"COUNT(*) - COUNT(DISTINCT {c}) - CAST(COUNT(*) > COUNT({c}) AS INTEGER)",
+           Q.row_count: lambda: "COUNT(*)"}
+_RANGES = {"claim_amount": _outside(Q.CLAIM_AMOUNT_RANGE), "age": _outside(Q.CUSTOMER_AGE_RANGE)}
+_METRICS_SQL = {t: [(m.name, _BODIES.get(m.expr, _RANGES.get(m.columns[0] if m.columns else None))(*m.columns)) for m in specs]
+                for t, specs in (("claims_raw", Q.CLAIMS_SPECS), ("customer_raw", Q.CUSTOMER_SPECS))}
 
 
 def _metrics_sql(table: str, extra_cols: str = "", group: str = "") -> str:
@@ -153,10 +151,10 @@ def q_dq_alerts(spark, sf_dir):
 
 
 def _load_validation_sql(table: str, count_name: str) -> str:
-    return (f"SELECT 'INITIAL LOAD STATUS' AS check_type, CAST(COUNT(*) AS BIGINT) AS {count_name}, "
-            f"CAST(COUNT(DISTINCT policy_number) AS BIGINT) AS unique_policies, "
-            f"{O.ts('MIN(load_timestamp)')} AS first_loaded, {O.ts('MAX(load_timestamp)')} AS last_loaded "
-            f"FROM {table}")
+    """From one row for each policy."""
+    return (f", per AS (SELECT policy_number, COUNT(*) AS n, MIN(load_timestamp) AS lo, MAX(load_timestamp) AS hi FROM {table} GROUP BY ALL) "
+            f"SELECT 'INITIAL LOAD STATUS' AS check_type, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS {count_name}, COUNT(policy_number) AS unique_policies, "
+            f"{O.ts('MIN(lo)')} AS first_loaded, {O.ts('MAX(hi)')} AS last_loaded FROM per")
 
 
 @register("load_validation_claims", O.with_ctes(O.CLAIMS_RAW) + _load_validation_sql("claims_raw", "total_claims"))
@@ -523,12 +521,9 @@ def q_refresh_lag(spark, sf_dir):
         "last_refresh", "last_refresh_time", (F.col("lag_seconds") >= 0).alias("lag_not_negative")))
 
 
-@register("risk_overview_display", O.with_ctes(*O.BASE_L2) + """
-SELECT format('{:,}', COUNT(*)) AS total_customers,
-       '$' || format('{:,.0f}', ROUND(AVG(claim_amount_filled), 0)) AS avg_claim_amount,
-       format('{:,.1f}', ROUND(AVG(total_risk_score), 1)) AS avg_risk_score,
-       strftime(MAX(last_updated), '%H:%M:%S') AS last_refresh_time
-FROM l2""")
+@register("risk_overview_display", O.with_ctes(*O.BASE_L2, SUMMARY, "o AS (SELECT SUM(n) AS n, SUM(score) AS score, SUM(claim) AS claim, MAX(newest) AS newest FROM summary)") + """
+SELECT format('{:,}', CAST(n AS BIGINT)) AS total_customers, '$' || format('{:,.0f}', ROUND(claim / CAST(n AS DOUBLE), 0)) AS avg_claim_amount,
+       format('{:,.1f}', ROUND(score / CAST(n AS DOUBLE), 1)) AS avg_risk_score, strftime(newest, '%H:%M:%S') AS last_refresh_time FROM o""")
 def q_risk_overview_display(spark, sf_dir):
     """the overview formatted for display."""
     return RP.display_overview(level2(spark, sf_dir))
