@@ -12,13 +12,14 @@ from riskpipe.operators import integrate as INTEG
 from riskpipe.operators import quality as Q
 from riskpipe.plans import oracle as O
 from riskpipe.plans import reports as RP
-from riskpipe.plans.catalog import _L2_SQL_COLS, SUMMARY, comparable, level1, level2, raw, register
+from riskpipe.plans.catalog import _L2_SQL_COLS, SUMMARY, _mean, _n, comparable, level1, level2, raw, register
 from riskpipe.session import scratch_path
 from riskpipe.sources import csv_ingest as C
 from riskpipe.sources import schemas as S
 from riskpipe.streaming import ingest as I
 from riskpipe.streaming import monitor as MON
 from riskpipe.streaming import refresh as R
+from riskpipe.streaming import summary as SM
 
 # ---------------------------------------------------------------------------
 # M6: quality metrics
@@ -415,13 +416,10 @@ claims_raw AS (SELECT * FROM claims0 UNION ALL
   SELECT * REPLACE (CAST(60000 AS DECIMAL(10, 2)) AS claim_amount, TRUE AS fraud_reported) FROM claims0 WHERE policy_number = {_LATE_KEY})""")
 
 
-@register("stream_refresh_one_key", O.with_ctes(O.CUSTOMER_RAW, _LATE_CLAIMS, O.L1, O.L2)
-          + f"SELECT {_l2_sql_cols()}, policy_number IS NOT DISTINCT FROM {_LATE_KEY} AS refreshed FROM l2")
-def q_stream_refresh_one_key(spark, sf_dir):
-    """Everything is loaded and refreshed, then late claims of one policy arrive.  Level 2 afterwards, and
-    which of its rows the last refresh wrote: those of that policy."""
+def _with_late_claims(spark, sf_dir, name: str, after=lambda spark, layout: None) -> I.Layout:
+    """Everything loaded and refreshed, then late claims of one policy; ``after`` runs after each refresh."""
     cust, claims = raw(spark, sf_dir)
-    root = scratch_path(spark, "refresh_key")
+    root = scratch_path(spark, name)
     layout, landing = I.Layout(root), f"{root}/landing"
     text = _claims_text(claims, False)
     files = {"claims": C.write_named_csv(text, landing, "CLAIMS_DATA_ALL", column_order=CLAIM_DATA_COLS),
@@ -429,15 +427,35 @@ def q_stream_refresh_one_key(spark, sf_dir):
     for feed, paths in files.items():
         I.copy_into(spark, paths, feed, layout, buckets=REFRESH_BUCKETS)
     _run(R.start_refresh(spark, layout, buckets=REFRESH_BUCKETS))
+    after(spark, layout)
     key = text.join(cust.select("policy_number"), "policy_number", "left_semi").agg(F.min("policy_number").alias("policy_number"))
     late = text.join(F.broadcast(key), "policy_number", "left_semi").withColumns({"claim_amount": F.lit("60000.00"), "fraud_reported": F.lit("true")})
     C.write_named_csv(late, landing, "CLAIMS_DATA_LATE", column_order=CLAIM_DATA_COLS)
     _run(I.start_ingest(spark, landing, "claims", layout, buckets=REFRESH_BUCKETS))
     _run(R.start_refresh(spark, layout, buckets=REFRESH_BUCKETS))
+    after(spark, layout)
+    return layout
+
+
+@register("stream_refresh_one_key", O.with_ctes(O.CUSTOMER_RAW, _LATE_CLAIMS, O.L1, O.L2)
+          + f"SELECT {_l2_sql_cols()}, policy_number IS NOT DISTINCT FROM {_LATE_KEY} AS refreshed FROM l2")
+def q_stream_refresh_one_key(spark, sf_dir):
+    """Everything is loaded and refreshed, then late claims of one policy arrive.  Level 2 afterwards, and
+    which of its rows the last refresh wrote: those of that policy."""
+    layout = _with_late_claims(spark, sf_dir, "refresh_key")
     last = max(R.level_commits(spark, layout).state().live)
     return comparable(R.level(spark, layout, 2, with_load=True).select(*_L2_STREAM_COLS, (F.col("load") == last).alias("refreshed")))
 
 
+@register("by_state_maintained", O.with_ctes(O.CUSTOMER_RAW, _LATE_CLAIMS, O.L1, O.L2, SUMMARY) + "SELECT customer_state, " + ", ".join((
+    _n("customer_count"), _mean("avg_risk_score", "score", 1), _n("high_risk_count", "HIGH"), _mean("avg_claim_amount", "claim", 0)))
+    + " FROM summary GROUP BY customer_state ORDER BY customer_count DESC, customer_state")
+def q_by_state_maintained(spark, sf_dir):
+    """R3 from the maintained summary, after late claims changed one bucket of it: no row of level 2 is read."""
+    layout = _with_late_claims(spark, sf_dir, "maintained", SM.update)
+    return RP.summary_by_state(RP.governed_summary(SM.summary(spark, layout), gov.ADMIN))
+
+
 # ---------------------------------------------------------------------------
 # Governed export
 

@@ -174,11 +174,11 @@ def policy_status(view: DataFrame) -> DataFrame:
 SUMMARY_KEYS = ["age_category", "customer_state", "risk_level"]
 
 
-def summary(matrix: DataFrame) -> DataFrame:
-    """Counts and sums of the risk matrix by age category, state and level: at most
-    5 x 4 x 3 rows, with the claim amounts as they are and as they are masked."""
+def summary(matrix: DataFrame, *more: str) -> DataFrame:
+    """Counts and sums of the risk matrix by age category, state and level (and ``more`` columns): at most
+    5 x 4 x 3 rows of each, with the claim amounts as they are and as they are masked."""
     masked = gov.floor_mask(F.col("claim_amount_filled"))
-    return matrix.withColumn("_masked", masked).groupBy(*SUMMARY_KEYS).agg(
+    return matrix.withColumn("_masked", masked).groupBy(*more, *SUMMARY_KEYS).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("total_risk_score").alias("score"), F.count("total_risk_score").alias("score_n"),
         F.sum("age_risk_score").alias("age_score"), F.count("age_risk_score").alias("age_score_n"),

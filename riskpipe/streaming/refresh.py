@@ -68,13 +68,13 @@ def level_commits(spark: SparkSession, layout: Layout) -> Commits:
     return Commits(spark, layout.commits("levels"))
 
 
-def _level_schema(spark: SparkSession, n: int) -> T.StructType:
+def level_schema(spark: SparkSession, n: int) -> T.StructType:
     l1 = integ.integrate(spark.createDataFrame([], S.CUSTOMER_RAW), spark.createDataFrame([], S.CLAIMS_RAW), hot=[])
     plan = l1 if n == 1 else integ.risk_matrix(l1)
     return T.StructType([*plan.schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("load", T.StringType())])
 
 
-def _is_base(load: str) -> bool:
+def is_base(load: str) -> bool:
     return load.split(".")[1] == "base"
 
 
@@ -92,8 +92,8 @@ def _newest_keys(spark: SparkSession, layout: Layout, loads: list[str]) -> DataF
 
 def _merged(spark: SparkSession, layout: Layout, n: int, loads: list[str], schema: T.StructType | None = None) -> DataFrame:
     """Rows of the loads that no later one of them recomputed, with ``bucket`` and ``load``."""
-    rows = spark.read.schema(schema or _level_schema(spark, n)).parquet(layout.level(n)).where(F.col("load").isin(loads))
-    later = [x for x in loads if not _is_base(x)]
+    rows = spark.read.schema(schema or level_schema(spark, n)).parquet(layout.level(n)).where(F.col("load").isin(loads))
+    later = [x for x in loads if not is_base(x)]
     if len(loads) == 1 or not later:
         return rows
     newest = _newest_keys(spark, layout, later)
@@ -103,7 +103,7 @@ def _merged(spark: SparkSession, layout: Layout, n: int, loads: list[str], schem
 
 def level(spark: SparkSession, layout: Layout, n: int, with_load: bool = False) -> DataFrame:
     """Level ``n`` as last published (empty, with its schema, before the first refresh)."""
-    schema = _level_schema(spark, n)
+    schema = level_schema(spark, n)
     live = sorted(level_commits(spark, layout).state().live)
     df = _merged(spark, layout, n, live, schema) if live else spark.createDataFrame([], schema)
     return df if with_load else df.drop("load")
@@ -154,7 +154,7 @@ def refresh_keys(spark: SparkSession, layout: Layout, keys: DataFrame, *, bucket
     # readers filter by state (row policy): cluster each file by state for row-group skipping
     _overwrite_partitions(l2, layout.level(2), "bucket", "load", sort_by=L2_SORT)
     log.add(load)
-    refreshes = [x for x in log.state().live if not _is_base(x)]
+    refreshes = [x for x in log.state().live if not is_base(x)]
     if len(refreshes) > MERGE_AFTER:
         merge_refreshes(spark, layout)
     return load
@@ -172,7 +172,7 @@ def _rewrite(spark: SparkSession, layout: Layout, loads: list[str], load: str, s
 def merge_refreshes(spark: SparkSession, layout: Layout) -> None:
     """The refreshes since the base as one: what it costs hangs on what they wrote, not on the base."""
     state = level_commits(spark, layout).state()
-    loads = sorted(x for x in state.live if not _is_base(x))
+    loads = sorted(x for x in state.live if not is_base(x))
     if len(loads) < 2:
         return
     load = _new_load(state, "keys")

@@ -260,6 +260,34 @@ def test_refresh_writes_only_the_keys_that_changed(spark, scratch, monkeypatch):
     assert state(spark, layout) == batch_truth(spark, layout)
 
 
+def test_summary_follows_the_levels_bucket_by_bucket(spark, scratch, monkeypatch):
+    from riskpipe.operators import governance as G
+    from riskpipe.plans import reports as RP
+    from riskpipe.streaming import summary as SM
+    layout = I.Layout(f"file:{scratch}/tables")
+
+    def same():
+        for ctx in (G.ADMIN, G.ANALYST):
+            g = G.governed(R.level(spark, layout, 2), ctx)
+            kept = RP.governed_summary(SM.summary(spark, layout), ctx)
+            for a, b in ((RP.overview, RP.summary_overview), (RP.by_state, RP.summary_by_state), (RP.by_risk_level, RP.summary_by_risk_level)):
+                assert a(g).collect() == b(kept).collect()
+
+    def arrive(name, header, rows):
+        drop(f"{scratch}/landing/{name}.csv", header, rows)
+        I.copy_into(spark, [f"file:{scratch}/landing/{name}.csv"], "customers" if name.startswith("CUST") else "claims", layout, buckets=4)
+        run(R.start_refresh(spark, layout, buckets=4))
+
+    assert SM.update(spark, layout) == 0 and SM.summary(spark, layout).count() == 0
+    arrive("CUSTOMER_DATA_1", C_HEADER, [f"p{i},{20 + i},2014-01-01 00:00:00.000,10,500,900,M,College,x" for i in range(30)])
+    assert SM.update(spark, layout) == -1
+    same()
+    monkeypatch.setattr(SM, "MERGE_AFTER", 1)
+    arrive("CLAIMS_DATA_1", L_HEADER, ["p1,90000,true"])
+    assert SM.update(spark, layout) == 1 and SM.update(spark, layout) == 0
+    same()
+
+
 def test_bucket_count_is_kept_with_the_tables(spark, scratch):
     landing = f"{scratch}/landing"
     layout = I.Layout(f"file:{scratch}/tables")
