@@ -60,7 +60,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = True
+        #: Such a token in a text is one id, as the library has it, but only as it is written.
+        self._special = [t.content.lower().encode() for t in self._tok.get_added_tokens_decoder().values()]
         self._known: dict[bytes, bytes] = {}
         self.dtype = np.dtype("<u2" if self._tok.get_vocab_size() <= 1 << 16 else "<u4")
 
@@ -80,8 +81,9 @@ class WordEncoder:
         """Words between ASCII white space, in lower case as the tokenizer will make them anyway.
 
         Lower case comes after composition there, so not where an ASCII letter may compose:
-        with U+0300 to U+036F, which start with the bytes CC and CD."""
-        return (text if b"\xcc" in text or b"\xcd" in text else text.lower()).split()
+        with U+0300 to U+036F, which start with the bytes CC and CD; nor where a special token may stand."""
+        low = text.lower()
+        return (text if b"\xcc" in text or b"\xcd" in text or any(t in low for t in self._special) else low).split()
 
     def _learn(self, words: set[bytes]) -> None:
         """Encode new words.  The tokenizer splits marks from letters, so a word and the mark after it are learned apart."""

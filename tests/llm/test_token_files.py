@@ -13,7 +13,6 @@ from .conftest import ODD, run
 def library():
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(T.public_vocabulary())
-    tok.encode_special_tokens = True
     return lambda t: tok.encode(t or "", add_special_tokens=False).ids
 
 
@@ -51,3 +50,10 @@ def test_null_ids_and_random_access(spark, library):
     assert texts[0] == [*library("b"), 2] and texts[1] == [2] and texts[-1] == [*library("last"), 2]
     assert sorted(texts[2:4]) == sorted([[*library("x y"), 2], [*library("x"), 2]])
     assert [int(p.offsets[0]) for p in parts] == np.cumsum([0, *[len(p.ids) for p in parts]])[:-1].tolist()
+
+
+def test_special_tokens_in_a_text_are_as_the_library_has_them(library):
+    encoder = T.WordEncoder(T.public_vocabulary())
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b.", "<|startoftext|><|endoftext|>", "<|ENDOFTEXT|> Words", "x <|endoftext|", "Upper <|endoftext|>, Words! <|endoftext|>.", "|endoftext|>"]
+    got = encoder.encode([t.encode() for t in texts])
+    assert [np.frombuffer(g, encoder.dtype).tolist() for g in got] == [library(t) for t in texts]
