@@ -9,7 +9,8 @@ skew handling can only split the *preserved* side of an outer join, which here
 is the customer side, so a hot key in claims would land in one task.  We
 therefore split hot keys explicitly:
 
-* hot keys are those with many claims in a sample of the claim keys (partial
+* hot keys are given by the frequency sketches that ingest keeps (``streaming.heavy``) or else are
+  those with many claims in a sample of the claim keys (partial
   aggregation, so a hot key costs one row per map task).  Each has at least
   ``2 * rows_per_task`` claims, so there are at most ``claims / (2 * rows_per_task)``
   of them; the list stays a table and is broadcast only while it is small;
@@ -125,13 +126,14 @@ def _customer_side(customers: DataFrame) -> DataFrame:
 UNBOUNDED = "shuffle_merge"
 
 
-def left_join_claims(customers: DataFrame, claims: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def left_join_claims(customers: DataFrame, claims: DataFrame, hot: DataFrame | None = None, live: bool = False) -> DataFrame:
     """Customers ⟕ claims on policy_number; hot keys split over salted sub-keys.
 
     ``hot`` is a table (_hot_key, _n_salts), not empty, or None.  With hot keys there is
     still one scan and one shuffle per side: the join key becomes ``(policy_number, salt)``;
     cold keys use salt 0, a hot key's claims get a salt in ``[0, n)`` by their place and its
-    customer rows are replicated once per salt.  Each claim meets exactly one replica."""
+    customer rows are replicated once per salt.  Each claim meets exactly one replica.
+    ``live`` says that every listed key has claims; otherwise the claims are asked first."""
     cust = _customer_side(customers)
     if hot is None:
         cl = _claims_side(claims)
@@ -140,14 +142,14 @@ def left_join_claims(customers: DataFrame, claims: DataFrame, hot: DataFrame | N
     small = hot.limit(HOT_BROADCAST_ROWS + 1).count() <= HOT_BROADCAST_ROWS
     bounded = F.broadcast if small else (lambda d: d)
     # of the listed keys, those that have claims now: replicas without a claim may then go
-    live = (claims.select(F.col("policy_number").alias("_hot_key")).join(bounded(hot), "_hot_key")
-            .groupBy("_hot_key").agg(F.max("_n_salts").alias("_n_salts")))
-    hot_df = bounded(live)
+    keys = hot if live else (claims.select(F.col("policy_number").alias("_hot_key")).join(bounded(hot), "_hot_key")
+                             .groupBy("_hot_key").agg(F.max("_n_salts").alias("_n_salts")))
+    hot_df = bounded(keys)
     n = F.col("_n_salts")
     cust_t = (cust.join(hot_df, cust["policy_number"] == hot_df["_hot_key"], "left").drop("_hot_key")
               .withColumn("_salt", F.explode(F.when(n.isNull(), F.array(F.lit(0)))
                                              .otherwise(F.sequence(F.lit(0), n - 1)))))
-    hot_c = bounded(live.withColumnRenamed("_n_salts", "_cl_n_salts"))
+    hot_c = bounded(keys.withColumnRenamed("_n_salts", "_cl_n_salts"))
     cl = _claims_side(with_locator(claims), "_row")
     cl_t = (cl.join(hot_c, cl["_cl_key"] == hot_c["_hot_key"], "left").drop("_hot_key")
             .withColumn("_cl_salt", F.when(F.col("_cl_n_salts").isNull(), F.lit(0))
@@ -175,13 +177,13 @@ def _hot_table(claims: DataFrame, hot, skew: SkewConfig | None) -> DataFrame | N
 
 
 def integrate(customers: DataFrame, claims: DataFrame, *, state_mode: str = "portable",
-              skew: SkewConfig | None = None, hot=None) -> DataFrame:
+              skew: SkewConfig | None = None, hot=None, live: bool = False) -> DataFrame:
     """Level-1 table ``customer_claims_integrated``.
 
-    ``hot`` (pairs of key and salts, or a table of them; ``[]``: none) overrides detection;
-    otherwise ``skew`` decides.
+    ``hot`` (pairs of key and salts, or a table of them, each key once; ``[]``: none) overrides detection;
+    otherwise ``skew`` decides.  ``live``: every key in ``hot`` is known to have claims.
     """
-    j = left_join_claims(customers, claims, _hot_table(claims, hot, skew))
+    j = left_join_claims(customers, claims, _hot_table(claims, hot, skew), live and hot is not None)
     # the hash remainder is computed once in its own projection, not once per CASE branch
     j = j.withColumn("_m", scoring.hash_bucket10(F.col("policy_number"), state_mode))
     return j.select(                                                       # P1 projection

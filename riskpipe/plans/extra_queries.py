@@ -12,10 +12,11 @@ from riskpipe.operators import integrate as INTEG
 from riskpipe.operators import quality as Q
 from riskpipe.plans import oracle as O
 from riskpipe.plans import reports as RP
-from riskpipe.plans.catalog import _L2_SQL_COLS, SUMMARY, _mean, _n, comparable, level1, level2, raw, register
+from riskpipe.plans.catalog import _L1_SQL_COLS, _L2_SQL_COLS, FORCED_SKEW, SUMMARY, _mean, _n, comparable, level1, level2, raw, register
 from riskpipe.session import scratch_path
 from riskpipe.sources import csv_ingest as C
 from riskpipe.sources import schemas as S
+from riskpipe.streaming import heavy as H
 from riskpipe.streaming import ingest as I
 from riskpipe.streaming import monitor as MON
 from riskpipe.streaming import refresh as R
@@ -410,6 +411,21 @@ def q_ingest_after_reset(spark, sf_dir):
     return comparable(I.read_raw(spark, layout, "claims").select(*CLAIM_DATA_COLS))
 
 
+@register("l1_kept_keys", O.with_ctes(*O.BASE_L1) + f"SELECT * EXCLUDE last_updated FROM (SELECT {_L1_SQL_COLS} FROM l1)")
+def q_l1_kept_keys(spark, sf_dir):
+    """Claims come in two loads, each keeping sketches of its keys; the join splits the hot keys that the
+    merged sketches list, without a look at the claims before it (load times aside)."""
+    cust, claims = raw(spark, sf_dir)
+    root = scratch_path(spark, "kept_keys")
+    layout = I.Layout(root)
+    for path in write_drop(_claims_text(claims, False), f"{root}/landing", "CLAIMS_DATA", CLAIM_DATA_COLS, "incident_hour_of_the_day"):
+        I.copy_into(spark, [path], "claims", layout, buckets=REFRESH_BUCKETS)
+    state = I.commits(spark, layout, "claims").state()
+    hot = H.hot_keys(spark, layout.heavy("claims"), state, FORCED_SKEW)
+    kept = I.read_raw(spark, layout, "claims", state=state)
+    return comparable(INTEG.integrate(cust, kept, hot=hot, live=H.certain(state)).drop("last_updated"))
+
+
 _LATE_KEY = "(SELECT MIN(policy_number) FROM claims0 WHERE policy_number IN (SELECT policy_number FROM customer_raw))"
 _LATE_CLAIMS = (O.CLAIMS_RAW.replace("claims_raw AS", "claims0 AS", 1) + f""",
 claims_raw AS (SELECT * FROM claims0 UNION ALL

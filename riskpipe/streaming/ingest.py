@@ -10,7 +10,8 @@ exactly once by the checkpointed file log.  Per micro-batch (``foreachBatch``):
    others parsed by column name (``csv_ingest``) into a staging table;
 2. the batch's id follows from its files, so it is the same when the batch is replayed
    and different for any other, whatever checkpoint the stream has;
-3. good rows go to ``raw/<feed>`` into folders ``(bucket, load)``, rejected rows to
+3. good rows go to ``raw/<feed>`` into folders ``(bucket, load)``, frequency sketches of
+   the claims' keys beside them (``heavy``), rejected rows to
    ``quarantine/<feed>``, counts to the ingest log, files to the list of loaded ones;
 4. one commit file makes all of it count (``commits``).  Readers of the raw table, of
    the log and of the list leave out what is not committed;
@@ -40,11 +41,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskpipe.sources import csv_ingest as C
 from riskpipe.sources import schemas as S
-from riskpipe.streaming.commits import Commits, _fs, _names, batch_of, read, remove
+from riskpipe.streaming import heavy
+from riskpipe.streaming.commits import Commits, State, _fs, _names, batch_of, read, remove
 
 DEFAULT_BUCKETS = 64
 CHANGE_CONSUMERS = ("refresh", "monitor")
 FEED_PATTERNS = {"claims": C.CLAIMS_PATTERN, "customers": C.CUSTOMER_PATTERN}
+SKETCHED = ("claims",)   # feeds on the many side of the join
 _FOLD = "fold"   # loads that a compaction made
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -70,6 +73,10 @@ class Layout:
         """Files that were loaded (path, size, time)."""
         return f"{self.root}/loaded_files/{feed}"
 
+    def heavy(self, feed: str) -> str:
+        """Frequency sketches of the keys of each load."""
+        return f"{self.root}/heavy_keys/{feed}"
+
     def quarantine(self, feed: str) -> str:
         return f"{self.root}/quarantine/{feed}"
 
@@ -134,9 +141,9 @@ def raw_schema(feed: str) -> T.StructType:
     return T.StructType([*S.RAW_SCHEMAS[feed].fields, T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType()), T.StructField("load", T.StringType())])
 
 
-def read_raw(spark: SparkSession, layout: Layout, feed: str, buckets_touched: list[int] | None = None) -> DataFrame | None:
-    """The raw table as it is now (of some buckets only, if given), with ``batch_id`` and ``bucket``; None where it has no rows."""
-    df = read(spark, layout.raw(feed), raw_schema(feed), commits(spark, layout, feed).state(), buckets_touched)
+def read_raw(spark: SparkSession, layout: Layout, feed: str, buckets_touched: list[int] | None = None, state: State | None = None) -> DataFrame | None:
+    """The raw table as it is now, or as ``state`` says (of some buckets only, if given), with ``batch_id`` and ``bucket``; None where it has no rows."""
+    df = read(spark, layout.raw(feed), raw_schema(feed), state or commits(spark, layout, feed).state(), buckets_touched)
     return None if df is None else df.drop("load")
 
 
@@ -233,6 +240,8 @@ def ingest_files(spark: SparkSession, paths: list[str], feed: str, layout: Layou
         good = staged.where("_good").select(*C.RAW_COLUMNS[feed], "bucket", "batch_id").withColumn("load", F.lit(load))
         # files in key order: a refresh of few keys skips row groups
         _overwrite_partitions(good, layout.raw(feed), "bucket", "load", sort_by=("policy_number",))
+        if feed in SKETCHED:
+            heavy.keep(good, layout.heavy(feed), load)
         entry = spark.createDataFrame(
             [(feed, int(batch_id), len(paths), res.rows_loaded, res.rows_rejected)],
             "feed string, batch_id long, files int, rows_loaded long, rows_rejected long",
@@ -344,6 +353,10 @@ def compact_raw(spark: SparkSession, layout: Layout, feed: str) -> int:
     hand_on_the_rest(spark, layout, feed)
     load = f"{_FOLD}.{uuid.uuid4().hex[:8]}"
     _overwrite_partitions(rows.withColumn("load", F.lit(load)), layout.raw(feed), "bucket", "load", sort_by=("policy_number",))
+    if feed in SKETCHED:
+        new = spark.read.schema(raw_schema(feed)).parquet(layout.raw(feed)).where(F.col("load") == load)
+        heavy.keep(new, layout.heavy(feed), load)
     log.swap(load, state, state.live, state.batches)
     remove(spark, layout.raw(feed), state.replaced)
+    heavy.forget(spark, layout.heavy(feed), state.replaced)
     return sum(f"load={load}" in _names(spark, f"{layout.raw(feed)}/{n}") for n in _names(spark, layout.raw(feed)) if n.startswith("bucket="))

@@ -10,7 +10,8 @@ refresh recomputes the keys that changed:
 * this query streams that log; per micro-batch the raw rows of these keys, from
   their buckets only, are found by a semi-join, and level 1 and 2 of
   these keys are written as a new load beside those there are.  Few keys also go into
-  the scan as a filter: raw files are in key order, so row groups without them are skipped;
+  the scan as a filter: raw files are in key order, so row groups without them are skipped.
+  Which of them are split over several join tasks follows from the sketches kept at ingest;
 * the keys themselves are written as well (``level_keys``).  Rows of a level that are
   older than the newest refresh of their key no longer count, and a reader
   (``level``) leaves them out: nothing is rewritten to take a row back;
@@ -35,8 +36,9 @@ from pyspark.sql.streaming import StreamingQuery
 from riskpipe.operators import integrate as integ
 from riskpipe.sources import schemas as S
 from riskpipe.sources.csv_ingest import utc_now
+from riskpipe.streaming import heavy
 from riskpipe.streaming.commits import Commits, State, read, remove
-from riskpipe.streaming.ingest import DEFAULT_BUCKETS, Layout, _fs, _overwrite_partitions, check_buckets, ingest_log, key_bucket, read_raw
+from riskpipe.streaming.ingest import DEFAULT_BUCKETS, Layout, _fs, _overwrite_partitions, check_buckets, commits, ingest_log, key_bucket, read_raw
 
 CHANGES_SCHEMA = "bucket int, feed string, batch_id long"
 KEY_CHANGES_SCHEMA = "policy_number string, " + CHANGES_SCHEMA
@@ -139,14 +141,15 @@ def refresh_keys(spark: SparkSession, layout: Layout, keys: DataFrame, *, bucket
         return None
     few = [r[0] for r in changed.select("policy_number").collect()] if n <= FEW_KEYS else None
     touched = [r[0] for r in changed.select("bucket").distinct().collect()]   # at most buckets + 1 numbers
-    parts = {}
+    parts, raw_state = {}, commits(spark, layout, "claims").state()
+    hot = heavy.hot_keys(spark, layout.heavy("claims"), raw_state, skew or integ.SkewConfig(), touched)
     for feed, schema in (("customers", S.CUSTOMER_RAW), ("claims", S.CLAIMS_RAW)):
-        rows = read_raw(spark, layout, feed, touched)
+        rows = read_raw(spark, layout, feed, touched, raw_state if feed == "claims" else None)
         if rows is not None and feed == "claims":
             rows = integ.with_locator(rows)          # before the semi-join: the rows still are those of files
         rows = _of_keys(rows, changed, few, n <= SMALL_KEYS)
         parts[feed] = spark.createDataFrame([], schema) if rows is None else rows
-    l1 = (integ.integrate(parts["customers"], parts["claims"], state_mode=state_mode, skew=skew)
+    l1 = (integ.integrate(parts["customers"], parts["claims"], state_mode=state_mode, skew=skew, hot=hot, live=heavy.certain(raw_state))
           .withColumn("bucket", key_bucket(F.col("policy_number"), buckets)).withColumn("load", F.lit(load)))
     _overwrite_partitions(l1, layout.level(1), "bucket", "load")
     l1_new = spark.read.schema(l1.schema).parquet(layout.level(1)).where(F.col("load") == load)
