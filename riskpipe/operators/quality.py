@@ -228,6 +228,55 @@ def alerts(res: DataFrame, thresholds=None) -> DataFrame:
             .select("table_name", "metric_name", "value", F.col("max_value").alias("threshold"), "severity"))
 
 
+# -- over the stored history of measurements ----------------------------------------------------
+# Windows and groups are those of one metric of one table: one row for each measurement ever made.
+
+
+def as_of(history: DataFrame, at: Column) -> DataFrame:
+    """The stored measurement of each (table, metric) that held at a time: the newest one not after it."""
+    newest = history.where(F.col("measurement_time") <= at).groupBy("table_name", "metric_name").agg(
+        F.max(F.struct("measurement_time", "value", "change_commit_time")).alias("m"))
+    return newest.select("table_name", "metric_name", "m.measurement_time", "m.value", "m.change_commit_time")
+
+
+def stored_trend(history: DataFrame) -> DataFrame:
+    """Q10: the stored measurements in order, each with the one before it, the change, the seconds between the two and
+    the change an hour (NULL for the first; measurements need not be evenly spaced)."""
+    w = Window.partitionBy("table_name", "metric_name").orderBy("measurement_time")
+    apart = F.unix_seconds(F.col("measurement_time").cast("timestamp")) - F.unix_seconds(F.lag("measurement_time").over(w).cast("timestamp"))
+    out = history.select("table_name", "metric_name", "measurement_time", F.row_number().over(w).cast("long").alias("measurement"), "value",
+                         F.lag("value").over(w).alias("previous_value"), apart.alias("seconds"))
+    change = F.col("value") - F.col("previous_value")
+    return out.withColumns({"change": change, "change_per_hour": F.when(F.col("seconds") > 0, change * 3600.0 / F.col("seconds"))})
+
+
+def usual_thresholds(history: DataFrame, above: int = 110, below: int = 100) -> DataFrame:
+    """(table_name, metric_name, max_value, clear_value): ``above`` and ``below`` hundredths of a metric's mean so far, in whole numbers."""
+    mean = "sum(value) * {} div (100 * count(value))"
+    return history.groupBy("table_name", "metric_name").agg(F.expr(mean.format(above)).alias("max_value"), F.expr(mean.format(below)).alias("clear_value"))
+
+
+def alert_episodes(history: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """Q11 over time: an episode opens with a measurement above ``max_value`` and closes with the first one at or below
+    ``clear_value``; between the two levels a metric stays as it was.
+
+    Returns (table_name, metric_name, episode, opened_at, closed_at, seconds, peak, measurements); an open episode has no
+    ``closed_at`` and lasts until its newest measurement.  ``thresholds`` has a row for each metric, as ``usual_thresholds``;
+    NULL values say nothing."""
+    h = history.where("value IS NOT NULL").join(F.broadcast(thresholds), ["table_name", "metric_name"])   # a row for each attachment
+    by = Window.partitionBy("table_name", "metric_name").orderBy("measurement_time")
+    h = h.withColumn("said", F.expr("CASE WHEN value > max_value THEN 1 WHEN value <= clear_value THEN 0 END"))
+    h = h.withColumn("on", F.coalesce(F.last("said", ignorenulls=True).over(by), F.lit(0)))
+    opens = ((F.col("on") == 1) & (F.coalesce(F.lag("on").over(by), F.lit(0)) == 0)).cast("long")
+    h = h.withColumn("opens", opens).withColumn("episode", F.sum("opens").over(by)).where("episode > 0")
+    at = "measurement_time"
+    out = h.groupBy("table_name", "metric_name", "episode").agg(
+        F.min(at).alias("opened_at"), F.min(F.when(F.col("on") == 0, F.col(at))).alias("closed_at"), F.max(F.when(F.col("on") == 1, F.col(at))).alias("_last"),
+        F.max(F.when(F.col("on") == 1, F.col("value"))).alias("peak"), F.count_if(F.col("on") == 1).alias("measurements"))
+    until = F.unix_seconds(F.coalesce("closed_at", "_last").cast("timestamp")) - F.unix_seconds(F.col("opened_at").cast("timestamp"))
+    return out.select("table_name", "metric_name", "episode", "opened_at", "closed_at", until.alias("seconds"), "peak", "measurements")
+
+
 def load_validation(df: DataFrame, label: str = "INITIAL LOAD STATUS", count_name: str = "total_rows") -> DataFrame:
     """Q12: label (P3 constant), row count (A1), distinct policies (A2), first/last load (A3); one pass."""
     return df.agg(

@@ -152,6 +152,32 @@ def q_dq_alerts(spark, sf_dir):
     return Q.alerts(res)
 
 
+_MONTHS_SQL = ("h AS (" + _metrics_sql("claims_raw", "date_trunc('month', load_timestamp) AS measurement_time, ", "GROUP BY date_trunc('month', load_timestamp)")
+               + "\nUNION ALL\n" + _metrics_sql("customer_raw", "date_trunc('month', load_timestamp) AS measurement_time, ", "GROUP BY date_trunc('month', load_timestamp)") + ")")
+
+
+@register("dq_alert_episodes", O.with_ctes(O.CUSTOMER_RAW, O.CLAIMS_RAW, _MONTHS_SQL) + f""",
+m AS (SELECT *, (SUM(value) OVER k * 110) // (100 * COUNT(*) OVER k) AS hi, (SUM(value) OVER k * 100) // (100 * COUNT(*) OVER k) AS lo
+      FROM h WINDOW k AS (PARTITION BY table_name, metric_name)),
+s AS (SELECT *, COALESCE(LAST_VALUE(CASE WHEN value > hi THEN 1 WHEN value <= lo THEN 0 END IGNORE NULLS) OVER k, 0) AS up
+      FROM m WINDOW k AS (PARTITION BY table_name, metric_name ORDER BY measurement_time ROWS UNBOUNDED PRECEDING)),
+c AS (SELECT *, CASE WHEN up = 1 AND COALESCE(LAG(up) OVER k, 0) = 0 THEN 1 ELSE 0 END AS opens FROM s WINDOW k AS (PARTITION BY table_name, metric_name ORDER BY measurement_time)),
+e AS (SELECT *, CAST(SUM(opens) OVER (PARTITION BY table_name, metric_name ORDER BY measurement_time ROWS UNBOUNDED PRECEDING) AS BIGINT) AS episode FROM c),
+g AS (SELECT table_name, metric_name, episode, MIN(measurement_time) AS o, MIN(measurement_time) FILTER (up = 0) AS z, MAX(measurement_time) FILTER (up = 1) AS newest,
+             MAX(value) FILTER (up = 1) AS peak, COUNT(*) FILTER (up = 1) AS measurements FROM e WHERE episode > 0 GROUP BY ALL)
+SELECT table_name, metric_name, episode, {O.ts('o')} AS opened_at, {O.ts('z')} AS closed_at,
+       CAST(epoch(COALESCE(z, newest)) - epoch(o) AS BIGINT) AS seconds, peak, measurements FROM g""")
+def q_dq_alert_episodes(spark, sf_dir):
+    """Q11 over a stored history with a measurement of each load month: when each metric was above its usual level, and for how long."""
+    path = scratch_path(spark, "metric_history") + "/results"
+    for name, df in _metrics(spark, sf_dir).items():
+        specs = Q.CLAIMS_SPECS if name == "claims_raw" else Q.CUSTOMER_SPECS
+        month = df.withColumn("measurement_time", F.date_trunc("month", "load_timestamp").cast("timestamp_ntz"))
+        Q.append_results(Q.run_metrics(month, specs, name, by=["measurement_time"]), path)
+    history = spark.read.parquet(path)
+    return comparable(Q.alert_episodes(history, Q.usual_thresholds(history)))
+
+
 def _load_validation_sql(table: str, count_name: str) -> str:
     """From one row for each policy."""
     return (f", per AS (SELECT policy_number, COUNT(*) AS n, MIN(load_timestamp) AS lo, MAX(load_timestamp) AS hi FROM {table} GROUP BY ALL) "
@@ -320,6 +346,22 @@ def q_ingest_log(spark, sf_dir):
         F.sum("rows_loaded").alias("rows_loaded"), F.sum("rows_rejected").alias("rows_rejected"))
 
 
+_DROPS = ("CASE WHEN incident_hour_of_the_day % 2 = 0 THEN 'A' ELSE 'B' END", f"({BAD_AMOUNT}) OR ({BAD_FRAUD})")
+
+
+@register("load_history", O.with_ctes(O.CLAIMS_RAW) + f"""
+SELECT {_DROPS[0]} AS drop_name, COUNT(*) AS rows_parsed, COUNT_IF(COALESCE(NOT ({_DROPS[1]}), TRUE)) AS rows_loaded, COUNT_IF({_DROPS[1]}) AS rows_rejected,
+       TRUE AS errors_located FROM claims_raw GROUP BY ALL""")
+def q_load_history(spark, sf_dir):
+    """The load history of the claims stream by drop, and whether the files with rejected records, and only they, name the
+    place of the first (how rows are spread over files differs from run to run)."""
+    history = I.load_history(spark, _stream_claims(spark, sf_dir))
+    placed = F.coalesce(F.col("first_error_row").between(1, F.col("rows_parsed")) & F.col("first_error_columns").isNotNull(), F.lit(False))
+    return (history.groupBy(F.regexp_extract("file", r"CLAIMS_DATA_([AB])_", 1).alias("drop_name"))
+            .agg(*[F.sum(c).alias(c) for c in ("rows_parsed", "rows_loaded", "rows_rejected")],
+                 F.every(placed == (F.col("rows_rejected") > 0)).alias("errors_located")))
+
+
 @register("stream_ingest_nested", O.with_ctes(O.CLAIMS_RAW) + f"SELECT {_sql_cols(CLAIM_DATA_COLS)} FROM claims_raw")
 def q_stream_ingest_nested(spark, sf_dir):
     """Files whose folder, not their name, matches the feed's pattern."""
@@ -590,6 +632,39 @@ def q_stream_quality_monitor(spark, sf_dir):
     return MON.latest_results(spark, f"{root}/quality").select("table_name", "metric_name", "value")
 
 
+_PARTS = 3
+_part = lambda c: F.coalesce(F.col(c), F.lit(0)) % _PARTS
+
+
+def _stored_parts_sql() -> str:
+    """The metrics after each of the parts arrived."""
+    out = []
+    for i in range(_PARTS):
+        for t, c in (("claims_raw", "incident_hour_of_the_day"), ("customer_raw", "age")):
+            rows = f"(SELECT * FROM {t} WHERE COALESCE({c}, 0) % {_PARTS} <= {i}) {t}"
+            out += [f"SELECT {i + 1} AS measurement, '{t}' AS table_name, '{n}' AS metric_name, CAST({e} AS BIGINT) AS value FROM {rows}" for n, e in _METRICS_SQL[t]]
+    return "\nUNION ALL\n".join(out)
+
+
+@register("dq_trend_stored", O.with_ctes(O.CUSTOMER_RAW, O.CLAIMS_RAW, f"h AS ({_stored_parts_sql()})") + """
+SELECT CAST(measurement AS BIGINT) AS measurement, table_name, metric_name, value, LAG(value) OVER k AS previous_value, value - LAG(value) OVER k AS change
+FROM h WINDOW k AS (PARTITION BY table_name, metric_name ORDER BY measurement)""")
+def q_dq_trend_stored(spark, sf_dir):
+    """Q8, Q10: claims and customers arrive in three parts, the monitor measures after each and stores what it measured;
+    the trend reads the stored measurements only (their times, the clock of the run, are left out)."""
+    cust, claims = raw(spark, sf_dir)
+    root = scratch_path(spark, "stored_trend")
+    layout, landing, results = I.Layout(root), f"{root}/landing", f"{root}/quality"
+    text, people = _claims_text(claims, False), cust.select(*CUSTOMER_DATA_COLS)
+    for i in range(_PARTS):
+        C.write_named_csv(text.where(_part("incident_hour_of_the_day") == i), landing, f"CLAIMS_DATA_{i}", column_order=CLAIM_DATA_COLS)
+        C.write_named_csv(people.where(_part("age") == i), landing, f"CUSTOMER_DATA_{i}", column_order=CUSTOMER_DATA_COLS)
+        for feed in ("claims", "customers"):
+            _run(I.start_ingest(spark, landing, feed, layout, buckets=REFRESH_BUCKETS))
+        _run(MON.start_quality_monitor(spark, layout, results, available_now=True))
+    return Q.stored_trend(spark.read.parquet(results)).select("measurement", "table_name", "metric_name", "value", "previous_value", "change")
+
+
 @register("risk_overview_policies", O.with_ctes(*O.BASE_L2) + """
 SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, CAST(COUNT(DISTINCT policy_number) AS BIGINT) AS distinct_policies,
        CAST(COUNT(CASE WHEN risk_level = 'HIGH' THEN 1 END) AS BIGINT) AS high_risk_count

@@ -22,7 +22,7 @@ import re
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,8 +143,8 @@ def convert(text: Column, dtype: T.DataType, timestamp_format: str = S.TIMESTAMP
 
 def typed_projection(df: DataFrame, schema: T.StructType, present: set[str], *,
                      varchar_limits: dict[str, int] | None = None,
-                     timestamp_format: str = S.TIMESTAMP_FORMAT) -> DataFrame:
-    """Project string columns (lower-case names) onto ``schema`` with reject tracking."""
+                     timestamp_format: str = S.TIMESTAMP_FORMAT, more: tuple[str, ...] = ()) -> DataFrame:
+    """Project string columns (lower-case names) onto ``schema`` with reject tracking; ``more`` go through as they are."""
     varchar_limits = varchar_limits or {}
     cols, rejects, raws = [], [], []
     for f in schema.fields:
@@ -163,7 +163,7 @@ def typed_projection(df: DataFrame, schema: T.StructType, present: set[str], *,
     rej = F.array_compact(F.array(*rejects)) if rejects else F.array().cast("array<string>")
     return df.select(*cols, rej.alias("_rejected"),
                      F.concat_ws(",", *[F.coalesce(r, F.lit("")) for r in raws]).alias("_raw_record"),
-                     F.col("_source_file"))
+                     F.col("_source_file"), *more)
 
 
 def read_csv_by_name(spark: SparkSession, paths: list[str], schema: T.StructType, *,
@@ -171,12 +171,16 @@ def read_csv_by_name(spark: SparkSession, paths: list[str], schema: T.StructType
                      file_name_mode: str = "default", default_file_name: str = S.DEFAULT_FILE_NAME,
                      varchar_limits: dict[str, int] | None = None,
                      timestamp_format: str = S.TIMESTAMP_FORMAT,
-                     load_time: Column | None = None) -> DataFrame:
+                     load_time: Column | None = None, locate: bool = False) -> DataFrame:
     """Typed rows of ``paths`` bound to ``schema`` by column name.
 
     Adds ``load_timestamp`` / ``file_name`` audit columns and ``_rejected``
     (names of fields that did not convert) plus ``_raw_record`` (the trimmed
     field texts) for quarantine.
+
+    ``locate`` adds the place of each record, for ``file_history``: ``_block`` (where the part of the file
+    that a task reads begins) and ``_at`` (numbers that rise by one from record to record of a part).
+    ``_at`` is given anew in each run: write the rows before using it.
     """
     opts = dict(CSV_OPTIONS)
     opts.update(options or {})
@@ -196,14 +200,16 @@ def read_csv_by_name(spark: SparkSession, paths: list[str], schema: T.StructType
             if h in wanted and h not in seen:
                 keep.append(F.col(f"_c{i}").alias(h))
                 seen.add(h)
-        df = df.select(*keep, F.col("_metadata.file_path").alias("_source_file"))
-        parts.append(typed_projection(df, schema, seen, varchar_limits=varchar_limits,
-                                      timestamp_format=timestamp_format))
+        place = [F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at")] if locate else []
+        df = df.select(*keep, F.col("_metadata.file_path").alias("_source_file"), *place)
+        parts.append(typed_projection(df, schema, seen, varchar_limits=varchar_limits, timestamp_format=timestamp_format,
+                                      more=("_block", "_at") if locate else ()))
     if not parts:
         empty = spark.createDataFrame([], schema)
         parts = [empty.select("*", F.array().cast("array<string>").alias("_rejected"),
                               F.lit(None).cast("string").alias("_raw_record"),
-                              F.lit(None).cast("string").alias("_source_file"))]
+                              F.lit(None).cast("string").alias("_source_file"),
+                              *([F.lit(0).cast("long").alias("_block"), F.lit(0).cast("long").alias("_at")] if locate else []))]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -231,6 +237,33 @@ def bad_rows(typed: DataFrame) -> DataFrame:
         "load_timestamp")
 
 
+def _plain_path(path: Column) -> Column:
+    """One spelling of a path: file listings and rows' metadata differ in slashes and escapes."""
+    return F.regexp_replace(path, "^([A-Za-z0-9]+):/+", "$1:/")
+
+
+def file_history(staged: DataFrame, files: DataFrame) -> DataFrame:
+    """What became of each file: (file, rows_parsed, rows_loaded, rows_rejected, first_error_row, first_error_columns).
+
+    ``staged``: stored rows of ``read_csv_by_name(locate=True)``; ``files``: (path) of all files, also
+    those without a record.  ``first_error_row`` is the number of the first rejected record in its file, from 1
+    after the header.  One aggregate with a row for each part of a file that a task read; the records of earlier parts are
+    a running sum over these."""
+    bad = F.size("_rejected") > 0
+    decoded = F.url_decode(F.replace(F.col("_source_file"), F.lit("+"), F.lit("%2B")))
+    parts = (staged.groupBy(_plain_path(decoded).alias("file"), "_block")
+             .agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"), F.min("_at").alias("start"),
+                  F.min(F.when(bad, F.struct(F.col("_at"), F.array_join("_rejected", ",").alias("columns")))).alias("error")))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = F.struct((before + F.col("error._at") - F.col("start") + 1).alias("row"), F.col("error.columns").alias("columns"))
+    per = (parts.select("file", "n", "bad", F.when(F.col("error").isNotNull(), first).alias("first"))
+           .groupBy("file").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.min("first").alias("first")))
+    out = files.select(_plain_path(F.col("path")).alias("_path")).join(per, F.col("_path") == F.col("file"), "left")
+    n, rejected = F.coalesce("n", F.lit(0)), F.coalesce("bad", F.lit(0))
+    return out.select(F.col("_path").alias("file"), n.alias("rows_parsed"), (n - rejected).alias("rows_loaded"), rejected.alias("rows_rejected"),
+                      F.col("first.row").alias("first_error_row"), F.col("first.columns").alias("first_error_columns"))
+
+
 @dataclass
 class LoadResult:
     feed: str

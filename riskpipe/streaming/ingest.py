@@ -12,7 +12,7 @@ exactly once by the checkpointed file log.  Per micro-batch (``foreachBatch``):
    and different for any other, whatever checkpoint the stream has;
 3. good rows go to ``raw/<feed>`` into folders ``(bucket, load)``, frequency sketches of
    the claims' keys beside them (``heavy``), rejected rows to
-   ``quarantine/<feed>``, counts to the ingest log, files to the list of loaded ones;
+   ``quarantine/<feed>``, counts to the ingest log and, for each file, to the load history, files to the list of loaded ones;
 4. one commit file makes all of it count (``commits``).  Readers of the raw table, of
    the log and of the list leave out what is not committed;
 5. the keys and buckets touched go to one log per consumer (refresh: keys, monitor:
@@ -77,6 +77,10 @@ class Layout:
         """Frequency sketches of the keys of each load."""
         return f"{self.root}/heavy_keys/{feed}"
 
+    def load_history(self) -> str:
+        """What became of each file."""
+        return f"{self.root}/load_history"
+
     def quarantine(self, feed: str) -> str:
         return f"{self.root}/quarantine/{feed}"
 
@@ -157,6 +161,8 @@ def _file_facts(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, i
     return out
 
 
+_HISTORY = ("file string, rows_parsed long, rows_loaded long, rows_rejected long, first_error_row long, first_error_columns string, "
+            "strict boolean, loaded_at timestamp_ntz")
 _LOADED = "path string, size long, modified long, batch_id long"
 
 
@@ -221,7 +227,7 @@ def ingest_files(spark: SparkSession, paths: list[str], feed: str, layout: Layou
         return C.LoadResult(feed, len(paths), old["rows_loaded"], old["rows_rejected"])
     load = f"{batch_id}.{uuid.uuid4().hex[:8]}" if again else str(batch_id)
     typed = C.read_csv_by_name(spark, paths, S.DATA_SCHEMAS[feed], varchar_limits=S.VARCHAR_LIMITS.get(feed),
-                               file_name_mode=file_name_mode, **read_kw)
+                               file_name_mode=file_name_mode, locate=True, **read_kw)
     typed = (typed.withColumn("bucket", key_bucket(F.col("policy_number"), buckets))
              .withColumn("batch_id", F.lit(batch_id).cast("long"))
              .withColumn("_good", F.size("_rejected") == 0))
@@ -229,8 +235,7 @@ def ingest_files(spark: SparkSession, paths: list[str], feed: str, layout: Layou
     typed.write.partitionBy("_good").parquet(staging)   # one parse; what follows reads the typed files
     try:
         staged = spark.read.schema(typed.schema).parquet(staging)
-        counts = {r["_good"]: r["count"] for r in staged.groupBy("_good").count().collect()}
-        res = C.LoadResult(feed, len(paths), int(counts.get(True, 0)), int(counts.get(False, 0)))
+        res = _keep_history(spark, layout, feed, batch_id, staged, files, on_error)
         if res.rows_rejected:
             bad = C.bad_rows(staged.where("NOT _good")).withColumn("batch_id", F.lit(batch_id).cast("long"))
             _overwrite_partitions(bad, layout.quarantine(feed), "batch_id")
@@ -263,6 +268,36 @@ def ingest_files(spark: SparkSession, paths: list[str], feed: str, layout: Layou
         fs.delete(p, True)
 
 
+def _keep_history(spark: SparkSession, layout: Layout, feed: str, batch_id: int, staged: DataFrame, files: list[tuple[str, int, int]], on_error: str) -> C.LoadResult:
+    """Write the batch's rows of the load history, which a replay replaces, and sum them up."""
+    found = C.file_history(staged, spark.createDataFrame(files, "path string, size long, modified long"))
+    found = found.withColumns({"feed": F.lit(feed), "batch_id": F.lit(batch_id).cast("long"), "strict": F.lit(on_error == "abort"), "loaded_at": C.utc_now()})
+    _write_partitions(found.coalesce(1), layout.load_history(), "feed", "batch_id")
+    kept = spark.read.schema(_HISTORY).parquet(f"{layout.load_history()}/feed={feed}/batch_id={batch_id}")
+    n = kept.agg(F.sum("rows_loaded"), F.sum("rows_rejected")).first()
+    return C.LoadResult(feed, len(files), int(n[0] or 0), int(n[1] or 0))
+
+
+def load_history(spark: SparkSession, layout: Layout) -> DataFrame:
+    """A row for each file of each load: (feed, batch_id, file, status, rows_parsed, rows_loaded, rows_rejected,
+    first_error_row, first_error_columns, loaded_at).
+
+    A strict load with a rejected row is ``LOAD_FAILED`` for all of its files and loads none of their rows.  Other loads are there
+    once they are committed: ``LOADED``, or ``PARTIALLY_LOADED`` where rows of the file were rejected."""
+    schema = _HISTORY + ", feed string, batch_id long"
+    if not _names(spark, layout.load_history()):
+        return spark.createDataFrame([], schema).drop("strict").withColumn("status", F.lit(""))
+    rows = spark.read.schema(schema).parquet(layout.load_history())
+    batch = rows.where("strict").groupBy("feed", "batch_id").agg((F.sum("rows_rejected") > 0).alias("failed"))
+    rows = rows.join(batch, ["feed", "batch_id"], "left").withColumn("failed", F.coalesce("failed", F.lit(False)))
+    done = _committed(spark, rows.where("NOT failed"), {f: commits(spark, layout, f).state().batches for f in FEED_PATTERNS})
+    rows = done.unionByName(rows.where("failed"))
+    status = F.when(F.col("failed"), "LOAD_FAILED").when(F.col("rows_rejected") > 0, "PARTIALLY_LOADED").otherwise("LOADED")
+    return rows.select("feed", "batch_id", "file", status.alias("status"), "rows_parsed",
+                       F.when(F.col("failed"), 0).otherwise(F.col("rows_loaded")).cast("long").alias("rows_loaded"),
+                       "rows_rejected", "first_error_row", "first_error_columns", "loaded_at")
+
+
 def copy_into(spark: SparkSession, paths: list[str], feed: str, layout: Layout, *, on_error: str = "abort", force: bool = False,
               buckets: int = DEFAULT_BUCKETS, **read_kw) -> C.LoadResult:
     """Load a fixed list of files into the raw table that the streams write as well.
