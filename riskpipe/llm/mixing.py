@@ -14,19 +14,25 @@ and size class (at most 64 classes a source), and then per source and bin of the
 ranking key, are partial sums made in every task; running sums over those small
 tables give the targets, the factor ``c``, and the bin in which the prefix ends.
 Only the documents of that one bin (about one in ``BINS`` of a source) are sorted.
-Random numbers are hashes of the document's id, and every sum is of whole numbers,
+Random numbers are hashes of the document's id and text, and every sum is of whole numbers,
 so reruns agree.
 
+Rows that repeat (alike in source, id and text) are numbered, and the number goes into the hash, so a
+block of equal rows, rows without an id included, spreads over the whole ranking and
+meets its share of the target.  Only the rows of such blocks are written once more and
+numbered by their place: the number in the file, after those of the files before it.
+
 Defined results: a null text has size 0 and is taken 0 times; documents without a
-source are a source, the last; a null id has the random number of an empty text;
-rows alike in every way share one random number and are told apart by nothing.
+source are a source, the last; a null id counts as an empty one in the hash.  Of rows that repeat, which one is
+taken oftener is left open; how many are is not.  Long texts are only measured and hashed.  Extra columns of any name
+go through ``mixed`` as they are.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -34,30 +40,65 @@ from riskpipe.llm import common
 
 #: Fixed by the contract: weights by the source's place, and the most copies of a document.
 WEIGHTS, MAX_COPIES = (1, 2, 3), 3
+_ALIKE = ("source", "id", "digest")
 BINS = 16384
 SEED = "mix"
 
-#: Uniform in (0, 1): 52 bits of a hash of the id.
-_UNIFORM = "(CAST(conv(substr(md5(concat('{seed}:', coalesce(CAST({id} AS STRING), ''))), 1, 13), 16, 10) AS BIGINT) + 0.5D) / 4503599627370496D"
+#: Uniform in (0, 1): 52 bits of a hash of the id, the text's hash and the number among equal rows.
+_UNIFORM = ("(CAST(conv(substr(md5(concat('{seed}:', coalesce(CAST(id AS STRING), ''), ':', digest, ':', CAST({number} AS STRING))), 1, 13), 16, 10) AS BIGINT)"
+            " + 0.5D) / 4503599627370496D")
 #: Random odds over inclusion odds, q, as q / (1 + q).
 _KEY = "u * (1 - p) / (u * (1 - p) + (1 - u) * p)"
 
 
 @dataclass
 class Mix:
-    """Tables of a plan: ``classes`` has a row for each source and size class, ``cuts`` a row for each source."""
+    """Tables of a plan: ``classes`` has a row for each source and size class, ``cuts`` a row for each source,
+    ``repeats`` one for each (source, id, digest) that several rows share (None: there are none)."""
     classes: DataFrame
     cuts: DataFrame
+    repeats: DataFrame | None
     seed: str
 
 
-def _sized(docs: DataFrame, carry: list[str], seed: str, doc_id: str, text: str, source: str) -> DataFrame:
-    """Columns row (a struct of the carried ones), source, id, size, w and u."""
+def _sized(docs: DataFrame, carry: list[str], doc_id: str, text: str, source: str) -> DataFrame:
+    """Columns row (a struct of the carried ones), source, id, digest, size and w."""
     return (docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{source}`").alias("source"),
-                        F.col(f"`{doc_id}`").alias("id"),
+                        F.col(f"`{doc_id}`").alias("id"), F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("digest"),
                         F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(common.WORD)), F.lit(0)).cast("long").alias("size"))
-            .selectExpr("row", "source", "id", "size", "CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS w",
-                        f"{_UNIFORM.format(seed=seed, id='id')} AS u"))
+            .selectExpr("row", "source", "id", "digest", "size", "CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS w"))
+
+
+def _repeats(sized: DataFrame) -> DataFrame | None:
+    """The (source, id, digest) of several rows."""
+    found = common.stored(sized.groupBy(*_ALIKE).count().where("count > 1").select(*_ALIKE), "mix-repeats")
+    return None if found.isEmpty() else found
+
+
+def _drawn(sized: DataFrame, repeats: DataFrame | None, seed: str) -> DataFrame:
+    """``sized`` with the random number u."""
+    cols = ["row", "source", "id", "size", "w"]
+    u = lambda number: f"{_UNIFORM.format(seed=seed, number=number)} AS u"
+    if repeats is None:
+        return sized.selectExpr(*cols, u("0"))
+    r = repeats.select(*[F.col(c).alias(f"_{c}") for c in _ALIKE])
+    alike = _same(_ALIKE)
+    once = sized.join(r, alike, "left_anti").selectExpr(*cols, u("0"))
+    again = common.stored(sized.join(r, alike, "left_semi"), "mix-again")
+    again = again.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    per = common.stored(again.groupBy(*_ALIKE, "file").agg(F.count(F.lit(1)).alias("n")), "mix-again-files")
+    before = Window.partitionBy(*_ALIKE).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*[F.col(c).alias(f"_{c}") for c in (*_ALIKE, "file")], F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    here = F.row_number().over(Window.partitionBy(*_ALIKE, "file").orderBy("at"))
+    numbered = again.withColumn("here", here).join(per, _same((*_ALIKE, "file")))
+    return once.unionByName(numbered.selectExpr(*cols, u("(before + here - 1)")))
+
+
+def _same(cols) -> Column:
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return out
 
 
 def targets(classes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -84,7 +125,9 @@ def targets(classes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame
 def plan(docs: DataFrame, *, seed: str = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source",
          weights: tuple[int, ...] = WEIGHTS) -> tuple[Mix, DataFrame]:
     """The mix of ``docs``, and the table (row = doc_id, source, id, size, w, u) that it was made from."""
-    sizes = common.stored(_sized(docs, [doc_id], seed, doc_id, text, source), "mix-sizes")
+    sized = common.stored(_sized(docs, [doc_id], doc_id, text, source), "mix-sizes")
+    repeats = _repeats(sized)
+    sizes = _drawn(sized, repeats, seed)
     classes = sizes.groupBy("source", "w").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs"))
     classes = common.stored(classes, "mix-classes")
     per = targets(classes, weights).select(F.col("source").alias("_source"), "source_size", "target")
@@ -113,7 +156,7 @@ def plan(docs: DataFrame, *, seed: str = SEED, doc_id: str = "doc_id", text: str
                         "below + sum(size) OVER (PARTITION BY source ORDER BY k, id, size ROWS UNBOUNDED PRECEDING) - size / 2.0D AS middle"))
     last = edge.where("middle <= rest").groupBy("source").agg(F.max(F.struct("k", "id", "size")).alias("cut")).selectExpr("source AS _s", "cut")
     cuts = ends.join(last, F.col("_source").eqNullSafe(F.col("_s")), "left").selectExpr("_source AS source", "end", "cut")
-    return Mix(factors, common.stored(cuts, "mix-cuts"), seed), sizes
+    return Mix(factors, common.stored(cuts, "mix-cuts"), repeats, seed), sizes
 
 
 def _with_class(sizes: DataFrame, factors: DataFrame) -> DataFrame:
@@ -143,8 +186,8 @@ def mixed(docs: DataFrame, **kw) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with all their columns."""
     cols = docs.columns
     mix, _ = plan(docs, **kw)
-    sizes = _sized(docs, cols, mix.seed, kw.get("doc_id", "doc_id"), kw.get("text", "text"), kw.get("source", "source"))
-    out = apply(sizes, mix).where("copies > 0")
+    sized = _sized(docs, cols, kw.get("doc_id", "doc_id"), kw.get("text", "text"), kw.get("source", "source"))
+    out = apply(_drawn(sized, mix.repeats, mix.seed), mix).where("copies > 0")
     return out.select(F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_"), "row").select(
         *[F.col("row")[c].alias(c) for c in cols])
 
@@ -155,7 +198,8 @@ def _oracle() -> str:
     m = MAX_COPIES
     return f"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS BIGINT) AS size,
-                  (CAST('0x' || substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE) AS u
+                  (CAST('0x' || substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')) || ':' ||
+                   (row_number() OVER (PARTITION BY source, doc_id, md5(coalesce(text, ''))) - 1)), 1, 13) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE) AS u
            FROM documents),
 z AS (SELECT *, CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS w FROM d),
 k AS (SELECT source, w, CAST(sum(size) AS BIGINT) AS words FROM z GROUP BY ALL),

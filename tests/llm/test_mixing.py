@@ -80,6 +80,33 @@ def test_hot_source_and_single_documents(spark):
     assert [r["copies"] for r in rows if r["source"] == "z"] == [3] and [r["copies"] for r in rows if r["source"] == "nul"] == [0]
 
 
+def _near_targets(rows):
+    taken, largest, target = defaultdict(int), defaultdict(int), {}
+    for r in rows:
+        taken[r["source"]] += r["copies"] * r["size"]
+        largest[r["source"]] = max(largest[r["source"]], r["size"])
+        target[r["source"]] = r["target"]
+    assert all(abs(taken[s] - target[s]) <= largest[s] for s in target), (taken, target)
+
+
+@pytest.mark.parametrize("id_of", [lambda i: None, lambda i: 7], ids=["no ids", "one id"])
+@pytest.mark.parametrize("text_of", [lambda i: "same words in all", lambda i: f"text {i % 40} w w"], ids=["equal texts", "few texts"])
+def test_rows_alike_meet_the_target(spark, id_of, text_of):
+    rows = [(id_of(i), text_of(i), "a", i) for i in range(1500)] + [(10_000 + i, f"other text {i}", "b", i) for i in range(300)] + [(None, None, None, 1)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, digest long").repartition(7)
+    mix, sizes = M.plan(docs)
+    out = [r.asDict() for r in M.apply(sizes, mix).collect()]
+    assert len(out) == len(rows) and mix.repeats is not None
+    _near_targets(out)
+    again = M.plan(docs.repartition(3))
+    key = lambda rs: Counter((r["source"], r["row"].doc_id, r["size"], r["copies"]) for r in rs)
+    assert key(out) == key([r.asDict() for r in M.apply(again[1], again[0]).collect()])
+    stage = M.mixed(docs)
+    assert stage.columns == docs.columns
+    assert Counter((r.source, r.doc_id) for r in stage.collect()) == +Counter({k: sum(r["copies"] for r in out if (r["source"], r["row"].doc_id) == k)
+                                                                             for k in {(r["source"], r["row"].doc_id) for r in out}})
+
+
 def test_stage_repeats_rows(spark, tables, rows):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     out = M.mixed(docs)
