@@ -6,10 +6,10 @@ point every reader goes through (reports, views, exports).  With a Python
 reaches Catalyst is a plain ``Project`` + ``Filter`` that is pushed through the
 level-2 projection and below the level-1 join to the customer scan.
 
-The SQL form (``register_governed_view``) reads the caller role and account
-from SQL session variables.  That is a convenience, not a security boundary:
-anyone who can run SQL can set a variable.  Untrusted consumers receive
-``export_governed`` output instead.
+The SQL form (``register_governed_view``) keeps the caller on the driver and makes
+each view anew when the caller changes, so SQL text can neither name the ungoverned
+rows through it nor change the caller.  Whoever can read the files can read the rows:
+untrusted consumers receive ``export_governed`` output instead.
 """
 
 from __future__ import annotations
@@ -158,44 +158,44 @@ def export_governed(matrix: DataFrame, ctx: AccessContext, path: str,
 
 
 # ---------------------------------------------------------------------------
-# SQL form: session variables carry the caller context
+# SQL form: views made anew for each caller context
+
+
+_CONTEXTS: dict[str, AccessContext] = {}
+_VIEWS: dict[str, dict[str, Callable[[AccessContext], DataFrame]]] = {}
+
+
+def _session(spark: SparkSession) -> str:
+    return spark._jsparkSession.sessionUUID()
 
 
 def declare_context_variables(spark: SparkSession, ctx: AccessContext) -> None:
-    spark.sql("DECLARE OR REPLACE VARIABLE riskpipe_role STRING DEFAULT NULL")
-    spark.sql("DECLARE OR REPLACE VARIABLE riskpipe_account STRING DEFAULT NULL")
+    """Start the SQL surface of a session for ``ctx``, without views yet."""
+    _VIEWS[_session(spark)] = {}
     set_context_variables(spark, ctx)
 
 
 def set_context_variables(spark: SparkSession, ctx: AccessContext) -> None:
-    def lit(v):
-        return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
-    spark.sql(f"SET VAR riskpipe_role = {lit(ctx.role)}, riskpipe_account = {lit(ctx.account)}")
+    """Switch the session's caller: each governed view is made anew for ``ctx``."""
+    _CONTEXTS[_session(spark)] = ctx
+    for name, build in _VIEWS.setdefault(_session(spark), {}).items():
+        build(ctx).createOrReplaceTempView(name)
 
 
 def register_governed_view(spark: SparkSession, matrix: DataFrame, name: str = "broker_risk_view", *,
-                           columns: list[str] | None = None, require_state: bool = True, roles: RoleNames = RoleNames()) -> None:
-    """A temp view whose mask and row policy follow the session variables at query time.
+                           columns: list[str] | None = None, require_state: bool = True, roles: RoleNames = RoleNames(),
+                           policy: Callable[[DataFrame, AccessContext], DataFrame] = governed) -> None:
+    """A temp view of what the session's caller may see, made anew when the caller changes.
 
     Defaults give the broker view (G9: 10 columns, state not NULL); ``columns=None,
     require_state=False`` gives the governed table itself (every reader of the
-    name is governed, G6)."""
-    src = f"_{name}_src"
-    matrix.createOrReplaceTempView(src)
-    admin = ", ".join(f"'{r}'" for r in roles.admin)
-    analyst = ", ".join(f"'{r}'" for r in roles.analyst)
-    states = ", ".join(f"'{s}'" for s in BROKER_STATES)
-    broker = (f"(riskpipe_role IN ({analyst}) OR riskpipe_account LIKE '%{roles.consumer_mark}%')")
+    name is governed, G6).  ``policy`` may be one by a table of entitlements.  The view holds
+    the governed plan: there is no view of the ungoverned rows that SQL could name, and no SQL statement changes the caller."""
     wanted = BROKER_VIEW_COLUMNS if require_state and columns is None else (columns or matrix.columns)
-    cols = ", ".join(
-        f"CASE WHEN riskpipe_role IN ({admin}) THEN claim_amount_filled "
-        f"ELSE CAST(FLOOR(claim_amount_filled / {MASK_STEP}) * {MASK_STEP} AS DECIMAL(10,2)) END "
-        f"AS claim_amount_filled" if c == "claim_amount_filled" else c
-        for c in wanted)
-    state_filter = "customer_state IS NOT NULL AND " if require_state else ""
-    spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY VIEW {name} AS
-        SELECT {cols} FROM {src}
-        WHERE {state_filter}COALESCE(CASE WHEN riskpipe_role IN ({admin}) THEN TRUE
-                                          WHEN {broker} THEN customer_state IN ({states})
-                                          ELSE FALSE END, FALSE)""")
+
+    def build(ctx: AccessContext) -> DataFrame:
+        out = policy(matrix, replace(ctx, roles=roles))
+        return (out.where(F.col("customer_state").isNotNull()) if require_state else out).select(*wanted)
+
+    _VIEWS.setdefault(_session(spark), {})[name] = build
+    build(_CONTEXTS.get(_session(spark), AccessContext())).createOrReplaceTempView(name)

@@ -7,6 +7,7 @@ the comparison conventions of ``plans.oracle``.
 
 from __future__ import annotations
 
+import functools
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskpipe.functions import scoring
+from riskpipe.operators import entitlements as ent
 from riskpipe.operators import governance as gov
 from riskpipe.operators import integrate as integ
 from riskpipe.plans import oracle as O
 from riskpipe.plans import reports
+from riskpipe.session import scratch_path
 from riskpipe.sources import adapters
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -299,6 +302,27 @@ _SEES = {"admin": "TRUE", "analyst": f"customer_state IN {O.BROKER_STATES_SQL}",
          "consumer": f"customer_state IN {O.BROKER_STATES_SQL}", "other": "FALSE"}
 
 
+_DESK = gov.AccessContext("UTAH_DESK", "MAIN")
+_ENTITLED = {"analyst": gov.ANALYST, "consumer": gov.CONSUMER, "utah_desk": _DESK, "other": gov.OTHER}
+
+
+@register("row_policy_entitled", O.with_ctes(*O.BASE_L2) + """
+, e(role_name, state, step) AS (
+  SELECT unnest(['analyst', 'consumer']), s, 10000 FROM (SELECT unnest(['Colorado', 'Utah', 'Wyoming']) AS s)
+  UNION ALL SELECT 'utah_desk', 'Utah', 5000)
+SELECT role_name, policy_number, customer_state, CAST(floor(claim_amount_filled / step) * step AS DOUBLE) AS claim_amount_filled, total_risk_score
+FROM l2 JOIN e ON customer_state = state""")
+def q_row_policy_entitled(spark, sf_dir):
+    """G5, G6, G8 by a table: its first version holds the policies, a second one adds a role as a row; what four callers see under it."""
+    table = ent.Entitlements(spark, scratch_path(spark, "entitlements") + "/risk_score_matrix")
+    table.publish(spark.createDataFrame(ent.default_rows(), ent.SCHEMA))
+    table.grant((_DESK.role, None, "Utah", 5000))
+    rows = table.read()
+    parts = [ent.governed(level2(spark, sf_dir), ctx, rows).select(F.lit(name).alias("role_name"), "policy_number", "customer_state", "claim_amount_filled",
+                                                                   "total_risk_score") for name, ctx in _ENTITLED.items()]
+    return comparable(functools.reduce(DataFrame.unionByName, parts))
+
+
 @register("row_policy_other", O.with_ctes(*O.BASE_L2) + "\nUNION ALL\n".join(
     f"SELECT '{k}' AS role_name, CAST(COUNT_IF({c}) AS BIGINT) AS visible, CAST(COUNT(*) - COUNT_IF({c}) AS BIGINT) AS hidden FROM l2"
     for k, c in _SEES.items()))

@@ -3,10 +3,9 @@
 ``register_views`` exposes the raw tables, level 1, the governed level 2 and the
 broker view under their table names, plus the three scoring functions, so
 report SQL runs as written (only table qualifiers drop).  The mask and row
-policy of ``risk_score_matrix`` and ``broker_risk_view`` follow the session
-variables ``riskpipe_role`` / ``riskpipe_account`` (``use_context``): every SQL
-reader of those names is governed.  Session variables are a convenience, not a
-security boundary (see ``operators.governance``).
+policy of ``risk_score_matrix`` and ``broker_risk_view`` follow the session's caller
+(``use_context``, a call of the driver that SQL text cannot make): every SQL
+reader of those names is governed.
 """
 
 from __future__ import annotations

@@ -85,6 +85,7 @@ def test_broker_view_and_reports(matrix):
 def test_sql_view_follows_session_variables(spark, matrix):
     G.declare_context_variables(spark, G.ADMIN)
     G.register_governed_view(spark, matrix, "brv_test")
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("_brv_test")]
     assert spark.sql("SELECT count(*) FROM brv_test").first()[0] == 40
     G.set_context_variables(spark, G.ANALYST)
     assert spark.sql("SELECT count(*) FROM brv_test").first()[0] == 30
