@@ -44,6 +44,11 @@ def duplicate_count(col: str) -> Column:
             - F.when(F.count_if(c.isNull()) > 0, 1).otherwise(0))
 
 
+def distinct_count(col: str) -> Column:
+    """Different values, NULL left out."""
+    return F.count_distinct(F.col(col))
+
+
 def row_count() -> Column:
     return F.count(F.lit(1))
 

@@ -665,6 +665,41 @@ def q_dq_trend_stored(spark, sf_dir):
     return Q.stored_trend(spark.read.parquet(results)).select("measurement", "table_name", "metric_name", "value", "previous_value", "change")
 
 
+_KEPT = {"claims_raw": (("DUPLICATE_COUNT", "claim_amount", Q.duplicate_count), ("DISTINCT_COUNT", "incident_date", Q.distinct_count),
+                        ("DUPLICATE_KEYS", "policy_number", Q.duplicate_count)),
+         "customer_raw": (("DUPLICATE_COUNT", "policy_start_date", Q.duplicate_count), ("DISTINCT_COUNT", "age", Q.distinct_count))}
+
+
+def _kept_sql() -> str:
+    """Distinct and duplicate values after each of the parts arrived."""
+    out = []
+    for i in range(_PARTS):
+        for t, c in (("claims_raw", "incident_hour_of_the_day"), ("customer_raw", "age")):
+            for n, col, body in _KEPT[t]:
+                e = f"COUNT(DISTINCT {col})" if body is Q.distinct_count else f"COUNT(*) - COUNT(DISTINCT {col}) - CAST(COUNT_IF({col} IS NULL) > 0 AS BIGINT)"
+                out.append(f"SELECT CAST({i + 1} AS BIGINT) AS measurement, '{t}' AS table_name, '{n}' AS metric_name, CAST({e} AS BIGINT) AS value "
+                           f"FROM {t} WHERE COALESCE({c}, 0) % {_PARTS} <= {i}")
+    return "\nUNION ALL\n".join(out)
+
+
+@register("dq_distinct_kept", O.with_ctes(O.CUSTOMER_RAW, O.CLAIMS_RAW) + _kept_sql())
+def q_dq_distinct_kept(spark, sf_dir):
+    """Claims and customers arrive in three parts; after each the monitor measures duplicates and distinct values of
+    columns that are not the key, from value counts that take in the new loads only."""
+    cust, claims = raw(spark, sf_dir)
+    root = scratch_path(spark, "distinct_kept")
+    layout, landing, results = I.Layout(root), f"{root}/landing", f"{root}/quality"
+    registry = Q.MetricRegistry([Q.MetricSpec(n, t, (c,), body) for t, specs in _KEPT.items() for n, c, body in specs])
+    text, people = _claims_text(claims, False), cust.select(*CUSTOMER_DATA_COLS)
+    for i in range(_PARTS):
+        C.write_named_csv(text.where(_part("incident_hour_of_the_day") == i), landing, f"CLAIMS_DATA_{i}", column_order=CLAIM_DATA_COLS)
+        C.write_named_csv(people.where(_part("age") == i), landing, f"CUSTOMER_DATA_{i}", column_order=CUSTOMER_DATA_COLS)
+        for feed in ("claims", "customers"):
+            _run(I.start_ingest(spark, landing, feed, layout, buckets=REFRESH_BUCKETS))
+        _run(MON.start_quality_monitor(spark, layout, results, registry=registry, available_now=True, value_buckets=REFRESH_BUCKETS))
+    return Q.stored_trend(spark.read.parquet(results)).select("measurement", "table_name", "metric_name", "value")
+
+
 @register("risk_overview_policies", O.with_ctes(*O.BASE_L2) + """
 SELECT CAST(COUNT(*) AS BIGINT) AS total_rows, CAST(COUNT(DISTINCT policy_number) AS BIGINT) AS distinct_policies,
        CAST(COUNT(CASE WHEN risk_level = 'HIGH' THEN 1 END) AS BIGINT) AS high_risk_count

@@ -16,12 +16,16 @@ data touched:
   over the partial table (one row per bucket and metric) → written as the
   batch's own partition of the results history (a replayed batch replaces it).
 
-A metric that is not additive over key buckets (a user metric, or a duplicate
-count on another column) makes the monitor fall back to a full measurement.
+Distinct and duplicate counts on other columns come from value counts that are kept
+beside the raw tables (``streaming.distinct``), which read the rows of new loads only.
+Any other metric that is not additive over key buckets (a user metric) makes the
+monitor fall back to a full measurement.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +33,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskpipe.operators import quality as Q
 from riskpipe.sources.csv_ingest import utc_now
+from riskpipe.streaming.distinct import VALUE_BUCKETS, DistinctState
 from riskpipe.streaming.ingest import Layout, _overwrite_partitions, read_raw
 from riskpipe.streaming.refresh import CHANGES_SCHEMA, ensure_dir
 
@@ -47,6 +52,14 @@ def additive_over_buckets(spec: Q.MetricSpec) -> bool:
     return spec.expr in ADDITIVE_BODIES or getattr(spec.expr, "additive", False)
 
 
+KEPT_VALUES = {Q.duplicate_count: "duplicates", Q.distinct_count: "distinct_values"}
+
+
+def kept_values(spec: Q.MetricSpec) -> str | None:
+    """The kept measure (``DistinctState.measured``) that is this metric, if it is one."""
+    return None if additive_over_buckets(spec) else KEPT_VALUES.get(spec.expr)
+
+
 def partials_path(layout: Layout) -> str:
     return f"{layout.root}/quality_partials"
 
@@ -56,8 +69,8 @@ def update_partials(spark: SparkSession, layout: Layout, registry: Q.MetricRegis
     """Recompute per-bucket metric values for the touched buckets of each feed."""
     for feed, buckets in touched.items():
         table = FEED_TABLES[feed]
-        specs = registry.for_table(table)
-        raw = read_raw(spark, layout, feed, buckets) if buckets else None   # touched folders only
+        specs = [s for s in registry.for_table(table) if additive_over_buckets(s)]
+        raw = read_raw(spark, layout, feed, buckets) if specs and buckets else None   # touched folders only
         if not specs or raw is None:
             continue
         part = (Q.run_metrics(raw, specs, table, by=["bucket"])
@@ -66,15 +79,33 @@ def update_partials(spark: SparkSession, layout: Layout, registry: Q.MetricRegis
         _overwrite_partitions(part, partials_path(layout), "table_name", "bucket")
 
 
+def update_values(spark: SparkSession, layout: Layout, registry: Q.MetricRegistry, value_buckets: int = VALUE_BUCKETS) -> None:
+    """Take new loads into the kept value counts of every column that a metric needs."""
+    for feed, table in FEED_TABLES.items():
+        for column in sorted({s.columns[0] for s in registry.for_table(table) if kept_values(s)}):
+            DistinctState(spark, layout, feed, column, value_buckets).update()
+
+
 def totals(spark: SparkSession, layout: Layout, measured_at=None, *, database: str = "riskpipe",
-           schema: str = "raw_data") -> DataFrame:
-    """Current metric values: a sum over the per-bucket partials (tiny input)."""
-    p = spark.read.schema(PARTIALS_SCHEMA).parquet(partials_path(layout))
+           schema: str = "raw_data", registry: Q.MetricRegistry | None = None) -> DataFrame:
+    """Current metric values: a sum over the per-bucket partials and, for the distinct metrics of ``registry``,
+    over the kept counts of counts (both tiny input)."""
     mt = measured_at if measured_at is not None else utc_now()
-    return (p.groupBy("table_name", "metric_name")
-            .agg(F.sum("value").cast("bigint").alias("value"), F.max("change_commit_time").alias("change_commit_time"))
-            .select("change_commit_time", mt.alias("measurement_time"), F.lit(database).alias("table_database"),
-                    F.lit(schema).alias("table_schema"), "table_name", "metric_name", "value"))
+    parts = []
+    for feed, table in FEED_TABLES.items():
+        kept = [s for s in (registry.for_table(table) if registry else []) if kept_values(s)]
+        for column in sorted({s.columns[0] for s in kept}):
+            one = DistinctState(spark, layout, feed, column).measured()
+            parts += [one.where("change_commit_time IS NOT NULL").select(
+                F.lit(table).alias("table_name"), F.lit(s.name).alias("metric_name"), F.col(kept_values(s)).cast("bigint").alias("value"), "change_commit_time")
+                for s in kept if s.columns[0] == column]
+    if registry is None or any(additive_over_buckets(s) for s in registry.specs):
+        p = spark.read.schema(PARTIALS_SCHEMA).parquet(partials_path(layout))
+        parts.append(p.groupBy("table_name", "metric_name")
+                     .agg(F.sum("value").cast("bigint").alias("value"), F.max("change_commit_time").alias("change_commit_time")))
+    out = functools.reduce(DataFrame.unionByName, parts)
+    return out.select("change_commit_time", mt.alias("measurement_time"), F.lit(database).alias("table_database"),
+                      F.lit(schema).alias("table_schema"), "table_name", "metric_name", "value")
 
 
 def _publish(res: DataFrame, results_path: str, batch_id: int) -> None:
@@ -97,9 +128,9 @@ def measure_full(spark: SparkSession, layout: Layout, registry: Q.MetricRegistry
 
 def start_quality_monitor(spark: SparkSession, layout: Layout, results_path: str, *,
                           registry: Q.MetricRegistry | None = None, every: str = "5 minutes",
-                          available_now: bool = False) -> StreamingQuery:
+                          available_now: bool = False, value_buckets: int = VALUE_BUCKETS) -> StreamingQuery:
     reg = registry or Q.default_registry()
-    incremental = all(additive_over_buckets(s) for s in reg.specs)
+    incremental = all(additive_over_buckets(s) or kept_values(s) for s in reg.specs)
     ensure_dir(spark, layout.changes("monitor"))
     changes = (spark.readStream.schema(CHANGES_SCHEMA).option("cleanSource", "delete")
                .parquet(layout.changes("monitor")).select("feed", "bucket"))
@@ -117,7 +148,8 @@ def start_quality_monitor(spark: SparkSession, layout: Layout, results_path: str
         for r in pairs:
             touched.setdefault(r["feed"], []).append(int(r["bucket"]))
         update_partials(session, layout, reg, touched)
-        _publish(totals(session, layout), results_path, batch_id)
+        update_values(session, layout, reg, value_buckets)
+        _publish(totals(session, layout, registry=reg), results_path, batch_id)
 
     w = (changes.writeStream.foreachBatch(run_batch)
          .option("checkpointLocation", layout.checkpoint("quality_monitor")))
