@@ -53,6 +53,8 @@ def test_held_out_accuracy_and_no_leak(spark, tmp_path):
     pos, neg = [s for y, s, _ in held if y], [s for y, s, _ in held if not y]
     auc = np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg])
     assert auc > 0.93 and np.mean([y == p for y, _, p in held]) > 0.95
+    share = {y: np.mean([got[d]["n_passages"] > 0 for d, r in got.items() if r["held_out"] and truth.get(d) == y]) for y in (0, 1)}
+    assert share[0] < 0.1 and share[1] > 0.9  # passages are not chance: few clean texts hold one
     # labels of the held-out fold, languages and sources change no score
     import shutil
     shutil.copy(f"{SF}/documents.parquet", tmp_path / "documents.parquet")
@@ -86,6 +88,15 @@ def test_platt_and_rate():
     counts, values = np.array([70, 30]), np.array([-1.0, 1.0])
     lam = T.extreme_rate(counts, values * 1.5)
     assert abs((0.7 * np.exp(-1.5 * lam) + 0.3 * np.exp(1.5 * lam)) - 1) < 1e-6
+    lam = T.extreme_rate(np.array([99, 1]), values)  # a root above 1
+    assert lam > 4 and abs(0.99 * np.exp(-lam) + 0.01 * np.exp(lam) - 1) < 1e-6
+    assert T.extreme_rate(counts, -np.abs(values)) == 1.0 and T.extreme_rate(np.array([30, 70]), values) == 1e-3
+
+
+def test_p_value():
+    model = T.Model(np.zeros(1), np.zeros(1), lam=2.0, k=0.5)
+    for total, n in ((0.0, 100), (3.0, 100), (8.0, 100), (8.0, 100_000)):
+        assert abs(model.p_value(total, n) - (1 - np.exp(-0.5 * n * np.exp(-2 * total)))) < 1e-12
 
 
 def test_every_occurrence_counts(spark):
