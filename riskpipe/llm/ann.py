@@ -22,12 +22,13 @@ default parameters compare about two thirds of all vectors for a recall of 0.98
 (tests measure it).  For larger sets with structure raise ``functions``.
 
 Defined results: vectors that are null, zero, or hold a null or a value that is not finite
-take no part, neither do those whose dimension is not the commonest; rows that repeat an id
-and its vector are one row.
+take no part; rows that repeat an id and its vector are one row.  Vectors of another dimension have
+no inner product with a query: each dimension is an index of its own, searched one after the other.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -157,11 +158,14 @@ def nearest_in(rows: pa.Table, k: int, dim: int) -> pa.Table:
 def search(vectors: DataFrame, is_query, k: int = NEAREST, cfg: Config = Config()) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found for each row of ``vectors`` (vec_id, v; see ``usable``)
     for which the condition ``is_query`` on vec_id holds."""
-    spark = vectors.sparkSession
-    rows = common.stored(vectors.withColumn("dim", F.size("v")), "vectors")
-    dims = rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("dim")).limit(1).collect()
-    dim = dims[0]["dim"] if dims else 1
-    rows = rows.where(F.col("dim") == dim)
+    rows = common.stored(vectors.select("vec_id", "v", F.size("v").alias("dim")), "vectors")
+    dims = [r["dim"] for r in rows.select("dim").distinct().collect()] or [1]   # one number for each length of vectors
+    found = [_search_one(rows.where(F.col("dim") == dim), dim, is_query, k, cfg) for dim in sorted(dims)]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _search_one(rows: DataFrame, dim: int, is_query, k: int, cfg: Config) -> DataFrame:
+    """``search`` of vectors of one dimension."""
     # classes of equal vectors, each with the ids that a result can need; the limit works before the shuffle
     first = Window.partitionBy("v").orderBy("vec_id")
     few = rows.select("vec_id", "v").withColumn("rank", F.dense_rank().over(first)).where(F.col("rank") <= k + 1)

@@ -66,6 +66,19 @@ def test_few_vectors_and_small_blocks_are_exact(spark):
     assert compare(got, [r["vec_id"] for r in rows], x) == 1.0
 
 
+def test_each_dimension_is_searched(spark):
+    """Rows of a rarer dimension are queries and candidates of their own."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8 if i % 3 else 5).tolist()) for i in range(0, 300, 5)] + [(1000, [2.0])]
+    got = A.search(A.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), F.col("vec_id") % 20 == 0, cfg=A.Config(block=16)).collect()
+    for dim in (8, 5):
+        mine = [(i, v) for i, v in rows if len(v) == dim]
+        ids = [i for i, _ in mine]
+        assert compare([r.asDict() for r in got if r.query_id in ids], ids, np.array([v for _, v in mine])) > 0.95
+    assert not [r for r in got if r.query_id == 1000]
+    assert A.search(A.usable(spark.createDataFrame([], "vec_id long, embedding array<double>")), F.col("vec_id") % 20 == 0).collect() == []
+
+
 def test_several_functions_probe_likely_keys():
     h = A.Hashes(64, A.Config(functions=2, axes=16, probes=8, tables=2))
     rng = np.random.default_rng(1)
