@@ -14,7 +14,8 @@ of near copies meets pair by pair, so candidates come in rounds:
 1. texts with equal sets are one class, by the set's digest (partial aggregation);
 2. each class is compared with one partner, of the smallest members of its buckets (a
    bucket is a band's value that two classes share) the one it meets most often;
-3. links are joined into components (least label, with pointer jumping);
+3. links are joined into components (least label, with pointer jumping), each link read once:
+   later rounds go over the pairs of components that the new links join;
 4. in buckets that still hold several components, every class outside the bucket's
    largest component is compared with its nearest partners in other components, nearest by
    a finer sketch: first ``PARTNERS[0]`` of them, then more, at last all whose sketch does not
@@ -41,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskpipe.llm import common, wordhash
@@ -172,13 +173,16 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, labels: DataFrame) -> DataFrame:
-    """``labels`` (rep, comp) brought to the least comp that each rep reaches over ``links`` (a, b)."""
-    both = links.select("a", "b").union(links.select("b", "a")).toDF("a", "b")
+    """``labels`` (rep, comp) brought to the least comp that each rep reaches over ``links`` (a, b) as well.
+
+    The links are read once, for the pairs of components that they join; what follows goes over these pairs, of which
+    each round leaves fewer.  So links within a component, of earlier calls too, cost nothing any more."""
+    ends = links.join(labels.toDF("a", "from"), "a").join(labels.toDF("b", "to"), "b").select("from", "to")
     while True:
-        near = both.join(labels.withColumnRenamed("rep", "a"), "a").groupBy("b").agg(F.min("comp").alias("near")).withColumnRenamed("b", "rep")
-        # the old component's own label moves with each of its members
-        moved = (labels.join(near, "rep").where("near < comp").groupBy("comp").agg(F.min("near").alias("to")))
-        moved = common.stored(moved, "moves")
+        edges = ends.where("`from` != `to`").select(F.least("from", "to").alias("low"), F.greatest("from", "to").alias("high")).distinct()
+        edges = common.stored(edges, "edges")
+        # each component takes the least label that it meets
+        moved = common.stored(edges.groupBy(F.col("high").alias("comp")).agg(F.min("low").alias("to")), "moves")
         if moved.isEmpty():
             return labels
         while True:  # where labels point at labels that move as well
@@ -189,6 +193,8 @@ def components(links: DataFrame, labels: DataFrame) -> DataFrame:
             if jumped.where("jumped").isEmpty():
                 break
         labels = common.stored(labels.join(moved, "comp", "left").select("rep", F.coalesce("to", "comp").alias("comp")), "labels")
+        low, high = moved.toDF("low", "low_to"), moved.toDF("high", "high_to")
+        ends = edges.join(low, "low", "left").join(high, "high", "left").select(F.coalesce("low_to", "low").alias("from"), F.coalesce("high_to", "high").alias("to"))
 
 
 def _partners(most: int):
@@ -201,7 +207,7 @@ def _partners(most: int):
         here = np.flatnonzero(group["here"].to_numpy(zero_copy_only=False))
         bits = np.frombuffer(b"".join(group["bits"].to_pylist()), np.uint8).reshape(-1, FINE)
         bands = group["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)[:, :group["band"][0].as_py()]
-        out_a, out_b, more = [], [], []
+        out_left, out_other, out_agree, more = [], [], [], []
         theirs = bits[here]
         for i in left:
             agree = (theirs == bits[i]).sum(axis=1)
@@ -211,17 +217,20 @@ def _partners(most: int):
             if len(at) > most:
                 at = at[np.argsort(-agree[at], kind="stable")]
             chosen = rep[here[at[:most]]]
-            out_a.append(np.minimum(chosen, rep[i]))
-            out_b.append(np.maximum(chosen, rep[i]))
+            out_left.append(np.full(len(chosen), rep[i]))
+            out_other.append(chosen)
+            out_agree.append(agree[at[:most]])
             more.append(np.full(len(chosen), len(at) > most))
         join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-        return pa.table({"a": pa.array(join(out_a, np.int64), pa.int64()), "b": pa.array(join(out_b, np.int64), pa.int64()), "more": pa.array(join(more, bool), pa.bool_())})
+        return pa.table({"left": pa.array(join(out_left, np.int64), pa.int64()), "other": pa.array(join(out_other, np.int64), pa.int64()),
+                         "agree": pa.array(join(out_agree, np.int64), pa.int64()), "more": pa.array(join(more, bool), pa.bool_())})
 
     return run
 
 
 def open_pairs(members: DataFrame, bits: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """Candidate pairs (a, b, more) of buckets that hold several components."""
+    """Candidate pairs (a, b, more) of buckets that hold several components: ``most`` for a left-over class, however
+    many buckets and blocks it lies in."""
     rows = members.join(labels, "rep")
     per = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     top = per.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
@@ -229,8 +238,14 @@ def open_pairs(members: DataFrame, bits: DataFrame, labels: DataFrame, most: int
     rows = rows.withColumn("left", F.col("comp") != F.col("main")).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("block", F.explode(F.when(F.col("left"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))))
     rows = rows.select("key", "band", "block", "rep", "comp", "bits", "bands", "left", (F.col("block") == F.col("own")).alias("here"))
-    found = rows.groupBy("key", "block").applyInArrow(_partners(most), "a long, b long, more boolean")
-    return found.groupBy("a", "b").agg(F.max("more").alias("more"))
+    found = rows.groupBy("key", "block").applyInArrow(_partners(most), "left long, other long, agree long, more boolean")
+    if most < PARTNERS[-1]:
+        found = found.groupBy("left", "other").agg(F.max("agree").alias("agree"), F.max("more").alias("more"))
+        found = found.withColumn("rank", F.row_number().over(Window.partitionBy("left").orderBy(F.desc("agree"), "other"))).where(F.col("rank") <= most + 1)
+        # the one beyond the last says that there are more, and is no candidate yet
+        found = found.withColumn("more", F.col("more") | F.max(F.col("rank") > most).over(Window.partitionBy("left"))).where(F.col("rank") <= most)
+    pair = found.select(F.least("left", "other").alias("a"), F.greatest("left", "other").alias("b"), "more")
+    return pair.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
 def _to_texts(keys: DataFrame) -> DataFrame:
@@ -260,17 +275,15 @@ def _judged(docs: DataFrame) -> DataFrame:
     met = members.where("least < rep").groupBy("rep", "least").agg(F.count(F.lit(1)).alias("n"))
     first = met.groupBy("rep").agg(F.max(F.struct("n", -F.col("least"))).alias("best")).select((-F.col("best.col2")).alias("a"), F.col("rep").alias("b"))
     tested = common.stored(first, "tested")
-    links = confirmed(tested, sets)
-    labels = components(links, involved.select("rep", F.col("rep").alias("comp")))
+    labels = components(confirmed(tested, sets), involved.select("rep", F.col("rep").alias("comp")))
     for most in PARTNERS:
         found = common.stored(open_pairs(members, bits, labels, most), "candidates")
         more = not found.where("more").isEmpty()
         pairs = found.select("a", "b").join(tested, ["a", "b"], "left_anti")
         pairs = common.stored(pairs, "pairs")
         if not pairs.isEmpty():
-            links = links.union(confirmed(pairs, sets))
             tested = tested.union(pairs)
-            labels = components(links, labels)
+            labels = components(confirmed(pairs, sets), labels)
         if not more:
             break
     known = classes.select("rep", "digest", "row").join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))

@@ -150,3 +150,36 @@ def test_stage(spark, tables, docs):
     _, comp = components(docs)
     assert out.dtypes == df.dtypes
     assert Counter(r.doc_id for r in out.collect()) == Counter({d["doc_id"] for d in docs if comp[d["doc_id"]] == d["doc_id"]})
+
+
+def test_a_left_over_class_has_few_partners_over_all_its_buckets(spark):
+    """It meets others in each of five buckets; a round takes ``most`` of all of them, the last round every one."""
+    row = lambda rep, comp, shared: (rep, comp, b"\0" * N.FINE, [b if b in shared else 1000 * (rep + 1) + b for b in range(N.BANDS)])
+    rows = [row(j, 0, {j % 5}) for j in range(40)] + [row(99, 99, range(5))]
+    members = spark.createDataFrame([(b, b, rep) for rep, *_, bands in rows for b in range(5) if bands[b] == b], "key long, band int, rep long")
+    bits = spark.createDataFrame([(rep, bits, bands) for rep, _, bits, bands in rows], "rep long, bits binary, bands array<long>")
+    labels = spark.createDataFrame([(rep, comp) for rep, comp, *_ in rows], "rep long, comp long")
+    for most, n in ((4, 4), (1 << 30, 40)):
+        got = N.open_pairs(members, bits, labels, most).collect()
+        assert len(got) == n and {r.b for r in got} == {99}
+        assert any(r.more for r in got) == (n < 40)
+
+
+def test_links_are_read_once(spark, monkeypatch):
+    """Rounds after the first go over pairs of components: a clique of 30 costs its links once, not in every round."""
+    rows, stored = {}, N.common.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        rows.setdefault(name, []).append(out.count())
+        return out
+    monkeypatch.setattr(N.common, "stored", counted)
+    clique = [(i, j) for j in range(30) for i in range(j)]
+    links = spark.createDataFrame([*clique, (29, 40), (40, 41), (50, 51)], "a long, b long")
+    labels = spark.createDataFrame([(i, i) for i in range(52)], "rep long, comp long")
+    got = N.components(links, labels)
+    assert {r.rep: r.comp for r in got.collect()} == {i: 0 if i < 30 or i in (40, 41) else 50 if i == 51 else i for i in range(52)}
+    assert rows["edges"][0] == len(clique) + 3 and sum(rows["edges"][1:]) <= 1
+    rows.clear()
+    N.components(links, got)
+    assert rows == {"edges": [0], "moves": [0]}
