@@ -50,6 +50,7 @@ STRENGTH = (1.0, 1.0)     # of the context restaurants and of the shared one
 SWEEPS, BURN_IN = 3, 1
 EXACT = 64
 BLOCK_BYTES, BLOCK_DOCS = 1 << 22, 1 << 14
+HASHED_BYTES = 1 << 18    # of a block's texts that are hashed at once
 HOT = 4                   # a word or pair is spread from 1/HOT of a shard's share on
 
 _U = np.uint64
@@ -96,13 +97,26 @@ def _numbers(data: bytes) -> np.ndarray:
 # -- blocks and shards ------------------------------------------------------------------------
 
 
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of the texts and the number per text, made for about ``HASHED_BYTES`` at a time: hashing takes
+    some 40 bytes of memory for each byte of text, which a worker keeps afterwards."""
+    found, start, size = [], 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= HASHED_BYTES or i + 1 == len(texts):
+            w = wordhash.words(texts[start:i + 1])
+            found.append((w.hash, w.per_doc()))
+            start, size = i + 1, 0
+    return np.concatenate([h for h, _ in found]), np.concatenate([n for _, n in found])
+
+
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token hashes (words, then END), the token before (BEGIN at the start), and the number per text."""
-    w = wordhash.words(texts)
-    n = w.per_doc() + 1
+    hashes, per = _word_hashes(texts)
+    n = per + 1
     last = np.cumsum(n) - 1
     tok = np.empty(int(n.sum()), _U)
-    tok[np.arange(len(w.doc)) + w.doc] = w.hash
+    tok[np.arange(len(hashes)) + np.repeat(np.arange(len(per)), per)] = hashes
     tok[last] = END
     ctx = np.empty(len(tok), _U)
     ctx[1:] = tok[:-1]

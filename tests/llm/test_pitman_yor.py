@@ -155,3 +155,19 @@ def test_every_previous_word_has_a_restaurant_of_its_own(spark):
     assert state.customers[tok[u]] == 30 and state.customers[tok[v]] == 20
     got = {r.doc_id: r.score for r in P.scores(shards, state).collect()}
     assert got[50] < got[0] - 1 and got[50] < got[30] - 1
+
+
+def test_hashing_takes_little_memory_beside_a_block(monkeypatch):
+    """A block's texts are hashed a few at a time, with the same tokens."""
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    texts = [b" ".join(b"w%d" % x for x in rng.integers(0, 9999, rng.integers(0, 800))) for _ in range(1500)] + [b"", b"one"]
+    P.tokens(texts[:2])
+    tracemalloc.start()
+    got = P.tokens(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * sum(map(len, texts))
+    monkeypatch.setattr(P, "HASHED_BYTES", 1 << 30)
+    assert all((x == y).all() for x, y in zip(got, P.tokens(texts), strict=True))
