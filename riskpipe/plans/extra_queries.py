@@ -460,8 +460,10 @@ def q_l1_kept_keys(spark, sf_dir):
     cust, claims = raw(spark, sf_dir)
     root = scratch_path(spark, "kept_keys")
     layout = I.Layout(root)
-    for path in write_drop(_claims_text(claims, False), f"{root}/landing", "CLAIMS_DATA", CLAIM_DATA_COLS, "incident_hour_of_the_day"):
-        I.copy_into(spark, [path], "claims", layout, buckets=REFRESH_BUCKETS)
+    paths = write_drop(_claims_text(claims, False), f"{root}/landing", "CLAIMS_DATA", CLAIM_DATA_COLS, "incident_hour_of_the_day")
+    for drop in ("CLAIMS_DATA_A", "CLAIMS_DATA_B"):     # two loads, however many files each has
+        if mine := [x for x in paths if x.rsplit("/", 1)[-1].startswith(f"{drop}_")]:
+            I.copy_into(spark, mine, "claims", layout, buckets=REFRESH_BUCKETS)
     state = I.commits(spark, layout, "claims").state()
     hot = H.hot_keys(spark, layout.heavy("claims"), state, FORCED_SKEW)
     kept = I.read_raw(spark, layout, "claims", state=state)
