@@ -160,7 +160,8 @@ def typed_projection(df: DataFrame, schema: T.StructType, present: set[str], *,
         cols.append(val.alias(f.name))
         rejects.append(F.when(bad, F.lit(f.name)))
         raws.append(txt)
-    rej = F.array_compact(F.array(*rejects)) if rejects else F.array().cast("array<string>")
+    # names are distinct; array_compact is a lambda, under which Spark would interpret every conversion row by row
+    rej = F.array_except(F.array(*rejects), F.array(F.lit(None).cast("string"))) if rejects else F.array().cast("array<string>")
     return df.select(*cols, rej.alias("_rejected"),
                      F.concat_ws(",", *[F.coalesce(r, F.lit("")) for r in raws]).alias("_raw_record"),
                      F.col("_source_file"), *more)
@@ -250,10 +251,11 @@ def file_history(staged: DataFrame, files: DataFrame) -> DataFrame:
     after the header.  One aggregate with a row for each part of a file that a task read; the records of earlier parts are
     a running sum over these."""
     bad = F.size("_rejected") > 0
-    decoded = F.url_decode(F.replace(F.col("_source_file"), F.lit("+"), F.lit("%2B")))
-    parts = (staged.groupBy(_plain_path(decoded).alias("file"), "_block")
+    parts = (staged.groupBy("_source_file", "_block")
              .agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"), F.min("_at").alias("start"),
                   F.min(F.when(bad, F.struct(F.col("_at"), F.array_join("_rejected", ",").alias("columns")))).alias("error")))
+    # paths are decoded once for each part, not for each row
+    parts = parts.withColumn("file", _plain_path(F.url_decode(F.replace(F.col("_source_file"), F.lit("+"), F.lit("%2B")))))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     first = F.struct((before + F.col("error._at") - F.col("start") + 1).alias("row"), F.col("error.columns").alias("columns"))
     per = (parts.select("file", "n", "bad", F.when(F.col("error").isNotNull(), first).alias("first"))

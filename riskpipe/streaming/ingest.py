@@ -230,7 +230,8 @@ def ingest_files(spark: SparkSession, paths: list[str], feed: str, layout: Layou
                                file_name_mode=file_name_mode, locate=True, **read_kw)
     typed = (typed.withColumn("bucket", key_bucket(F.col("policy_number"), buckets))
              .withColumn("batch_id", F.lit(batch_id).cast("long"))
-             .withColumn("_good", F.size("_rejected") == 0))
+             .withColumn("_good", F.size("_rejected") == 0)
+             .withColumn("_raw_record", F.when(~F.col("_good"), F.col("_raw_record"))))   # only the quarantine has it
     staging = f"{layout.root}/_staging/{uuid.uuid4().hex}"
     typed.write.partitionBy("_good").parquet(staging)   # one parse; what follows reads the typed files
     try:
