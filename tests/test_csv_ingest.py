@@ -162,3 +162,15 @@ def test_load_without_files(spark, scratch):
         assert C.load_batch(spark, [], "claims", f"file:{scratch}/t", on_error=mode).files == 0
     with pytest.raises(ValueError):
         C.load_batch(spark, [], "claims", f"file:{scratch}/t", on_error="skip")
+
+
+def test_conversions_are_compiled_with_the_rest(spark, scratch):
+    """No lambda in the parse: under one Spark interprets each conversion row by row.  Rejected names keep their order."""
+    path = f"{scratch}/CLAIMS_DATA.csv"
+    with open(path, "w") as f:
+        f.write("POLICY_NUMBER,CLAIM_AMOUNT,FRAUD_REPORTED,WITNESSES\n1,2.50,true,1\n2,x,maybe,y\n")
+    df = C.read_csv_by_name(spark, [path], S.DATA_SCHEMAS["claims"])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "array_except" in plan
+    got = {r.policy_number: r._rejected for r in df.collect()}
+    assert got == {"1": [], "2": [c for c in S.DATA_SCHEMAS["claims"].fieldNames() if c in ("claim_amount", "fraud_reported", "witnesses")]}

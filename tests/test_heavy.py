@@ -111,3 +111,21 @@ def test_keys_taken_back_by_force_lose_no_customer(spark, scratch):
     got = sorted(((r.policy_number, r.has_claim, str(r.claim_amount)) for r in l1.collect()), key=repr)
     assert got == batch_truth(spark, layout) == state(spark, layout)
     assert ("hot", 0, "None") in got
+
+
+def test_kept_keys_query_makes_two_loads_of_any_number_of_files(spark, monkeypatch):
+    from riskpipe.plans import extra_queries as X
+    from riskpipe.plans.catalog import raw
+
+    cust, claims = raw(spark, "/root/testdata/sf0.001")
+    loads, copy = [], X.I.copy_into
+    monkeypatch.setattr(X, "raw", lambda *_: (cust, claims.repartition(3)))
+    monkeypatch.setattr(X.I, "copy_into", lambda spark, paths, *a, **kw: loads.append(len(paths)) or copy(spark, paths, *a, **kw))
+    got = X.q_l1_kept_keys(spark, "")
+    assert loads == [3, 3]
+    assert got.count() == _integrated(cust, claims).count()
+
+
+def _integrated(cust, claims):
+    from riskpipe.operators import integrate
+    return integrate.integrate(cust, claims)
