@@ -54,6 +54,7 @@ T = BANDS * ROWS
 FINE = 1024  # coordinates, of a byte each, of the sketch that rules pairs out
 PARTNERS = (4, 32, 1 << 30)
 BLOCK = 2048
+HASHED_BYTES = 1 << 18  # of texts that are hashed at once: it takes some 40 bytes a byte, which a worker keeps afterwards
 SIGMAS = 4.75  # how far below the link a sketch may estimate and still be compared
 FEW = 1_000_000  # rows of keys (24 bytes each) that are still broadcast to the texts; more are joined by a shuffle
 
@@ -128,7 +129,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = LINK_PERCENT) -> bool:
 
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for rows, texts in wordhash.chunks(batch):
+        for rows, texts in wordhash.chunks(batch, limit=HASHED_BYTES):
             values, ends = shingle_sets(texts)
             rows_of = sketches(values, ends)
             starts = np.concatenate([[0], ends[:-1]])
@@ -145,7 +146,7 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for rows, texts in wordhash.chunks(batch):
+        for rows, texts in wordhash.chunks(batch, limit=HASHED_BYTES):
             values, ends = shingle_sets(texts)
             bits = fine_bits(values, ends)
             yield pa.RecordBatch.from_arrays(

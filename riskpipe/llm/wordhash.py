@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _U = np.uint64
 _BLANK = np.zeros(256, bool)
@@ -82,11 +83,13 @@ def words(texts: list[bytes], lower: bool = True) -> Words:
 
 
 def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = 1 << 21) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of a batch with the UTF-8 of their texts (a null text: empty), about ``limit`` bytes each."""
-    texts = [x.as_py() or b"" for x in batch[text].cast(pa.binary())]
+    """Slices of a batch with the UTF-8 of their texts (a null text: empty), about ``limit`` bytes each.
+
+    Texts are taken out of the batch slice by slice, so there is no second copy of the batch."""
+    column = batch[text].cast(pa.binary())
     start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= limit or i + 1 == len(texts):
-            yield batch.slice(start, i + 1 - start), texts[start:i + 1]
+    for i, n in enumerate(pc.binary_length(column).to_pylist()):
+        size += n or 0
+        if size >= limit or i + 1 == len(column):
+            yield batch.slice(start, i + 1 - start), [x.as_py() or b"" for x in column.slice(start, i + 1 - start)]
             start, size = i + 1, 0

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskpipe.llm import near_dups as N
@@ -166,7 +167,7 @@ def test_a_left_over_class_has_few_partners_over_all_its_buckets(spark):
 
 
 def test_links_are_read_once(spark, monkeypatch):
-    """Rounds after the first go over pairs of components: a clique of 30 costs its links once, not in every round."""
+    """Rounds after the first go over pairs of components: a clique of 30 costs its links once, not in every rouN."""
     rows, stored = {}, N.common.stored
 
     def counted(df, name):
@@ -183,3 +184,26 @@ def test_links_are_read_once(spark, monkeypatch):
     rows.clear()
     N.components(links, got)
     assert rows == {"edges": [0], "moves": [0]}
+
+
+def test_texts_are_hashed_a_few_at_a_time(monkeypatch):
+    """Hashing takes some 40 bytes of memory for each byte of text, which a Python worker keeps for all later stages."""
+    words = np.random.default_rng(5).integers(0, 5000, (1200, 300))
+    texts = [" ".join(f"w{x}" for x in row) for row in words] + [None, "", "one two"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array(range(len(texts)))], names=["doc_id", "text", "text_key"])
+    whole, sizes = N.shingle_sets, []
+    values, ends = whole([(t or "").encode() for t in texts])
+
+    def counted(some):
+        sizes.append(sum(map(len, some)))
+        return whole(some)
+
+    monkeypatch.setattr(N, "shingle_sets", counted)
+    out = pa.Table.from_batches(list(N._sketch_rows(iter([batch]))))
+    assert max(sizes) <= (1 << 18) + 3000 and sum(sizes) == sum(len(t or "") for t in texts)
+    assert out["doc_id"].to_pylist() == list(range(len(texts))) and out["n"].to_pylist() == np.diff(ends, prepend=0).tolist()
+    sizes.clear()
+    rows = pa.RecordBatch.from_arrays([batch["doc_id"], batch["text"]], names=["rep", "text"])
+    sets = pa.Table.from_batches(list(N._set_rows(iter([rows]))))
+    assert max(sizes) <= (1 << 18) + 3000
+    assert b"".join(sets["shingles"].to_pylist()) == values.astype("<u8").tobytes()
