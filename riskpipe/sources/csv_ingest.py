@@ -248,12 +248,15 @@ def file_history(staged: DataFrame, files: DataFrame) -> DataFrame:
 
     ``staged``: stored rows of ``read_csv_by_name(locate=True)``; ``files``: (path) of all files, also
     those without a record.  ``first_error_row`` is the number of the first rejected record in its file, from 1
-    after the header.  One aggregate with a row for each part of a file that a task read; the records of earlier parts are
-    a running sum over these."""
+    after the header.  One aggregate, without a sort, with a row for each part of a file that a task read; the records of earlier
+    parts are a running sum over these."""
     bad = F.size("_rejected") > 0
     parts = (staged.groupBy("_source_file", "_block")
-             .agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"), F.min("_at").alias("start"),
-                  F.min(F.when(bad, F.struct(F.col("_at"), F.array_join("_rejected", ",").alias("columns")))).alias("error")))
+             .agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"), F.min("_at").alias("start")))
+    # the least struct needs sorted groups, so only rejected records are sorted
+    errors = (staged.where(bad).groupBy(F.col("_source_file").alias("_file"), F.col("_block").alias("_of"))
+              .agg(F.min(F.struct(F.col("_at"), F.array_join("_rejected", ",").alias("columns"))).alias("error")))
+    parts = parts.join(errors, F.col("_source_file").eqNullSafe(F.col("_file")) & F.col("_block").eqNullSafe(F.col("_of")), "left")
     # paths are decoded once for each part, not for each row
     parts = parts.withColumn("file", _plain_path(F.url_decode(F.replace(F.col("_source_file"), F.lit("+"), F.lit("%2B")))))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

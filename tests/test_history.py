@@ -110,3 +110,19 @@ def test_as_of_and_trend_over_gaps(spark):
 def test_usual_thresholds(spark):
     rows = Q.usual_thresholds(history(spark, [10, 11, None, 13])).collect()
     assert [(r.max_value, r.clear_value) for r in rows] == [(12, 11)]
+
+
+def test_a_load_sorts_only_rejected_rows_before_the_raw_table(spark, scratch, monkeypatch):
+    """Neither the staged rows (by whether they are good) nor the history's counts need a sort of all rows."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    layout, found, by = I.Layout(f"file:{scratch}/tables"), [], []
+    real, part = C.file_history, DataFrameWriter.partitionBy
+    monkeypatch.setattr(C, "file_history", lambda *a: found.append(real(*a)) or found[-1])
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda self, *cols: by.extend(cols) or part(self, *cols))
+    drop(f"{scratch}/in/CLAIMS_DATA_1.csv", L_HEADER, ["p1,1,false", "p2,x,maybe", "p3,y,true"])
+    I.copy_into(spark, C.list_files(spark, f"file:{scratch}/in"), "claims", layout, buckets=4, on_error="continue")
+    assert by_file(spark, layout) == {"CLAIMS_DATA_1.csv": ("PARTIALLY_LOADED", 3, 1, 2, 2, "claim_amount,fraud_reported")}
+    assert "_good" not in by
+    plan = found[0]._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count(1)" in plan
+    assert not [x for x in plan.split("\n") if "SortAggregate" in x and "count(1)" in x]
